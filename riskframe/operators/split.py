@@ -82,6 +82,17 @@ def with_fold(df: DataFrame, key: Sequence[str], folds: int = 5, seed: int = 42)
 
 
 def sample_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """At most ``n`` rows without replacement: the smallest hashes, as a per-task top-n."""
+    """At most ``n`` rows without replacement: those with the smallest hashes.
+
+    A histogram of the hashes (it reads the key columns only) finds the range that holds the
+    n-th row, so the ordered part is ``n`` rows and the rest of one range, not ``n`` rows from
+    every task.
+    """
     h = hash32(key, seed)
-    return df.orderBy(h, *[F.col(f"`{k}`") for k in key]).limit(n)
+    bucket = F.shiftright(h, 32 - BUCKET_BITS)
+    counts = df.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("rows_in"))
+    upto = F.sum("rows_in").over(Window.partitionBy(F.lit(1)).orderBy("bucket"))
+    cut = (counts.withColumn("upto", upto).where(F.col("upto") >= n)
+           .agg(F.min("bucket").alias("cut")).first()["cut"])
+    kept = df if cut is None else df.where(bucket <= cut)
+    return kept.orderBy(h, *[F.col(f"`{k}`") for k in key]).limit(n)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.config import TARGET
+from riskframe.functions.bounded import reused
 
 
 def confusion_matrix(df: DataFrame, label: str = TARGET, prediction: str = "prediction") -> DataFrame:
@@ -66,10 +67,11 @@ def roc_auc(df: DataFrame, label: str = TARGET, score: str = "probability") -> f
 
 def evaluation_report(scored: DataFrame, label: str = TARGET, model_name: str = "model") -> DataFrame:
     """One row with the five headline metrics and the four matrix cells."""
-    matrix = confusion_matrix(scored, label)
-    cells = confusion_counts(matrix).first()
-    headline = weighted_metrics(matrix).first()
-    auc = roc_auc(scored, label)
+    with reused(scored.select(F.col(f"`{label}`"), "prediction", "probability")) as table:
+        matrix = confusion_matrix(table, label)
+        cells = confusion_counts(matrix).first()
+        headline = weighted_metrics(matrix).first()
+        auc = roc_auc(table, label)
     return scored.sparkSession.createDataFrame(
         [(model_name, *headline, auc, *cells)],
         "model_name string, accuracy double, precision double, recall double, f1_score double, roc_auc double, "

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -300,24 +301,28 @@ def sampled_attribution(df: DataFrame, model: Model, names: Sequence[str], key:
     key_type = df.schema[key].dataType.simpleString()
 
     def hybrids(batches):
-        for pdf in batches:
-            for k, x, s in zip(pdf[key], pdf["x"], _seeds(pdf[key], seed)):
-                x = np.asarray(x)
+        for batch in batches:
+            keys, rows = batch.column(0), batch.column(1).to_pylist()
+            for i, s in enumerate(_seeds(keys.to_pandas(), seed)):
+                x = np.asarray(rows[i])
                 rng = np.random.default_rng(int(s))
                 for _ in range(permutations):
                     order = rng.permutation(width)
                     rank = np.empty(width, dtype=int)
                     rank[order] = np.arange(width)
                     taken = rank[None, :] < np.arange(width + 1)[:, None]
-                    gains = np.concatenate([[-1], order])
-                    loses = np.concatenate([order, [-1]])
-                    for b in background:
-                        yield pd.DataFrame({
-                            key: k, "gains": gains.astype("int32"), "loses": loses.astype("int32"),
-                            "h": list(np.where(taken, x[None, :], b[None, :]))})
+                    cells = np.where(taken[None, :, :], x[None, None, :], background[:, None, :])
+                    n = len(background) * (width + 1)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.repeat(keys[i], n),
+                        pa.array(np.tile(np.concatenate([[-1], order]), len(background)).astype("int32")),
+                        pa.array(np.tile(np.concatenate([order, [-1]]), len(background)).astype("int32")),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.arange(n + 1, dtype="int32") * width), pa.array(cells.ravel())),
+                    ], names=[key, "gains", "loses", "h"])
 
     inputs = df.select(F.col(f"`{key}`"), vector_to_array(features_col).alias("x"))
-    mixed = inputs.mapInPandas(hybrids, f"`{key}` {key_type}, gains int, loses int, h array<double>")
+    mixed = inputs.mapInArrow(hybrids, f"`{key}` {key_type}, gains int, loses int, h array<double>")
     scored = model.transform(mixed.withColumn(features_col, array_to_vector("h")))
     p = vector_to_array("probability")[1]
     parts = scored.select(F.col(f"`{key}`"), F.inline(F.array(

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from riskframe.functions.columns import literal, text
 
 # The code labels shown to users.
 GENDER_LABELS = {1: "Male", 2: "Female"}
@@ -38,19 +35,18 @@ READABLE_NAMES = {
 }
 
 
-def decode(col: Column, labels: dict) -> Column:
-    """Label of a code; null when the code is unknown."""
-    pairs = F.create_map(*[F.lit(x) for x in chain.from_iterable(labels.items())])
-    return F.try_element_at(pairs, col)
+def decode(expression: str, labels: dict) -> str:
+    """Label of a code as SQL text; null when the code is unknown."""
+    pairs = ", ".join(f"{literal(k)}, {text(v)}" for k, v in labels.items())
+    return f"try_element_at(map({pairs}), {expression})"
 
 
-def readable_name(col: Column) -> Column:
+def readable_name(expression: str) -> str:
     """Dictionary name, else underscores to spaces with every word capitalised.
 
-    A letter that follows a digit also starts a word, as in ``PAY_2X -> Pay 2X``.
+    A letter that follows a digit also starts a word, as in ``PAY_2X -> Pay 2X``: initcap only
+    starts words after blanks, so a marked blank is put there and taken out again.
     """
-    spaced = F.lower(F.replace(col, F.lit("_"), F.lit(" ")))
-    # initcap only starts words after blanks, so a marked blank goes before other word starts
-    marked = F.regexp_replace(spaced, "([^a-z])([a-z])", "$1\u0001 $2")
-    titled = F.replace(F.initcap(marked), F.lit("\u0001 "), F.lit(""))
-    return F.coalesce(decode(col, READABLE_NAMES), titled)
+    spaced = f"lower(replace({expression}, '_', ' '))"
+    marked = f"regexp_replace({spaced}, '([^a-z])([a-z])', '$1# $2')"
+    return f"coalesce({decode(expression, READABLE_NAMES)}, replace(initcap({marked}), '# ', ''))"

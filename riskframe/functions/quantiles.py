@@ -12,9 +12,11 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.functions.columns import array, double, num, q, struct
+
 EXACT_LIMIT = 1_000_000
 MERGE_GROUPS = 256
 MAX_ROUNDS = 8
@@ -35,8 +37,12 @@ class Bracket:
     def ranks(self) -> tuple[int, int]:
         return math.floor(self.position), math.ceil(self.position)
 
-    def contains(self) -> Column:
-        return F.col(f"`{self.column}`").cast("double").between(self.lo, self.hi)
+    @property
+    def value(self) -> str:
+        return double(self.column)
+
+    def contains(self) -> str:
+        return f"{self.value} BETWEEN {num(float(self.lo))} AND {num(float(self.hi))}"
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
@@ -45,19 +51,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     if not columns:
         return {}
     facts = df.agg(*[
-        F.struct(
-            F.count(f"`{c}`").alias("n"),
-            F.min(F.col(f"`{c}`").cast("double")).alias("lo"),
-            F.max(F.col(f"`{c}`").cast("double")).alias("hi"),
-        ).alias(f"f{i}") for i, c in enumerate(columns)
+        F.expr(struct(n=f"count({q(c)})", lo=f"min({double(c)})", hi=f"max({double(c)})"))
+        for c in columns
     ]).first()
     out: dict[str, list[float | None]] = {}
     small = [c for i, c in enumerate(columns) if facts[i].n <= limit]
     large = [c for c in columns if c not in small]
     if small:
-        grid = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = df.agg(*[F.percentile(F.col(f"`{c}`").cast("double"), grid).alias(f"q{i}")
-                       for i, c in enumerate(small)]).first()
+        grid = array([num(float(p)) for p in probabilities])
+        row = df.agg(*[F.expr(f"percentile({double(c)}, {grid})") for c in small]).first()
         for i, c in enumerate(small):
             out[c] = list(row[i]) if row[i] is not None else [None] * len(probabilities)
     if large:
@@ -96,20 +98,17 @@ def _narrow(df: DataFrame, brackets: list[Bracket], limit: int) -> list[Bracket]
 
 def _propose(df: DataFrame, brackets: list[Bracket], margin: float) -> list[Bracket]:
     """Tighter ranges from quantile sketches of the values inside each bracket."""
-    group = (F.spark_partition_id() % MERGE_GROUPS).alias("g")
-    partial = df.select(group, *[
-        F.when(b.contains(), F.col(f"`{b.column}`").cast("double")).alias(f"v{i}")
-        for i, b in enumerate(brackets)
-    ]).groupBy("g").agg(*[F.kll_sketch_agg_double(f"v{i}").alias(f"s{i}") for i in range(len(brackets))])
-    merged = partial.agg(*[F.kll_merge_agg_double(f"s{i}").alias(f"s{i}") for i in range(len(brackets))])
+    cells = [f"CASE WHEN {b.contains()} THEN {b.value} END AS v{i}" for i, b in enumerate(brackets)]
+    partial = df.selectExpr(f"spark_partition_id() % {MERGE_GROUPS} AS g", *cells).groupBy("g").agg(
+        *[F.expr(f"kll_sketch_agg_double(v{i}) AS s{i}") for i in range(len(brackets))])
+    merged = partial.agg(*[F.expr(f"kll_merge_agg_double(s{i}) AS s{i}") for i in range(len(brackets))])
     wanted = []
     for i, b in enumerate(brackets):
         low, high = b.ranks
         first = max(0.0, (low - b.below) / b.inside - margin)
         last = min(1.0, (high - b.below + 1) / b.inside + margin)
-        wanted.append(F.kll_sketch_get_quantile_double(
-            f"s{i}", F.array(F.lit(first), F.lit(last))).alias(f"q{i}"))
-    row = merged.select(*wanted).first()
+        wanted.append(f"kll_sketch_get_quantile_double(s{i}, {array([num(first), num(last)])}) AS q{i}")
+    row = merged.selectExpr(*wanted).first()
     # a sketch may not hold the extremes: keep the old end where the margin reaches it
     out = []
     for i, b in enumerate(brackets):
@@ -125,32 +124,25 @@ def _propose(df: DataFrame, brackets: list[Bracket], margin: float) -> list[Brac
 
 def _count(df: DataFrame, brackets: list[Bracket]) -> list[Bracket]:
     row = df.agg(*[
-        F.struct(
-            F.count_if(F.col(f"`{b.column}`").cast("double") < b.lo).alias("below"),
-            F.count_if(b.contains()).alias("inside"),
-        ).alias(f"b{i}") for i, b in enumerate(brackets)
+        F.expr(struct(below=f"count_if({b.value} < {num(float(b.lo))})", inside=f"count_if({b.contains()})"))
+        for b in brackets
     ]).first()
     return [replace(b, below=row[i].below, inside=row[i].inside) for i, b in enumerate(brackets)]
 
 
 def _order_statistics(df: DataFrame, brackets: list[Bracket]) -> list[float]:
     """Order the distinct values inside each bracket and read the wanted ranks."""
-    cells = F.array(*[
-        F.struct(F.lit(i).alias("b"),
-                 F.when(b.contains(), F.col(f"`{b.column}`").cast("double")).alias("v"))
-        for i, b in enumerate(brackets)
-    ])
-    counts = (df.select(F.inline(F.filter(cells, lambda x: x["v"].isNotNull())))
-              .groupBy("b", "v").count())
-    running = counts.withColumn(
-        "upto", F.sum("count").over(Window.partitionBy("b").orderBy("v")))
-
-    def pick(which: int) -> Column:
-        ranks = F.array(*[F.lit(b.ranks[which] - b.below) for b in brackets])
-        return F.min(F.when(F.col("upto") > F.get(ranks, F.col("b")), F.col("v")))
+    cells = array([struct(b=str(i), v=f"CASE WHEN {b.contains()} THEN {b.value} END")
+                   for i, b in enumerate(brackets)])
+    counts = df.selectExpr(f"inline(filter({cells}, c -> c.v IS NOT NULL))").groupBy("b", "v").count()
+    running = counts.selectExpr("b", "v", "sum(count) OVER (PARTITION BY b ORDER BY v) AS upto")
+
+    def pick(which: int) -> str:
+        ranks = array([f"{b.ranks[which] - b.below}L" for b in brackets])
+        return f"min(CASE WHEN upto > get({ranks}, b) THEN v END)"
 
     rows = {r.b: r for r in running.groupBy("b").agg(
-        pick(0).alias("lower"), pick(1).alias("upper")).collect()}
+        F.expr(pick(0)).alias("lower"), F.expr(pick(1)).alias("upper")).collect()}
     out = []
     for i, b in enumerate(brackets):
         fraction = b.position - math.floor(b.position)

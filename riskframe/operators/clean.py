@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.config import RAW_KEY, TARGET, TARGET_SOURCE_NAMES
-from riskframe.functions.columns import finite_or_null
+from riskframe.functions.columns import FLOATING, finite_or_null, names_of, q, with_expressions
 
 
 def drop_surrogate_key(df: DataFrame, key: str = RAW_KEY) -> DataFrame:
@@ -44,13 +44,22 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def nulls_for_non_finite(df: DataFrame) -> DataFrame:
     """NaN and infinities become null, so aggregates skip them."""
-    return df.select(*[
-        finite_or_null(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields
-    ])
+    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, FLOATING)]
+    return with_expressions(df, {c: finite_or_null(c) for c in floating})
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    return df.dropna("any", subset=list(columns) if columns is not None else None)
+    """Rows without any null or NaN in the columns (all by default).
+
+    One predicate per column: the scan can use each, and the optimizer handles them one by one.
+    """
+    tests = []
+    for f in df.schema.fields:
+        if columns is None or f.name in columns:
+            tests.append(f"{q(f.name)} IS NOT NULL")
+            if isinstance(f.dataType, FLOATING):
+                tests.append(f"NOT isnan({q(f.name)})")
+    return df.where(" AND ".join(tests)) if tests else df
 
 
 def drop_repeated(df: DataFrame, key: str | None = None) -> DataFrame:
@@ -63,20 +72,19 @@ def drop_repeated(df: DataFrame, key: str | None = None) -> DataFrame:
     if key is None or key not in df.columns:
         return df.dropDuplicates()
     attributes = [c for c in df.columns if c != key]
-    grouped = df.groupBy(*[F.col(f"`{c}`") for c in attributes]).agg(F.min(f"`{key}`").alias(key))
-    return grouped.select(*[F.col(f"`{c}`") for c in df.columns])
+    grouped = df.groupBy(*names_of(attributes)).agg(F.min(q(key)).alias(key))
+    return grouped.select(*names_of(df.columns))
 
 
 def fill_missing_with_zero(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Non-finite and missing numeric cells become 0."""
     chosen = set(df.columns if columns is None else columns)
-    out = []
+    filled = {}
     for f in df.schema.fields:
-        col = F.col(f"`{f.name}`")
         if f.name in chosen and isinstance(f.dataType, T.NumericType):
-            col = F.coalesce(finite_or_null(col, f.dataType), F.lit(0).cast(f.dataType))
-        out.append(col.alias(f.name))
-    return df.select(*out)
+            present = finite_or_null(f.name) if isinstance(f.dataType, FLOATING) else q(f.name)
+            filled[f.name] = f"coalesce({present}, CAST(0 AS {f.dataType.simpleString()}))"
+    return with_expressions(df, filled)
 
 
 def clean_accounts(df: DataFrame, key: str | None = None) -> DataFrame:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.config import TRAINING_CONTRACT, ColumnRule, Contract
+from riskframe.functions.columns import array, double, num, q, struct, text
 from riskframe.operators.quality import quality
 
 CHECK_SCHEMA = ("check_name string, column_name string, passed boolean, severity string, "
@@ -48,27 +47,28 @@ def range_checks(df: DataFrame, contract: Contract = TRAINING_CONTRACT) -> DataF
     """
     cells = []
 
-    def cell(check: str, column: str, violated: Column, observed: Column) -> None:
-        bad = F.count_if(violated)
-        cells.append(F.struct(
-            F.lit(check).alias("check_name"), F.lit(column).alias("column_name"),
-            (bad == 0).alias("passed"), F.lit("error").alias("severity"),
-            bad.alias("violations"), observed.cast("double").alias("observed"),
-        ))
+    def cell(check: str, column: str, violated: str, observed: str) -> None:
+        bad = f"count_if({violated})"
+        cells.append(struct(check_name=text(check), column_name=text(column), passed=f"{bad} = 0",
+                            severity="'error'", violations=bad, observed=f"CAST({observed} AS DOUBLE)"))
 
     for rule in contract.rules:
         if rule.column not in df.columns:
             continue
-        c = F.col(f"`{rule.column}`")
+        c = q(rule.column)
         if rule.minimum is not None:
-            cell("min", rule.column, c < rule.minimum, F.min(c))
+            cell("min", rule.column, f"{c} < {num(rule.minimum)}", f"min({c})")
         if rule.maximum is not None:
-            cell("max", rule.column, c > rule.maximum, F.max(c))
+            cell("max", rule.column, f"{c} > {num(rule.maximum)}", f"max({c})")
         if rule.allowed is not None:
-            bad = ~F.coalesce(c.isin(*rule.allowed), F.lit(False))
-            cell("allowed", rule.column, bad, F.lit(None))
-    one_row = df.agg(*[c.alias(f"c{i}") for i, c in enumerate(cells)])
-    return one_row.select(F.inline(F.array(*[f"c{i}" for i in range(len(cells))])))
+            cell("allowed", rule.column, not_allowed(rule), "NULL")
+    one_row = df.agg(*[F.expr(c).alias(f"c{i}") for i, c in enumerate(cells)])
+    return one_row.selectExpr(f"inline({array([f'c{i}' for i in range(len(cells))])})")
+
+
+def not_allowed(rule: ColumnRule) -> str:
+    """True for a value outside the allowed set, and for a missing one."""
+    return f"NOT coalesce({q(rule.column)} IN ({', '.join(map(num, rule.allowed))}), false)"
 
 
 def dataset_checks(df: DataFrame, contract: Contract = TRAINING_CONTRACT, key: str | None = None) -> DataFrame:
@@ -78,29 +78,26 @@ def dataset_checks(df: DataFrame, contract: Contract = TRAINING_CONTRACT, key: s
 def invalid_values(df: DataFrame, contract: Contract = TRAINING_CONTRACT) -> DataFrame:
     """Every value outside its allowed set with its count (a missing value counts as one)."""
     rules = [r for r in contract.rules if r.allowed is not None and r.column in df.columns]
-    cells = F.array(*[
-        F.when(~F.coalesce(F.col(f"`{r.column}`").isin(*r.allowed), F.lit(False)),
-               F.struct(F.lit(r.column).alias("column_name"), F.col(f"`{r.column}`").cast("double").alias("value")))
-        for r in rules
-    ])
-    return (df.select(F.inline(F.array_compact(cells)))
+    cells = array([
+        f"CASE WHEN {not_allowed(r)} THEN {struct(column_name=text(r.column), value=double(r.column))} END"
+        for r in rules])
+    return (df.selectExpr(f"inline(array_compact({cells}))")
             .groupBy("column_name", "value").agg(F.count("*").alias("n")))
 
 
 def quality_checks(df: DataFrame, contract: Contract = TRAINING_CONTRACT, key: str | None = None,
                    method: str = "exact") -> DataFrame:
     """Missing and duplicate percentages as two more rows of the check table."""
-    q = quality(df, [c for c in df.columns if c != key], method)
-    rows = F.array(*[
-        F.struct(F.lit(name).alias("check_name"), F.lit(None).cast("string").alias("column_name"),
-                 (F.col(pct) <= limit).alias("passed"), F.lit("error").alias("severity"),
-                 F.col(n).alias("violations"), F.col(pct).alias("observed"))
+    q_table = quality(df, [c for c in df.columns if c != key], method)
+    rows = array([
+        struct(check_name=text(name), column_name="CAST(NULL AS STRING)", passed=f"{pct} <= {num(float(limit))}",
+               severity="'error'", violations=n, observed=pct)
         for name, pct, limit, n in (
             ("missing", "missing_percentage", contract.max_missing_pct, "missing_count"),
             ("duplicate", "duplicate_percentage", contract.max_duplicate_pct, "duplicate_count"),
         )
     ])
-    return q.select(F.inline(rows))
+    return q_table.selectExpr(f"inline({rows})")
 
 
 def all_checks(df: DataFrame, contract: Contract = TRAINING_CONTRACT, key: str | None = None) -> DataFrame:
@@ -109,37 +106,37 @@ def all_checks(df: DataFrame, contract: Contract = TRAINING_CONTRACT, key: str |
 
 def verdict(checks: DataFrame) -> DataFrame:
     """One row: the overall status, the three group results and the two percentages."""
-    failed = ~F.col("passed") & (F.col("severity") == "error")
+    failed = "NOT passed AND severity = 'error'"
 
-    def group(names: tuple[str, ...]) -> Column:
-        bad = F.count_if(failed & F.col("check_name").isin(*names))
-        return F.when(bad == 0, "Passed").otherwise("Failed")
+    def group(*names: str) -> str:
+        listed = ", ".join(map(text, names))
+        return f"CASE WHEN count_if({failed} AND check_name IN ({listed})) = 0 THEN 'Passed' ELSE 'Failed' END"
 
-    def observed(name: str) -> Column:
-        return F.coalesce(F.max(F.when(F.col("check_name") == name, F.col("observed"))), F.lit(0.0))
+    def observed(name: str) -> str:
+        return f"coalesce(max(CASE WHEN check_name = {text(name)} THEN observed END), 0D)"
 
+    overall = f"CASE WHEN count_if({failed}) = 0 THEN 'Validation Passed' ELSE 'Validation Failed' END"
     return checks.agg(
-        F.when(F.count_if(failed) == 0, "Validation Passed").otherwise("Validation Failed")
-        .alias("validation_status"),
-        group(("present",)).alias("column_validation"),
-        group(("type",)).alias("type_validation"),
-        group(("min", "max", "allowed")).alias("range_validation"),
-        observed("missing").alias("missing_percentage"),
-        observed("duplicate").alias("duplicate_percentage"),
+        F.expr(overall).alias("validation_status"),
+        F.expr(group("present")).alias("column_validation"),
+        F.expr(group("type")).alias("type_validation"),
+        F.expr(group("min", "max", "allowed")).alias("range_validation"),
+        F.expr(observed("missing")).alias("missing_percentage"),
+        F.expr(observed("duplicate")).alias("duplicate_percentage"),
     )
 
 
 def status_lines(one_verdict: DataFrame) -> DataFrame:
     """The verdict as the six text lines of a status report."""
-    lines = F.array(
-        F.concat(F.lit("Validation Status: "), "validation_status"),
-        F.concat(F.lit("Column Validation: "), "column_validation"),
-        F.concat(F.lit("Type Validation: "), "type_validation"),
-        F.concat(F.lit("Range Validation: "), "range_validation"),
-        F.format_string("Missing Percentage: %.2f%%", "missing_percentage"),
-        F.format_string("Duplicate Percentage: %.2f%%", "duplicate_percentage"),
-    )
-    return one_verdict.select(F.posexplode(lines).alias("line_no", "line"))
+    lines = array([
+        "concat('Validation Status: ', validation_status)",
+        "concat('Column Validation: ', column_validation)",
+        "concat('Type Validation: ', type_validation)",
+        "concat('Range Validation: ', range_validation)",
+        "format_string('Missing Percentage: %.2f%%', missing_percentage)",
+        "format_string('Duplicate Percentage: %.2f%%', duplicate_percentage)",
+    ])
+    return one_verdict.selectExpr(f"posexplode({lines}) AS (line_no, line)")
 
 
 def gate(one_verdict: DataFrame) -> None:
@@ -148,19 +145,19 @@ def gate(one_verdict: DataFrame) -> None:
         raise ContractViolation(status)
 
 
-def _row_rule_checks(rule: ColumnRule) -> list[tuple[str, Column]]:
-    c = F.col(f"`{rule.column}`")
-    out = [("type", c.isNull())]
+def _row_rule_checks(rule: ColumnRule) -> list[tuple[str, str]]:
+    c = q(rule.column)
+    out = [("type", f"{c} IS NULL")]
     if rule.minimum is not None:
-        out.append(("min", c < rule.minimum))
+        out.append(("min", f"{c} < {num(rule.minimum)}"))
     if rule.maximum is not None:
-        out.append(("max", c > rule.maximum))
+        out.append(("max", f"{c} > {num(rule.maximum)}"))
     if rule.allowed is not None:
-        out.append(("allowed", ~c.isin(*rule.allowed)))
+        out.append(("allowed", f"{c} NOT IN ({', '.join(map(num, rule.allowed))})"))
     return out
 
 
-def violations_column(df: DataFrame, contract: Contract) -> Column:
+def violations_column(df: DataFrame, contract: Contract) -> str:
     """All broken rules of a row as ``COLUMN:rule``, in contract order.
 
     A missing value, or a cell that did not parse as the declared type, breaks ``type`` and
@@ -169,29 +166,28 @@ def violations_column(df: DataFrame, contract: Contract) -> Column:
     names = []
     for rule in contract.rules:
         if rule.column not in df.columns:
-            names.append(F.lit(f"{rule.column}:present"))
+            names.append(text(f"{rule.column}:present"))
             continue
-        names += [F.when(bad, F.lit(f"{rule.column}:{check}")) for check, bad in _row_rule_checks(rule)]
-    return F.array_compact(F.array(*names))
+        names += [f"CASE WHEN {bad} THEN {text(f'{rule.column}:{check}')} END"
+                  for check, bad in _row_rule_checks(rule)]
+    return f"array_compact({array(names)})"
 
 
 def with_violations(df: DataFrame, contract: Contract = TRAINING_CONTRACT) -> DataFrame:
-    return df.withColumn("violations", violations_column(df, contract)).withColumn(
-        "first_violation", F.get("violations", F.lit(0)))
+    return df.selectExpr("*", f"{violations_column(df, contract)} AS violations").selectExpr(
+        "*", "get(violations, 0) AS first_violation")
 
 
-def valid_filter(df: DataFrame, contract: Contract) -> Column:
+def valid_filter(df: DataFrame, contract: Contract) -> str:
     """One conjunction over the input columns, so the scan can prune with it."""
     if any(r.column not in df.columns for r in contract.rules):
-        return F.lit(False)
-    parts = [~bad if check != "type" else F.col(f"`{r.column}`").isNotNull()
+        return "false"
+    parts = [f"{q(r.column)} IS NOT NULL" if check == "type" else f"NOT ({bad})"
              for r in contract.rules for check, bad in _row_rule_checks(r)]
-    return reduce(lambda a, b: a & b, parts)
+    return " AND ".join(parts)
 
 
 def split_by_contract(df: DataFrame, contract: Contract = TRAINING_CONTRACT) -> tuple[DataFrame, DataFrame]:
     """Rows that satisfy every rule, and the quarantined rest with the reasons."""
     good = valid_filter(df, contract)
-    valid = df.where(good)
-    quarantine = with_violations(df.where(~F.coalesce(good, F.lit(False))), contract)
-    return valid, quarantine
+    return df.where(good), with_violations(df.where(f"NOT coalesce({good}, false)"), contract)

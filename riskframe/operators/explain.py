@@ -15,10 +15,10 @@ import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.columns import add_all
+from riskframe.functions.columns import add_all, array, double, names_of, num, q, struct, text
 from riskframe.operators.score import Scorecard
 from riskframe.operators.split import sample_rows
 
@@ -31,7 +31,7 @@ class LinearAttribution:
 
     card: Scorecard
     background: Mapping[str, float]
-    columns: Mapping[str, Column] | None = None
+    columns: Mapping[str, str] | None = None
 
     @property
     def features(self) -> tuple[str, ...]:
@@ -41,33 +41,30 @@ class LinearAttribution:
     def base_value(self) -> float:
         return self.card.intercept + sum(w * self.background[f] for f, w in self.card.weights.items())
 
-    def value(self, feature: str) -> Column:
-        if self.columns and feature in self.columns:
-            return self.columns[feature].cast("double")
-        return F.col(f"`{feature}`").cast("double")
+    def value(self, feature: str) -> str:
+        return (self.columns or {}).get(feature) or double(feature)
 
-    def contribution(self, feature: str) -> Column:
-        return F.lit(float(self.card.weights[feature])) * (self.value(feature) - F.lit(float(self.background[feature])))
+    def contribution(self, feature: str) -> str:
+        weight, mean = float(self.card.weights[feature]), float(self.background[feature])
+        return f"({num(weight)} * ({self.value(feature)} - {num(mean)}))"
 
-    def records(self) -> Column:
+    def records(self) -> str:
         """array<struct<feature, value, contribution>> in feature order."""
-        return F.array(*[
-            F.struct(F.lit(f).alias("feature"), self.value(f).alias("value"),
-                     self.contribution(f).alias("contribution")) for f in self.features
-        ])
+        return array([struct(feature=text(f), value=self.value(f), contribution=self.contribution(f))
+                      for f in self.features])
 
 
 def background_means(df: DataFrame, card: Scorecard, key: Sequence[str], n: int = 100, seed: int = 42,
-                     columns: Mapping[str, Column] | None = None) -> dict[str, float]:
+                     columns: Mapping[str, str] | None = None) -> dict[str, float]:
     """Feature means over a background sample of at most ``n`` rows: one small row."""
     sample = sample_rows(df, key, n, seed)
-    value = lambda f: (columns or {}).get(f, F.col(f"`{f}`"))
-    row = sample.agg(*[F.avg(value(f)).alias(f"m{i}") for i, f in enumerate(card.features)]).first()
+    means = [F.expr(f"avg({(columns or {}).get(f) or double(f)})") for f in card.features]
+    row = sample.agg(*means).first()
     return {f: float(row[i]) if row[i] is not None else 0.0 for i, f in enumerate(card.features)}
 
 
 def linear_attribution(df: DataFrame, card: Scorecard, key: Sequence[str], background_rows: int = 100,
-                       seed: int = 42, columns: Mapping[str, Column] | None = None) -> LinearAttribution:
+                       seed: int = 42, columns: Mapping[str, str] | None = None) -> LinearAttribution:
     return LinearAttribution(card, background_means(df, card, key, background_rows, seed, columns), columns)
 
 
@@ -78,115 +75,109 @@ def attribution_method(model: Model) -> str:
 
 def contributions(df: DataFrame, how: LinearAttribution, keep: Sequence[str]) -> DataFrame:
     """Long table (kept columns, feature, value, contribution); no shuffle."""
-    return df.select(*[F.col(f"`{c}`") for c in keep], F.inline(how.records()))
+    return df.selectExpr(*names_of(keep), f"inline({how.records()})")
 
 
-def attribution_stats(df: DataFrame, how: LinearAttribution) -> DataFrame:
-    """Mean, population deviation and mean size of the contributions, most important first.
+def _wide_aggregate(df: DataFrame, cells: Sequence[str]) -> DataFrame:
+    """One global aggregate of struct expressions, turned to rows at the end."""
+    wide = df.agg(*[F.expr(c).alias(f"s{i}") for i, c in enumerate(cells)])
+    return wide.selectExpr(f"inline({array([f's{i}' for i in range(len(cells))])})")
 
-    One global aggregate over wide expressions, turned to rows at the end.
-    """
+
+def attribution_stats(df: DataFrame, how: LinearAttribution) -> DataFrame:
+    """Mean, population deviation and mean size of the contributions, most important first."""
+    width = f"{len(how.features)}L"
     cells = [
-        F.struct(F.lit(f).alias("feature"), F.avg(c).alias("mean_contribution"),
-                 F.stddev_pop(c).alias("std_contribution"), F.avg(F.abs(c)).alias("mean_abs_contribution"),
-                 F.count("*").alias("n_rows"), F.lit(len(how.features)).cast("bigint").alias("n_features"))
+        struct(feature=text(f), mean_contribution=f"avg({c})", std_contribution=f"stddev_pop({c})",
+               mean_abs_contribution=f"avg(abs({c}))", n_rows="count(*)", n_features=width)
         for f in how.features for c in [how.contribution(f)]
     ]
-    wide = df.agg(*[c.alias(f"s{i}") for i, c in enumerate(cells)])
-    return (wide.select(F.inline(F.array(*[f"s{i}" for i in range(len(cells))])))
-            .orderBy(F.desc("mean_abs_contribution"), "feature"))
+    return _wide_aggregate(df, cells).orderBy(F.desc("mean_abs_contribution"), "feature")
 
 
 def global_importance(df: DataFrame, how: LinearAttribution, top: int | None = None) -> DataFrame:
-    out = (df.agg(*[F.avg(F.abs(how.contribution(f))).alias(f"s{i}") for i, f in enumerate(how.features)])
-           .select(F.inline(F.array(*[
-               F.struct(F.lit(f).alias("feature"), F.col(f"s{i}").alias("importance"))
-               for i, f in enumerate(how.features)])))
-           .orderBy(F.desc("importance"), "feature"))
+    cells = [struct(feature=text(f), importance=f"avg(abs({how.contribution(f)}))") for f in how.features]
+    out = _wide_aggregate(df, cells).orderBy(F.desc("importance"), "feature")
     return out if top is None else out.limit(top)
 
 
 def importance_of_long(long: DataFrame, top: int | None = None) -> DataFrame:
     """The same from a long contribution table, such as a sampled attribution."""
-    out = (long.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("importance"))
+    out = (long.groupBy("feature").agg(F.expr("avg(abs(contribution)) AS importance"))
            .orderBy(F.desc("importance"), "feature"))
     return out if top is None else out.limit(top)
 
 
+def stats_of_long(long: DataFrame, n_features: int) -> DataFrame:
+    return long.groupBy("feature").agg(
+        F.expr("avg(contribution) AS mean_contribution"),
+        F.expr("stddev_pop(contribution) AS std_contribution"),
+        F.expr("avg(abs(contribution)) AS mean_abs_contribution"),
+        F.expr("count(*) AS n_rows"), F.expr(f"{n_features}L AS n_features"),
+    ).orderBy(F.desc("mean_abs_contribution"), "feature")
+
+
 def ranked_features(df: DataFrame, how: LinearAttribution, top: int) -> list[str]:
     """Names of the most important features, best first: a list as short as the model is wide."""
     return [r["feature"] for r in global_importance(df, how, top).collect()]
 
 
-def by_size(records: Column) -> Column:
+def by_size(records: str) -> str:
     """Sort attribution records by absolute contribution, largest first, names break ties."""
-    keyed = F.transform(records, lambda r: F.struct(
-        (-F.abs(r["contribution"])).alias("order"), r["feature"].alias("feature"),
-        r["value"].alias("value"), r["contribution"].alias("contribution")))
-    return F.transform(F.sort_array(keyed), lambda r: F.struct(
-        r["feature"].alias("feature"), r["value"].alias("value"), r["contribution"].alias("contribution")))
+    keyed = (f"transform({records}, r -> struct(-abs(r.contribution) AS k, r.feature AS feature, "
+             "r.value AS value, r.contribution AS contribution))")
+    return (f"transform(sort_array({keyed}), r -> struct(r.feature AS feature, r.value AS value, "
+            "r.contribution AS contribution))")
 
 
 def top_contributions(df: DataFrame, how: LinearAttribution, keep: Sequence[str], k: int = 10) -> DataFrame:
     """Per row an ``explanation`` array with its k largest contributions."""
-    return df.select(*[F.col(f"`{c}`") for c in keep], F.slice(by_size(how.records()), 1, k).alias("explanation"))
+    return df.selectExpr(*names_of(keep), f"slice({by_size(how.records())}, 1, {k}) AS explanation")
 
 
 def local_explanation(scored: DataFrame, how: LinearAttribution, keep: Sequence[str], k: int = 10) -> DataFrame:
     """Class, both probabilities, base value, all contributions and the top k, per row."""
-    p = F.col("probability")
-    return scored.select(
-        *[F.col(f"`{c}`") for c in keep], "prediction",
-        F.array(1.0 - p, p).alias("prediction_probability"),
-        F.lit(how.base_value).alias("base_value"),
-        how.records().alias("contributions"),
-        F.slice(by_size(how.records()), 1, k).alias("feature_contributions"))
+    packed = scored.selectExpr(
+        *names_of(keep), "prediction", "array(1D - probability, probability) AS prediction_probability",
+        f"{num(how.base_value)} AS base_value", f"{how.records()} AS contributions")
+    return packed.selectExpr("*", f"slice({by_size('contributions')}, 1, {k}) AS feature_contributions")
 
 
 def waterfall(df: DataFrame, how: LinearAttribution, keep: Sequence[str], max_display: int = 15) -> DataFrame:
     """Ordered contributions with the running total; what does not fit is summed as one step."""
     n = len(how.features)
-    base = F.lit(how.base_value)
-    ordered = F.col("ordered")
+    steps = "ordered"
     if n > max_display:
-        shown = F.slice(ordered, 1, max_display - 1)
-        rest = F.slice(ordered, max_display, n)
-        other = F.struct(
-            F.lit(f"{n - max_display + 1} other features").alias("feature"),
-            F.lit(None).cast("double").alias("value"),
-            F.aggregate(rest, F.lit(0.0), lambda acc, r: acc + r["contribution"]).alias("contribution"))
-        steps = F.concat(shown, F.array(other))
-    else:
-        steps = ordered
-    running = F.transform(F.col("steps"), lambda r, i: F.struct(
-        (i + 1).cast("int").alias("step"), r["feature"].alias("feature"),
-        r["contribution"].alias("contribution"),
-        F.aggregate(F.slice(F.col("steps"), F.lit(1), i + 1), base,
-                    lambda acc, s: acc + s["contribution"]).alias("running_total")))
-    kept = [F.col(f"`{c}`") for c in keep]
-    return (df.select(*kept, by_size(how.records()).alias("ordered"))
-            .select(*kept, steps.alias("steps"))
-            .select(*kept, F.inline(running)))
+        other = struct(
+            feature=text(f"{n - max_display + 1} other features"), value="CAST(NULL AS DOUBLE)",
+            contribution=f"aggregate(slice(ordered, {max_display}, {n}), 0D, (acc, r) -> acc + r.contribution)")
+        steps = f"concat(slice(ordered, 1, {max_display - 1}), array({other}))"
+    running = (
+        "transform(steps, (r, i) -> struct(i + 1 AS step, r.feature AS feature, r.contribution AS contribution, "
+        f"aggregate(slice(steps, 1, i + 1), {num(how.base_value)}, (acc, s) -> acc + s.contribution) AS running_total))")
+    kept = names_of(keep)
+    return (df.selectExpr(*kept, f"{by_size(how.records())} AS ordered")
+            .selectExpr(*kept, f"{steps} AS steps")
+            .selectExpr(*kept, f"inline({running})"))
 
 
 def push_totals(df: DataFrame, how: LinearAttribution, keep: Sequence[str]) -> DataFrame:
     """How much each row is pushed up, pushed down, and where it ends."""
     terms = [how.contribution(f) for f in how.features]
-    zero = F.lit(0.0)
-    return df.select(
-        *[F.col(f"`{c}`") for c in keep], F.lit(how.base_value).alias("base_value"),
-        add_all([F.greatest(t, zero) for t in terms]).alias("push_up"),
-        add_all([F.least(t, zero) for t in terms]).alias("push_down"),
-        add_all([F.lit(how.base_value), *terms]).alias("output_value"))
+    base = num(how.base_value)
+    return df.selectExpr(
+        *names_of(keep), f"{base} AS base_value",
+        add_all([f"greatest({t}, 0D)" for t in terms]) + " AS push_up",
+        add_all([f"least({t}, 0D)" for t in terms]) + " AS push_down",
+        add_all([base, *terms]) + " AS output_value")
 
 
 def impact_table(df: DataFrame, how: LinearAttribution, keep: Sequence[str], top: int = 15) -> DataFrame:
     """Feature values against contributions for the most important features."""
-    names = ranked_features(df, how, top)
-    records = F.array(*[
-        F.struct(F.lit(i + 1).alias("rank"), F.lit(f).alias("feature"), how.value(f).alias("value"),
-                 how.contribution(f).alias("contribution")) for i, f in enumerate(names)])
-    return df.select(*[F.col(f"`{c}`") for c in keep], F.inline(records))
+    records = array([
+        struct(rank=str(i + 1), feature=text(f), value=how.value(f), contribution=how.contribution(f))
+        for i, f in enumerate(ranked_features(df, how, top))])
+    return df.selectExpr(*names_of(keep), f"inline({records})")
 
 
 def decision_paths(df: DataFrame, how: LinearAttribution, key: Sequence[str], n: int = 20,
@@ -196,23 +187,21 @@ def decision_paths(df: DataFrame, how: LinearAttribution, key: Sequence[str], n:
     The order is the same for all rows, so the running sums are plain column expressions.
     """
     order = list(reversed(ranked_features(df, how, len(how.features))))
-    running, steps = F.lit(how.base_value), []
+    terms = [num(how.base_value)]
+    steps = []
     for i, f in enumerate(order):
-        running = running + how.contribution(f)
-        steps.append(F.struct(F.lit(i + 1).alias("step"), F.lit(f).alias("feature"),
-                              running.alias("cumulative")))
-    sampled = sample_rows(df, key, n, seed)
-    return sampled.select(*[F.col(f"`{k}`") for k in key], F.inline(F.array(*steps)))
+        terms.append(how.contribution(f))
+        steps.append(struct(step=str(i + 1), feature=text(f), cumulative=add_all(terms)))
+    return sample_rows(df, key, n, seed).selectExpr(*names_of(key), f"inline({array(steps)})")
 
 
 def contribution_matrix(scored: DataFrame, how: LinearAttribution, key: Sequence[str], n: int = 50,
                         top: int = 15, seed: int = 42) -> DataFrame:
     """One row per sampled account, one column per important feature, by falling probability."""
     names = ranked_features(scored, how, top)
-    sampled = sample_rows(scored, key, n, seed)
-    return sampled.select(
-        *[F.col(f"`{k}`") for k in key], "probability", *[how.contribution(f).alias(f) for f in names],
-    ).orderBy(F.desc("probability"), *[F.col(f"`{k}`") for k in key])
+    cells = [f"{how.contribution(f)} AS {q(f)}" for f in names]
+    return sample_rows(scored, key, n, seed).selectExpr(*names_of(key), "probability", *cells).orderBy(
+        F.desc("probability"), *names_of(key))
 
 
 def partial_dependence(df: DataFrame, card: Scorecard, features: Sequence[str], points: int = 100) -> DataFrame:
@@ -221,22 +210,18 @@ def partial_dependence(df: DataFrame, card: Scorecard, features: Sequence[str],
     Every row is expanded by the fixed grid and averaged map-side, so only
     features x points partial sums are shuffled.
     """
-    ends = df.agg(*[F.struct(F.min(F.col(f"`{f}`").cast("double")).alias("lo"),
-                             F.max(F.col(f"`{f}`").cast("double")).alias("hi")).alias(f"e{i}")
-                    for i, f in enumerate(features)]).first()
+    ends = df.agg(*[F.expr(struct(lo=f"min({double(f)})", hi=f"max({double(f)})")) for f in features]).first()
     grid = []
     for i, f in enumerate(features):
         lo, hi = ends[i].lo, ends[i].hi
-        if lo is None:
-            continue
-        grid += [F.struct(F.lit(f).alias("feature"), F.lit(p).alias("point"),
-                          F.lit(float(lo + (hi - lo) * p / max(1, points - 1))).alias("grid_value"))
-                 for p in range(points)]
-    numbered = df.select(*[F.col(f"`{f}`").cast("double").alias(f) for f in card.features],
-                         F.inline(F.array(*grid)))
-    override = {f: F.when(F.col("feature") == f, F.col("grid_value")).otherwise(F.col(f"`{f}`"))
-                for f in features}
-    return (numbered.select("feature", "point", "grid_value", card.probability(override).alias("p"))
+        if lo is not None:
+            grid += [struct(feature=text(f), point=str(p),
+                            grid_value=num(float(lo + (hi - lo) * p / max(1, points - 1))))
+                     for p in range(points)]
+    inputs = [f"{double(f)} AS {q(f)}" for f in card.features]
+    numbered = df.selectExpr(*inputs, f"inline({array(grid)})")
+    override = {f: f"CASE WHEN feature = {text(f)} THEN grid_value ELSE {q(f)} END" for f in features}
+    return (numbered.selectExpr("feature", "point", "grid_value", f"{card.probability(override)} AS p")
             .groupBy("feature", "point", "grid_value").agg(F.avg("p").alias("mean_probability")))
 
 
@@ -283,8 +268,8 @@ def sampled_linear_attribution(df: DataFrame, model: LogisticRegressionModel, na
                 yield pd.concat(frames, ignore_index=True)
 
     key_type = df.schema[key].dataType.simpleString()
-    return (df.select(F.col(f"`{key}`"), vector_to_array(features_col).alias("x"))
-            .mapInPandas(explain, f"`{key}` {key_type}, {SAMPLED_SCHEMA}"))
+    return (df.select(q(key), vector_to_array(features_col).alias("x"))
+            .mapInPandas(explain, f"{q(key)} {key_type}, {SAMPLED_SCHEMA}"))
 
 
 def sampled_attribution(df: DataFrame, model: Model, names: Sequence[str], key: str, background: np.ndarray,
@@ -321,27 +306,23 @@ def sampled_attribution(df: DataFrame, model: Model, names: Sequence[str], key:
                             pa.array(np.arange(n + 1, dtype="int32") * width), pa.array(cells.ravel())),
                     ], names=[key, "gains", "loses", "h"])
 
-    inputs = df.select(F.col(f"`{key}`"), vector_to_array(features_col).alias("x"))
-    mixed = inputs.mapInArrow(hybrids, f"`{key}` {key_type}, gains int, loses int, h array<double>")
-    scored = model.transform(mixed.withColumn(features_col, array_to_vector("h")))
-    p = vector_to_array("probability")[1]
-    parts = scored.select(F.col(f"`{key}`"), F.inline(F.array(
-        F.struct(F.col("gains").alias("at"), p.alias("up"), F.lit(0.0).alias("down")),
-        F.struct(F.col("loses").alias("at"), F.lit(0.0).alias("up"), p.alias("down")))))
-    runs = float(permutations * len(background))
-    summed = parts.groupBy(key, "at").agg((F.sum("up") / runs).alias("up"), (F.sum("down") / runs).alias("down"))
-    # position -1 holds the pure background (as a loss) and the full row (as a gain) of each key:
-    # "loses = -1" is the last hybrid, "gains = -1" the first
+    inputs = df.select(q(key), vector_to_array(features_col).alias("x"))
+    mixed = inputs.mapInArrow(hybrids, f"{q(key)} {key_type}, gains int, loses int, h array<double>")
+    scored = model.transform(mixed.withColumn(features_col, array_to_vector("h"))).select(
+        q(key), "gains", "loses", vector_to_array("probability")[1].alias("p"))
+    parts = scored.selectExpr(q(key), f"inline({array([
+        struct(at='gains', up='p', down='0D'), struct(at='loses', up='0D', down='p')])})")
+    runs = num(float(permutations * len(background)))
+    summed = parts.groupBy(key, "at").agg(F.expr(f"sum(up) / {runs} AS up"), F.expr(f"sum(down) / {runs} AS down"))
+    # at = -1 gains the pure background, hybrid 0, and loses the full row, the last hybrid
     per_row = summed.groupBy(key).agg(
-        F.max(F.when(F.col("at") < 0, F.col("up"))).alias("base_value"),
-        F.max(F.when(F.col("at") < 0, F.col("down"))).alias("probability"),
-        F.sort_array(F.collect_list(F.when(F.col("at") >= 0, F.struct("at", (F.col("up") - F.col("down")).alias("phi"))))).alias("phis"))
-    labels = F.array(*[F.lit(n) for n in names])
-    joined = per_row.join(inputs, key)
-    records = F.transform(F.col("phis"), lambda r: F.struct(
-        F.get(labels, r["at"]).alias("feature"), F.get(F.col("x"), r["at"]).alias("value"),
-        r["phi"].alias("contribution")))
-    return joined.select(F.col(f"`{key}`"), F.inline(records), "base_value", "probability")
+        F.expr("max(CASE WHEN at < 0 THEN up END) AS base_value"),
+        F.expr("max(CASE WHEN at < 0 THEN down END) AS probability"),
+        F.expr("collect_list(CASE WHEN at >= 0 THEN struct(at, up - down AS phi) END) AS phis"))
+    labels = array([text(n) for n in names])
+    records = (f"transform(phis, r -> struct(get({labels}, r.at) AS feature, get(x, r.at) AS value, "
+               "r.phi AS contribution))")
+    return per_row.join(inputs, key).selectExpr(q(key), f"inline({records})", "base_value", "probability")
 
 
 def background_matrix(df: DataFrame, key: Sequence[str], n: int = 100, seed: int = 42,

@@ -6,11 +6,12 @@ skip missing months.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from riskframe.config import BILL_COLUMNS, PAY_COLUMNS, PAYMENT_COLUMNS, FeatureConfig
-from riskframe.functions.columns import add_all, plain_sum, row_mean, row_sum, safe_ratio
+from riskframe.functions.columns import (
+    add_all, double, names_of, plain_sum, q, row_mean, row_sum, safe_ratio, with_expressions,
+)
 
 # The names of the engineered features, by group.
 RATIO_FEATURES = ("PAY_AMT_TO_LIMIT_RATIO", "BILL_AMT_TO_LIMIT_RATIO", "PAY_TO_BILL_RATIO")
@@ -26,29 +27,29 @@ def engineered_names(config: FeatureConfig = FeatureConfig()) -> tuple[str, ...]
     )
 
 
-def _or_zero(col: Column) -> Column:
-    return F.coalesce(col, F.lit(0.0))
+def _or_zero(expression: str) -> str:
+    return f"coalesce({expression}, 0D)"
 
 
-def engineered_expressions() -> dict[str, Column]:
-    limit = F.col("LIMIT_BAL").cast("double")
-    delayed = add_all([F.coalesce((F.col(c) > 0).cast("bigint"), F.lit(0)) for c in PAY_COLUMNS])
+def engineered_expressions() -> dict[str, str]:
+    limit = double("LIMIT_BAL")
+    delayed = add_all([f"coalesce(CAST({q(c)} > 0 AS BIGINT), 0)" for c in PAY_COLUMNS])
+    worst = f"greatest({', '.join(names_of(PAY_COLUMNS))})"
     return {
         "PAY_AMT_TO_LIMIT_RATIO": safe_ratio(plain_sum(PAYMENT_COLUMNS), limit),
-        "BILL_AMT_TO_LIMIT_RATIO": safe_ratio(F.col("BILL_AMT1"), limit),
-        "PAY_TO_BILL_RATIO": safe_ratio(F.col("PAY_AMT1"), F.col("BILL_AMT1") + 1.0),
+        "BILL_AMT_TO_LIMIT_RATIO": safe_ratio("BILL_AMT1", limit),
+        "PAY_TO_BILL_RATIO": safe_ratio("PAY_AMT1", "BILL_AMT1 + 1D"),
         "AVG_PAY_STATUS": _or_zero(row_mean(PAY_COLUMNS)),
-        "MAX_PAY_DELAY": F.coalesce(F.greatest(*PAY_COLUMNS).cast("bigint"), F.lit(0)),
-        "MONTHS_WITH_DELAY": delayed.cast("bigint"),
+        "MAX_PAY_DELAY": f"coalesce(CAST({worst} AS BIGINT), 0)",
+        "MONTHS_WITH_DELAY": delayed,
         "TOTAL_BILL_AMT": row_sum(BILL_COLUMNS),
         "AVG_BILL_AMT": _or_zero(row_mean(BILL_COLUMNS)),
-        "BILL_AMT_TREND": _or_zero(F.col("BILL_AMT1") - F.col("BILL_AMT6")),
+        "BILL_AMT_TREND": _or_zero("BILL_AMT1 - BILL_AMT6"),
         "TOTAL_PAY_AMT": row_sum(PAYMENT_COLUMNS),
         "AVG_PAY_AMT": _or_zero(row_mean(PAYMENT_COLUMNS)),
     }
 
 
 def with_engineered_features(df: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
-    wanted = engineered_names(config)
     expressions = engineered_expressions()
-    return df.withColumns({name: expressions[name] for name in wanted})
+    return with_expressions(df, {name: expressions[name] for name in engineered_names(config)})

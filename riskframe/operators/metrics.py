@@ -8,22 +8,24 @@ from pyspark.sql import functions as F
 
 from riskframe.config import TARGET
 from riskframe.functions.bounded import reused
+from riskframe.functions.columns import array, double, q, safe_ratio, struct, text
 
 
 def confusion_matrix(df: DataFrame, label: str = TARGET, prediction: str = "prediction") -> DataFrame:
     """Long table (label, prediction, n); absent combinations have no row."""
-    return df.groupBy(
-        F.col(f"`{label}`").cast("int").alias("label"), F.col(f"`{prediction}`").cast("int").alias("prediction"),
-    ).agg(F.count("*").alias("n"))
+    return df.selectExpr(f"CAST({q(label)} AS INT) AS label", f"CAST({q(prediction)} AS INT) AS prediction").groupBy(
+        "label", "prediction").agg(F.count("*").alias("n"))
+
+
+# The names of the four cells of a binary matrix.
+CELLS = {"true_negatives": (0, 0), "false_positives": (0, 1), "false_negatives": (1, 0), "true_positives": (1, 1)}
 
 
 def confusion_counts(matrix: DataFrame) -> DataFrame:
     """The four cells of a binary matrix in one row."""
-    def cell(y: int, p: int):
-        return F.coalesce(F.sum(F.when((F.col("label") == y) & (F.col("prediction") == p), F.col("n"))), F.lit(0))
-
-    return matrix.agg(cell(0, 0).alias("true_negatives"), cell(0, 1).alias("false_positives"),
-                      cell(1, 0).alias("false_negatives"), cell(1, 1).alias("true_positives"))
+    return matrix.agg(*[
+        F.expr(f"coalesce(sum(CASE WHEN label = {y} AND prediction = {p} THEN n END), 0)").alias(name)
+        for name, (y, p) in CELLS.items()])
 
 
 def weighted_metrics(matrix: DataFrame) -> DataFrame:
@@ -31,21 +33,17 @@ def weighted_metrics(matrix: DataFrame) -> DataFrame:
 
     A class that is never predicted has precision 0.
     """
-    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(F.lit(0))
-    zero = F.lit(0).cast("bigint")
-    sides = F.array(
-        F.struct(F.col("label").alias("cls"), F.col("n").alias("support"), zero.alias("predicted"), hit.alias("tp")),
-        F.struct(F.col("prediction").alias("cls"), zero.alias("support"), F.col("n").alias("predicted"), zero.alias("tp")),
-    )
-    per_class = matrix.select(F.inline(sides)).groupBy("cls").agg(
+    sides = array([
+        struct(cls="label", support="n", predicted="0L", tp="CASE WHEN label = prediction THEN n ELSE 0L END"),
+        struct(cls="prediction", support="0L", predicted="n", tp="0L"),
+    ])
+    per_class = matrix.selectExpr(f"inline({sides})").groupBy("cls").agg(
         F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("tp").alias("tp"))
-    ratio = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
-    scored = (per_class.withColumn("p", ratio(F.col("tp"), F.col("predicted")))
-              .withColumn("r", ratio(F.col("tp"), F.col("support")))
-              .withColumn("f", ratio(2.0 * F.col("p") * F.col("r"), F.col("p") + F.col("r"))))
-    weigh = lambda c: F.try_divide(F.sum(F.col(c) * F.col("support")), F.sum("support"))
+    rates = per_class.selectExpr("*", f"{safe_ratio('tp', 'predicted')} AS p", f"{safe_ratio('tp', 'support')} AS r")
+    scored = rates.selectExpr("*", f"{safe_ratio('2D * p * r', 'p + r')} AS f")
+    weigh = lambda c: F.expr(f"try_divide(sum({c} * support), sum(support))")
     return scored.agg(
-        F.try_divide(F.sum("tp"), F.sum("support")).alias("accuracy"),
+        F.expr("try_divide(sum(tp), sum(support)) AS accuracy"),
         weigh("p").alias("precision"), weigh("r").alias("recall"), weigh("f").alias("f1_score"))
 
 
@@ -55,8 +53,7 @@ def roc_auc(df: DataFrame, label: str = TARGET, score: str = "probability") -> f
     The evaluator sorts by score across the cluster; no task sees all scores. None when one of
     the classes is absent.
     """
-    data = df.select(F.col(f"`{label}`").cast("double").alias("label"),
-                     F.col(f"`{score}`").cast("double").alias("score")).dropna()
+    data = df.selectExpr(f"{double(label)} AS label", f"{double(score)} AS score").dropna()
     classes = data.agg(F.min("label"), F.max("label")).first()
     if classes[0] is None or classes[0] == classes[1]:
         return None
@@ -67,7 +64,7 @@ def roc_auc(df: DataFrame, label: str = TARGET, score: str = "probability") -> f
 
 def evaluation_report(scored: DataFrame, label: str = TARGET, model_name: str = "model") -> DataFrame:
     """One row with the five headline metrics and the four matrix cells."""
-    with reused(scored.select(F.col(f"`{label}`"), "prediction", "probability")) as table:
+    with reused(scored.select(q(label), "prediction", "probability")) as table:
         matrix = confusion_matrix(table, label)
         cells = confusion_counts(matrix).first()
         headline = weighted_metrics(matrix).first()
@@ -83,7 +80,6 @@ HEADLINE = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
 
 def metric_card(report: DataFrame) -> DataFrame:
     """The five headline metrics as (metric, value) rows with their rounded display text."""
-    cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.coalesce(F.col(m), F.lit(0.0)).alias("value"))
-                      for m in HEADLINE])
-    return report.select("model_name", F.inline(cells)).withColumn(
-        "display", F.format_string("%.3f", F.col("value")))
+    cells = array([struct(metric=text(m), value=f"coalesce({m}, 0D)") for m in HEADLINE])
+    return report.selectExpr("model_name", f"inline({cells})").selectExpr(
+        "*", "format_string('%.3f', value) AS display")

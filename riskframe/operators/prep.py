@@ -14,12 +14,12 @@ from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.config import CATEGORICAL_FEATURES, NUMERIC_FEATURES, FeatureConfig
 from riskframe.functions.bounded import collect_small, reused
-from riskframe.functions.columns import to_long_form
+from riskframe.functions.columns import double, names_of, num, q, struct, to_long_form, with_expressions
 from riskframe.functions.quantiles import exact_quantiles
 from riskframe.operators.clean import fill_missing_with_zero
 from riskframe.operators.features import engineered_names, with_engineered_features
@@ -55,13 +55,18 @@ class RepaymentFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritabl
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value, n) for the present values: partial counts before a tiny shuffle."""
     long = to_long_form(df, columns)
-    return long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
+    return long.where("value IS NOT NULL").groupBy("column", "value").agg(F.count("*").alias("n"))
+
+
+def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    with reused(df.select(*names_of(columns))) as table:
+        return {c: q[0] for c, q in exact_quantiles(table, columns, [0.5]).items()}
 
 
 def fit_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Most frequent value per column; the smallest one wins a tie."""
-    best = F.min_by(F.col("value"), F.struct(-F.col("n"), F.col("value")))
-    return category_counts(df, columns).groupBy("column").agg(best.alias("mode"))
+    best = F.expr("min_by(value, struct(-n, value)) AS mode")
+    return category_counts(df, columns).groupBy("column").agg(best)
 
 
 def _plain(value: float) -> float | int:
@@ -85,7 +90,7 @@ class AccountPrep(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     def _fit(self, dataset: DataFrame) -> "AccountPrepModel":
         numeric = self.getOrDefault("numericCols")
         coded = self.getOrDefault("categoricalCols")
-        with reused(dataset.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*numeric, *coded])])) as df:
+        with reused(dataset.select(*names_of(dict.fromkeys([*numeric, *coded])))) as df:
             statistics = fit_statistics(df, numeric, coded, self.getOrDefault("maxCategories"))
         return AccountPrepModel(statistics=statistics, outputCol=self.getOrDefault("outputCol"))
 
@@ -98,11 +103,10 @@ def fit_statistics(df: DataFrame, numeric: Sequence[str], coded: Sequence[str],
     """
     quartiles = exact_quantiles(df, numeric, [0.25, 0.5, 0.75])
     medians = {c: quartiles[c][1] for c in numeric}
-    gaps = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"g{i}") for i, c in enumerate(numeric)]).first() \
-        if numeric else ()
+    gaps = df.agg(*[F.expr(f"count_if({q(c)} IS NULL)") for c in numeric]).first() if numeric else ()
     holed = [c for i, c in enumerate(numeric) if gaps[i] and medians[c] is not None]
     if holed:
-        filled = df.select(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(medians[c])).alias(c) for c in holed])
+        filled = df.selectExpr(*[f"coalesce({double(c)}, {num(medians[c])}) AS {q(c)}" for c in holed])
         quartiles.update(exact_quantiles(filled, holed, [0.25, 0.5, 0.75]))
     scaling = {}
     for c in numeric:
@@ -140,37 +144,33 @@ class AccountPrepModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         encoded = [f"{c}_{v}" for c, e in self.fitted()["coded"].items() for v in e["categories"][1:]]
         return [*self.fitted()["numeric"], *encoded]
 
-    def expressions(self) -> dict[str, Column]:
+    def expressions(self) -> dict[str, str]:
         """One scaled or indicator expression per feature name."""
-        out: dict[str, Column] = {}
+        out: dict[str, str] = {}
         for c, s in self.fitted()["numeric"].items():
-            x = F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float(s["fill"])))
-            out[c] = (x - F.lit(float(s["center"]))) / F.lit(float(s["scale"]))
+            x = f"coalesce({double(c)}, {num(float(s['fill']))})"
+            out[c] = f"(({x} - {num(float(s['center']))}) / {num(float(s['scale']))})"
         for c, e in self.fitted()["coded"].items():
-            x = F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float(e["fill"])))
+            x = f"coalesce({double(c)}, {num(float(e['fill']))})"
             for v in e["categories"][1:]:
-                out[f"{c}_{v}"] = (x == float(v)).cast("double")
+                out[f"{c}_{v}"] = f"CAST({x} = {num(float(v))} AS DOUBLE)"
         return out
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        names = self.feature_names()
+        """All input columns plus the vector; its attributes carry the feature names."""
+        output = self.getOrDefault("outputCol")
         expressions = self.expressions()
-        # temporary columns carry the real names into the vector's attributes
-        clash = [n for n in names if n in dataset.columns]
-        kept = [F.col(f"`{c}`").alias(f"__in_{c}" if c in clash else c) for c in dataset.columns]
-        wide = dataset.select(*kept, *[expressions[n].alias(n) for n in names])
-        out = VectorAssembler(inputCols=names, outputCol=self.getOrDefault("outputCol")).transform(wide)
-        back = [F.col(f"`__in_{c}`").alias(c) if c in clash else F.col(f"`{c}`") for c in dataset.columns]
-        return out.select(*back, self.getOrDefault("outputCol"))
+        scaled = struct(**expressions)
+        packed = dataset.selectExpr(f"struct({', '.join(names_of(dataset.columns))}) AS kept",
+                                    f"{scaled} AS scaled")
+        wide = packed.select("kept", "scaled.*")
+        out = VectorAssembler(inputCols=list(expressions), outputCol=output).transform(wide)
+        return out.select("kept.*", output)
 
 
 def standard_scaled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(x - mean) / population deviation; a constant column is only centred."""
-    with reused(df) as table:
-        row = table.agg(*[
-            F.struct(F.avg(f"`{c}`").alias("m"), F.stddev_pop(f"`{c}`").alias("s")).alias(f"c{i}")
-            for i, c in enumerate(columns)
-        ]).first()
-    scaled = {c: (F.col(f"`{c}`").cast("double") - F.lit(row[i].m)) / F.lit(row[i].s or 1.0)
-              for i, c in enumerate(columns)}
-    return df.withColumns(scaled)
+    row = df.agg(*[F.expr(struct(m=f"avg({q(c)})", s=f"stddev_pop({q(c)})")) for c in columns]).first()
+    return with_expressions(df, {
+        c: f"({double(c)} - {num(row[i].m)}) / {num(row[i].s or 1.0)}"
+        for i, c in enumerate(columns) if row[i].m is not None})

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.config import TARGET
-from riskframe.functions.bounded import join_lookup, reused
-from riskframe.functions.columns import add_all, numeric_columns
+from riskframe.functions.bounded import reused
+from riskframe.functions.columns import add_all, array, double, names_of, num, numeric_columns, q, struct, text
 from riskframe.functions.quantiles import exact_quantiles
 
 
@@ -20,56 +20,52 @@ def quality(df: DataFrame, columns: Sequence[str] | None = None, method: str = "
     shuffles a 128-bit digest per row instead of the row itself.
     """
     columns = list(columns or df.columns)
-    cells = [F.col(f"`{c}`") for c in columns]
-    nulls = add_all([c.isNull().cast("bigint") for c in cells])
+    cells = names_of(columns)
+    nulls = add_all([f"CAST({c} IS NULL AS BIGINT)" for c in cells])
     if method == "exact":
-        groups = df.select(*cells).groupBy(*cells).agg(F.count("*").alias("copies"))
-        groups = groups.select("copies", nulls.alias("nulls"))
+        groups = df.groupBy(*cells).agg(F.count("*").alias("copies")).selectExpr("copies", f"{nulls} AS nulls")
     elif method == "hashed":
-        digest = F.md5(F.to_json(F.struct(*cells)))
-        groups = (df.select(digest.alias("digest"), nulls.alias("nulls"))
+        digest = f"md5(to_json(struct({', '.join(cells)})))"
+        groups = (df.selectExpr(f"{digest} AS digest", f"{nulls} AS nulls")
                   .groupBy("digest", "nulls").agg(F.count("*").alias("copies")))
     else:
         raise ValueError("method must be 'exact' or 'hashed'")
     totals = groups.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
-        F.count("*").alias("distinct_rows"),
-        F.coalesce(F.sum(F.col("copies") * F.col("nulls")), F.lit(0)).alias("missing_count"),
-    )
+        F.expr("coalesce(sum(copies), 0) AS rows"), F.expr("count(*) AS distinct_rows"),
+        F.expr("coalesce(sum(copies * nulls), 0) AS missing_count"))
     width = len(columns)
-    share = lambda part, whole: F.coalesce(F.try_divide(part * 100.0, whole), F.lit(0.0))
-    duplicates = F.col("rows") - F.col("distinct_rows")
-    return totals.select(
-        F.col("rows"),
-        F.lit(width).cast("bigint").alias("columns"),
-        F.col("missing_count"),
-        share(F.col("missing_count"), F.col("rows") * width).alias("missing_percentage"),
-        duplicates.alias("duplicate_count"),
-        share(duplicates, F.col("rows")).alias("duplicate_percentage"),
+    return totals.selectExpr(
+        "rows", f"CAST({width} AS BIGINT) AS columns", "missing_count",
+        f"coalesce(try_divide(missing_count * 100D, rows * {width}), 0D) AS missing_percentage",
+        "rows - distinct_rows AS duplicate_count",
+        "coalesce(try_divide((rows - distinct_rows) * 100D, rows), 0D) AS duplicate_percentage",
     )
 
 
 def target_distribution(df: DataFrame, target: str = TARGET) -> DataFrame:
-    return (df.where(F.col(f"`{target}`").isNotNull()).groupBy(F.col(f"`{target}`").alias("value"))
-            .agg(F.count("*").alias("n")))
+    return df.selectExpr(f"{q(target)} AS value").where("value IS NOT NULL").groupBy("value").agg(
+        F.count("*").alias("n"))
+
 
+def _moments(c: str) -> dict[str, str]:
+    x = double(c)
+    return {"column": text(c), "n": f"count({x})", "mean": f"avg({x})", "std": f"stddev_samp({x})",
+            "min": f"min({x})", "max": f"max({x})"}
 
-def _moments(c: str) -> list[Column]:
-    x = F.col(f"`{c}`").cast("double")
-    return [F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"), F.max(x).alias("max")]
+
+def _as_rows(wide: DataFrame, n: int, keep: Sequence[str] = ()) -> DataFrame:
+    """Struct columns c0..cn-1 of a small aggregate as rows."""
+    return wide.selectExpr(*keep, f"inline({array([f'c{i}' for i in range(n)])})")
 
 
 def moment_profile(df: DataFrame, columns: Sequence[str] | None = None,
                    by: str | None = None) -> DataFrame:
     """Long table (column, n, mean, std, min, max) from one aggregate, optionally per group."""
     columns = list(columns or numeric_columns(df, exclude=[by] if by else []))
-    wide = df.groupBy(*([by] if by else [])).agg(*[
-        F.struct(F.lit(c).alias("column"), *_moments(c)).alias(f"p{i}")
-        for i, c in enumerate(columns)
-    ])
-    cells = F.array(*[f"p{i}" for i in range(len(columns))])
-    return wide.select(*([by] if by else []), F.inline(cells))
+    groups = [by] if by else []
+    wide = df.groupBy(*groups).agg(*[
+        F.expr(struct(**_moments(c))).alias(f"c{i}") for i, c in enumerate(columns)])
+    return _as_rows(wide, len(columns), groups)
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None,
@@ -82,12 +78,11 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None,
     columns = list(columns or numeric_columns(df))
     if accuracy is not None:
         wide = df.agg(*[
-            F.struct(F.lit(c).alias("column"), *_moments(c),
-                     F.percentile_approx(F.col(f"`{c}`").cast("double"), 0.5, accuracy).alias("median"),
-                     F.lit("approximate").alias("median_mode")).alias(f"p{i}")
+            F.expr(struct(**_moments(c), median=f"percentile_approx({double(c)}, 0.5D, {accuracy})",
+                          median_mode="'approximate'")).alias(f"c{i}")
             for i, c in enumerate(columns)
         ])
-        return wide.select(F.inline(F.array(*[f"p{i}" for i in range(len(columns))])))
+        return _as_rows(wide, len(columns))
     with reused(df) as table:
         rows = moment_profile(table, columns).collect()
         medians = exact_quantiles(table, columns, [0.5])
@@ -97,37 +92,32 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None,
     return df.sparkSession.createDataFrame(filled, schema)
 
 
-def drift(baseline: DataFrame, current: DataFrame, threshold: float = 0.1) -> DataFrame:
-    """Compare two profiles by column: |mean shift| in baseline deviations.
+def _judge_drift(paired: DataFrame, threshold: float) -> DataFrame:
+    """|mean shift| in baseline deviations; a constant baseline drifts when its mean moves at all."""
+    shift = "abs(current_mean - baseline_mean)"
+    scored = (f"CASE WHEN baseline_std > 0 THEN {shift} / baseline_std WHEN {shift} = 0 THEN 0D "
+              f"WHEN {shift} > 0 THEN double('Infinity') END")
+    return paired.selectExpr("*", f"{scored} AS score").selectExpr(
+        "*", f"coalesce(score > {num(float(threshold))}, false) AS drifted")
 
-    A column that was constant in the baseline drifts when its mean moves at all. Profiles
-    have one row per column, so the join is small on both sides.
-    """
-    b = baseline.select("column", F.col("mean").alias("baseline_mean"), F.col("std").alias("baseline_std"))
-    c = current.select("column", F.col("mean").alias("current_mean"))
-    shift = F.abs(F.col("current_mean") - F.col("baseline_mean"))
-    scored = F.when(F.col("baseline_std") > 0, shift / F.col("baseline_std")).when(
-        shift == 0, F.lit(0.0)).when(shift > 0, F.lit(float("inf")))
-    return b.join(c, "column").withColumn("score", scored).withColumn(
-        "drifted", F.coalesce(F.col("score") > threshold, F.lit(False)))
+
+def drift(baseline: DataFrame, current: DataFrame, threshold: float = 0.1) -> DataFrame:
+    """Compare two profiles by column. Profiles have one row per column on both sides."""
+    b = baseline.selectExpr("column", "mean AS baseline_mean", "std AS baseline_std")
+    c = current.selectExpr("column", "mean AS current_mean")
+    return _judge_drift(b.join(c, "column"), threshold)
 
 
 def group_drift(df: DataFrame, group: str, baseline, current, columns: Sequence[str],
                 threshold: float = 0.1) -> DataFrame:
     """Drift between two groups of one table, both profiled in the same pass."""
     profile = moment_profile(df.where(F.col(group).isin(baseline, current)), columns, by=group)
-
-    def side(value, what: str) -> Column:
-        return F.max(F.when(F.col(group) == value, F.col(what)))
-
-    paired = profile.groupBy("column").agg(
-        side(baseline, "mean").alias("baseline_mean"), side(baseline, "std").alias("baseline_std"),
-        side(current, "mean").alias("current_mean"))
-    shift = F.abs(F.col("current_mean") - F.col("baseline_mean"))
-    scored = F.when(F.col("baseline_std") > 0, shift / F.col("baseline_std")).when(
-        shift == 0, F.lit(0.0)).when(shift > 0, F.lit(float("inf")))
-    return paired.withColumn("score", scored).withColumn(
-        "drifted", F.coalesce(F.col("score") > threshold, F.lit(False)))
+    is_baseline = F.col(group) == F.lit(baseline)
+    paired = profile.withColumn("b", is_baseline).groupBy("column").agg(
+        F.expr("max(CASE WHEN b THEN mean END) AS baseline_mean"),
+        F.expr("max(CASE WHEN b THEN std END) AS baseline_std"),
+        F.expr("max(CASE WHEN NOT b THEN mean END) AS current_mean"))
+    return _judge_drift(paired, threshold)
 
 
 def _statistics(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -135,30 +125,31 @@ def _statistics(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float,
     return {r["column"]: (r["mean"], r["std"]) for r in rows}
 
 
-def z_score(column: str, mean: float | None, std: float | None) -> Column:
+def z_score(column: str, mean: float | None, std: float | None) -> str:
     if mean is None or not std:
-        return F.lit(None).cast("double")
-    return (F.col(f"`{column}`").cast("double") - F.lit(mean)) / F.lit(std)
+        return "CAST(NULL AS DOUBLE)"
+    return f"(({double(column)} - {num(mean)}) / {num(std)})"
 
 
 def outlier_counts(df: DataFrame, columns: Sequence[str] | None = None,
                    threshold: float = 3.0) -> DataFrame:
     """Values further than ``threshold`` sample deviations from the mean, per column."""
     columns = list(columns or numeric_columns(df))
-    with reused(df) as table:
+    cut = num(float(threshold))
+    with reused(df.select(*names_of(columns))) as table:
         stats = _statistics(table, columns)
-        counted = table.agg(*[
-            F.struct(F.lit(c).alias("column"), F.count(f"`{c}`").alias("n"),
-                     F.count_if(F.abs(z_score(c, *stats[c])) > threshold).alias("outliers")).alias(f"o{i}")
+        wide = table.agg(*[
+            F.expr(struct(column=text(c), n=f"count({q(c)})",
+                          outliers=f"count_if(abs({z_score(c, *stats[c])}) > {cut})")).alias(f"c{i}")
             for i, c in enumerate(columns)
-        ]).select(F.inline(F.array(*[f"o{i}" for i in range(len(columns))])))
-        rows = counted.collect()
+        ])
+        rows = _as_rows(wide, len(columns)).collect()
     return df.sparkSession.createDataFrame(rows, "column string, n bigint, outliers bigint")
 
 
 def with_outlier_flags(df: DataFrame, columns: Sequence[str], threshold: float = 3.0) -> DataFrame:
     """Add ``outlier_columns``: the names of the columns in which a row is an outlier."""
-    with reused(df) as table:
-        stats = _statistics(table, columns)
-    names = [F.when(F.abs(z_score(c, *stats[c])) > threshold, F.lit(c)) for c in columns]
-    return df.withColumn("outlier_columns", F.array_compact(F.array(*names)))
+    stats = _statistics(df, columns)
+    cut = num(float(threshold))
+    names = [f"CASE WHEN abs({z_score(c, *stats[c])}) > {cut} THEN {text(c)} END" for c in columns]
+    return df.selectExpr("*", f"array_compact({array(names)}) AS outlier_columns")

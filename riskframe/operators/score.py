@@ -1,6 +1,6 @@
 """Scoring: probability, class, risk score, band, summaries and decoded labels.
 
-``Scorecard`` is a logistic model written as a plain Column expression, so scoring with it is
+``Scorecard`` is a logistic model written as a plain SQL expression, so scoring with it is
 a projection inside whole-stage codegen. A fitted Spark ML logistic model converts into one;
 tree models go through ``model.transform``.
 """
@@ -11,11 +11,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.config import DEFAULT_BANDS, FeatureConfig, RiskBands
-from riskframe.functions.columns import add_all, sigmoid
+from riskframe.functions.columns import add_all, double, names_of, num, sigmoid, text, with_expressions
 from riskframe.functions.labels import (
     EDUCATION_LABELS, GENDER_LABELS, MARRIAGE_LABELS, PAY_LABELS, VERDICT_LABELS, decode,
 )
@@ -36,14 +36,13 @@ class Scorecard:
     def features(self) -> tuple[str, ...]:
         return tuple(self.weights)
 
-    def logit(self, columns: Mapping[str, Column] | None = None) -> Column:
+    def logit(self, columns: Mapping[str, str] | None = None) -> str:
         """Linear predictor; ``columns`` replaces some feature columns by other expressions."""
         columns = columns or {}
-        terms = [columns.get(f, F.col(f"`{f}`").cast("double")) * F.lit(float(w))
-                 for f, w in self.weights.items()]
-        return add_all([F.lit(float(self.intercept)), *terms])
+        terms = [f"{columns.get(f) or double(f)} * {num(float(w))}" for f, w in self.weights.items()]
+        return add_all([num(float(self.intercept)), *terms])
 
-    def probability(self, columns: Mapping[str, Column] | None = None) -> Column:
+    def probability(self, columns: Mapping[str, str] | None = None) -> str:
         return sigmoid(self.logit(columns))
 
 
@@ -65,25 +64,22 @@ FIXED_SCORECARD = Scorecard(
 )
 
 
-def risk_band(probability: Column, bands: RiskBands = DEFAULT_BANDS) -> Column:
+def risk_band(probability: str, bands: RiskBands = DEFAULT_BANDS) -> str:
     """Band label; a missing or NaN probability lands in the last band."""
-    def below(cut: float) -> Column:
-        return probability < cut if bands.closed == "left" else probability <= cut
+    op = "<" if bands.closed == "left" else "<="
+    cases = " ".join(f"WHEN {probability} {op} {num(float(cut))} THEN {text(label)}"
+                     for cut, label in zip(bands.cuts, bands.labels))
+    return f"CASE {cases} ELSE {text(bands.labels[-1])} END"
 
-    out = F.when(below(bands.cuts[0]), bands.labels[0])
-    for cut, label in zip(bands.cuts[1:], bands.labels[1:]):
-        out = out.when(below(cut), label)
-    return out.otherwise(bands.labels[-1])
 
-
-def with_score_columns(df: DataFrame, probability: Column, threshold: float = 0.5,
+def with_score_columns(df: DataFrame, probability: str, threshold: float = 0.5,
                        bands: RiskBands = DEFAULT_BANDS) -> DataFrame:
-    scored = df.withColumn("probability", probability)
-    p = F.col("probability")
-    return scored.withColumns({
-        "prediction": (p > threshold).cast("int"),
-        "risk_score": p * 100.0,
-        "risk_category": risk_band(p, bands),
+    """Add the four score columns given the probability of default as an expression."""
+    scored = with_expressions(df, {"probability": probability})
+    return with_expressions(scored, {
+        "prediction": f"CAST(probability > {num(float(threshold))} AS INT)",
+        "risk_score": "probability * 100D",
+        "risk_category": risk_band("probability", bands),
     })
 
 
@@ -104,7 +100,7 @@ def score(df: DataFrame, model: Scorecard, threshold: float = 0.5, bands: RiskBa
     """Input columns plus the four score columns: one projection, no shuffle."""
     prepared = prepare_for_scoring(df, config)
     scored = with_score_columns(prepared, model.probability(), threshold, bands)
-    return scored.select(*[F.col(f"`{c}`") for c in df.columns], *SCORE_COLUMNS)
+    return scored.select(*names_of(df.columns), *SCORE_COLUMNS)
 
 
 def score_with_pipeline(df: DataFrame, model, threshold: float = 0.5,
@@ -114,21 +110,19 @@ def score_with_pipeline(df: DataFrame, model, threshold: float = 0.5,
     out = model.transform(base)
     out = out.withColumn("p1", vector_to_array("probability")[1])
     out = out.drop("probability", "prediction")
-    scored = with_score_columns(out, F.col("p1"), threshold, bands)
-    return scored.select(*[F.col(f"`{c}`") for c in df.columns], *SCORE_COLUMNS)
+    scored = with_score_columns(out, "p1", threshold, bands)
+    return scored.select(*names_of(df.columns), *SCORE_COLUMNS)
 
 
 def batch_summary(scored: DataFrame, bands: RiskBands = DEFAULT_BANDS) -> DataFrame:
     """Totals of one scored batch; zero counts, and a null mean, for an empty batch."""
-    counts = [
-        F.count_if(F.col("risk_category") == label).alias(f"{label.split()[0].lower()}_risk_count")
-        for label in reversed(bands.labels)
-    ]
+    counts = [F.expr(f"count_if(risk_category = {text(label)})").alias(f"{label.split()[0].lower()}_risk_count")
+              for label in reversed(bands.labels)]
     return scored.agg(
-        F.count("*").alias("total_records"),
-        F.count_if(F.col("prediction") == 1).alias("default_predictions"),
-        F.count_if(F.col("prediction") == 0).alias("no_default_predictions"),
-        F.avg("risk_score").alias("avg_risk_score"),
+        F.expr("count(*) AS total_records"),
+        F.expr("count_if(prediction = 1) AS default_predictions"),
+        F.expr("count_if(prediction = 0) AS no_default_predictions"),
+        F.expr("avg(risk_score) AS avg_risk_score"),
         *counts,
     )
 
@@ -141,21 +135,20 @@ def risk_distribution(scored: DataFrame) -> DataFrame:
 def with_decoded_labels(df: DataFrame) -> DataFrame:
     """Readable gender, education, marital status, latest payment status and verdict."""
     added = {
-        "gender": decode(F.col("SEX"), GENDER_LABELS),
-        "education": decode(F.col("EDUCATION"), EDUCATION_LABELS),
-        "marital_status": decode(F.col("MARRIAGE"), MARRIAGE_LABELS),
-        "payment_status": decode(F.col("PAY_0"), PAY_LABELS),
+        "gender": decode("SEX", GENDER_LABELS),
+        "education": decode("EDUCATION", EDUCATION_LABELS),
+        "marital_status": decode("MARRIAGE", MARRIAGE_LABELS),
+        "payment_status": decode("PAY_0", PAY_LABELS),
     }
     if "prediction" in df.columns:
-        added["verdict"] = decode(F.col("prediction"), VERDICT_LABELS)
-    return df.withColumns(added)
+        added["verdict"] = decode("prediction", VERDICT_LABELS)
+    return with_expressions(df, added)
 
 
 def batch_outcome(checked: DataFrame) -> DataFrame:
     """Success and error counts of a batch whose rows carry a ``violations`` array."""
-    bad = F.size("violations") > 0
     return checked.agg(
-        F.count("*").alias("total"),
-        F.count_if(~bad).alias("success_count"),
-        F.count_if(bad).alias("error_count"),
+        F.expr("count(*) AS total"),
+        F.expr("count_if(size(violations) = 0) AS success_count"),
+        F.expr("count_if(size(violations) > 0) AS error_count"),
     )

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.config import TARGET, SplitConfig
 from riskframe.functions.bounded import join_lookup
-from riskframe.functions.columns import HASH_SPACE, hash32
+from riskframe.functions.columns import HASH_SPACE, hash32, names_of, num, q
 from riskframe.operators.clean import require_columns
 
 BUCKET_BITS = 16
@@ -18,21 +18,23 @@ BUCKET_BITS = 16
 def hash_split(df: DataFrame, key: Sequence[str], config: SplitConfig = SplitConfig()) -> DataFrame:
     """Add ``is_test``. The share holds in expectation, also within every class; no shuffle."""
     cut = int(round(config.test_share * HASH_SPACE))
-    return df.withColumn("is_test", hash32(key, config.seed) < cut)
+    return df.selectExpr("*", f"{hash32(key, config.seed)} < {cut} AS is_test")
 
 
 def _class_quotas(counts: DataFrame, share: float) -> DataFrame:
-    """Test rows per class: ceil(share * rows) in total, largest remainders rounded up."""
-    per_class = counts.groupBy("cls").agg(F.sum("n").alias("n_cls"))
-    everything = Window.partitionBy(F.lit(1))
-    sized = (per_class.withColumn("n_all", F.sum("n_cls").over(everything))
-             .withColumn("n_test", F.ceil(F.col("n_all") * F.lit(share))))
-    ideal = F.col("n_test") * F.col("n_cls") / F.col("n_all")
-    based = (sized.withColumn("base", F.floor(ideal)).withColumn("rest", ideal - F.floor(ideal))
-             .withColumn("left", F.col("n_test") - F.sum("base").over(everything)))
-    order = Window.partitionBy(F.lit(1)).orderBy(F.desc("rest"), F.asc_nulls_last("cls"))
-    extra = (F.row_number().over(order) <= F.col("left")).cast("bigint")
-    return based.select("cls", (F.col("base") + extra).alias("quota"))
+    """Test rows per class: ceil(share * rows) in total, largest remainders rounded up.
+
+    The windows run over one row per class.
+    """
+    sized = counts.groupBy("cls").agg(F.sum("n").alias("n_cls")).selectExpr(
+        "cls", "n_cls", "sum(n_cls) OVER () AS n_all",
+    ).selectExpr("cls", "n_cls", "n_all", f"ceil(n_all * {num(float(share))}) AS n_test")
+    based = sized.selectExpr(
+        "cls", "n_test", "floor(n_test * n_cls / n_all) AS base",
+        "n_test * n_cls / n_all - floor(n_test * n_cls / n_all) AS rest")
+    return based.selectExpr(
+        "cls", "base + CAST(row_number() OVER (ORDER BY rest DESC, cls ASC NULLS LAST)"
+               " <= n_test - sum(base) OVER () AS BIGINT) AS quota")
 
 
 def exact_split(df: DataFrame, key: Sequence[str], config: SplitConfig = SplitConfig(),
@@ -45,40 +47,32 @@ def exact_split(df: DataFrame, key: Sequence[str], config: SplitConfig = SplitCo
     """
     if config.stratify:
         require_columns(df, [label])
-    cls = F.col(f"`{label}`") if config.stratify else F.lit(0)
-    hashed = df.withColumn("h", hash32(key, config.seed)).withColumn("cls", cls)
-    ranged = hashed.withColumn("bucket", F.shiftright("h", 32 - BUCKET_BITS))
+    cls = q(label) if config.stratify else "0"
+    hashed = df.selectExpr("*", f"{hash32(key, config.seed)} AS h", f"{cls} AS cls")
+    ranged = hashed.selectExpr("*", f"shiftright(h, {32 - BUCKET_BITS}) AS bucket")
     counts = ranged.groupBy("cls", "bucket").agg(F.count("*").alias("n"))
+    running = counts.selectExpr("cls", "bucket", "n", "sum(n) OVER (PARTITION BY cls ORDER BY bucket) AS upto")
     quotas = _class_quotas(counts, config.test_share)
-    w = Window.partitionBy("cls").orderBy("bucket")
-    running = counts.withColumn("upto", F.sum("n").over(w))
-    same_class = lambda a, b: a["cls"].eqNullSafe(b["cls"])
-    r, q = running.alias("r"), quotas.alias("q")
-    cuts = r.join(q, F.col("r.cls").eqNullSafe(F.col("q.cls"))).where(
-        (F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota"))
-    ).select(F.col("r.cls").alias("cut_cls"), F.col("bucket").alias("cut_bucket"),
-             (F.col("quota") - (F.col("upto") - F.col("n"))).alias("take"))
-    at_cut = join_lookup(ranged, cuts, F.col("cls").eqNullSafe(F.col("cut_cls"))
-                         & (F.col("bucket") == F.col("cut_bucket")), "inner")
-    order = Window.partitionBy("cls").orderBy("h", *[F.col(f"`{k}`") for k in key])
-    last = (at_cut.withColumn("rn", F.row_number().over(order)).where(F.col("rn") == F.col("take"))
-            .select(F.col("cls").alias("last_cls"), F.col("h").alias("last_h"),
-                    *[F.col(f"`{k}`").alias(f"last_k{i}") for i, k in enumerate(key)]))
-    marked = join_lookup(hashed, last, F.col("cls").eqNullSafe(F.col("last_cls")), "left")
-    here = F.struct(F.col("h"), *[F.col(f"`{k}`") for k in key])
-    edge = F.struct(F.col("last_h").alias("h"), *[F.col(f"last_k{i}").alias(k) for i, k in enumerate(key)])
-    is_test = F.col("last_h").isNotNull() & (here <= edge)
-    return marked.select(*[F.col(f"`{c}`") for c in df.columns], is_test.alias("is_test"))
+    cuts = running.alias("r").join(quotas.alias("q"), F.expr("r.cls <=> q.cls")).where(
+        "upto >= quota AND upto - n < quota",
+    ).selectExpr("r.cls AS cut_cls", "bucket AS cut_bucket", "quota - (upto - n) AS take")
+    at_cut = join_lookup(ranged, cuts, F.expr("cls <=> cut_cls AND bucket = cut_bucket"), "inner")
+    keys = ", ".join(names_of(key))
+    last = at_cut.selectExpr(
+        "*", f"row_number() OVER (PARTITION BY cls ORDER BY h, {keys}) AS rn",
+    ).where("rn = take").selectExpr("cls AS last_cls", f"struct(h, {keys}) AS edge")
+    marked = join_lookup(hashed, last, F.expr("cls <=> last_cls"), "left")
+    return marked.selectExpr(
+        *names_of(df.columns), f"edge IS NOT NULL AND struct(h, {keys}) <= edge AS is_test")
 
 
 def train_and_test(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return (marked.where(~F.col("is_test")).drop("is_test"),
-            marked.where(F.col("is_test")).drop("is_test"))
+    return marked.where("NOT is_test").drop("is_test"), marked.where("is_test").drop("is_test")
 
 
 def with_fold(df: DataFrame, key: Sequence[str], folds: int = 5, seed: int = 42) -> DataFrame:
     """Add ``fold`` in [0, folds) from a hash that is independent of the split."""
-    return df.withColumn("fold", (hash32(key, seed + 1) % folds).cast("int"))
+    return df.selectExpr("*", f"CAST({hash32(key, seed + 1)} % {folds} AS INT) AS fold")
 
 
 def sample_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:
@@ -89,10 +83,9 @@ def sample_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> Da
     every task.
     """
     h = hash32(key, seed)
-    bucket = F.shiftright(h, 32 - BUCKET_BITS)
-    counts = df.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("rows_in"))
-    upto = F.sum("rows_in").over(Window.partitionBy(F.lit(1)).orderBy("bucket"))
-    cut = (counts.withColumn("upto", upto).where(F.col("upto") >= n)
-           .agg(F.min("bucket").alias("cut")).first()["cut"])
-    kept = df if cut is None else df.where(bucket <= cut)
-    return kept.orderBy(h, *[F.col(f"`{k}`") for k in key]).limit(n)
+    bucket = f"shiftright({h}, {32 - BUCKET_BITS})"
+    counts = df.selectExpr(f"{bucket} AS bucket").groupBy("bucket").agg(F.count("*").alias("n"))
+    cut = counts.selectExpr("bucket", "sum(n) OVER (ORDER BY bucket) AS upto").where(
+        f"upto >= {n}").agg(F.min("bucket")).first()[0]
+    kept = df if cut is None else df.where(f"{bucket} <= {cut}")
+    return kept.orderBy(F.expr(h), *names_of(key)).limit(n)

@@ -95,7 +95,7 @@ def tune(train: DataFrame, test: DataFrame, algorithm: AlgorithmConfig,
         fitted = search.fit(train)
         means = fitted.avgMetrics
         at = max(range(len(points)), key=lambda i: (means[i], -i))
-        best, cv_score, cv_std = points[at], means[at], fitted.stdMetrics[at]
+        best, cv_score, cv_std = points[at], float(means[at]), float(fitted.stdMetrics[at])
     model = estimator.fit(train, param_map(estimator, best, rows)) if best else estimator.fit(train)
     return Candidate(algorithm.name, best, model, cv_score, cv_std, score.evaluate(model.transform(test)))
 

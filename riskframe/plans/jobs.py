@@ -1,8 +1,8 @@
 """The three jobs: train, batch-score and explain. Run with ``spark-submit``.
 
-    spark-submit -m riskframe.plans.jobs train   --input accounts/ --output run/
-    spark-submit -m riskframe.plans.jobs score   --input new/ --model run/model --output scored/
-    spark-submit -m riskframe.plans.jobs explain --input run/test --model run/model --output reports/
+    spark-submit --py-files riskframe.zip riskframe/plans/jobs.py train --input accounts/ --output run/
+    spark-submit ... jobs.py score   --input new/ --model run/model --output scored/
+    spark-submit ... jobs.py explain --input run/test --model run/model --output reports/
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from riskframe.config import KEY, SERVING_CONTRACT, TARGET, JobConfig
 from riskframe.functions.bounded import reused
+from riskframe.functions.columns import num, q
 from riskframe.functions.labels import readable_name
 from riskframe.operators import clean, contract, explain, metrics, prep, quality, score, split, train
 from riskframe.sources import readers, writers
@@ -39,8 +40,8 @@ def with_row_key(df: DataFrame, key: str) -> DataFrame:
     """Accounts without a key get one from their content; equal rows collapse in cleaning anyway."""
     if key in df.columns:
         return df
-    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in sorted(df.columns)]
-    return df.withColumn(key, F.md5(F.concat_ws("|", *cells)))
+    cells = ", ".join(f"coalesce(CAST({q(c)} AS STRING), '<null>')" for c in sorted(df.columns))
+    return df.selectExpr("*", f"md5(concat_ws('|', {cells})) AS {q(key)}")
 
 
 def train_job(raw: DataFrame, out: str, config: JobConfig = JobConfig(), key: str = KEY,
@@ -52,7 +53,7 @@ def train_job(raw: DataFrame, out: str, config: JobConfig = JobConfig(), key: st
     """
     spark = raw.sparkSession
     run_id = run_id or uuid.uuid4().hex
-    raw = with_row_key(clean.canonical_target(raw), key)
+    raw = with_row_key(clean.canonical_target(raw.drop(readers.CORRUPT)), key)
     clean.require_columns(raw, [TARGET])
     writers.write_table(clean.clean_accounts(raw, key), f"{out}/cleaned")
     cleaned = spark.read.parquet(f"{out}/cleaned")
@@ -147,16 +148,11 @@ def explain_job(df: DataFrame, model: PipelineModel, reports: str, config: JobCo
         long = explain.sampled_attribution(sample, classifier, names, key, background, 1, cfg.seed)
         writers.append_report(long, reports, "sampled_contributions", run_id)
         long = df.sparkSession.read.parquet(f"{reports}/sampled_contributions").where(F.col("run_id") == run_id)
-        stats = long.groupBy("feature").agg(
-            F.avg("contribution").alias("mean_contribution"),
-            F.stddev_pop("contribution").alias("std_contribution"),
-            F.avg(F.abs("contribution")).alias("mean_abs_contribution"),
-            F.count("*").alias("n_rows"), F.lit(len(names)).cast("bigint").alias("n_features"),
-        ).orderBy(F.desc("mean_abs_contribution"), "feature")
+        stats = explain.stats_of_long(long, len(names))
         base = long.agg(F.first("base_value")).first()[0]
-    bundle = stats.withColumns({
-        "readable_name": readable_name(F.col("feature")), "method": F.lit(method),
-        "model_type": F.lit(type(classifier).__name__), "base_value": F.lit(float(base))})
+    bundle = stats.selectExpr(
+        "*", f"{readable_name('feature')} AS readable_name", f"'{method}' AS method",
+        f"'{type(classifier).__name__}' AS model_type", f"{num(float(base))} AS base_value")
     writers.append_report(bundle, reports, "attribution", run_id)
     return stats
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskframe.config import RAW_KEY, TARGET_SOURCE_NAMES
+from riskframe.functions.columns import FLOATING, q, with_expressions
 from riskframe.sources.schema import account_schema
 
 CORRUPT = "_corrupt"
@@ -16,13 +18,16 @@ FORMATS = ("parquet", "orc", "csv", "json")
 
 def missing_for_nan(df: DataFrame) -> DataFrame:
     """NaN cells become null, so aggregates skip them."""
-    out = []
-    for f in df.schema.fields:
-        col = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            col = F.when(~F.isnan(col), col)
-        out.append(col.alias(f.name))
-    return df.select(*out)
+    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, FLOATING)]
+    return with_expressions(df, {c: f"CASE WHEN NOT isnan({q(c)}) THEN {q(c)} END" for c in floating})
+
+
+def csv_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Account types for the columns named in the header line, in file order."""
+    header = spark.read.option("header", True).csv(path).columns
+    known = {f.name: f.dataType for f in account_schema().fields}
+    known.update({name: T.LongType() for name in (*TARGET_SOURCE_NAMES, RAW_KEY)})
+    return T.StructType([T.StructField(c, known.get(c, T.StringType())) for c in header])
 
 
 def read_accounts(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -37,7 +42,7 @@ def read_accounts(spark: SparkSession, path: str, fmt: str = "parquet",
         raise ValueError(f"format must be one of {FORMATS}")
     reader = spark.read
     if fmt in ("csv", "json") and not infer:
-        wanted = schema or account_schema()
+        wanted = schema or (csv_schema(spark, path) if fmt == "csv" else account_schema())
         reader = reader.schema(T.StructType([*wanted.fields, T.StructField(CORRUPT, T.StringType())]))
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     elif schema is not None:

@@ -66,12 +66,12 @@ def run_scoring(records: DataFrame, card: Scorecard, scored_path: str, quarantin
 def windowed_monitor(scored: DataFrame, time_col: str = "ts", every: str = "1 day",
                      lateness: str = "1 day") -> DataFrame:
     """Volume, score moments and band counts per time window; late rows past the watermark drop."""
-    band = lambda label: F.count_if(F.col("risk_category") == label)
+    band = lambda label: F.expr(f"count_if(risk_category = '{label}')")
     watched = scored.withWatermark(time_col, lateness) if scored.isStreaming else scored
     return watched.groupBy(F.window(time_col, every).alias("window")).agg(
         F.count("*").alias("n"),
         F.avg("probability").alias("mean_probability"),
-        F.count_if(F.col("prediction") == 1).alias("default_predictions"),
+        F.expr("count_if(prediction = 1) AS default_predictions"),
         band("High Risk").alias("high_risk_count"),
         band("Medium Risk").alias("medium_risk_count"),
         band("Low Risk").alias("low_risk_count"),

@@ -170,7 +170,8 @@ class TrainerConfig:
     folds: int = 5
     seed: int = 42
     max_iter: int = 1000
-    parallelism: int = 4
+    tolerance: float = 1e-4
+    parallelism: int = 8
     select_by: str = "cv"
     warn_below: float = 0.6
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from riskframe.config import CATEGORICAL_FEATURES, NUMERIC_FEATURES, FeatureConfig
 from riskframe.functions.bounded import collect_small, reused
-from riskframe.functions.columns import double, names_of, num, q, struct, to_long_form, with_expressions
+from riskframe.functions.columns import add_all, array, double, names_of, num, q, struct, to_long_form, with_expressions
 from riskframe.functions.quantiles import exact_quantiles
 from riskframe.operators.clean import fill_missing_with_zero
 from riskframe.operators.features import engineered_names, with_engineered_features
@@ -144,28 +144,65 @@ class AccountPrepModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         encoded = [f"{c}_{v}" for c, e in self.fitted()["coded"].items() for v in e["categories"][1:]]
         return [*self.fitted()["numeric"], *encoded]
 
+    def _filled(self, column: str, fill: float) -> str:
+        return f"coalesce({double(column)}, {num(float(fill))})"
+
     def expressions(self) -> dict[str, str]:
         """One scaled or indicator expression per feature name."""
-        out: dict[str, str] = {}
+        indicators = {
+            f"{c}_{v}": f"CAST({self._filled(c, e['fill'])} = {num(float(v))} AS DOUBLE)"
+            for c, e in self.fitted()["coded"].items() for v in e["categories"][1:]}
+        return {**self._scaled(), **indicators}
+
+    def _scaled(self) -> dict[str, str]:
+        return {
+            c: f"(({self._filled(c, s['fill'])} - {num(float(s['center']))}) / {num(float(s['scale']))})"
+            for c, s in self.fitted()["numeric"].items()}
+
+    def logit(self, intercept: float, coefficients: Sequence[float], complete: bool = False,
+              integral: Sequence[str] = ()) -> str:
+        """Linear predictor of a model on the encoded features, straight from the input columns.
+
+        Scaling folds into the weights and each coded column is one CASE over its categories,
+        so scoring needs no feature vector; features without weight disappear. ``complete``
+        promises inputs without gaps, ``integral`` names whole-number columns, whose categories
+        compare faster.
+        """
+        filled = (lambda c, fill: double(c)) if complete else self._filled
+        weights = dict(zip(self.feature_names(), map(float, coefficients)))
+        constant, terms = float(intercept), []
         for c, s in self.fitted()["numeric"].items():
-            x = f"coalesce({double(c)}, {num(float(s['fill']))})"
-            out[c] = f"(({x} - {num(float(s['center']))}) / {num(float(s['scale']))})"
+            if weights[c]:
+                slope = weights[c] / float(s["scale"])
+                constant -= slope * float(s["center"])
+                terms.append(f"{filled(c, s['fill'])} * {num(slope)}")
         for c, e in self.fitted()["coded"].items():
-            x = f"coalesce({double(c)}, {num(float(e['fill']))})"
-            for v in e["categories"][1:]:
-                out[f"{c}_{v}"] = f"CAST({x} = {num(float(v))} AS DOUBLE)"
-        return out
+            whole = c in integral and all(isinstance(v, int) for v in (e["fill"], *e["categories"]))
+            cases = [f"WHEN {num(v if whole else float(v))} THEN {num(weights[f'{c}_{v}'])}"
+                     for v in e["categories"][1:] if weights[f"{c}_{v}"]]
+            code = filled(c, e["fill"])
+            if whole:
+                code = q(c) if complete else f"coalesce({q(c)}, {num(e['fill'])})"
+            if cases:
+                terms.append(f"CASE {code} {' '.join(cases)} ELSE 0D END")
+        return add_all([num(constant), *terms])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        """All input columns plus the vector; its attributes carry the feature names."""
+        """All input columns plus the vector; its metadata carry the feature names.
+
+        Codes are imputed in a projection of their own and expanded by a small lambda: spelled
+        out, the indicators would exceed the method size the JVM is willing to compile.
+        """
         output = self.getOrDefault("outputCol")
-        expressions = self.expressions()
-        scaled = struct(**expressions)
-        packed = dataset.selectExpr(f"struct({', '.join(names_of(dataset.columns))}) AS kept",
-                                    f"{scaled} AS scaled")
-        wide = packed.select("kept", "scaled.*")
-        out = VectorAssembler(inputCols=list(expressions), outputCol=output).transform(wide)
-        return out.select("kept.*", output)
+        codes = [f"{self._filled(c, e['fill'])} AS coded_{i}" for i, (c, e) in enumerate(self.fitted()["coded"].items())]
+        hot = [f"transform({array([num(float(v)) for v in e['categories'][1:]])}, v -> CAST(coded_{i} = v AS DOUBLE))"
+               for i, e in enumerate(self.fitted()["coded"].values()) if len(e["categories"]) > 1]
+        cells = f"concat({', '.join([array(list(self._scaled().values())), *hot])})"
+        names = self.feature_names()
+        metadata = {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": n} for i, n in enumerate(names)]},
+                                "num_attrs": len(names)}}
+        vector = array_to_vector(F.expr(cells)).alias(output, metadata=metadata)
+        return dataset.selectExpr("*", *codes).select(*names_of(dataset.columns), vector)
 
 
 def standard_scaled(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -10,9 +10,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskframe.config import DEFAULT_BANDS, FeatureConfig, RiskBands
 from riskframe.functions.columns import add_all, double, names_of, num, sigmoid, text, with_expressions
@@ -103,14 +106,24 @@ def score(df: DataFrame, model: Scorecard, threshold: float = 0.5, bands: RiskBa
     return scored.select(*names_of(df.columns), *SCORE_COLUMNS)
 
 
-def score_with_pipeline(df: DataFrame, model, threshold: float = 0.5,
+def score_with_pipeline(df: DataFrame, model: PipelineModel, threshold: float = 0.5,
                         bands: RiskBands = DEFAULT_BANDS, missing: str = "zero") -> DataFrame:
-    """The same for a fitted ``PipelineModel`` that starts with the feature stage."""
-    base = fill_missing_with_zero(df) if missing == "zero" else df
-    out = model.transform(base)
-    out = out.withColumn("p1", vector_to_array("probability")[1])
-    out = out.drop("probability", "prediction")
-    scored = with_score_columns(out, "p1", threshold, bands)
+    """The same for a fitted pipeline of features, preprocessing and classifier.
+
+    A logistic regression is scored as one SQL expression without building vectors; other
+    classifiers go through ``transform``.
+    """
+    features, fitted, classifier = model.stages
+    ready = prepare_for_scoring(df, features.config(), missing)
+    if isinstance(classifier, LogisticRegressionModel):
+        integral = [f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)]
+        p = sigmoid(fitted.logit(classifier.intercept, classifier.coefficients.toArray(),
+                                 missing == "zero", integral))
+        scored = with_score_columns(ready, p, threshold, bands)
+    else:
+        out = classifier.transform(fitted.transform(ready))
+        out = out.withColumn("p1", vector_to_array("probability")[1]).drop("probability", "prediction")
+        scored = with_score_columns(out, "p1", threshold, bands)
     return scored.select(*names_of(df.columns), *SCORE_COLUMNS)
 
 
@@ -135,10 +148,10 @@ def risk_distribution(scored: DataFrame) -> DataFrame:
 def with_decoded_labels(df: DataFrame) -> DataFrame:
     """Readable gender, education, marital status, latest payment status and verdict."""
     added = {
-        "gender": decode("SEX", GENDER_LABELS),
-        "education": decode("EDUCATION", EDUCATION_LABELS),
-        "marital_status": decode("MARRIAGE", MARRIAGE_LABELS),
-        "payment_status": decode("PAY_0", PAY_LABELS),
+        "gender_label": decode("SEX", GENDER_LABELS),
+        "education_label": decode("EDUCATION", EDUCATION_LABELS),
+        "marital_status_label": decode("MARRIAGE", MARRIAGE_LABELS),
+        "payment_status_label": decode("PAY_0", PAY_LABELS),
     }
     if "prediction" in df.columns:
         added["verdict"] = decode("prediction", VERDICT_LABELS)

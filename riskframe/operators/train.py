@@ -42,7 +42,7 @@ def expand_grid(grid: dict[str, tuple]) -> list[dict]:
 
 def base_estimator(algorithm: AlgorithmConfig, config: TrainerConfig) -> Estimator:
     if algorithm.family == "logistic":
-        return LogisticRegression(maxIter=config.max_iter, standardization=False)
+        return LogisticRegression(maxIter=config.max_iter, tol=config.tolerance, standardization=False)
     if algorithm.family == "forest":
         return RandomForestClassifier(seed=config.seed, numTrees=100)
     if algorithm.family == "boosting":

@@ -127,7 +127,7 @@ def explain_job(df: DataFrame, model: PipelineModel, reports: str, config: JobCo
     run_id = run_id or uuid.uuid4().hex
     features, fitted, classifier = model.stages
     names = fitted.feature_names()
-    ready = features.transform(clean.fill_missing_with_zero(df))
+    ready = score.prepare_for_scoring(df, features.config())
     method = explain.attribution_method(classifier)
     cfg = config.explain
     if method == "linear":

@@ -345,8 +345,8 @@ SQL: dict[str, str] = {
         CASE WHEN probability < 0.3 THEN 'LOW RISK' WHEN probability < 0.7 THEN 'MEDIUM RISK' ELSE 'HIGH RISK' END AS documented_band FROM scored""",
     "batch_score_summary": f"{ON_SCORED} {SUMMARY}",
     "risk_distribution": f"{ON_SCORED} SELECT risk_category, count(*) AS n FROM scored GROUP BY 1",
-    "decode_labels": f"""{ON_SCORED} SELECT account_id, {_decode('SEX', GENDER_LABELS)} AS gender, {_decode('EDUCATION', EDUCATION_LABELS)} AS education,
-        {_decode('MARRIAGE', MARRIAGE_LABELS)} AS marital_status, {_decode('PAY_0', PAY_LABELS)} AS payment_status,
+    "decode_labels": f"""{ON_SCORED} SELECT account_id, {_decode('SEX', GENDER_LABELS)} AS gender_label, {_decode('EDUCATION', EDUCATION_LABELS)} AS education_label,
+        {_decode('MARRIAGE', MARRIAGE_LABELS)} AS marital_status_label, {_decode('PAY_0', PAY_LABELS)} AS payment_status_label,
         CASE prediction WHEN 1 THEN 'Default Risk' ELSE 'No Default Risk' END AS verdict FROM scored""",
     "confusion_matrix": f"{ON_SCORED} SELECT cast({TARGET} AS integer) AS label, prediction, count(*) AS n FROM scored GROUP BY 1, 2",
     "weighted_metrics": f"{ON_SCORED},{METRICS} SELECT round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1_score, 6) AS f1_score FROM headline",

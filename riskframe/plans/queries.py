@@ -305,7 +305,7 @@ def risk_distribution(spark, sf_dir):
 @query
 def decode_labels(spark, sf_dir):
     decoded = score.with_decoded_labels(score.score(derive_accounts(spark, sf_dir), FIXED_SCORECARD))
-    return decoded.select(KEY, "gender", "education", "marital_status", "payment_status", "verdict")
+    return decoded.select(KEY, "gender_label", "education_label", "marital_status_label", "payment_status_label", "verdict")
 
 
 # ---------------------------------------------------------------- evaluation
@@ -435,7 +435,8 @@ def prepared_matrices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     """Written train (with folds) and test matrices, feature names and the fitted stages."""
     out = run_dir(spark, "prepared")
     accounts = clean.fill_missing_with_zero(derive_accounts(spark, sf_dir))
-    writers.write_table(split.exact_split(accounts, [KEY]), f"{out}/split")
+    writers.write_table(accounts, f"{out}/accounts")
+    writers.write_table(split.exact_split(spark.read.parquet(f"{out}/accounts"), [KEY]), f"{out}/split")
     train_rows, test_rows = split.train_and_test(spark.read.parquet(f"{out}/split"))
     stages = Pipeline(stages=[prep.RepaymentFeatures(), prep.AccountPrep()]).fit(train_rows)
     for name, part in (("train", train_rows), ("test", test_rows)):
@@ -446,7 +447,7 @@ def prepared_matrices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
 
 
 def _logistic(rows: int) -> LogisticRegression:
-    return LogisticRegression(maxIter=1000, standardization=False, elasticNetParam=1.0, regParam=1.0 / rows)
+    return LogisticRegression(maxIter=1000, tol=1e-4, standardization=False, elasticNetParam=1.0, regParam=1.0 / rows)
 
 
 @query

@@ -166,15 +166,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--output", required=True)
     parser.add_argument("--no-gate", action="store_true", help="train even when the verdict is negative")
     args = parser.parse_args(argv)
+    if args.job != "train" and not args.model:
+        parser.error("--model is required")
     spark = SparkSession.builder.appName(f"riskframe-{args.job}").getOrCreate()
     df = readers.read_accounts(spark, args.input, args.format)
     if args.job == "train":
         train_job(df, args.output, JobConfig(gate=not args.no_gate))
     else:
-        if not args.model:
-            parser.error("--model is required")
-        model = readers.load_model(args.model)
-        (score_job if args.job == "score" else explain_job)(df, model, args.output)
+        job = score_job if args.job == "score" else explain_job
+        job(df, readers.load_model(args.model), args.output)
 
 
 if __name__ == "__main__":

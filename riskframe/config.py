@@ -145,9 +145,8 @@ class AlgorithmConfig:
     grid: dict[str, tuple] = field(default_factory=dict)
 
 
-# The published parameter grids.
+# The published parameter grids, and the smaller ones used when none is configured.
 LOGISTIC_GRID = {"C": (0.01, 0.1, 1.0, 10.0), "penalty": ("l1", "l2")}
-LOGISTIC_FALLBACK_GRID = {"C": (0.1, 1.0, 10.0), "penalty": ("l2",)}
 FOREST_GRID = {"n_estimators": (100, 200, 300), "max_depth": (10, 20, 30), "min_samples_leaf": (1, 2, 4)}
 BOOSTING_GRID = {"n_estimators": (100, 200), "learning_rate": (0.01, 0.1, 0.2), "max_depth": (3, 5, 7)}
 EXTREME_BOOSTING_GRID = {
@@ -157,11 +156,25 @@ EXTREME_BOOSTING_GRID = {
     "subsample": (0.8, 0.9, 1.0),
     "colsample_bytree": (0.8, 0.9, 1.0),
 }
+FALLBACK_GRIDS = {
+    "Logistic Regression": {"C": (0.1, 1.0, 10.0), "penalty": ("l2",)},
+    "Random Forest": {"n_estimators": (100, 200), "max_depth": (10, 20), "min_samples_leaf": (1, 2)},
+    "Gradient Boosting": {"n_estimators": (100, 200), "learning_rate": (0.01, 0.1), "max_depth": (3, 5)},
+    "XGBClassifier": {"n_estimators": (100, 200), "max_depth": (3, 5), "learning_rate": (0.01, 0.1), "subsample": (0.8, 1.0)},
+}
+FAMILIES = {"Logistic Regression": "logistic", "Random Forest": "forest", "Gradient Boosting": "boosting",
+            "XGBClassifier": "boosting"}
+
+
+def algorithm(name: str, grid: dict[str, tuple] | None = None) -> AlgorithmConfig:
+    """An algorithm by name; without a configured grid it gets the built-in one."""
+    return AlgorithmConfig(name, FAMILIES[name], FALLBACK_GRIDS[name] if grid is None else grid)
+
 
-LOGISTIC = AlgorithmConfig("Logistic Regression", "logistic", LOGISTIC_GRID)
-RANDOM_FOREST = AlgorithmConfig("Random Forest", "forest", FOREST_GRID)
-GRADIENT_BOOSTING = AlgorithmConfig("Gradient Boosting", "boosting", BOOSTING_GRID)
-EXTREME_BOOSTING = AlgorithmConfig("XGBClassifier", "boosting", EXTREME_BOOSTING_GRID)
+LOGISTIC = algorithm("Logistic Regression", LOGISTIC_GRID)
+RANDOM_FOREST = algorithm("Random Forest", FOREST_GRID)
+GRADIENT_BOOSTING = algorithm("Gradient Boosting", BOOSTING_GRID)
+EXTREME_BOOSTING = algorithm("XGBClassifier", EXTREME_BOOSTING_GRID)
 
 
 @dataclass(frozen=True)

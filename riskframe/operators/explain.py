@@ -227,6 +227,12 @@ def partial_dependence(df: DataFrame, card: Scorecard, features: Sequence[str],
 
 # ---------------------------------------------------------------- sampled attribution
 
+def _spread(df: DataFrame, key: str, features_col: str) -> DataFrame:
+    """Key and feature array, over all cores: a sample usually sits in a single partition."""
+    tasks = max(2, df.sparkSession.sparkContext.defaultParallelism)
+    return df.select(q(key), vector_to_array(features_col).alias("x")).repartition(tasks, q(key))
+
+
 SAMPLED_SCHEMA = "feature string, value double, contribution double, base_value double, probability double"
 
 
@@ -268,7 +274,7 @@ def sampled_linear_attribution(df: DataFrame, model: LogisticRegressionModel, na
                 yield pd.concat(frames, ignore_index=True)
 
     key_type = df.schema[key].dataType.simpleString()
-    return (df.select(q(key), vector_to_array(features_col).alias("x"))
+    return (_spread(df, key, features_col)
             .mapInPandas(explain, f"{q(key)} {key_type}, {SAMPLED_SCHEMA}"))
 
 
@@ -306,7 +312,7 @@ def sampled_attribution(df: DataFrame, model: Model, names: Sequence[str], key:
                             pa.array(np.arange(n + 1, dtype="int32") * width), pa.array(cells.ravel())),
                     ], names=[key, "gains", "loses", "h"])
 
-    inputs = df.select(q(key), vector_to_array(features_col).alias("x"))
+    inputs = _spread(df, key, features_col)
     mixed = inputs.mapInArrow(hybrids, f"{q(key)} {key_type}, gains int, loses int, h array<double>")
     scored = model.transform(mixed.withColumn(features_col, array_to_vector("h"))).select(
         q(key), "gains", "loses", vector_to_array("probability")[1].alias("p"))

@@ -65,7 +65,7 @@ def run_dir(spark: SparkSession, name: str) -> str:
 def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts in which every customer with events occurs twice, the second time under another key."""
     accounts = derive_accounts(spark, sf_dir)
-    active = table(spark, sf_dir, "events").select(F.col("user_id").alias(KEY))
+    active = table(spark, sf_dir, "events").select(F.col("user_id").alias(KEY)).distinct()
     copies = accounts.join(active, KEY, "left_semi").withColumn(KEY, F.col(KEY) + COPY_OFFSET)
     return accounts.unionByName(copies)
 
@@ -551,8 +551,8 @@ def _request_stream(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, D
     events = streams.read_stream(spark, f"{sf_dir}/[e]vents.parquet", schema)
     requests = events.select(
         F.col("event_id").alias("request_id"), F.col("user_id").alias(KEY),
-        streams.as_instant("ts", schema["ts"].dataType).alias("ts")).join(static, KEY)
-    return out, static, requests
+        streams.as_instant("ts", schema["ts"].dataType).alias("ts"))
+    return out, static, streams.join_accounts(requests, static, KEY, "request_id")
 
 
 def _monitored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.config import SERVING_CONTRACT, Contract
+from riskframe.functions.columns import q
 from riskframe.operators.contract import with_violations
 from riskframe.operators.score import Scorecard, score
 
@@ -36,6 +37,17 @@ def read_stream(spark, path: str, schema: T.StructType, fmt: str = "parquet", gl
     return reader.load(path)
 
 
+def join_accounts(requests: DataFrame, accounts: DataFrame, key: str, request_id: str, salts: int = 8) -> DataFrame:
+    """Look up the account of each request; one busy account is spread over ``salts`` tasks.
+
+    A streaming join gets no skew handling at run time, so the requests carry a salt and the
+    accounts are repeated once per salt.
+    """
+    salted = requests.selectExpr("*", f"pmod(xxhash64({q(request_id)}), {salts}) AS salt")
+    repeated = accounts.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) AS salt")
+    return salted.join(repeated, [key, "salt"]).drop("salt")
+
+
 def checked_and_scored(records: DataFrame, card: Scorecard, contract: Contract = SERVING_CONTRACT) -> DataFrame:
     """Every record with its violations and scores; stateless, so any stream mode accepts it."""
     return score(with_violations(records, contract), card)

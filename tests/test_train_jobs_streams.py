@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from riskframe.config import (
-    KEY, LOGISTIC_GRID, TARGET, AlgorithmConfig, ExplainConfig, JobConfig, TrainerConfig,
+    KEY, LOGISTIC_GRID, TARGET, AlgorithmConfig, ExplainConfig, JobConfig, TrainerConfig, algorithm,
 )
 from riskframe.operators import clean, contract, prep, score, split, train
 from riskframe.operators.score import FIXED_SCORECARD
@@ -37,6 +37,8 @@ def test_grid_expansion_and_penalty_scale(spark):
     lr = LogisticRegression()
     params = train.param_map(lr, {"C": 0.1, "penalty": "l1"}, 1000)
     assert params[lr.regParam] == pytest.approx(0.01) and params[lr.elasticNetParam] == 1.0
+    assert algorithm("Logistic Regression").grid == {"C": (0.1, 1.0, 10.0), "penalty": ("l2",)}
+    assert algorithm("Random Forest", {}).grid == {}
     with pytest.raises(ValueError):
         train.param_map(RandomForestClassifier(), {"learning_rate": 0.1}, 10)
     rf = RandomForestClassifier()

@@ -62,18 +62,22 @@ def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return df.where(" AND ".join(tests)) if tests else df
 
 
-def drop_repeated(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Keep one row per distinct set of attributes.
+def group_copies(df: DataFrame, key: str | None = None) -> DataFrame:
+    """One row per distinct set of attributes with its number of ``copies``.
 
-    With ``key`` the smallest key of each group of copies survives with it, otherwise the key
-    is expected to be gone. Both are hash aggregations with map-side combine, so a group of
-    copies of any size collapses before the shuffle.
+    With ``key`` the smallest key of each group of copies stays with it. The aggregation
+    combines map-side, so a group of copies of any size collapses before the shuffle.
     """
+    attributes = [c for c in df.columns if c != key]
+    kept = [F.min(q(key)).alias(key)] if key in df.columns else []
+    return df.groupBy(*names_of(attributes)).agg(*kept, F.count("*").alias("copies"))
+
+
+def drop_repeated(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Keep one row per distinct set of attributes, under its smallest key if there is one."""
     if key is None or key not in df.columns:
         return df.dropDuplicates()
-    attributes = [c for c in df.columns if c != key]
-    grouped = df.groupBy(*names_of(attributes)).agg(F.min(q(key)).alias(key))
-    return grouped.select(*names_of(df.columns))
+    return group_copies(df, key).select(*names_of(df.columns))
 
 
 def fill_missing_with_zero(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -85,10 +85,8 @@ def invalid_values(df: DataFrame, contract: Contract = TRAINING_CONTRACT) -> Dat
             .groupBy("column_name", "value").agg(F.count("*").alias("n")))
 
 
-def quality_checks(df: DataFrame, contract: Contract = TRAINING_CONTRACT, key: str | None = None,
-                   method: str = "exact") -> DataFrame:
-    """Missing and duplicate percentages as two more rows of the check table."""
-    q_table = quality(df, [c for c in df.columns if c != key], method)
+def quality_checks(q_table: DataFrame, contract: Contract = TRAINING_CONTRACT) -> DataFrame:
+    """Missing and duplicate percentages of a quality row as two more rows of the check table."""
     rows = array([
         struct(check_name=text(name), column_name="CAST(NULL AS STRING)", passed=f"{pct} <= {num(float(limit))}",
                severity="'error'", violations=n, observed=pct)
@@ -101,7 +99,8 @@ def quality_checks(df: DataFrame, contract: Contract = TRAINING_CONTRACT, key: s
 
 
 def all_checks(df: DataFrame, contract: Contract = TRAINING_CONTRACT, key: str | None = None) -> DataFrame:
-    return dataset_checks(df, contract, key).unionByName(quality_checks(df, contract, key))
+    q_table = quality(df, [c for c in df.columns if c != key])
+    return dataset_checks(df, contract, key).unionByName(quality_checks(q_table, contract))
 
 
 def verdict(checks: DataFrame) -> DataFrame:

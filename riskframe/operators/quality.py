@@ -11,6 +11,7 @@ from riskframe.config import TARGET
 from riskframe.functions.bounded import reused
 from riskframe.functions.columns import add_all, array, double, names_of, num, numeric_columns, q, struct, text
 from riskframe.functions.quantiles import exact_quantiles
+from riskframe.operators.clean import group_copies
 
 
 def quality(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
@@ -21,19 +22,29 @@ def quality(df: DataFrame, columns: Sequence[str] | None = None, method: str = "
     """
     columns = list(columns or df.columns)
     cells = names_of(columns)
-    nulls = add_all([f"CAST({c} IS NULL AS BIGINT)" for c in cells])
     if method == "exact":
-        groups = df.groupBy(*cells).agg(F.count("*").alias("copies")).selectExpr("copies", f"{nulls} AS nulls")
-    elif method == "hashed":
-        digest = f"md5(to_json(struct({', '.join(cells)})))"
-        groups = (df.selectExpr(f"{digest} AS digest", f"{nulls} AS nulls")
-                  .groupBy("digest", "nulls").agg(F.count("*").alias("copies")))
-    else:
+        return quality_of_groups(group_copies(df.select(*cells)), columns)
+    if method != "hashed":
         raise ValueError("method must be 'exact' or 'hashed'")
+    digest = f"md5(to_json(struct({', '.join(cells)})))"
+    groups = (df.selectExpr(f"{digest} AS digest", f"{_null_count(columns)} AS nulls")
+              .groupBy("digest", "nulls").agg(F.count("*").alias("copies")))
+    return _quality_totals(groups, len(columns))
+
+
+def quality_of_groups(groups: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same from a table of distinct rows that carries the number of ``copies``: no shuffle."""
+    return _quality_totals(groups.selectExpr("copies", f"{_null_count(columns)} AS nulls"), len(columns))
+
+
+def _null_count(columns: Sequence[str]) -> str:
+    return add_all([f"CAST({q(c)} IS NULL AS BIGINT)" for c in columns])
+
+
+def _quality_totals(groups: DataFrame, width: int) -> DataFrame:
     totals = groups.agg(
         F.expr("coalesce(sum(copies), 0) AS rows"), F.expr("count(*) AS distinct_rows"),
         F.expr("coalesce(sum(copies * nulls), 0) AS missing_count"))
-    width = len(columns)
     return totals.selectExpr(
         "rows", f"CAST({width} AS BIGINT) AS columns", "missing_count",
         f"coalesce(try_divide(missing_count * 100D, rows * {width}), 0D) AS missing_percentage",

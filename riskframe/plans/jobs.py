@@ -55,11 +55,18 @@ def train_job(raw: DataFrame, out: str, config: JobConfig = JobConfig(), key: st
     run_id = run_id or uuid.uuid4().hex
     raw = with_row_key(clean.canonical_target(raw.drop(readers.CORRUPT)), key)
     clean.require_columns(raw, [TARGET])
-    writers.write_table(clean.clean_accounts(raw, key), f"{out}/cleaned")
+    # one wide shuffle serves both the quality figures and the removal of copies
+    if key != clean.RAW_KEY:
+        raw = clean.drop_surrogate_key(raw)
+    writers.write_table(clean.group_copies(raw, key), f"{out}/distinct")
+    distinct = spark.read.parquet(f"{out}/distinct")
+    attributes = [c for c in raw.columns if c != key]
+    writers.write_table(clean.drop_incomplete(distinct, attributes).drop("copies"), f"{out}/cleaned")
     cleaned = spark.read.parquet(f"{out}/cleaned")
 
+    q_table = quality.quality_of_groups(distinct, attributes)
     checks = contract.dataset_checks(cleaned, config.contract, key).unionByName(
-        contract.quality_checks(raw, config.contract, key))
+        contract.quality_checks(q_table, config.contract))
     writers.append_report(checks, f"{out}/reports", "checks", run_id)
     # the check table just written is small: read it back instead of computing it again
     written = spark.read.parquet(f"{out}/reports/checks").where(F.col("run_id") == run_id)

@@ -240,6 +240,15 @@ by_score AS (SELECT probability, sum({TARGET}) AS pos, sum(1 - {TARGET}) AS neg
 steps AS (SELECT pos, neg, sum(neg) OVER (ORDER BY probability) - neg AS below FROM by_score),
 auc AS (SELECT sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) AS roc_auc FROM steps)"""
 
+SCALED = (*NUMERIC_FEATURES, *ENGINEERED)
+PREPARED = f"""
+parts AS (SELECT f.*, is_test FROM featured f JOIN (SELECT account_id AS k, is_test FROM split) ON account_id = k),
+fit AS (SELECT {_list(f"quantile_cont(cast({c} AS double), {p}) AS q{n}_{c}" for c in SCALED for n, p in ((1, 0.25), (2, 0.5), (3, 0.75)))}
+        FROM parts WHERE NOT is_test),
+codes AS ({_unpivot(CATEGORICAL_FEATURES, 'parts', 'account_id, is_test, ')}),
+known AS (SELECT column_name AS c, x AS known_x, row_number() OVER (PARTITION BY column_name ORDER BY x) AS place
+          FROM (SELECT DISTINCT column_name, x FROM codes WHERE NOT is_test))"""
+
 DISPLAY = 6
 POINTS = 20
 
@@ -332,6 +341,9 @@ SQL: dict[str, str] = {
         firsts AS (SELECT column_name AS c, min(x) AS first_x FROM cells GROUP BY 1)
         SELECT account_id, column_name || '_' || cast(cast(x AS bigint) AS varchar) AS feature
         FROM cells JOIN firsts ON column_name = c WHERE x <> first_x""",
+    "prepared_matrix": f"""{ON_FILLED},{QUOTAS},{PREPARED}
+        {" UNION ALL ".join(f"SELECT account_id, '{c}' AS feature, round((cast({c} AS double) - q2_{c}) / CASE WHEN q3_{c} = q1_{c} THEN 1 ELSE q3_{c} - q1_{c} END, 6) AS value FROM parts CROSS JOIN fit" for c in SCALED)}
+        UNION ALL SELECT account_id, column_name || '_' || cast(cast(x AS bigint) AS varchar), 1.0 FROM codes JOIN known ON column_name = c AND x = known_x AND place > 1""",
     "standard_scale": f"""{ON_FILLED}, s AS (SELECT {_list(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in NUMERIC_FEATURES)} FROM filled)
         SELECT account_id, {_list(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in NUMERIC_FEATURES)} FROM filled CROSS JOIN s""",
     "hash_split": f"{ON_ACCOUNTS} SELECT account_id, {hash_sql()} < {TEST_CUT} AS is_test FROM accounts",

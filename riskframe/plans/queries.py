@@ -485,6 +485,17 @@ def fitted_scores(spark, sf_dir):
     return scored.select(KEY, *score.SCORE_COLUMNS)
 
 
+@query
+def prepared_matrix(spark, sf_dir):
+    """Stored matrices of both parts in long form: all scaled values and the active indicators."""
+    train_m, test_m, names, stages = prepared_matrices(spark, sf_dir)
+    scaled = len(stages.stages[1].fitted()["numeric"])
+    both = train_m.drop("fold").unionByName(test_m).select(KEY, vector_to_array("features").alias("x"))
+    long = both.selectExpr(KEY, f"posexplode(x) AS (at, value)").where(f"at < {scaled} OR value = 1")
+    names_sql = array([text(n) for n in names])
+    return long.selectExpr(KEY, f"get({names_sql}, at) AS feature", "round(value, 6) AS value")
+
+
 @query
 def matrix_export(spark, sf_dir):
     train_m, _, names, _ = prepared_matrices(spark, sf_dir)

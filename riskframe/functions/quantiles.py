@@ -20,6 +20,9 @@ from riskframe.functions.columns import array, double, num, q, struct
 EXACT_LIMIT = 1_000_000
 MERGE_GROUPS = 256
 MAX_ROUNDS = 8
+SKETCH_SIZE = 800
+BRANCH = 12
+FIRST_MARGIN = 0.006
 
 
 @dataclass(frozen=True)
@@ -74,8 +77,18 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     return out
 
 
+def split_points(df: DataFrame, column: str, parts: int) -> list[float]:
+    """Increasing values that cut a column into about ``parts`` ranges of equal row counts."""
+    wanted = array([num(i / parts) for i in range(1, parts)])
+    partial = df.selectExpr(f"spark_partition_id() % {MERGE_GROUPS} AS g", f"{double(column)} AS v").groupBy("g").agg(
+        F.expr(f"kll_sketch_agg_double(v, {SKETCH_SIZE}) AS s"))
+    row = partial.agg(F.expr(f"kll_merge_agg_double(s, {SKETCH_SIZE}) AS s")).selectExpr(
+        f"kll_sketch_get_quantile_double(s, {wanted}) AS edges").first()
+    return sorted(set(row.edges))
+
+
 def _narrow(df: DataFrame, brackets: list[Bracket], limit: int) -> list[Bracket]:
-    margin = 0.02
+    margin = FIRST_MARGIN
     for _ in range(MAX_ROUNDS):
         wide = [i for i, b in enumerate(brackets) if b.inside > limit and b.lo < b.hi]
         if not wide:
@@ -98,16 +111,19 @@ def _narrow(df: DataFrame, brackets: list[Bracket], limit: int) -> list[Bracket]
 
 def _propose(df: DataFrame, brackets: list[Bracket], margin: float) -> list[Bracket]:
     """Tighter ranges from quantile sketches of the values inside each bracket."""
-    cells = [f"CASE WHEN {b.contains()} THEN {b.value} END AS v{i}" for i, b in enumerate(brackets)]
+    # brackets that still cover the same range of a column share one sketch
+    ranges = list(dict.fromkeys((b.value, b.contains()) for b in brackets))
+    cells = [f"CASE WHEN {inside} THEN {value} END AS v{i}" for i, (value, inside) in enumerate(ranges)]
     partial = df.selectExpr(f"spark_partition_id() % {MERGE_GROUPS} AS g", *cells).groupBy("g").agg(
-        *[F.expr(f"kll_sketch_agg_double(v{i}) AS s{i}") for i in range(len(brackets))])
-    merged = partial.agg(*[F.expr(f"kll_merge_agg_double(s{i}) AS s{i}") for i in range(len(brackets))])
+        *[F.expr(f"kll_sketch_agg_double(v{i}, {SKETCH_SIZE}) AS s{i}") for i in range(len(ranges))])
+    merged = partial.agg(*[F.expr(f"kll_merge_agg_double(s{i}, {SKETCH_SIZE}) AS s{i}") for i in range(len(ranges))])
     wanted = []
     for i, b in enumerate(brackets):
         low, high = b.ranks
         first = max(0.0, (low - b.below) / b.inside - margin)
         last = min(1.0, (high - b.below + 1) / b.inside + margin)
-        wanted.append(f"kll_sketch_get_quantile_double(s{i}, {array([num(first), num(last)])}) AS q{i}")
+        sketch = ranges.index((b.value, b.contains()))
+        wanted.append(f"kll_sketch_get_quantile_double(s{sketch}, {array([num(first), num(last)])}) AS q{i}")
     row = merged.selectExpr(*wanted).first()
     # a sketch may not hold the extremes: keep the old end where the margin reaches it
     out = []
@@ -123,18 +139,30 @@ def _propose(df: DataFrame, brackets: list[Bracket], margin: float) -> list[Brac
 
 
 def _count(df: DataFrame, brackets: list[Bracket]) -> list[Bracket]:
-    row = df.agg(*[
-        F.expr(struct(below=f"count_if({b.value} < {num(float(b.lo))})", inside=f"count_if({b.contains()})"))
-        for b in brackets
-    ]).first()
-    return [replace(b, below=row[i].below, inside=row[i].inside) for i, b in enumerate(brackets)]
+    found = None
+    for at in range(0, len(brackets), BRANCH):
+        part = list(enumerate(brackets))[at:at + BRANCH]
+        counts = df.agg(*[
+            F.expr(struct(b=str(i), below=f"count_if({b.value} < {num(float(b.lo))})",
+                          inside=f"count_if({b.contains()})")).alias(f"c{i}")
+            for i, b in part
+        ]).selectExpr(f"inline({array([f'c{i}' for i, _ in part])})")
+        found = counts if found is None else found.unionAll(counts)
+    rows = {r.b: r for r in found.collect()}
+    return [replace(b, below=rows[i].below, inside=rows[i].inside) for i, b in enumerate(brackets)]
 
 
 def _order_statistics(df: DataFrame, brackets: list[Bracket]) -> list[float]:
     """Order the distinct values inside each bracket and read the wanted ranks."""
-    cells = array([struct(b=str(i), v=f"CASE WHEN {b.contains()} THEN {b.value} END")
-                   for i, b in enumerate(brackets)])
-    counts = df.selectExpr(f"inline(filter({cells}, c -> c.v IS NOT NULL))").groupBy("b", "v").count()
+    numbered = list(enumerate(brackets))
+    found = None
+    # a few brackets per branch keep the generated method small; each branch scans its own columns
+    for at in range(0, len(numbered), BRANCH):
+        cells = array([f"CASE WHEN {b.contains()} THEN {struct(b=str(i), v=b.value)} END"
+                       for i, b in numbered[at:at + BRANCH]])
+        branch = df.selectExpr(f"inline({cells})").where("v IS NOT NULL")
+        found = branch if found is None else found.unionAll(branch)
+    counts = found.groupBy("b", "v").count()
     running = counts.selectExpr("b", "v", "sum(count) OVER (PARTITION BY b ORDER BY v) AS upto")
 
     def pick(which: int) -> str:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.config import TARGET
-from riskframe.functions.bounded import reused
+from riskframe.functions.bounded import join_lookup, reused
 from riskframe.functions.columns import array, double, q, safe_ratio, struct, text
+from riskframe.functions.quantiles import split_points
 
 
 def confusion_matrix(df: DataFrame, label: str = TARGET, prediction: str = "prediction") -> DataFrame:
@@ -47,19 +48,30 @@ def weighted_metrics(matrix: DataFrame) -> DataFrame:
         weigh("p").alias("precision"), weigh("r").alias("recall"), weigh("f").alias("f1_score"))
 
 
-def roc_auc(df: DataFrame, label: str = TARGET, score: str = "probability") -> float | None:
+def roc_auc(df: DataFrame, label: str = TARGET, score: str = "probability", ranges: int = 1024) -> float | None:
     """Exact area under the ROC curve; equal scores of both classes count one half.
 
-    The evaluator sorts by score across the cluster; no task sees all scores. None when one of
-    the classes is absent.
+    Equal scores collapse first. The distinct scores are cut into ranges of equal size; what
+    lies below a range comes from a table of range totals, and only inside a range are scores
+    ordered, so no task sees more than a small part of them. None when a class is absent.
     """
     data = df.selectExpr(f"{double(label)} AS label", f"{double(score)} AS score").dropna()
-    classes = data.agg(F.min("label"), F.max("label")).first()
-    if classes[0] is None or classes[0] == classes[1]:
-        return None
-    evaluator = BinaryClassificationEvaluator(
-        labelCol="label", rawPredictionCol="score", metricName="areaUnderROC", numBins=0)
-    return evaluator.evaluate(data)
+    by_score = data.groupBy("score").agg(
+        F.expr("count_if(label = 1) AS pos"), F.expr("count_if(label <> 1) AS neg"))
+    with reused(by_score) as scores:
+        total = scores.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.count("*").alias("n")).first()
+        if not total.pos or not total.neg:
+            return None
+        edges = split_points(scores, "score", min(ranges, total.n)) if total.n > 1 else []
+        placed = Bucketizer(splits=[-float("inf"), *edges, float("inf")], inputCol="score",
+                            outputCol="range").transform(scores)
+        totals = placed.groupBy("range").agg(F.sum("neg").alias("neg"))
+        offsets = totals.selectExpr("range", "sum(neg) OVER (ORDER BY range) - neg AS offset")
+        ordered = placed.selectExpr(
+            "range", "pos", "neg", "sum(neg) OVER (PARTITION BY range ORDER BY score) - neg AS below")
+        area = join_lookup(ordered, offsets, "range").agg(
+            F.expr("sum(pos * (offset + below + neg / 2D))")).first()[0]
+    return area / (float(total.pos) * float(total.neg))
 
 
 def evaluation_report(scored: DataFrame, label: str = TARGET, model_name: str = "model") -> DataFrame:

@@ -236,8 +236,12 @@ def _spread(df: DataFrame, key: str, features_col: str) -> DataFrame:
 SAMPLED_SCHEMA = "feature string, value double, contribution double, base_value double, probability double"
 
 
-def _seeds(keys: pd.Series, seed: int) -> np.ndarray:
-    return pd.util.hash_pandas_object(keys.astype(str), index=False).to_numpy() ^ np.uint64(seed)
+def _row_seeds(seed: int):
+    """A function from keys to random seeds; nested, so that tasks need no import of this package."""
+    def seeds(keys: pd.Series) -> np.ndarray:
+        return pd.util.hash_pandas_object(keys.astype(str), index=False).to_numpy() ^ np.uint64(seed)
+
+    return seeds
 
 
 def sampled_linear_attribution(df: DataFrame, model: LogisticRegressionModel, names: Sequence[str], key: str,
@@ -253,11 +257,12 @@ def sampled_linear_attribution(df: DataFrame, model: LogisticRegressionModel, na
     start = background @ weights + model.intercept
     base = float(np.mean(1.0 / (1.0 + np.exp(-start))))
     names = list(names)
+    seeds = _row_seeds(seed)
 
     def explain(batches):
         for pdf in batches:
             frames = []
-            for k, x, s in zip(pdf[key], pdf["x"], _seeds(pdf[key], seed)):
+            for k, x, s in zip(pdf[key], pdf["x"], seeds(pdf[key])):
                 x = np.asarray(x)
                 step = (x - background) * weights
                 rng = np.random.default_rng(int(s))
@@ -290,11 +295,12 @@ def sampled_attribution(df: DataFrame, model: Model, names: Sequence[str], key:
     names = list(names)
     width = len(names)
     key_type = df.schema[key].dataType.simpleString()
+    seeds = _row_seeds(seed)
 
     def hybrids(batches):
         for batch in batches:
             keys, rows = batch.column(0), batch.column(1).to_pylist()
-            for i, s in enumerate(_seeds(keys.to_pandas(), seed)):
+            for i, s in enumerate(seeds(keys.to_pandas())):
                 x = np.asarray(rows[i])
                 rng = np.random.default_rng(int(s))
                 for _ in range(permutations):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riskframe.config import (
-    BILL_COLUMNS, CATEGORICAL_FEATURES, CONTRACTS, DEFAULT_BANDS, INPUT_COLUMNS, NUMERIC_FEATURES,
+    BILL_COLUMNS, CATEGORICAL_FEATURES, CONTRACTS, INPUT_COLUMNS, NUMERIC_FEATURES,
     PAY_COLUMNS, PAYMENT_COLUMNS, TARGET, Contract,
 )
 from riskframe.functions.labels import (

@@ -7,7 +7,7 @@ at the very end so that results compare across engines.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.config import (
-    CATEGORICAL_FEATURES, DOCUMENTED_BANDS, EXPLAIN_BANDS, GRADIENT_BOOSTING, INPUT_COLUMNS, KEY, LOGISTIC,
+    CATEGORICAL_FEATURES, DOCUMENTED_BANDS, EXPLAIN_BANDS, GRADIENT_BOOSTING, KEY, LOGISTIC,
     NUMERIC_FEATURES, RANDOM_FOREST, SERVING_CONTRACT, TARGET, TRAINING_CONTRACT, ColumnRule, Contract,
     TrainerConfig,
 )

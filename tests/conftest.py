@@ -11,7 +11,7 @@ os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from riskframe.config import INPUT_COLUMNS, KEY, PAY_COLUMNS, TARGET  # noqa: E402
+from riskframe.config import INPUT_COLUMNS, KEY, TARGET  # noqa: E402
 from riskframe.sources.schema import account_schema  # noqa: E402
 
 SF = "/root/testdata/sf0.001"

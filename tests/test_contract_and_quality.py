@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from riskframe.config import KEY, SERVING_CONTRACT, TARGET, TRAINING_CONTRACT, ColumnRule, Contract
+from riskframe.config import KEY, SERVING_CONTRACT, TARGET, TRAINING_CONTRACT
 from riskframe.functions.quantiles import exact_quantiles
 from riskframe.operators import contract, quality
 

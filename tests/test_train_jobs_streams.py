@@ -4,7 +4,6 @@ import pytest
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import functions as F
 
-from conftest import SF
 from riskframe.config import (
     KEY, LOGISTIC_GRID, TARGET, AlgorithmConfig, ExplainConfig, JobConfig, TrainerConfig, algorithm,
 )

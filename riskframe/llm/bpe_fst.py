@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from riskframe.llm.common import per_worker
+from riskframe.llm.common import per_worker, pieces
 
 MAX_STATES = 250_000
 MAX_PAIRS = 500_000
@@ -179,17 +179,26 @@ class Codec:
         self.split = regex.compile(pattern).findall
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
 
     def encode(self, text: str) -> list[int]:
-        words = self.split(text)
-        known = self.known
-        if len(known) > MAX_WORDS:  # words met again soon come back from the older half
-            self.older, self.known = known, {}
-            known = self.known
-        older = self.older
-        for word in set(words).difference(known):
-            known[word] = older.get(word) or self.fst.encode(word.encode("utf-8", "surrogatepass"))
-        return list(chain.from_iterable(map(known.__getitem__, words)))
+        parts = pieces(text, self.split)
+        if len(self.known) > MAX_WORDS:  # those met again soon come back from the older half
+            self.older, self.known = self.known, {}
+        known, older, words, encode = self.known, self.older, self.words, self.fst.encode
+        if len(words) > MAX_WORDS:
+            words.clear()
+        for part in set(parts).difference(known):
+            code = older.get(part)
+            if code is None:
+                code = ()
+                for word in self.split(part):
+                    ids = words.get(word)
+                    if ids is None:
+                        ids = words[word] = encode(word.encode("utf-8", "surrogatepass"))
+                    code += ids
+            known[part] = code
+        return list(chain.from_iterable(map(known.__getitem__, parts)))
 
 
 def _codec(path: str, pattern: str) -> Codec:

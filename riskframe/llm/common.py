@@ -33,3 +33,15 @@ def per_worker(key: tuple, make):
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def pieces(text: str, split) -> list[str]:
+    """Cut a text where the splitting pattern surely does: before single spaces and around single newlines.
+
+    Texts with any other white space, or with white space in a row or at an end, are cut by the pattern itself.
+    """
+    words = text.split()
+    spaces, lines = text.count(" "), text.count("\n")
+    if len(words) == spaces + lines + 1 and len("".join(words)) + spaces + lines == len(text) and "\0" not in text:
+        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+    return split(text)

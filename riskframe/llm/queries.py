@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe_fst, line_blocks
+from riskframe.llm import bm25_packing, bpe_fst, line_blocks, shuffle_shards
 from riskframe.llm.common import table
 
 
@@ -15,9 +15,18 @@ def op4_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_fst.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op5_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shuffle_shards.placement(table(spark, sf_dir, "documents"))
+
+
 def op9_line_block_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_blocks.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
-QUERIES = {f.__name__: f for f in (op4_bpe_transducer, op9_line_block_html,)}
+def op10_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = bm25_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+QUERIES = {f.__name__: f for f in (op4_bpe_transducer, op5_external_shuffle, op9_line_block_html, op10_bm25_packing,)}
 SQL: dict[str, str] = {}

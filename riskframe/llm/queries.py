@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bm25_packing, bpe_fst, line_blocks, shuffle_shards
+from riskframe.llm import bm25_packing, bpe_fst, line_blocks, minmax_dedup, shuffle_shards
 from riskframe.llm.common import table
 
 
+def op3_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_fst.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -28,5 +32,37 @@ def op10_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op4_bpe_transducer, op5_external_shuffle, op9_line_block_html, op10_bm25_packing,)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op3_minmax_dedup, op4_bpe_transducer, op5_external_shuffle, op9_line_block_html, op10_bm25_packing,
+)}
+SQL: dict[str, str] = {
+    "op3_minmax_dedup": r"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words
+), sets AS MATERIALIZED (
+  SELECT s, list_sort(s) AS k, min(doc_id) AS node FROM shingles WHERE len(s) > 0 GROUP BY ALL
+), nodes AS MATERIALIZED (
+  SELECT k, min(node) AS node, len(k) AS n FROM sets GROUP BY k
+), entries AS MATERIALIZED (
+  SELECT node, n, unnest(k) AS e FROM nodes
+), links AS MATERIALIZED (
+  SELECT x.node AS a, y.node AS b FROM entries x JOIN entries y ON x.e = y.e AND x.node <> y.node
+  GROUP BY x.node, y.node, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+), reached(node, r) AS (
+  SELECT node, node FROM nodes
+  UNION
+  SELECT links.b, reached.r FROM reached JOIN links ON links.a = reached.node
+), named AS (
+  SELECT node, min(r) AS component FROM reached GROUP BY node
+)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(c.component, d.doc_id) AS component_id,
+       d.doc_id = coalesce(c.component, d.doc_id) AS kept
+FROM shingles d LEFT JOIN nodes ON nodes.k = list_sort(d.s) LEFT JOIN named c ON c.node = nodes.node
+""",
+}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bm25_packing, bpe_fst, line_blocks, minmax_dedup, shuffle_shards
+from riskframe.llm import bm25_packing, bpe_fst, byte_rnn, line_blocks, minmax_dedup, shuffle_shards
 from riskframe.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op5_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shuffle_shards.placement(table(spark, sf_dir, "documents"))
 
 
+def op6_byte_rnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_rnn.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_line_block_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_blocks.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -33,7 +37,7 @@ def op10_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_minmax_dedup, op4_bpe_transducer, op5_external_shuffle, op9_line_block_html, op10_bm25_packing,
+    op3_minmax_dedup, op4_bpe_transducer, op5_external_shuffle, op6_byte_rnn_language, op9_line_block_html, op10_bm25_packing,
 )}
 SQL: dict[str, str] = {
     "op3_minmax_dedup": r"""

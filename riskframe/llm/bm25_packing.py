@@ -84,7 +84,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, key: str, text_col: str) ->
                          StructField("layout", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = per_worker(("ids", tokenizer_path), lambda: Ids(tokenizer_path))
+        coder = per_worker("ids", tokenizer_path, lambda: Ids(tokenizer_path))
         press = zstandard.ZstdCompressor(level=1, write_checksum=False)
         for batch in batches:
             blobs, layout = [], []
@@ -98,7 +98,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, key: str, text_col: str) ->
 
 
 def _dtype(tokenizer_path: str) -> np.dtype:
-    return per_worker(("ids-dtype", tokenizer_path), lambda: Ids(tokenizer_path).dtype)
+    return per_worker("dtype", tokenizer_path, lambda: Ids(tokenizer_path).dtype)
 
 
 def statistics(coded: DataFrame, dtype: np.dtype) -> tuple[np.ndarray, int, float]:

@@ -202,7 +202,7 @@ class Codec:
 
 
 def _codec(path: str, pattern: str) -> Codec:
-    return per_worker(("bpe", path, pattern), lambda: Codec(path, pattern))
+    return per_worker("bpe", (path, pattern), lambda: Codec(path, pattern))
 
 
 def encode(docs: DataFrame, vocab_path: str, pattern: str = public_tokenizers.PATTERN, text_col: str = "text") -> DataFrame:
@@ -246,7 +246,7 @@ def digests(docs: DataFrame, vocab_path: str, key: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocab_path, pattern)
-        tokens, digits = codec.fst.tokens, per_worker(("digits", vocab_path), lambda: {i: str(i) for i in codec.fst.tokens})
+        tokens, digits = codec.fst.tokens, per_worker("digits", vocab_path, lambda: {i: str(i) for i in codec.fst.tokens})
         for batch in batches:
             counts, coded, decoded = [], [], []
             for text in batch.column(1).to_pylist():

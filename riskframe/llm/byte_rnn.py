@@ -9,6 +9,7 @@ time on a bounded sample of labelled rows. Everything else covers whole texts of
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -195,6 +196,7 @@ def identify(docs: DataFrame, key: str = "doc_id", text_col: str = "text", lang_
     columns are not read.
     """
     net = fit(sample_words(docs, key, text_col, lang_col))
+    mark = uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast((net.languages, net.w) if net else None)
     schema = StructType([StructField(key, docs.schema[key].dataType), StructField("held_out", BooleanType()),
                          StructField("lang_pred", StringType()), StructField("score", DoubleType())])
@@ -203,7 +205,7 @@ def identify(docs: DataFrame, key: str = "doc_id", text_col: str = "text", lang_
         labeller = None
         if shared.value:
             languages, weights = shared.value
-            labeller = per_worker(("rnn", id(shared.value)), lambda: Labeller(Network(languages, weights)))
+            labeller = per_worker("rnn", mark, lambda: Labeller(Network(languages, weights)))
         for batch in batches:
             texts, named, scores = batch.column(2).to_pylist(), [], []
             for i in range(0, len(texts), STRETCH):

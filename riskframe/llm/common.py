@@ -23,12 +23,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def per_worker(key: tuple, make):
-    """An object made once in each Python worker, however many tasks the worker runs."""
+def per_worker(kind: str, key, make):
+    """The worker's object of a kind, made when first asked for or when the key has changed, however many tasks it runs."""
     kept = sys.modules.setdefault("riskframe_llm_kept", types.ModuleType("riskframe_llm_kept")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    if kind not in kept or kept[kind][0] != key:
+        kept[kind] = (key, make())
+    return kept[kind][1]
 
 
 def partitions(spark: SparkSession) -> int:

@@ -100,7 +100,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                          StructField("values", BinaryType()), StructField("bands", ArrayType(LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed, (factors, offsets) = per_worker(("words",), Words), permutations()
+        hashed, (factors, offsets) = per_worker("words", None, Words), permutations()
         for batch in batches:
             counts, keys, values, bands = [], [], [], []
             for text in batch.column(1).to_pylist():
@@ -127,7 +127,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     schema = StructType([StructField("id", LongType()), StructField("s", ArrayType(LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = per_worker(("words",), Words)
+        hashed = per_worker("words", None, Words)
         for batch in batches:
             sets = [shingles(text, hashed).view(np.int64) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], schema.names)

@@ -187,19 +187,21 @@ def sample_words(docs: DataFrame, key: str, text_col: str, lang_col: str) -> lis
     return [(r["lang"], r["word"], r["n"]) for r in rows]
 
 
-def identify(docs: DataFrame, key: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(key, held_out, lang_pred, score) of each document; only text enters a prediction.
+def identify(docs: DataFrame, key: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: bool = False) -> DataFrame:
+    """(key, held_out, lang_pred, score) of each document, with all columns of ``docs`` if ``keep``; only text enters a prediction.
 
     ``lang_pred`` is a learned language, or ``und`` with score 0 where the text is null or has no letter (for every text,
     if no row can be learned from). Rows whose language or key is null are not learned from; a null key is not held out.
     Ties go to the language first in the alphabet. Repeated rows stay; an empty table gives an empty table; further
-    columns are not read.
+    columns are not read unless kept, and columns named like the results are replaced.
     """
     net = fit(sample_words(docs, key, text_col, lang_col))
     mark = uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast((net.languages, net.w) if net else None)
-    schema = StructType([StructField(key, docs.schema[key].dataType), StructField("held_out", BooleanType()),
-                         StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    results = [StructField("held_out", BooleanType()), StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    names = {f.name for f in results}
+    carried = [f for f in docs.schema if f.name not in names and (keep or f.name == key)]
+    schema = StructType([*carried, *results])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = None
@@ -207,7 +209,7 @@ def identify(docs: DataFrame, key: str = "doc_id", text_col: str = "text", lang_
             languages, weights = shared.value
             labeller = per_worker("rnn", mark, lambda: Labeller(Network(languages, weights)))
         for batch in batches:
-            texts, named, scores = batch.column(2).to_pylist(), [], []
+            texts, named, scores = batch.column(0).to_pylist(), [], []
             for i in range(0, len(texts), STRETCH):
                 some = [text or "" for text in texts[i:i + STRETCH]]
                 pooled = labeller.pooled(some) if labeller else None
@@ -216,7 +218,8 @@ def identify(docs: DataFrame, key: str = "doc_id", text_col: str = "text", lang_
                     best = int(pooled[k].argmax()) if known else 0
                     named.append(languages[best] if known else NONE)
                     scores.append(min(1.0, float(pooled[k, best])) if known else 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(named, pa.string()), pa.array(scores, pa.float64())], schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], batch.column(1), pa.array(named, pa.string()), pa.array(scores, pa.float64())], schema.names)
 
-    slim = docs.select(F.col(f"`{key}`"), F.coalesce(held_out(key), F.lit(False)).alias("held_out"), F.col(f"`{text_col}`"))
+    slim = docs.select(F.col(f"`{text_col}`").alias("__text"), F.coalesce(held_out(key), F.lit(False)).alias("__out"),
+                       *[F.col(f"`{f.name}`") for f in carried])
     return slim.mapInArrow(run, schema)

@@ -207,3 +207,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
     return linked.select("id", "n", "set_key").join(named, "set_key").select("id", "n", "component").unionByName(alone).select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
         F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
+
+
+def unique(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without those that are not kept: one document of each group stays, with all its columns.
+
+    Rows with a null key all stay; of rows that share a key one stays.
+    """
+    removed = staged(near_duplicates(docs, key, text_col).where(f"not kept and `{key}` is not null").select(key).distinct(), "removed")
+    out = docs.join(F.broadcast(removed) if removed.count() <= BROADCAST_IDS else removed, key, "left_anti").select(docs.columns)
+    if docs.where(F.col(f"`{key}`").isNotNull()).groupBy(key).count().where("count > 1").isEmpty():
+        return out
+    return out.where(F.col(f"`{key}`").isNull()).unionByName(out.where(F.col(f"`{key}`").isNotNull()).dropDuplicates([key]))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bm25_packing, bpe_fst, byte_rnn, line_blocks, minmax_dedup, shuffle_shards, tfidf_toxicity
+from riskframe.llm import bm25_packing, bpe_fst, byte_rnn, cotraining, line_blocks, minmax_dedup, shuffle_shards, tfidf_toxicity
 from riskframe.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op6_byte_rnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_rnn.identify(table(spark, sf_dir, "documents"))
 
 
+def op7_cotraining_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_tfidf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tfidf_toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -41,7 +45,7 @@ def op10_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_minmax_dedup, op4_bpe_transducer, op5_external_shuffle, op6_byte_rnn_language, op8_tfidf_toxicity, op9_line_block_html, op10_bm25_packing,
+    op3_minmax_dedup, op4_bpe_transducer, op5_external_shuffle, op6_byte_rnn_language, op7_cotraining_quality, op8_tfidf_toxicity, op9_line_block_html, op10_bm25_packing,
 )}
 SQL: dict[str, str] = {
     "op3_minmax_dedup": r"""

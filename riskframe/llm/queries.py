@@ -6,10 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bm25_packing, bpe_fst, byte_rnn, cotraining, line_blocks, minmax_dedup, shuffle_shards, tfidf_toxicity
+from riskframe.llm import bm25_packing, bpe_fst, byte_rnn, cotraining, line_blocks, minmax_dedup, multi_index, shuffle_shards, spotsigs, tfidf_toxicity
 from riskframe.llm.common import table
 
 
+def op1_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op2_spotsigs_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op3_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -45,7 +53,7 @@ def op10_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_minmax_dedup, op4_bpe_transducer, op5_external_shuffle, op6_byte_rnn_language, op7_cotraining_quality, op8_tfidf_toxicity, op9_line_block_html, op10_bm25_packing,
+    op1_inverted_multi_index, op2_spotsigs_fingerprints, op3_minmax_dedup, op4_bpe_transducer, op5_external_shuffle, op6_byte_rnn_language, op7_cotraining_quality, op8_tfidf_toxicity, op9_line_block_html, op10_bm25_packing,
 )}
 SQL: dict[str, str] = {
     "op3_minmax_dedup": r"""

@@ -175,6 +175,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: str =
 
     slim = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), *_view_columns(docs, text_col)).join(F.broadcast(wanted), "id")
     rows = slim.select("id", "y", text_col, "source", "lang", "n_chars").mapInArrow(run, schema).toPandas().sort_values("id", kind="stable")
+    if rows.empty:
+        return None
     text, meta, y = np.stack(rows["t"]), np.stack(rows["m"]), rows["y"].to_numpy()
     marked = y >= 0
     got = {k: int((y == k).sum()) for k in (0, 1)}

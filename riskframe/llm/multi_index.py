@@ -219,7 +219,8 @@ def search(vectors: DataFrame, queries: F.Column, k: int = 20, key: str = "vec_i
                     out["q"] += [name] * len(best)
                     out["score"] += value[best].tolist()
                     out["ids"] += [ids[i] for i in near[best]]
-        return pd.DataFrame(out)
+        return pd.DataFrame({"q": pd.Series(out["q"], dtype="int64"), "score": pd.Series(out["score"], dtype="float64"),
+                             "ids": pd.Series(out["ids"], dtype="object")})
 
     group = ["block", "cut", "chunk"]
     near = probes.groupBy(*group).cogroup(index.groupBy(*group)).applyInPandas(rank, "q bigint, score double, ids array<bigint>")

@@ -22,7 +22,8 @@ def external_shuffle(records: DataFrame, key: str, shards: int, seed: int = 0, b
 
     Shard counts differ by one record at most. A null key is hashed like a value; records of one key share a bucket, so
     the key should identify a record; repeated records are all placed; columns named shard or slot are replaced; an
-    empty table gives an empty table. The order depends on the records, the seed and the bucket size.
+    empty table gives an empty table. The order depends on the records, the seed, the bucket size and the number of shuffle
+    partitions, not on how the input is laid out.
     """
     spark = records.sparkSession
     held = [c for c in records.columns if c not in ("shard", "slot")]
@@ -35,10 +36,11 @@ def external_shuffle(records: DataFrame, key: str, shards: int, seed: int = 0, b
     first = sizes.select("bucket", (F.sum("size").over(Window.orderBy("bucket")) - F.col("size")).alias("first"))
     gathered = (
         rows.select(bucket, "record").repartition(min(partitions(spark), buckets), "bucket").groupBy("bucket")
-        # sorting first makes the shuffle start from the same order whichever task came first
+        # sorted records and buckets make every run draw the same numbers for the same records
         .agg(F.sort_array(F.collect_list("record")).alias("records"))
+        .sortWithinPartitions("bucket").select("bucket", F.shuffle("records", seed).alias("records"))
     )
-    shuffled = gathered.join(first, "bucket").select("first", F.posexplode(F.shuffle("records", seed)).alias("at", "record"))
+    shuffled = gathered.join(first, "bucket").select("first", F.posexplode("records").alias("at", "record"))
     position = F.col("first") + F.col("at")
     return shuffled.select(
         *[F.col(f"record.`{c}`") for c in held],

@@ -1,9 +1,9 @@
 """Exact quantiles of many columns without gathering a column in one task.
 
-Up to ``limit`` values per column, Spark's exact ``percentile`` does it in one pass. Beyond
-that, mergeable sketches (merged in two levels) bracket each wanted rank, the bracket is
-verified by counting, narrowed until it is small, and only its distinct values are ordered.
-The sketches never decide the answer: a bracket that misses its rank is widened.
+Every table goes one way. Each wanted order statistic starts with an open value range. While a range holds more than
+``ORDERED_ROWS`` values, mergeable sketches of the values inside propose two of them, the rows below, at and between are
+counted, and the part that holds the rank becomes the range. Sketches only propose: the counts decide, and each part is
+smaller than the whole. What is left is ordered and read. Interpolation happens in one place.
 """
 
 from __future__ import annotations
@@ -17,64 +17,56 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.columns import array, double, num, q, struct
 
-EXACT_LIMIT = 1_000_000
+#: Values of a range that one task may order. Speed depends on it, results don't.
+ORDERED_ROWS = 20_000
 MERGE_GROUPS = 256
-MAX_ROUNDS = 8
 SKETCH_SIZE = 800
 BRANCH = 12
-FIRST_MARGIN = 0.006
+MARGIN = 0.006
 
 
 @dataclass(frozen=True)
-class Bracket:
-    """Closed value range known to hold the two order statistics of one quantile."""
+class Range:
+    """The values of a column strictly between two of them (or an open end), and how many come up to its lower end."""
 
     column: str
-    position: float
-    lo: float
-    hi: float
-    below: int
-    inside: int
-
-    @property
-    def ranks(self) -> tuple[int, int]:
-        return math.floor(self.position), math.ceil(self.position)
+    lo: float | None = None
+    hi: float | None = None
+    upto: int = 0
+    between: int = 0
 
     @property
     def value(self) -> str:
         return double(self.column)
 
-    def contains(self) -> str:
-        return f"{self.value} BETWEEN {num(float(self.lo))} AND {num(float(self.hi))}"
+    def inside(self) -> str:
+        ends = [f"{self.value} IS NOT NULL"]
+        if self.lo is not None:
+            ends.append(f"{self.value} > {num(float(self.lo))}")
+        if self.hi is not None:
+            ends.append(f"{self.value} < {num(float(self.hi))}")
+        return f"({' AND '.join(ends)})"
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-                    limit: int = EXACT_LIMIT) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of the present values, one list per column."""
     if not columns:
         return {}
-    facts = df.agg(*[
-        F.expr(struct(n=f"count({q(c)})", lo=f"min({double(c)})", hi=f"max({double(c)})"))
-        for c in columns
-    ]).first()
-    out: dict[str, list[float | None]] = {}
-    small = [c for i, c in enumerate(columns) if facts[i].n <= limit]
-    large = [c for c in columns if c not in small]
-    if small:
-        grid = array([num(float(p)) for p in probabilities])
-        row = df.agg(*[F.expr(f"percentile({double(c)}, {grid})") for c in small]).first()
-        for i, c in enumerate(small):
-            out[c] = list(row[i]) if row[i] is not None else [None] * len(probabilities)
-    if large:
-        start = [
-            Bracket(c, p * (facts[columns.index(c)].n - 1), facts[columns.index(c)].lo,
-                    facts[columns.index(c)].hi, 0, facts[columns.index(c)].n)
-            for c in large for p in probabilities
-        ]
-        values = _order_statistics(df, _narrow(df, start, limit))
-        for i, c in enumerate(large):
-            out[c] = values[i * len(probabilities):(i + 1) * len(probabilities)]
-    return out
+    counts = df.agg(*[F.count(F.expr(double(c))) for c in columns]).first()
+    sizes = dict(zip(columns, counts))
+    positions = {(c, p): p * (sizes[c] - 1) for c in columns if sizes[c] for p in probabilities}
+    wanted = {(c, rank): Range(c, between=sizes[c]) for (c, _), at in positions.items()
+              for rank in (math.floor(at), math.ceil(at))}
+    known = _order_statistics(df, wanted)
+
+    def interpolated(c: str, p: float) -> float | None:
+        if not sizes[c]:
+            return None
+        at = positions[c, p]
+        lower, upper = known[c, math.floor(at)], known[c, math.ceil(at)]
+        return lower if lower == upper else lower + (upper - lower) * (at - math.floor(at))
+
+    return {c: [interpolated(c, p) for p in probabilities] for c in columns}
 
 
 def split_points(df: DataFrame, column: str, parts: int) -> list[float]:
@@ -87,92 +79,82 @@ def split_points(df: DataFrame, column: str, parts: int) -> list[float]:
     return sorted(set(row.edges))
 
 
-def _narrow(df: DataFrame, brackets: list[Bracket], limit: int) -> list[Bracket]:
-    margin = FIRST_MARGIN
-    for _ in range(MAX_ROUNDS):
-        wide = [i for i, b in enumerate(brackets) if b.inside > limit and b.lo < b.hi]
-        if not wide:
-            break
-        proposals = _propose(df, [brackets[i] for i in wide], margin)
-        counted = _count(df, proposals)
-        progress = False
-        for i, new in zip(wide, counted):
-            low, high = new.ranks
-            holds = new.below <= low and high < new.below + new.inside
-            if holds and new.inside < brackets[i].inside:
-                brackets[i] = new
-                progress = True
-        if not progress:
-            margin *= 2
-            if margin >= 0.5:
-                break
-    return brackets
-
-
-def _propose(df: DataFrame, brackets: list[Bracket], margin: float) -> list[Bracket]:
-    """Tighter ranges from quantile sketches of the values inside each bracket."""
-    # brackets that still cover the same range of a column share one sketch
-    ranges = list(dict.fromkeys((b.value, b.contains()) for b in brackets))
-    cells = [f"CASE WHEN {inside} THEN {value} END AS v{i}" for i, (value, inside) in enumerate(ranges)]
+def _order_statistics(df: DataFrame, wanted: dict[tuple[str, int], Range]) -> dict[tuple[str, int], float]:
+    """The value at each (column, rank), ranks counted from 0."""
+    known: dict[tuple[str, int], float] = {}
+    while wide := {k: r for k, r in wanted.items() if k not in known and r.between > ORDERED_ROWS}:
+        pairs = _propose(df, wide)
+        counts = _count(df, list(dict.fromkeys((r, pairs[k]) for k, r in wide.items())))
+        for key, r in wide.items():
+            a, b = pairs[key]
+            below, at_a, between, at_b = counts[r, (a, b)]
+            offset = key[1] - r.upto
+            if offset < below:
+                wanted[key] = replace(r, hi=a, between=below)
+            elif offset < below + at_a:
+                known[key] = a
+            elif offset < below + at_a + between:
+                wanted[key] = replace(r, lo=a, hi=b, upto=r.upto + below + at_a, between=between)
+            elif offset < below + at_a + between + at_b:
+                known[key] = b
+            else:
+                passed = below + at_a + between + at_b
+                wanted[key] = replace(r, lo=b, upto=r.upto + passed, between=r.between - passed)
+    return known | _ordered(df, {k: r for k, r in wanted.items() if k not in known})
+
+
+def _propose(df: DataFrame, wide: dict[tuple[str, int], Range]) -> dict[tuple[str, int], tuple[float, float]]:
+    """Two values inside each range, likely just below and above the rank. Targets in one range share its sketch."""
+    ranges = list(dict.fromkeys(wide.values()))
+    cells = [f"CASE WHEN {r.inside()} THEN {r.value} END AS v{i}" for i, r in enumerate(ranges)]
     partial = df.selectExpr(f"spark_partition_id() % {MERGE_GROUPS} AS g", *cells).groupBy("g").agg(
         *[F.expr(f"kll_sketch_agg_double(v{i}, {SKETCH_SIZE}) AS s{i}") for i in range(len(ranges))])
     merged = partial.agg(*[F.expr(f"kll_merge_agg_double(s{i}, {SKETCH_SIZE}) AS s{i}") for i in range(len(ranges))])
-    wanted = []
-    for i, b in enumerate(brackets):
-        low, high = b.ranks
-        first = max(0.0, (low - b.below) / b.inside - margin)
-        last = min(1.0, (high - b.below + 1) / b.inside + margin)
-        sketch = ranges.index((b.value, b.contains()))
-        wanted.append(f"kll_sketch_get_quantile_double(s{sketch}, {array([num(first), num(last)])}) AS q{i}")
-    row = merged.selectExpr(*wanted).first()
-    # a sketch may not hold the extremes: keep the old end where the margin reaches it
-    out = []
-    for i, b in enumerate(brackets):
-        low, high = b.ranks
-        lo, hi = row[i]
-        if (low - b.below) / b.inside - margin <= 0:
-            lo = b.lo
-        if (high - b.below + 1) / b.inside + margin >= 1:
-            hi = b.hi
-        out.append(replace(b, lo=lo, hi=hi))
-    return out
-
-
-def _count(df: DataFrame, brackets: list[Bracket]) -> list[Bracket]:
+    asked = []
+    for i, (key, r) in enumerate(wide.items()):
+        share = (key[1] - r.upto + 0.5) / r.between
+        ends = array([num(max(0.0, share - MARGIN)), num(min(1.0, share + MARGIN))])
+        asked.append(f"kll_sketch_get_quantile_double(s{ranges.index(r)}, {ends}) AS q{i}")
+    row = merged.selectExpr(*asked).first()
+    return {key: (min(row[i]), max(row[i])) for i, key in enumerate(wide)}
+
+
+def _count(df: DataFrame, splits: list[tuple[Range, tuple[float, float]]]) -> dict:
+    """Rows of each range below, at and between the two proposed values, and at the second if it is another one."""
     found = None
-    for at in range(0, len(brackets), BRANCH):
-        part = list(enumerate(brackets))[at:at + BRANCH]
-        counts = df.agg(*[
-            F.expr(struct(b=str(i), below=f"count_if({b.value} < {num(float(b.lo))})",
-                          inside=f"count_if({b.contains()})")).alias(f"c{i}")
-            for i, b in part
-        ]).selectExpr(f"inline({array([f'c{i}' for i, _ in part])})")
+    # a few splits per branch keep the generated method small; each branch scans its own columns
+    for at in range(0, len(splits), BRANCH):
+        part = list(enumerate(splits))[at:at + BRANCH]
+        cells = []
+        for i, (r, (a, b)) in part:
+            below, between = replace(r, hi=a), Range(r.column, a, b)
+            second = f"count_if({r.value} = {num(float(b))})" if b > a else "0L"
+            cells.append(F.expr(struct(
+                b=str(i), below=f"count_if({below.inside()})", at_a=f"count_if({r.value} = {num(float(a))})",
+                between=f"count_if({between.inside()})", at_b=second)).alias(f"c{i}"))
+        counts = df.agg(*cells).selectExpr(f"inline({array([f'c{i}' for i, _ in part])})")
         found = counts if found is None else found.unionAll(counts)
-    rows = {r.b: r for r in found.collect()}
-    return [replace(b, below=rows[i].below, inside=rows[i].inside) for i, b in enumerate(brackets)]
+    rows = {r.b: (r.below, r.at_a, r.between, r.at_b) for r in found.collect()}
+    return {split: rows[i] for i, split in enumerate(splits)}
 
 
-def _order_statistics(df: DataFrame, brackets: list[Bracket]) -> list[float]:
-    """Order the distinct values inside each bracket and read the wanted ranks."""
-    numbered = list(enumerate(brackets))
+def _ordered(df: DataFrame, wanted: dict[tuple[str, int], Range]) -> dict[tuple[str, int], float]:
+    """Order the distinct values of each small range and read the wanted ranks."""
+    if not wanted:
+        return {}
+    ranges = list(dict.fromkeys(wanted.values()))
     found = None
-    # a few brackets per branch keep the generated method small; each branch scans its own columns
-    for at in range(0, len(numbered), BRANCH):
-        cells = array([f"CASE WHEN {b.contains()} THEN {struct(b=str(i), v=b.value)} END"
-                       for i, b in numbered[at:at + BRANCH]])
+    for at in range(0, len(ranges), BRANCH):
+        cells = array([f"CASE WHEN {r.inside()} THEN {struct(b=str(at + i), v=r.value)} END" for i, r in enumerate(ranges[at:at + BRANCH])])
         branch = df.selectExpr(f"inline({cells})").where("v IS NOT NULL")
         found = branch if found is None else found.unionAll(branch)
-    counts = found.groupBy("b", "v").count()
-    running = counts.selectExpr("b", "v", "sum(count) OVER (PARTITION BY b ORDER BY v) AS upto")
-
-    def pick(which: int) -> str:
-        ranks = array([f"{b.ranks[which] - b.below}L" for b in brackets])
-        return f"min(CASE WHEN upto > get({ranks}, b) THEN v END)"
-
-    rows = {r.b: r for r in running.groupBy("b").agg(
-        F.expr(pick(0)).alias("lower"), F.expr(pick(1)).alias("upper")).collect()}
-    out = []
-    for i, b in enumerate(brackets):
-        fraction = b.position - math.floor(b.position)
-        out.append(rows[i].lower + (rows[i].upper - rows[i].lower) * fraction)
-    return out
+    running = found.groupBy("b", "v").count().selectExpr("b", "v", "sum(count) OVER (PARTITION BY b ORDER BY v) AS upto")
+    ranks: dict[int, list[int]] = {i: [] for i in range(len(ranges))}
+    for (_, rank), r in wanted.items():
+        ranks[ranges.index(r)].append(rank - r.upto)
+    # one row for each range and wanted rank: the smallest value with more than rank values up to it
+    offsets = array([array([f"{x}L" for x in sorted(set(ranks[i]))]) for i in range(len(ranges))])
+    rows = running.selectExpr("b", "v", "upto", f"explode(get({offsets}, b)) AS rank").where("upto > rank").groupBy("b", "rank").agg(
+        F.min("v").alias("v")).collect()
+    values = {(r.b, r["rank"]): r.v for r in rows}
+    return {key: values[ranges.index(r), key[1] - r.upto] for key, r in wanted.items()}

@@ -18,13 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.config import CATEGORICAL_FEATURES, NUMERIC_FEATURES, FeatureConfig
-from riskframe.functions.bounded import collect_small, reused
+from riskframe.functions.bounded import reused
 from riskframe.functions.columns import add_all, array, double, names_of, num, q, struct, to_long_form, with_expressions
 from riskframe.functions.quantiles import exact_quantiles
 from riskframe.operators.clean import fill_missing_with_zero
 from riskframe.operators.features import engineered_names, with_engineered_features
 
 
+#: Categories beyond which scoring looks a weight up instead of branching.
+WIDE = 200
+
+
 class RepaymentFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Adds the engineered features; gaps and infinities left over become 0 on request."""
 
@@ -77,29 +81,27 @@ class AccountPrep(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     numericCols = Param(Params._dummy(), "numericCols", "columns to scale", TypeConverters.toListString)
     categoricalCols = Param(Params._dummy(), "categoricalCols", "columns to encode", TypeConverters.toListString)
     outputCol = Param(Params._dummy(), "outputCol", "feature vector column", TypeConverters.toString)
-    maxCategories = Param(Params._dummy(), "maxCategories", "most categories per column", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, numericCols=None, categoricalCols=None, outputCol="features", maxCategories=1000):
+    def __init__(self, *, numericCols=None, categoricalCols=None, outputCol="features"):
         super().__init__()
         self._setDefault(numericCols=[*NUMERIC_FEATURES, *engineered_names()],
-                         categoricalCols=list(CATEGORICAL_FEATURES), outputCol="features",
-                         maxCategories=1000)
+                         categoricalCols=list(CATEGORICAL_FEATURES), outputCol="features")
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> "AccountPrepModel":
         numeric = self.getOrDefault("numericCols")
         coded = self.getOrDefault("categoricalCols")
         with reused(dataset.select(*names_of(dict.fromkeys([*numeric, *coded])))) as df:
-            statistics = fit_statistics(df, numeric, coded, self.getOrDefault("maxCategories"))
+            statistics = fit_statistics(df, numeric, coded)
         return AccountPrepModel(statistics=statistics, outputCol=self.getOrDefault("outputCol"))
 
 
-def fit_statistics(df: DataFrame, numeric: Sequence[str], coded: Sequence[str],
-                   max_categories: int = 1000) -> dict:
+def fit_statistics(df: DataFrame, numeric: Sequence[str], coded: Sequence[str]) -> dict:
     """{"numeric": {c: {fill, center, scale}}, "coded": {c: {fill, categories}}}.
 
-    Quartiles are taken after median imputation, as scaling follows imputing.
+    Quartiles are taken after median imputation, as scaling follows imputing. The categories become part of the model,
+    one feature each, so they come to the driver as the model does.
     """
     quartiles = exact_quantiles(df, numeric, [0.25, 0.5, 0.75])
     medians = {c: quartiles[c][1] for c in numeric}
@@ -114,9 +116,7 @@ def fit_statistics(df: DataFrame, numeric: Sequence[str], coded: Sequence[str],
         if q50 is None:
             raise ValueError(f"column {c} has no present value to fit on")
         scaling[c] = {"fill": medians[c], "center": q50, "scale": (q75 - q25) or 1.0}
-    rows = collect_small(category_counts(df, coded), max_categories * max(1, len(coded))) if coded else []
-    if rows is None:
-        raise ValueError(f"more than {max_categories} categories per column: not a coded column")
+    rows = category_counts(df, coded).collect() if coded else []
     encoding = {}
     for c in coded:
         seen = sorted((r for r in rows if r["column"] == c), key=lambda r: r["value"])
@@ -178,6 +178,11 @@ class AccountPrepModel(Model, DefaultParamsReadable, DefaultParamsWritable):
                 terms.append(f"{filled(c, s['fill'])} * {num(slope)}")
         for c, e in self.fitted()["coded"].items():
             whole = c in integral and all(isinstance(v, int) for v in (e["fill"], *e["categories"]))
+            if len(e["categories"]) > WIDE:  # a lookup in place of a branch for each category
+                keys = array([num(float(v)) for v in e["categories"][1:]])
+                found = array([num(weights[f"{c}_{v}"]) for v in e["categories"][1:]])
+                terms.append(f"coalesce(try_element_at(map_from_arrays({keys}, {found}), {filled(c, e['fill'])}), 0D)")
+                continue
             cases = [f"WHEN {num(v if whole else float(v))} THEN {num(weights[f'{c}_{v}'])}"
                      for v in e["categories"][1:] if weights[f"{c}_{v}"]]
             code = filled(c, e["fill"])

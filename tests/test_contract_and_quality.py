@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from riskframe.config import KEY, SERVING_CONTRACT, TARGET, TRAINING_CONTRACT
+from riskframe.functions import quantiles
 from riskframe.functions.quantiles import exact_quantiles
 from riskframe.operators import contract, quality
 
@@ -128,12 +129,15 @@ def test_outliers(spark):
 QS = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
 
 
-def test_large_path_quantiles_equal_numpy(spark):
+def test_quantiles_equal_numpy_however_they_are_found(spark, monkeypatch):
     rng = random.Random(7)
     rows = [(rng.gauss(0, 1e6) if rng.random() < 0.6 else 0.0, float(rng.randrange(4)),
              None if i % 10 == 0 else math.exp(rng.gauss(0, 4)), 3.0) for i in range(20000)]
     df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(8).cache()
-    got = exact_quantiles(df, ["a", "b", "c", "d"], QS, limit=200)
+    got = exact_quantiles(df, ["a", "b", "c", "d"], QS)
+    for ordered, parts in ((200, 8), (200, 3), (17, 1)):
+        monkeypatch.setattr(quantiles, "ORDERED_ROWS", ordered)
+        assert exact_quantiles(df.repartition(parts), ["a", "b", "c", "d"], QS) == got  # to the last bit
     for i, c in enumerate("abcd"):
         x = np.array([r[i] for r in rows if r[i] is not None])
         assert got[c] == pytest.approx(list(np.quantile(x, QS)), rel=1e-12, abs=1e-12)
@@ -144,8 +148,12 @@ def test_large_path_quantiles_equal_numpy(spark):
 def test_quantiles_of_any_column(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     present = [v for v in values if v is not None]
-    for limit in (1_000_000, 3):
-        got = exact_quantiles(df, ["v"], [0.25, 0.5, 0.75], limit=limit)["v"]
+    for ordered in (20_000, 3):
+        quantiles.ORDERED_ROWS, kept = ordered, quantiles.ORDERED_ROWS
+        try:
+            got = exact_quantiles(df, ["v"], [0.25, 0.5, 0.75])["v"]
+        finally:
+            quantiles.ORDERED_ROWS = kept
         if not present:
             assert got == [None] * 3
         else:

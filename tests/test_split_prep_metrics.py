@@ -98,9 +98,15 @@ def test_vector_matches_expressions_and_carries_names(accounts):
     assert out.columns == [*df.columns, "features"]
 
 
-def test_too_many_categories_is_refused(accounts):
-    with pytest.raises(ValueError):
-        prep.AccountPrep(numericCols=[], categoricalCols=["LIMIT_BAL"], maxCategories=3).fit(accounts)
+def test_a_column_of_thousands_of_codes_fits(spark):
+    df = spark.range(5000).selectExpr("id * 3 AS code", "CAST(id AS DOUBLE) AS x")
+    model = prep.AccountPrep(numericCols=["x"], categoricalCols=["code"]).fit(df)
+    assert len(model.fitted()["coded"]["code"]["categories"]) == 5000
+    weights = [0.0, *(float(i) for i in range(1, 5000))]
+    row = df.where("code = 2997").selectExpr(f"{model.logit(0.5, weights)} AS z").first()
+    assert row.z == 999.5
+    vector = model.transform(df.where("code = 2997")).first().features
+    assert vector.numNonzeros() <= 2 and vector[999] == 1.0
 
 
 def test_stages_save_and_load(spark, accounts, tmp_path):

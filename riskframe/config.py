@@ -186,6 +186,7 @@ class TrainerConfig:
     tolerance: float = 1e-4
     parallelism: int = 8
     select_by: str = "cv"
+    max_points: int | None = None
     warn_below: float = 0.6
 
 

@@ -70,9 +70,22 @@ def train_and_test(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked.where("NOT is_test").drop("is_test"), marked.where("is_test").drop("is_test")
 
 
-def with_fold(df: DataFrame, key: Sequence[str], folds: int = 5, seed: int = 42) -> DataFrame:
-    """Add ``fold`` in [0, folds) from a hash that is independent of the split."""
-    return df.selectExpr("*", f"CAST({hash32(key, seed + 1)} % {folds} AS INT) AS fold")
+def with_fold(df: DataFrame, key: Sequence[str], folds: int = 5, seed: int = 42, label: str | None = TARGET) -> DataFrame:
+    """Add ``fold`` in [0, folds), of equal size within every class, from a hash that is independent of the split.
+
+    Each class is cut where its running count over 2^16 hash ranges passes the next share, so a fold misses its share of a
+    class by one range at most: about one row in 65,000. Without ``label`` all rows are one class.
+    """
+    cls, h = (q(label) if label else "0"), hash32(key, seed + 1)
+    bucket = f"shiftright({h}, {32 - BUCKET_BITS})"
+    counts = df.selectExpr(f"{cls} AS cls", f"{bucket} AS bucket").groupBy("cls", "bucket").agg(F.count("*").alias("n"))
+    running = counts.selectExpr("cls", "bucket", "sum(n) OVER (PARTITION BY cls ORDER BY bucket) AS upto",
+                                "sum(n) OVER (PARTITION BY cls) AS n_cls")
+    # the last hash range of each fold but the last, one row for each class
+    last = [f"min(CASE WHEN upto * {folds} >= n_cls * {k} THEN bucket END)" for k in range(1, folds)]
+    ends = running.groupBy("cls").agg(F.expr(f"CAST(array({', '.join(last)}) AS ARRAY<BIGINT>)").alias("ends")).withColumnRenamed("cls", "fold_cls")
+    marked = join_lookup(df.selectExpr("*", f"{cls} AS fold_of", f"{bucket} AS fold_bucket"), ends, F.expr("fold_of <=> fold_cls"), "left")
+    return marked.selectExpr(*names_of(df.columns), "CAST(size(filter(ends, e -> e < fold_bucket)) AS INT) AS fold")
 
 
 def sample_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import itertools
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
+from statistics import fmean, pstdev
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ class Candidate:
     cv_score: float | None
     cv_std: float | None
     test_score: float
+    searched: int = 0
+    published: int = 0
 
 
 def evaluator(label: str = "label") -> BinaryClassificationEvaluator:
@@ -44,19 +48,18 @@ def base_estimator(algorithm: AlgorithmConfig, config: TrainerConfig) -> Estimat
     if algorithm.family == "logistic":
         return LogisticRegression(maxIter=config.max_iter, tol=config.tolerance, standardization=False)
     if algorithm.family == "forest":
-        return RandomForestClassifier(seed=config.seed, numTrees=100)
+        # published trees grow until their leaves are pure; 30 levels are the most that Spark's trees can have
+        return RandomForestClassifier(seed=config.seed, numTrees=100, maxDepth=30)
     if algorithm.family == "boosting":
         return GBTClassifier(seed=config.seed, maxIter=100, maxDepth=3)
     raise ValueError(f"unknown family {algorithm.family}")
 
 
 def param_map(estimator: Estimator, params: dict, rows: int) -> dict:
-    """Translate published parameter names; ``rows`` turns C into a mean-loss penalty."""
+    """Translate published parameter names; ``rows`` turns C (1 unless given) into a mean-loss penalty (l2 unless given)."""
     if isinstance(estimator, LogisticRegression):
-        out = {estimator.elasticNetParam: 1.0 if params.get("penalty", "l2") == "l1" else 0.0}
-        if "C" in params:
-            out[estimator.regParam] = 1.0 / (params["C"] * rows)
-        return out
+        return {estimator.elasticNetParam: 1.0 if params.get("penalty", "l2") == "l1" else 0.0,
+                estimator.regParam: 1.0 / (params.get("C", 1.0) * max(1, rows))}
     forest = isinstance(estimator, RandomForestClassifier)
     names = {
         "n_estimators": estimator.numTrees if forest else estimator.maxIter,
@@ -76,28 +79,43 @@ def param_map(estimator: Estimator, params: dict, rows: int) -> dict:
     return out
 
 
+def cross_validated(train: DataFrame, estimator: Estimator, points: Sequence[dict], config: TrainerConfig) -> list[list[float]]:
+    """Fold scores of each point of a grid: one fit for each point and fold, ``config.parallelism`` at a time.
+
+    The penalty follows the rows a fold is fitted on.
+    """
+    sizes = {r["fold"]: r["count"] for r in train.groupBy("fold").count().collect()}
+    rows, score = sum(sizes.values()), evaluator()
+
+    def one(task: tuple[int, int]) -> float:
+        i, k = task
+        fit_on, rest = train.where(F.col("fold") != k), train.where(F.col("fold") == k)
+        return score.evaluate(estimator.fit(fit_on, param_map(estimator, points[i], rows - sizes.get(k, 0))).transform(rest))
+
+    tasks = [(i, k) for i in range(len(points)) for k in range(config.folds)]
+    with ThreadPool(min(config.parallelism, len(tasks))) as pool:
+        found = pool.map(one, tasks)
+    return [found[i * config.folds:(i + 1) * config.folds] for i in range(len(points))]
+
+
 def tune(train: DataFrame, test: DataFrame, algorithm: AlgorithmConfig,
          config: TrainerConfig = TrainerConfig()) -> Candidate:
-    """Cross-validated grid search over ``fold``, refit on all training rows, test score.
+    """Cross-validated grid search over ``fold``, one refit on all training rows, test score.
 
-    ``train`` needs ``features``, ``label`` and ``fold``, ``test`` the first two.
+    ``train`` needs ``features``, ``label`` and ``fold``, ``test`` the first two. ``config.max_points`` bounds the points
+    searched, evenly spread over the grid; the candidate says how many of how many they were.
     """
-    rows = train.count()
-    estimator = base_estimator(algorithm, config)
-    points = expand_grid(algorithm.grid)
-    score = evaluator()
+    estimator, score = base_estimator(algorithm, config), evaluator()
+    grid = expand_grid(algorithm.grid) if algorithm.grid else []
+    most = min(len(grid), config.max_points or len(grid))
+    points = [grid[i * len(grid) // most] for i in range(most)]
     best, cv_score, cv_std = {}, None, None
-    if algorithm.grid:
-        fold_rows = max(1, rows * (config.folds - 1) // config.folds)
-        search = CrossValidator(
-            estimator=estimator, estimatorParamMaps=[param_map(estimator, p, fold_rows) for p in points],
-            evaluator=score, numFolds=config.folds, foldCol="fold", parallelism=config.parallelism)
-        fitted = search.fit(train)
-        means = fitted.avgMetrics
-        at = max(range(len(points)), key=lambda i: (means[i], -i))
-        best, cv_score, cv_std = points[at], float(means[at]), float(fitted.stdMetrics[at])
-    model = estimator.fit(train, param_map(estimator, best, rows)) if best else estimator.fit(train)
-    return Candidate(algorithm.name, best, model, cv_score, cv_std, score.evaluate(model.transform(test)))
+    if points:
+        scores = cross_validated(train, estimator, points, config)
+        at = max(range(len(points)), key=lambda i: (fmean(scores[i]), -i))
+        best, cv_score, cv_std = points[at], fmean(scores[at]), pstdev(scores[at])
+    model = estimator.fit(train, param_map(estimator, best, train.count()))
+    return Candidate(algorithm.name, best, model, cv_score, cv_std, score.evaluate(model.transform(test)), len(points), len(grid))
 
 
 def tune_all(train: DataFrame, test: DataFrame, config: TrainerConfig = TrainerConfig()) -> list[Candidate]:
@@ -119,20 +137,17 @@ def select_best(candidates: list[Candidate], config: TrainerConfig = TrainerConf
 
 
 def leaderboard(spark, candidates: list[Candidate]) -> DataFrame:
-    rows = [(i, c.name, str(c.params), c.cv_score, c.cv_std, c.test_score) for i, c in enumerate(candidates)]
+    rows = [(i, c.name, str(c.params), c.cv_score, c.cv_std, c.test_score, c.searched, c.published) for i, c in enumerate(candidates)]
     return spark.createDataFrame(
-        rows, "position int, model_name string, best_params string, cv_score double, cv_std double, test_auc double",
+        rows, "position int, model_name string, best_params string, cv_score double, cv_std double, test_auc double, "
+              "points_searched int, points_published int",
     ).orderBy(F.desc("test_auc"), "position")
 
 
-def fold_scores(data: DataFrame, estimator: Estimator, folds: int = 5) -> DataFrame:
-    """(fold, auc): one fit per fold on the other folds."""
-    score = evaluator()
-    rows = []
-    for k in range(folds):
-        model = estimator.fit(data.where(F.col("fold") != k))
-        rows.append((k, score.evaluate(model.transform(data.where(F.col("fold") == k)))))
-    return data.sparkSession.createDataFrame(rows, "fold int, auc double")
+def fold_scores(data: DataFrame, estimator: Estimator, params: dict | None = None, config: TrainerConfig = TrainerConfig()) -> DataFrame:
+    """(fold, auc): one fit per fold on the other folds, with the penalty rule of the grid search."""
+    found = cross_validated(data, estimator, [params or {}], config)[0]
+    return data.sparkSession.createDataFrame(list(enumerate(found)), "fold int, auc double")
 
 
 def cv_report(scores: DataFrame) -> DataFrame:

@@ -89,7 +89,7 @@ def train_job(raw: DataFrame, out: str, config: JobConfig = JobConfig(), key: st
         writers.write_matrix(vectors, f"{out}/{name}_matrix", [key])
         writers.write_table(part, f"{out}/{name}")
     train_m = split.with_fold(spark.read.parquet(f"{out}/train_matrix"), [key], config.trainer.folds,
-                              config.trainer.seed)
+                              config.trainer.seed, "label")
     test_m = spark.read.parquet(f"{out}/test_matrix")
     with reused(train_m) as cached:
         candidates = train.tune_all(cached, test_m, config.trainer)

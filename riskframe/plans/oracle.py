@@ -265,13 +265,16 @@ def _pd_rows() -> str:
 
 
 STREAMED = f"""
-requests AS (SELECT event_id AS request_id, user_id, strftime(ts, '%Y-%m-%d') AS day, s.*
-             FROM events JOIN scored s ON user_id = s.account_id),
+open_accounts AS (SELECT * FROM scored WHERE account_id % 10 <> 0),
+requests AS (SELECT event_id AS request_id, user_id AS account_id, strftime(ts, '%Y-%m-%d') AS day, s.* EXCLUDE (account_id),
+                    CASE WHEN s.account_id IS NULL THEN 'unknown account' ELSE 'scored' END AS status
+             FROM events LEFT JOIN open_accounts s ON user_id = s.account_id),
 windows AS (SELECT day, count(*) AS n, avg(probability) AS mean_probability,
                    count(CASE WHEN prediction = 1 THEN 1 END) AS default_predictions,
                    count(CASE WHEN risk_category = 'High Risk' THEN 1 END) AS high_risk_count,
                    count(CASE WHEN risk_category = 'Medium Risk' THEN 1 END) AS medium_risk_count,
-                   count(CASE WHEN risk_category = 'Low Risk' THEN 1 END) AS low_risk_count
+                   count(CASE WHEN risk_category = 'Low Risk' THEN 1 END) AS low_risk_count,
+                   count(CASE WHEN probability IS NULL THEN 1 END) AS unknown_accounts
             FROM requests GROUP BY day)"""
 
 _READABLE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in READABLE_NAMES.items())
@@ -349,7 +352,12 @@ SQL: dict[str, str] = {
     "hash_split": f"{ON_ACCOUNTS} SELECT account_id, {hash_sql()} < {TEST_CUT} AS is_test FROM accounts",
     "split_counts": f"{ON_ACCOUNTS},{QUOTAS} SELECT {TARGET}, is_test, count(*) AS n FROM split GROUP BY 1, 2",
     "exact_split": f"{ON_ACCOUNTS},{QUOTAS} SELECT account_id, is_test FROM split",
-    "fold_counts": f"{ON_ACCOUNTS} SELECT {TARGET}, cast({hash_sql(43)} % 5 AS integer) AS fold, count(*) AS n FROM accounts GROUP BY 1, 2",
+    "coded_logistic": f"{ON_ACCOUNTS} SELECT EDUCATION, count(*) AS n, round(avg({TARGET}), 4) AS default_rate FROM accounts GROUP BY 1",
+    "fold_counts": f"""{ON_ACCOUNTS}, ranges AS (SELECT {TARGET} AS cls, {hash_sql(43)} >> 16 AS bucket, count(*) AS n FROM accounts GROUP BY 1, 2),
+        upto AS (SELECT *, sum(n) OVER (PARTITION BY cls ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY cls) AS n_cls FROM ranges),
+        ends AS (SELECT cls, k, min(bucket) AS last FROM upto, range(1, 5) AS t(k) WHERE upto * 5 >= n_cls * k GROUP BY 1, 2),
+        folded AS (SELECT u.cls, u.n, (SELECT count(*) FROM ends e WHERE e.cls = u.cls AND e.last < u.bucket) AS fold FROM upto u)
+        SELECT cls AS {TARGET}, cast(fold AS integer) AS fold, cast(sum(n) AS bigint) AS n FROM folded GROUP BY 1, 2""",
     "sample_rows": f"{ON_ACCOUNTS} SELECT account_id FROM accounts ORDER BY {hash_sql()}, account_id LIMIT 100",
     "score": f"{ON_SCORED} SELECT account_id, prediction, round(probability, 6) AS probability, round(risk_score, 4) AS risk_score, risk_category FROM scored",
     "risk_bands": f"""{ON_SCORED} SELECT account_id, risk_category,
@@ -404,8 +412,8 @@ SQL: dict[str, str] = {
     "readable_names": f"{ON_PHI} SELECT feature, CASE feature {_READABLE} ELSE {_TITLE} END AS readable_name, n_rows FROM stats",
     "stream_score": f"{ON_SCORED} SELECT account_id, prediction, round(probability, 6) AS probability, risk_category FROM scored WHERE account_id IN (SELECT account_id FROM accounts WHERE {SERVING_OK})",
     "stream_quarantine": f"{ON_ACCOUNTS} SELECT account_id, v[1] AS first_violation FROM (SELECT account_id, {_violations(SERVING)} AS v FROM accounts) WHERE len(v) > 0",
-    "window_monitor": f"{ON_SCORED},{STREAMED} SELECT day, n, round(mean_probability, 6) AS mean_probability, default_predictions, high_risk_count, medium_risk_count, low_risk_count FROM windows",
-    "window_drift": f"""{ON_SCORED},{STREAMED}, b AS (SELECT avg(probability) AS m, stddev_samp(probability) AS s FROM scored)
+    "window_monitor": f"{ON_SCORED},{STREAMED} SELECT day, n, round(mean_probability, 6) AS mean_probability, default_predictions, high_risk_count, medium_risk_count, low_risk_count, unknown_accounts FROM windows",
+    "window_drift": f"""{ON_SCORED},{STREAMED}, b AS (SELECT avg(probability) AS m, stddev_samp(probability) AS s FROM open_accounts)
         SELECT day, n, round(abs(mean_probability - m) / s, 6) AS score, abs(mean_probability - m) / s > 0.1 AS drifted FROM windows CROSS JOIN b""",
-    "audit_trail": f"{ON_SCORED},{STREAMED} SELECT request_id, account_id, day, round(probability, 6) AS probability, risk_category, 'fixed-1' AS model_version FROM requests",
+    "audit_trail": f"{ON_SCORED},{STREAMED} SELECT request_id, account_id, day, round(probability, 6) AS probability, risk_category, status, 'fixed-1' AS model_version FROM requests",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.config import SERVING_CONTRACT, Contract
-from riskframe.functions.columns import q
+from riskframe.functions.bounded import join_lookup
 from riskframe.operators.contract import with_violations
 from riskframe.operators.score import Scorecard, score
 
@@ -37,15 +37,35 @@ def read_stream(spark, path: str, schema: T.StructType, fmt: str = "parquet", gl
     return reader.load(path)
 
 
-def join_accounts(requests: DataFrame, accounts: DataFrame, key: str, request_id: str, salts: int = 8) -> DataFrame:
-    """Look up the account of each request; one busy account is spread over ``salts`` tasks.
+SCORED, UNKNOWN = "scored", "unknown account"
 
-    A streaming join gets no skew handling at run time, so the requests carry a salt and the
-    accounts are repeated once per salt.
+
+def with_accounts(requests: DataFrame, accounts: DataFrame, key: str) -> DataFrame:
+    """The account's columns and a ``status`` for each request of a batch; an unknown account leaves them null.
+
+    The accounts are first reduced to the keys of the batch, so a batch never moves the whole account table when its own
+    keys are few, and a small rest is broadcast, which leaves the requests of a busy account where they are.
+    """
+    keys = requests.select(key).where(F.col(key).isNotNull()).distinct()
+    known = join_lookup(accounts, keys, key, "left_semi").withColumn("found", F.lit(True))
+    joined = join_lookup(requests, known, key, "left")
+    return joined.withColumn("status", F.when(F.col("found"), SCORED).otherwise(UNKNOWN)).drop("found")
+
+
+def run_lookup(requests: DataFrame, accounts: DataFrame, key: str, out_path: str, checkpoint: str, trigger: dict | None = None):
+    """Write every request with its account's columns; the monitor and the audit trail read this table as a stream.
+
+    A batch replayed after a failure replaces its earlier folder.
     """
-    salted = requests.selectExpr("*", f"pmod(xxhash64({q(request_id)}), {salts}) AS salt")
-    repeated = accounts.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) AS salt")
-    return salted.join(repeated, [key, "salt"]).drop("salt")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()  # read for its keys and for the join
+        try:
+            with_accounts(kept, accounts, key).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        finally:
+            kept.unpersist()
+
+    return (requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
 
 
 def checked_and_scored(records: DataFrame, card: Scorecard, contract: Contract = SERVING_CONTRACT) -> DataFrame:
@@ -77,7 +97,7 @@ def run_scoring(records: DataFrame, card: Scorecard, scored_path: str, quarantin
 
 def windowed_monitor(scored: DataFrame, time_col: str = "ts", every: str = "1 day",
                      lateness: str = "1 day") -> DataFrame:
-    """Volume, score moments and band counts per time window; late rows past the watermark drop."""
+    """Volume, score moments, band counts and requests without an account per time window; late rows past the watermark drop."""
     band = lambda label: F.expr(f"count_if(risk_category = '{label}')")
     watched = scored.withWatermark(time_col, lateness) if scored.isStreaming else scored
     return watched.groupBy(F.window(time_col, every).alias("window")).agg(
@@ -87,6 +107,7 @@ def windowed_monitor(scored: DataFrame, time_col: str = "ts", every: str = "1 da
         band("High Risk").alias("high_risk_count"),
         band("Medium Risk").alias("medium_risk_count"),
         band("Low Risk").alias("low_risk_count"),
+        F.expr("count_if(probability IS NULL) AS unknown_accounts"),
     )
 
 

@@ -65,6 +65,13 @@ def test_samples(accounts):
 def test_folds_cover_everything(accounts):
     folded = split.with_fold(accounts, [KEY], 5)
     assert {r.fold for r in folded.select("fold").distinct().collect()} == {0, 1, 2, 3, 4}
+    assert {r.fold for r in split.with_fold(accounts, [KEY], 1, label=None).collect()} == {0}
+
+
+def test_folds_hold_their_share_of_every_class(spark):
+    df = spark.range(2000).selectExpr(f"id AS {KEY}", f"CAST(id % 100 = 0 AS BIGINT) AS {TARGET}")
+    counts = {(r[TARGET], r.fold): r["count"] for r in split.with_fold(df, [KEY], 5).groupBy(TARGET, "fold").count().collect()}
+    assert all(abs(counts[1, k] - 4) <= 1 and abs(counts[0, k] - 396) <= 4 for k in range(5))
 
 
 # ---------------------------------------------------------------- preprocessing

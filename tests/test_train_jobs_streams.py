@@ -26,7 +26,7 @@ def matrices(accounts):
     fitted = prep.AccountPrep().fit(features.transform(train_rows))
     ready = lambda part: fitted.transform(features.transform(part)).select(
         KEY, "features", F.col(TARGET).cast("double").alias("label"))
-    return split.with_fold(ready(train_rows), [KEY], 2).cache(), ready(test_rows).cache(), fitted.feature_names()
+    return split.with_fold(ready(train_rows), [KEY], 2, label="label").cache(), ready(test_rows).cache(), fitted.feature_names()
 
 
 # ---------------------------------------------------------------- training
@@ -36,6 +36,8 @@ def test_grid_expansion_and_penalty_scale(spark):
     lr = LogisticRegression()
     params = train.param_map(lr, {"C": 0.1, "penalty": "l1"}, 1000)
     assert params[lr.regParam] == pytest.approx(0.01) and params[lr.elasticNetParam] == 1.0
+    untuned = train.param_map(lr, {}, 1000)
+    assert untuned[lr.regParam] == pytest.approx(1 / 1000) and untuned[lr.elasticNetParam] == 0.0
     assert algorithm("Logistic Regression").grid == {"C": (0.1, 1.0, 10.0), "penalty": ("l2",)}
     assert algorithm("Random Forest", {}).grid == {}
     with pytest.raises(ValueError):
@@ -54,6 +56,9 @@ def test_leaderboard_and_selection(spark, matrices):
     assert [r.test_auc for r in board] == sorted((c.test_score for c in candidates), reverse=True)
     assert candidates[0].params in train.expand_grid(SMALL_GRID.grid) and 0.5 < candidates[0].test_score <= 1
     assert candidates[2].params == {} and candidates[2].cv_score is None
+    assert [(c.searched, c.published) for c in candidates] == [(4, 4), (2, 2), (0, 0)]
+    bounded = train.tune(train_m, test_m, SMALL_GRID, TrainerConfig(folds=2, max_iter=5, max_points=2))
+    assert (bounded.searched, bounded.published) == (2, 4)
     by_test = train.select_best(candidates, TrainerConfig(select_by="test"))
     assert by_test.test_score == max(c.test_score for c in candidates)
     assert train.select_best([candidates[0], candidates[0]]) is candidates[0]
@@ -65,7 +70,7 @@ def test_leaderboard_and_selection(spark, matrices):
 
 def test_cross_validation_report(matrices):
     train_m, _, _ = matrices
-    scores = train.fold_scores(train_m, LogisticRegression(maxIter=10, regParam=0.1), 2)
+    scores = train.fold_scores(train_m, LogisticRegression(maxIter=10), {}, TrainerConfig(folds=2))
     row = train.cv_report(scores).first()
     a, b = row.cv_scores
     assert row.mean_cv_score == pytest.approx((a + b) / 2) and row.std_cv_score == pytest.approx(abs(a - b) / 2)
@@ -194,6 +199,14 @@ def test_windows_accept_late_rows_until_the_watermark(spark, requests_dir, tmp_p
     assert {r.day: r.high_risk_count for r in rows}["2024-01-01"] == 1
 
 
+def test_requests_without_an_account_are_kept(spark, tmp_path):
+    accounts = spark.createDataFrame([(1, 0.2), (2, 0.9)], "account_id bigint, probability double")
+    requests = spark.createDataFrame([(10, 1), (11, 1), (12, 7), (13, None)], "request_id bigint, account_id bigint")
+    rows = streams.with_accounts(requests, accounts, "account_id").collect()
+    assert sorted((r.request_id, r.probability, r.status) for r in rows) == [
+        (10, 0.2, "scored"), (11, 0.2, "scored"), (12, None, "unknown account"), (13, None, "unknown account")]
+
+
 def test_audit_trail_writes_each_request_once(spark, requests_dir, tmp_path):
     streams.finish(streams.run_audit(request_stream(spark, requests_dir), str(tmp_path / "a"), str(tmp_path / "cp"),
                                      "request_id", "ts", "v1"))

@@ -44,6 +44,14 @@ def with_row_key(df: DataFrame, key: str) -> DataFrame:
     return df.selectExpr("*", f"md5(concat_ws('|', {cells})) AS {q(key)}")
 
 
+def intake(distinct: DataFrame, cleaned: DataFrame, malformed: int) -> DataFrame:
+    """What became of the rows read: malformed lines, repeated rows, incomplete rows, and those kept. They add up."""
+    counts = distinct.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("well_formed"), F.count("*").alias("n_distinct"))
+    return counts.crossJoin(cleaned.agg(F.count("*").alias("kept"))).selectExpr(
+        f"well_formed + {malformed}L AS read", f"{malformed}L AS malformed", "well_formed - n_distinct AS repeated",
+        "n_distinct - kept AS incomplete", "kept")
+
+
 def train_job(raw: DataFrame, out: str, config: JobConfig = JobConfig(), key: str = KEY,
               run_id: str | None = None) -> TrainResult:
     """Clean, check, split, prepare, tune, evaluate, explain; tables and model go to ``out``.
@@ -53,7 +61,10 @@ def train_job(raw: DataFrame, out: str, config: JobConfig = JobConfig(), key: st
     """
     spark = raw.sparkSession
     run_id = run_id or uuid.uuid4().hex
-    raw = with_row_key(clean.canonical_target(raw.drop(readers.CORRUPT)), key)
+    raw, malformed = readers.split_malformed(raw)
+    if malformed is not None:
+        writers.write_table(malformed, f"{out}/malformed")
+    raw = with_row_key(clean.canonical_target(raw), key)
     clean.require_columns(raw, [TARGET])
     # one wide shuffle serves both the quality figures and the removal of copies
     if key != clean.RAW_KEY:
@@ -63,6 +74,8 @@ def train_job(raw: DataFrame, out: str, config: JobConfig = JobConfig(), key: st
     attributes = [c for c in raw.columns if c != key]
     writers.write_table(clean.drop_incomplete(distinct, attributes).drop("copies"), f"{out}/cleaned")
     cleaned = spark.read.parquet(f"{out}/cleaned")
+    bad = spark.read.parquet(f"{out}/malformed").count() if malformed is not None else 0
+    writers.append_report(intake(distinct, cleaned, bad), f"{out}/reports", "intake", run_id)
 
     q_table = quality.quality_of_groups(distinct, attributes)
     checks = contract.dataset_checks(cleaned, config.contract, key).unionByName(
@@ -152,7 +165,7 @@ def explain_job(df: DataFrame, model: PipelineModel, reports: str, config: JobCo
         vectors = fitted.transform(ready)
         background = explain.background_matrix(vectors, [key], cfg.background_rows, cfg.seed)
         sample = split.sample_rows(vectors, [key], cfg.sample_rows, cfg.seed)
-        long = explain.sampled_attribution(sample, classifier, names, key, background, 1, cfg.seed)
+        long = explain.sampled_attribution(sample, classifier, names, key, background, cfg.permutations, cfg.seed)
         writers.append_report(long, reports, "sampled_contributions", run_id)
         long = df.sparkSession.read.parquet(f"{reports}/sampled_contributions").where(F.col("run_id") == run_id)
         stats = explain.stats_of_long(long, len(names))

@@ -347,6 +347,24 @@ SQL: dict[str, str] = {
     "prepared_matrix": f"""{ON_FILLED},{QUOTAS},{PREPARED}
         {" UNION ALL ".join(f"SELECT account_id, '{c}' AS feature, round((cast({c} AS double) - q2_{c}) / CASE WHEN q3_{c} = q1_{c} THEN 1 ELSE q3_{c} - q1_{c} END, 6) AS value FROM parts CROSS JOIN fit" for c in SCALED)}
         UNION ALL SELECT account_id, column_name || '_' || cast(cast(x AS bigint) AS varchar), 1.0 FROM codes JOIN known ON column_name = c AND x = known_x AND place > 1""",
+    "matrix_export": f"""{ON_FILLED},{QUOTAS},{PREPARED}
+        {" UNION ALL ".join(f"SELECT account_id, '{c}' AS feature, round((cast({c} AS double) - q2_{c}) / CASE WHEN q3_{c} = q1_{c} THEN 1 ELSE q3_{c} - q1_{c} END, 6) AS value FROM parts CROSS JOIN fit" for c in SCALED)}
+        UNION ALL SELECT account_id, column_name || '_' || cast(cast(x AS bigint) AS varchar), 1.0 FROM codes JOIN known ON column_name = c AND x = known_x AND place > 1
+        UNION ALL SELECT account_id, 'label', cast({TARGET} AS double) FROM accounts""",
+    "malformed_lines": f"{ON_ACCOUNTS} SELECT CASE WHEN account_id % 50 = 0 THEN 'quarantined' ELSE 'kept' END AS part, count(*) AS n FROM accounts GROUP BY 1",
+    "awkward_inputs": f"""{ON_ACCOUNTS} SELECT account_id, CASE WHEN account_id % 11 = 0 OR account_id % 13 = 0 THEN NULL ELSE BILL_AMT1 END AS BILL_AMT1,
+        {TARGET}, cast({len(INPUT_COLUMNS) + 2} AS bigint) AS n_features, '{TARGET}' AS target_name, 'note' AS failed_columns FROM accounts""",
+    "switched_features": f"{ON_FEATURES} SELECT account_id, {_list(f'round({c}, 6) AS {c}' if c not in ('MAX_PAY_DELAY', 'MONTHS_WITH_DELAY') else c for c in PAYMENT_FEATURES)} FROM featured",
+    "one_record": f"""{ON_PHI} SELECT p.account_id, p.prediction, round(p.probability, 6) AS probability, p.risk_category,
+        (SELECT string_agg(feature, ',' ORDER BY position) FROM ordered o WHERE o.account_id = p.account_id AND position <= 3) AS explanation
+        FROM phi p WHERE p.account_id = (SELECT min(account_id) FROM phi)""",
+    "train_job_tables": f"""{ON_RAW}, whole AS (SELECT {_list(ALL_COLUMNS)}, count(*) AS copies FROM raw_accounts GROUP BY {_list(ALL_COLUMNS)}),
+        kept AS (SELECT * FROM whole WHERE {" AND ".join(f"{c} IS NOT NULL" for c in ALL_COLUMNS)}),
+        n AS (SELECT (SELECT cast(sum(copies) AS bigint) FROM whole) AS read, (SELECT count(*) FROM whole) AS differing, (SELECT count(*) FROM kept) AS kept,
+                     (SELECT cast(ceil(count(*) * 0.2) AS bigint) FROM kept) AS test)
+        SELECT 'read' AS part, read AS n FROM n UNION ALL SELECT 'repeated', read - differing FROM n UNION ALL SELECT 'incomplete', differing - kept FROM n
+        UNION ALL SELECT 'kept', kept FROM n UNION ALL SELECT 'judged', test FROM n UNION ALL SELECT 'test', test FROM n
+        UNION ALL SELECT 'test_matrix', test FROM n UNION ALL SELECT 'train', kept - test FROM n UNION ALL SELECT 'train_matrix', kept - test FROM n""",
     "standard_scale": f"""{ON_FILLED}, s AS (SELECT {_list(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in NUMERIC_FEATURES)} FROM filled)
         SELECT account_id, {_list(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in NUMERIC_FEATURES)} FROM filled CROSS JOIN s""",
     "hash_split": f"{ON_ACCOUNTS} SELECT account_id, {hash_sql()} < {TEST_CUT} AS is_test FROM accounts",

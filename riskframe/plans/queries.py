@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -18,8 +19,8 @@ from pyspark.sql import types as T
 
 from riskframe.config import (
     CATEGORICAL_FEATURES, DOCUMENTED_BANDS, EXPLAIN_BANDS, EXTREME_BOOSTING, GRADIENT_BOOSTING, KEY, LOGISTIC,
-    NUMERIC_FEATURES, RANDOM_FOREST, SERVING_CONTRACT, TARGET, TRAINING_CONTRACT, ColumnRule, Contract,
-    TrainerConfig,
+    NUMERIC_FEATURES, RANDOM_FOREST, RAW_KEY, SERVING_CONTRACT, TARGET, TARGET_SOURCE_NAMES, TRAINING_CONTRACT, ColumnRule,
+    Contract, FeatureConfig, JobConfig, TrainerConfig,
 )
 from riskframe.functions.bounded import reused
 from riskframe.functions.columns import array, double, num, q, text, with_expressions
@@ -27,6 +28,7 @@ from riskframe.functions.labels import readable_name
 from riskframe.operators import clean, contract, explain, metrics, prep, quality, score, split, train
 from riskframe.operators.features import engineered_names, with_engineered_features
 from riskframe.operators.score import FIXED_SCORECARD
+from riskframe.plans import jobs
 from riskframe.sources import readers, writers
 from riskframe.sources.accounts import derive_accounts, table
 from riskframe.streaming import scoring as streams
@@ -110,6 +112,75 @@ def text_round_trip(spark, sf_dir):
 
 # ---------------------------------------------------------------- contract and quality
 
+def _text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts read from csv lines of which one in fifty has a word in place of the age."""
+    path = run_dir(spark, "lines")
+    accounts = derive_accounts(spark, sf_dir)
+    age = F.when(F.col(KEY) % 50 == 0, F.lit("unknown")).otherwise(F.col("AGE").cast("string"))
+    writers.write_table(accounts.withColumn("AGE", age), path, "csv")
+    return readers.read_accounts(spark, path, "csv")
+
+
+@query
+def malformed_lines(spark, sf_dir):
+    """Kept and quarantined lines add up to those read."""
+    path = run_dir(spark, "parsed")
+    writers.write_table(_text_lines(spark, sf_dir), path)
+    good, bad = readers.split_malformed(spark.read.parquet(path))
+    return good.agg(F.count("*").alias("n")).select(F.lit("kept").alias("part"), "n").unionByName(
+        bad.groupBy(F.lit("quarantined").alias("part")).agg(F.count("*").alias("n")))
+
+
+@query
+def awkward_inputs(spark, sf_dir):
+    """A foreign surrogate key, another spelling of the label, NaN and infinite money, a column nobody asked for."""
+    accounts = derive_accounts(spark, sf_dir)
+    odd = accounts.withColumn(RAW_KEY, F.lit(1)).withColumnRenamed(TARGET, TARGET_SOURCE_NAMES[0]).withColumn("note", F.lit("x"))
+    odd = odd.withColumn("BILL_AMT1", F.when(F.col(KEY) % 11 == 0, F.lit(float("nan"))).when(
+        F.col(KEY) % 13 == 0, F.lit(float("inf"))).otherwise(F.col("BILL_AMT1")))
+    cleaned = clean.nulls_for_non_finite(clean.canonical_target(clean.drop_surrogate_key(odd)))
+    features, target = clean.project_features(cleaned)
+    extra = contract.schema_checks(cleaned, TRAINING_CONTRACT, KEY).where("NOT passed").select("column_name")
+    return cleaned.select(KEY, "BILL_AMT1", F.col(clean.find_target(cleaned)).alias(TARGET), F.lit(len(features)).cast("bigint").alias("n_features"),
+                          F.lit(target).alias("target_name")).crossJoin(extra.agg(F.array_join(F.array_sort(F.collect_set("column_name")), ",").alias("failed_columns")))
+
+
+@query
+def switched_features(spark, sf_dir):
+    """One group of engineered features only."""
+    only = with_engineered_features(derive_accounts(spark, sf_dir), FeatureConfig(ratios=False, payments=True, balances=False))
+    return rounded(only.select(KEY, *engineered_names(FeatureConfig(ratios=False, payments=True, balances=False))))
+
+
+@query
+def one_record(spark, sf_dir):
+    """The account with the smallest key as a single record: class, probability, band and explanation in one row."""
+    values = derive_accounts(spark, sf_dir).orderBy(KEY).first().asDict()
+    record = readers.record(spark, values).withColumn(KEY, F.lit(values[KEY]).cast("bigint"))
+    _, how = attributed(spark, sf_dir)
+    scored = score.score(record, FIXED_SCORECARD)
+    ready = score.prepare_for_scoring(record)
+    best = explain.top_contributions(ready, how, [KEY], 3).select(
+        KEY, F.array_join(F.transform("explanation", lambda r: r["feature"]), ",").alias("explanation"))
+    return rounded(scored.select(KEY, "prediction", "probability", "risk_category").join(best, KEY))
+
+
+@query
+def train_job_tables(spark, sf_dir):
+    """The train job end to end on accounts with copies and gaps: what its tables and reports count."""
+    out = run_dir(spark, "train-job")
+    config = JobConfig(trainer=TrainerConfig(algorithms=(replace(LOGISTIC, grid={"C": (1.0,)}),), folds=2, max_iter=50), gate=False)
+    jobs.train_job(raw_accounts(spark, sf_dir), out, config, run_id="q")
+    read = lambda name: spark.read.parquet(f"{out}/{name}")
+    taken = read("reports/intake").selectExpr("stack(4, 'read', read, 'repeated', repeated, 'incomplete', incomplete, 'kept', kept) AS (part, n)")
+    judged = read("reports/metrics").selectExpr("'judged' AS part", "true_negatives + false_positives + false_negatives + true_positives AS n")
+    parts = [read(name).agg(F.count("*").alias("n")).select(F.lit(name).alias("part"), "n") for name in ("train", "test", "train_matrix", "test_matrix")]
+    out_rows = taken.unionByName(judged)
+    for part in parts:
+        out_rows = out_rows.unionByName(part)
+    return out_rows.select("part", F.col("n").cast("bigint").alias("n"))
+
+
 @query
 def dataset_checks(spark, sf_dir):
     return contract.dataset_checks(derive_accounts(spark, sf_dir), TRAINING_CONTRACT, KEY)
@@ -536,11 +607,16 @@ def prepared_matrix(spark, sf_dir):
 
 @query
 def matrix_export(spark, sf_dir):
-    train_m, _, names, _ = prepared_matrices(spark, sf_dir)
+    """Both matrices with keys as named text columns, read back in long form: scaled values, active indicators, label."""
+    train_m, test_m, names, stages = prepared_matrices(spark, sf_dir)
     path = run_dir(spark, "export")
-    writers.write_table(readers.matrix_columns(train_m, names), path, "csv")
-    return spark.read.option("header", True).schema(
-        T.StructType([T.StructField(n, T.DoubleType()) for n in [*names, "label"]])).csv(path)
+    writers.write_table(readers.matrix_columns(train_m.drop("fold").unionByName(test_m), names, key=[KEY]), path, "csv")
+    back = spark.read.option("header", True).schema(T.StructType([
+        T.StructField(KEY, T.LongType()), *(T.StructField(n, T.DoubleType()) for n in [*names, "label"])])).csv(path)
+    scaled = len(stages.stages[1].fitted()["numeric"])
+    cells = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(n).alias("feature"), F.col(q(n)).alias("value")) for i, n in enumerate([*names, "label"])])
+    long = back.select(KEY, F.inline(cells)).where(f"at < {scaled} OR value = 1 OR feature = 'label'")
+    return long.selectExpr(KEY, "feature", "round(value, 6) AS value")
 
 
 @query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +60,13 @@ def corrupt_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col(CORRUPT).isNotNull())
 
 
+def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of well-formed lines without the raw text, and the rows of malformed lines with it; None if none can occur."""
+    if CORRUPT not in df.columns:
+        return df, None
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), corrupt_rows(df)
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
@@ -78,10 +87,10 @@ def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("features", "label")
 
 
-def matrix_columns(df: DataFrame, names: list[str], features_col: str = "features") -> DataFrame:
-    """Feature vectors as one named column per feature, label last."""
+def matrix_columns(df: DataFrame, names: list[str], features_col: str = "features", key: Sequence[str] = ()) -> DataFrame:
+    """Feature vectors as one named column per feature, the key first if wanted, label last."""
     arr = vector_to_array(features_col)
-    return df.select(*[arr[i].alias(n) for i, n in enumerate(names)], "label")
+    return df.select(*key, *[arr[i].alias(n) for i, n in enumerate(names)], "label")
 
 
 def load_model(path: str) -> PipelineModel:

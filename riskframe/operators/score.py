@@ -67,6 +67,21 @@ FIXED_SCORECARD = Scorecard(
 )
 
 
+#: Three small trees for checking tree attribution: a leaf's log-odds and the interval (lo, hi] of each column leading to it.
+FIXED_TREE_COLUMNS = ("PAY_0", "AGE", "LIMIT_BAL")
+FIXED_LEAVES = (
+    (-0.8, (("PAY_0", -10.0, 0.0), ("AGE", 0.0, 40.0))),
+    (-0.3, (("PAY_0", -10.0, 0.0), ("AGE", 40.0, 200.0))),
+    (0.9, (("PAY_0", 0.0, 10.0), ("LIMIT_BAL", 0.0, 300000.0))),
+    (0.4, (("PAY_0", 0.0, 10.0), ("LIMIT_BAL", 300000.0, 1e9))),
+    (0.2, (("AGE", 0.0, 30.0),)),
+    (-0.1, (("AGE", 30.0, 60.0), ("LIMIT_BAL", 0.0, 500000.0), ("PAY_0", -10.0, 1.0))),
+    (0.7, (("AGE", 30.0, 60.0), ("LIMIT_BAL", 0.0, 500000.0), ("PAY_0", 1.0, 10.0))),
+    (0.05, (("AGE", 30.0, 60.0), ("LIMIT_BAL", 500000.0, 1e9))),
+    (-0.25, (("AGE", 60.0, 200.0),)),
+)
+
+
 def risk_band(probability: str, bands: RiskBands = DEFAULT_BANDS) -> str:
     """Band label; a missing or NaN probability lands in the last band."""
     op = "<" if bands.closed == "left" else "<="

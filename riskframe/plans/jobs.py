@@ -13,6 +13,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,7 +166,11 @@ def explain_job(df: DataFrame, model: PipelineModel, reports: str, config: JobCo
         vectors = fitted.transform(ready)
         background = explain.background_matrix(vectors, [key], cfg.background_rows, cfg.seed)
         sample = split.sample_rows(vectors, [key], cfg.sample_rows, cfg.seed)
-        long = explain.sampled_attribution(sample, classifier, names, key, background, cfg.permutations, cfg.seed)
+        if method == "tree":
+            boosted = isinstance(classifier, GBTClassificationModel)
+            long = explain.tree_attribution(sample, explain.tree_leaves(classifier), names, key, background, boosted)
+        else:
+            long = explain.sampled_attribution(sample, classifier, names, key, background, cfg.permutations, cfg.seed)
         writers.append_report(long, reports, "sampled_contributions", run_id)
         long = df.sparkSession.read.parquet(f"{reports}/sampled_contributions").where(F.col("run_id") == run_id)
         stats = explain.stats_of_long(long, len(names))

@@ -10,7 +10,7 @@ from riskframe.functions.labels import (
     EDUCATION_LABELS, GENDER_LABELS, MARRIAGE_LABELS, PAY_LABELS, READABLE_NAMES,
 )
 from riskframe.operators.features import BALANCE_FEATURES, PAYMENT_FEATURES, RATIO_FEATURES
-from riskframe.operators.score import FIXED_SCORECARD
+from riskframe.operators.score import FIXED_LEAVES, FIXED_SCORECARD, FIXED_TREE_COLUMNS
 
 ENGINEERED = RATIO_FEATURES + PAYMENT_FEATURES + BALANCE_FEATURES
 WEIGHTS = FIXED_SCORECARD.weights
@@ -365,6 +365,21 @@ SQL: dict[str, str] = {
         SELECT 'read' AS part, read AS n FROM n UNION ALL SELECT 'repeated', read - differing FROM n UNION ALL SELECT 'incomplete', differing - kept FROM n
         UNION ALL SELECT 'kept', kept FROM n UNION ALL SELECT 'judged', test FROM n UNION ALL SELECT 'test', test FROM n
         UNION ALL SELECT 'test_matrix', test FROM n UNION ALL SELECT 'train', kept - test FROM n UNION ALL SELECT 'train_matrix', kept - test FROM n""",
+    "fixed_tree_attribution": f"""{ON_ACCOUNTS}, hashed AS (SELECT account_id, {_list(FIXED_TREE_COLUMNS)}, {hash_sql()} AS h FROM accounts),
+        wide AS (SELECT account_id, h, {{{_list(f"'{c}': cast({c} AS double)" for c in FIXED_TREE_COLUMNS)}}} AS v FROM hashed),
+        long AS ({" UNION ALL ".join(f"SELECT account_id, h, '{c}' AS f, v.{c} AS x FROM wide" for c in FIXED_TREE_COLUMNS)}),
+        chosen AS (SELECT account_id FROM hashed ORDER BY h, account_id LIMIT 1000),
+        behind AS (SELECT account_id FROM hashed ORDER BY h, account_id LIMIT 100),
+        leaves(leaf, value, f, lo, hi) AS (VALUES {_list(f"({i}, {v}, '{c}', {lo}, {hi})" for i, (v, conditions) in enumerate(FIXED_LEAVES) for c, lo, hi in conditions)}),
+        mine AS (SELECT account_id, leaf, l.f, l.value, x > lo AND x <= hi AS yes FROM long JOIN leaves l USING (f) WHERE account_id IN (SELECT account_id FROM chosen)),
+        theirs AS (SELECT account_id AS other, leaf, l.f, x > lo AND x <= hi AS yes FROM long JOIN leaves l USING (f) WHERE account_id IN (SELECT account_id FROM behind)),
+        cells AS (SELECT m.account_id, t.other, m.leaf, m.f, m.value, m.yes AND NOT t.yes AS gains, t.yes AND NOT m.yes AS loses, NOT m.yes AND NOT t.yes AS dead
+                  FROM mine m JOIN theirs t ON m.leaf = t.leaf AND m.f = t.f),
+        counted AS (SELECT *, count(*) FILTER (gains) OVER w AS a, count(*) FILTER (loses) OVER w AS b, bool_or(dead) OVER w AS gone
+                    FROM cells WINDOW w AS (PARTITION BY account_id, other, leaf)),
+        parts AS (SELECT account_id, f, CASE WHEN gone THEN 0 WHEN gains THEN value * factorial(cast(a - 1 AS integer)) * factorial(cast(b AS integer)) / factorial(cast(a + b AS integer))
+                  WHEN loses THEN -value * factorial(cast(a AS integer)) * factorial(cast(b - 1 AS integer)) / factorial(cast(a + b AS integer)) ELSE 0 END AS phi FROM counted)
+        SELECT account_id, f AS feature, round(cast(sum(phi) AS double) / (SELECT count(*) FROM behind), 6) AS contribution FROM parts GROUP BY 1, 2""",
     "standard_scale": f"""{ON_FILLED}, s AS (SELECT {_list(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in NUMERIC_FEATURES)} FROM filled)
         SELECT account_id, {_list(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in NUMERIC_FEATURES)} FROM filled CROSS JOIN s""",
     "hash_split": f"{ON_ACCOUNTS} SELECT account_id, {hash_sql()} < {TEST_CUT} AS is_test FROM accounts",

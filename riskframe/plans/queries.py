@@ -12,7 +12,7 @@ from dataclasses import replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,14 +20,14 @@ from pyspark.sql import types as T
 from riskframe.config import (
     CATEGORICAL_FEATURES, DOCUMENTED_BANDS, EXPLAIN_BANDS, EXTREME_BOOSTING, GRADIENT_BOOSTING, KEY, LOGISTIC,
     NUMERIC_FEATURES, RANDOM_FOREST, RAW_KEY, SERVING_CONTRACT, TARGET, TARGET_SOURCE_NAMES, TRAINING_CONTRACT, ColumnRule,
-    Contract, FeatureConfig, JobConfig, TrainerConfig,
+    Contract, ExplainConfig, FeatureConfig, JobConfig, TrainerConfig,
 )
 from riskframe.functions.bounded import reused
 from riskframe.functions.columns import array, double, num, q, text, with_expressions
 from riskframe.functions.labels import readable_name
 from riskframe.operators import clean, contract, explain, metrics, prep, quality, score, split, train
 from riskframe.operators.features import engineered_names, with_engineered_features
-from riskframe.operators.score import FIXED_SCORECARD
+from riskframe.operators.score import FIXED_LEAVES, FIXED_SCORECARD, FIXED_TREE_COLUMNS
 from riskframe.plans import jobs
 from riskframe.sources import readers, writers
 from riskframe.sources.accounts import derive_accounts, table
@@ -630,11 +630,26 @@ def sampled_attribution(spark, sf_dir):
 
 @query
 def sampled_tree_attribution(spark, sf_dir):
+    """Boosted trees explained for the configured sample against the configured background, in log-odds."""
     train_m, test_m, names, _ = prepared_matrices(spark, sf_dir)
-    model = GBTClassifier(maxIter=20, maxDepth=3, seed=42).fit(train_m)
-    background = explain.background_matrix(train_m, [KEY], 20)
-    sample = split.sample_rows(test_m, [KEY], 50)
-    return explain.sampled_attribution(sample, model, names, KEY, background)
+    config = ExplainConfig()
+    model = GBTClassifier(maxIter=20, maxDepth=3, seed=config.seed).fit(train_m)
+    background = explain.background_matrix(train_m, [KEY], config.background_rows)
+    sample = split.sample_rows(test_m, [KEY], config.sample_rows)
+    return explain.tree_attribution(sample, explain.tree_leaves(model), names, KEY, background, True)
+
+
+@query
+def fixed_tree_attribution(spark, sf_dir):
+    """The same with three fixed trees, which SQL can follow."""
+    columns = list(FIXED_TREE_COLUMNS)
+    vectors = derive_accounts(spark, sf_dir).select(KEY, array_to_vector(F.array(*[F.col(c).cast("double") for c in columns])).alias("features"))
+    leaves = [explain.Leaf(value, tuple((columns.index(c), lo, hi) for c, lo, hi in conditions)) for value, conditions in FIXED_LEAVES]
+    config = ExplainConfig()
+    background = explain.background_matrix(vectors, [KEY], config.background_rows)
+    sample = split.sample_rows(vectors, [KEY], config.sample_rows)
+    long = explain.tree_attribution(sample, leaves, columns, KEY, background, True)
+    return rounded(long.select(KEY, "feature", "contribution"))
 
 
 # ---------------------------------------------------------------- streams

@@ -266,3 +266,38 @@ def test_sampled_tree_attribution(small_problem):
 
 def test_method_follows_the_model(fitted):
     assert explain.attribution_method(fitted[2].stages[2]) == "linear"
+
+
+@pytest.mark.parametrize("family", ["forest", "boosting"])
+def test_tree_attribution_equals_all_permutations(spark, family):
+    import itertools
+
+    import numpy as np
+    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 6, (120, 3)).astype(float)
+    y = ((x[:, 0] > 2) & (x[:, 1] < 4) | (x[:, 2] > 4)).astype(float)
+    df = spark.createDataFrame([(i, x[i].tolist(), float(y[i])) for i in range(120)], f"{KEY} bigint, x array<double>, label double").select(
+        KEY, array_to_vector("x").alias("features"), "label")
+    estimator = RandomForestClassifier(numTrees=4, maxDepth=4, seed=1) if family == "forest" else GBTClassifier(maxIter=4, maxDepth=3, seed=1)
+    model = estimator.fit(df)
+    leaves, background = explain.tree_leaves(model), x[:7]
+
+    def raw(z):
+        return sum(leaf.value for leaf in leaves if all(lo < z[f] <= hi for f, lo, hi in leaf.conditions))
+
+    out = explain.tree_attribution(df.where(f"{KEY} < 5"), leaves, ["a", "b", "c"], KEY, background, family == "boosting").toPandas()
+    chances = {r[KEY]: r.probability[1] for r in model.transform(df).collect()}
+    for i in range(5):
+        phi = np.zeros(3)
+        for order in itertools.permutations(range(3)):
+            for z in background:
+                at = z.copy()
+                for f in order:
+                    before, at[f] = raw(at), x[i][f]
+                    phi[f] += raw(at) - before
+        rows = out[out[KEY] == i].set_index("feature")
+        assert rows["contribution"][["a", "b", "c"]].tolist() == pytest.approx(list(phi / 6 / len(background)))
+        assert rows["probability"].iloc[0] == pytest.approx(chances[i])

@@ -115,7 +115,7 @@ def test_tree_pipeline_scores_and_explains(spark, accounts, tmp_path):
     out = str(tmp_path / "tree")
     result = jobs.train_job(clean.fill_missing_with_zero(accounts), out, config)
     why = spark.read.parquet(f"{out}/reports/attribution").first()
-    assert why.method == "sampled" and why.n_rows == 5
+    assert why.method == "tree" and why.n_rows == 5
     assert spark.read.parquet(f"{out}/reports/importances").count() == why.n_features
     parts = spark.read.parquet(f"{out}/reports/sampled_contributions").groupBy(KEY, "base_value", "probability").agg(
         F.sum("contribution").alias("c"))

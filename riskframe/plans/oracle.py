@@ -292,7 +292,7 @@ SELECT count(*) AS total_records, count(CASE WHEN prediction = 1 THEN 1 END) AS
        count(CASE WHEN risk_category = 'Medium Risk' THEN 1 END) AS medium_risk_count,
        count(CASE WHEN risk_category = 'Low Risk' THEN 1 END) AS low_risk_count FROM scored"""
 
-CODE_RULES = (("EDUCATION", (1, 2, 3, 4)), ("MARRIAGE", (1, 2, 3)), ("SEX", (1, 2)))
+CODE_RULES = tuple((r.column, r.allowed) for r in TRAINING.rules if r.allowed is not None)
 
 SQL: dict[str, str] = {
     "account_table": f"{ON_ACCOUNTS} SELECT account_id, {_list(ALL_COLUMNS)} FROM accounts",
@@ -301,9 +301,11 @@ SQL: dict[str, str] = {
     "fill_missing": f"{ON_FILLED} SELECT account_id, {_list(ALL_COLUMNS)} FROM filled",
     "text_round_trip": f"{ON_ACCOUNTS} SELECT account_id, {_list(ALL_COLUMNS)} FROM accounts",
     "dataset_checks": f"{ON_ACCOUNTS} {_schema_rows(TRAINING)} UNION ALL {_range_rows(TRAINING, 'accounts')}",
-    "invalid_values": f"{ON_ACCOUNTS} SELECT column_name, value, count(*) AS n FROM ("
-        + " UNION ALL ".join(f"SELECT '{c}' AS column_name, cast({c} AS double) AS value FROM accounts WHERE {c} IS NULL OR {c} NOT IN ({_list(map(str, ok))})"
-                             for c, ok in CODE_RULES) + ") GROUP BY column_name, value",
+    "invalid_values": f"""{ON_ACCOUNTS}, widened AS (SELECT {_list(ALL_COLUMNS)} FROM accounts UNION ALL
+        SELECT {_list({'EDUCATION': '9', 'SEX': 'NULL', 'MARRIAGE': 'MARRIAGE + 2'}.get(c, c) for c in ALL_COLUMNS)} FROM accounts WHERE account_id % 37 = 0)
+        SELECT column_name, value, count(*) AS n FROM ({" UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, cast({c} AS double) AS value FROM widened WHERE {c} IS NULL OR {c} NOT IN ({_list(map(str, ok))})"
+            for c, ok in CODE_RULES)}) GROUP BY column_name, value""",
     "row_violations": f"{ON_ACCOUNTS} SELECT account_id, v[1] AS first_violation, len(v) AS n_violations, array_to_string(v, ',') AS violations FROM (SELECT account_id, {_violations(TRAINING)} AS v FROM accounts)",
     "row_violations_serving": f"{ON_ACCOUNTS} SELECT account_id, v[1] AS first_violation, len(v) AS n_violations, array_to_string(v, ',') AS violations FROM (SELECT account_id, {_violations(SERVING)} AS v FROM accounts)",
     "quarantine_split": f"{ON_ACCOUNTS} SELECT account_id, len({_violations(SERVING)}) = 0 AS valid FROM accounts",

@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 
 from riskframe.config import (
     CATEGORICAL_FEATURES, DOCUMENTED_BANDS, EXPLAIN_BANDS, EXTREME_BOOSTING, GRADIENT_BOOSTING, KEY, LOGISTIC,
-    NUMERIC_FEATURES, RANDOM_FOREST, RAW_KEY, SERVING_CONTRACT, TARGET, TARGET_SOURCE_NAMES, TRAINING_CONTRACT, ColumnRule,
-    Contract, ExplainConfig, FeatureConfig, JobConfig, TrainerConfig,
+    NUMERIC_FEATURES, RANDOM_FOREST, RAW_KEY, SERVING_CONTRACT, TARGET, TARGET_SOURCE_NAMES, TRAINING_CONTRACT, Contract,
+    ExplainConfig, FeatureConfig, JobConfig, TrainerConfig,
 )
 from riskframe.functions.bounded import reused
 from riskframe.functions.columns import array, double, num, q, text, with_expressions
@@ -38,11 +38,6 @@ QUERIES: dict[str, Query] = {}
 PROFILED = (*NUMERIC_FEATURES, *CATEGORICAL_FEATURES, TARGET)
 COPY_OFFSET = 1_000_000_000_000
 CLOSED = 10
-CODED_CONTRACT = Contract("codes", (
-    ColumnRule("EDUCATION", "int", allowed=(1, 2, 3, 4)),
-    ColumnRule("MARRIAGE", "int", allowed=(1, 2, 3)),
-    ColumnRule("SEX", "int", allowed=(1, 2)),
-))
 
 
 def query(fn: Query) -> Query:
@@ -188,7 +183,11 @@ def dataset_checks(spark, sf_dir):
 
 @query
 def invalid_values(spark, sf_dir):
-    return contract.invalid_values(derive_accounts(spark, sf_dir), CODED_CONTRACT)
+    """All coded columns of the training contract, with codes that break it in a few rows."""
+    accounts = derive_accounts(spark, sf_dir)
+    broken = accounts.where(F.col(KEY) % 37 == 0).withColumns({
+        KEY: F.col(KEY) + COPY_OFFSET, "EDUCATION": F.lit(9).cast("bigint"), "SEX": F.lit(None).cast("bigint"), "MARRIAGE": F.col("MARRIAGE") + 2})
+    return contract.invalid_values(accounts.unionByName(broken), TRAINING_CONTRACT)
 
 
 def _violations(df: DataFrame, rules: Contract) -> DataFrame:
@@ -252,19 +251,19 @@ def numeric_profile(spark, sf_dir):
 @query
 def drift(spark, sf_dir):
     parted = split.hash_split(derive_accounts(spark, sf_dir), [KEY])
-    found = quality.group_drift(parted, "is_test", False, True, PROFILED)
+    found = quality.group_drift(parted, "is_test", False, True, PROFILED, TRAINING_CONTRACT.drift_threshold)
     return rounded(found.withColumnRenamed("column", "column_name"), 4, score=6)
 
 
 @query
 def outliers(spark, sf_dir):
-    found = quality.outlier_counts(derive_accounts(spark, sf_dir), PROFILED)
+    found = quality.outlier_counts(derive_accounts(spark, sf_dir), PROFILED, TRAINING_CONTRACT.outlier_threshold)
     return found.withColumnRenamed("column", "column_name")
 
 
 @query
 def outlier_rows(spark, sf_dir):
-    flagged = quality.with_outlier_flags(derive_accounts(spark, sf_dir), NUMERIC_FEATURES)
+    flagged = quality.with_outlier_flags(derive_accounts(spark, sf_dir), NUMERIC_FEATURES, TRAINING_CONTRACT.outlier_threshold)
     return flagged.select(KEY, F.size("outlier_columns").alias("n_outliers"))
 
 

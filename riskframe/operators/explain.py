@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import add_all, array, double, names_of, num, q, struct, text
-from riskframe.operators.score import Scorecard
+from riskframe.operators.score import Scorecard, sigmoid
 from riskframe.operators.split import sample_rows
 
 
@@ -155,9 +155,12 @@ def waterfall(df: DataFrame, how: LinearAttribution, keep: Sequence[str], max_di
             feature=text(f"{n - max_display + 1} other features"), value="CAST(NULL AS DOUBLE)",
             contribution=f"aggregate(slice(ordered, {max_display}, {n}), 0D, (acc, r) -> acc + r.contribution)")
         steps = f"concat(slice(ordered, 1, {max_display - 1}), array({other}))"
-    running = (
-        "transform(steps, (r, i) -> struct(i + 1 AS step, r.feature AS feature, r.contribution AS contribution, "
-        f"aggregate(slice(steps, 1, i + 1), {num(how.base_value)}, (acc, s) -> acc + s.contribution) AS running_total))")
+    # one pass that carries the running total
+    empty = "CAST(array() AS ARRAY<STRUCT<step: INT, feature: STRING, contribution: DOUBLE, running_total: DOUBLE>>)"
+    step = ("struct(size(acc.rows) + 1 AS step, r.feature AS feature, r.contribution AS contribution, "
+            "acc.total + r.contribution AS running_total)")
+    running = (f"aggregate(steps, struct({num(how.base_value)} AS total, {empty} AS rows), (acc, r) -> "
+               f"struct(acc.total + r.contribution AS total, concat(acc.rows, array({step})) AS rows), acc -> acc.rows)")
     kept = names_of(keep)
     return (df.selectExpr(*kept, f"{by_size(how.records())} AS ordered")
             .selectExpr(*kept, f"{steps} AS steps")
@@ -210,22 +213,25 @@ def contribution_matrix(scored: DataFrame, how: LinearAttribution, key: Sequence
 def partial_dependence(df: DataFrame, card: Scorecard, features: Sequence[str], points: int = 100) -> DataFrame:
     """Mean probability when one feature is set to each grid value between its extremes.
 
-    Every row is expanded by the fixed grid and averaged map-side, so only
-    features x points partial sums are shuffled.
+    The log-odds of a row are computed once; a grid value changes one term of them. So each feature is one aggregate of
+    ``points`` averages over the rows as they are, and one row per task is shuffled.
     """
     ends = df.agg(*[F.expr(struct(lo=f"min({double(f)})", hi=f"max({double(f)})")) for f in features]).first()
-    grid = []
+    base = df.selectExpr(f"{card.logit()} AS z", *[f"{double(f)} AS {q(f)}" for f in features])
+    out = None
     for i, f in enumerate(features):
         lo, hi = ends[i].lo, ends[i].hi
-        if lo is not None:
-            grid += [struct(feature=text(f), point=str(p),
-                            grid_value=num(float(lo + (hi - lo) * p / max(1, points - 1))))
-                     for p in range(points)]
-    inputs = [f"{double(f)} AS {q(f)}" for f in card.features]
-    numbered = df.selectExpr(*inputs, f"inline({array(grid)})")
-    override = {f: f"CASE WHEN feature = {text(f)} THEN grid_value ELSE {q(f)} END" for f in features}
-    return (numbered.selectExpr("feature", "point", "grid_value", f"{card.probability(override)} AS p")
-            .groupBy("feature", "point", "grid_value").agg(F.avg("p").alias("mean_probability")))
+        if lo is None:
+            continue
+        weight = num(float(card.weights[f]))
+        grid = [float(lo + (hi - lo) * p / max(1, points - 1)) for p in range(points)]
+        shifted = [sigmoid(f"(z + {weight} * ({num(g)} - {q(f)}))") for g in grid]
+        curve = _wide_aggregate(base, [struct(feature=text(f), point=str(p), grid_value=num(g), mean_probability=f"avg({e})")
+                                       for p, (g, e) in enumerate(zip(grid, shifted))])
+        out = curve if out is None else out.unionByName(curve)
+    if out is None:
+        raise ValueError("no feature has a present value")
+    return out
 
 
 # ---------------------------------------------------------------- sampled attribution

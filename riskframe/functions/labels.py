@@ -26,12 +26,6 @@ READABLE_NAMES = {
     **{f"BILL_AMT{m}": f"Bill Amount ({m} months ago)" for m in range(2, 7)},
     "PAY_AMT1": "Payment Amount (Current)",
     **{f"PAY_AMT{m}": f"Payment Amount ({m} months ago)" for m in range(2, 7)},
-    "credit_utilization_ratio": "Credit Utilization Ratio",
-    "avg_payment_ratio": "Avg Payment Ratio",
-    "payment_consistency": "Payment Consistency",
-    "recent_payment_trend": "Recent Payment Trend",
-    "bill_payment_ratio": "Bill to Payment Ratio",
-    "balance_trend": "Balance Trend",
 }
 
 

@@ -127,6 +127,7 @@ def verdict(checks: DataFrame) -> DataFrame:
 
 def status_lines(one_verdict: DataFrame) -> DataFrame:
     """The verdict as the six text lines of a status report."""
+    # The wording of the report.
     lines = array([
         "concat('Validation Status: ', validation_status)",
         "concat('Column Validation: ', column_validation)",

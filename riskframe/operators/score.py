@@ -146,6 +146,7 @@ def batch_summary(scored: DataFrame, bands: RiskBands = DEFAULT_BANDS) -> DataFr
     """Totals of one scored batch; zero counts, and a null mean, for an empty batch."""
     counts = [F.expr(f"count_if(risk_category = {text(label)})").alias(f"{label.split()[0].lower()}_risk_count")
               for label in reversed(bands.labels)]
+    # The names of the summary.
     return scored.agg(
         F.expr("count(*) AS total_records"),
         F.expr("count_if(prediction = 1) AS default_predictions"),

@@ -11,17 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.config import RAW_KEY, TARGET_SOURCE_NAMES
-from riskframe.functions.columns import FLOATING, q, with_expressions
+from riskframe.functions.columns import FLOATING, finite_or_null, with_expressions
 from riskframe.sources.schema import account_schema
 
 CORRUPT = "_corrupt"
 FORMATS = ("parquet", "orc", "csv", "json")
 
 
-def missing_for_nan(df: DataFrame) -> DataFrame:
-    """NaN cells become null, so aggregates skip them."""
+def missing_for_non_finite(df: DataFrame) -> DataFrame:
+    """NaN and infinite cells become null, so aggregates skip them."""
     floating = [f.name for f in df.schema.fields if isinstance(f.dataType, FLOATING)]
-    return with_expressions(df, {c: f"CASE WHEN NOT isnan({q(c)}) THEN {q(c)} END" for c in floating})
+    return with_expressions(df, {c: finite_or_null(c) for c in floating})
 
 
 def csv_schema(spark: SparkSession, path: str) -> T.StructType:
@@ -53,7 +53,7 @@ def read_accounts(spark: SparkSession, path: str, fmt: str = "parquet",
         reader = reader.option("header", True)
         if infer:
             reader = reader.option("inferSchema", True)
-    return missing_for_nan(reader.format(fmt).load(path))
+    return missing_for_non_finite(reader.format(fmt).load(path))
 
 
 def corrupt_rows(df: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-# the sample record whose features are worked out by hand
+# The sample record whose features are worked out by hand.
 SAMPLE = {
     "LIMIT_BAL": 50000, "SEX": 2, "EDUCATION": 2, "MARRIAGE": 1, "AGE": 35,
     "PAY_0": 1, "PAY_2": 2, "PAY_3": 0, "PAY_4": 0, "PAY_5": 0, "PAY_6": 0,

@@ -77,7 +77,10 @@ def scored_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attributed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, explain.LinearAttribution]:
-    df = scored_accounts(spark, sf_dir)
+    """Scored accounts and their attribution. The table is written once: background, rankings and results read it pruned."""
+    path = run_dir(spark, "scored")
+    writers.write_table(scored_accounts(spark, sf_dir), path)
+    df = spark.read.parquet(path)
     return df, explain.linear_attribution(df, FIXED_SCORECARD, [KEY])
 
 
@@ -502,18 +505,18 @@ def readable_names(spark, sf_dir):
 # ---------------------------------------------------------------- fitted models
 
 def prepared_matrices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str], PipelineModel]:
-    """Written train (with folds) and test matrices, feature names and the fitted stages."""
+    """Train matrix (with folds), test matrix, feature names and the fitted stages.
+
+    Accounts and matrices are written once each; train and test are filters on one marked table.
+    """
     out = run_dir(spark, "prepared")
-    accounts = clean.fill_missing_with_zero(derive_accounts(spark, sf_dir))
-    writers.write_table(accounts, f"{out}/accounts")
-    writers.write_table(split.exact_split(spark.read.parquet(f"{out}/accounts"), [KEY]), f"{out}/split")
-    train_rows, test_rows = split.train_and_test(spark.read.parquet(f"{out}/split"))
-    stages = Pipeline(stages=[prep.RepaymentFeatures(), prep.AccountPrep()]).fit(train_rows)
-    for name, part in (("train", train_rows), ("test", test_rows)):
-        ready = stages.transform(part).withColumn("label", F.col(TARGET).cast("double"))
-        writers.write_matrix(ready, f"{out}/{name}", [KEY])
-    train_m = split.with_fold(spark.read.parquet(f"{out}/train"), [KEY], label="label")
-    return train_m, spark.read.parquet(f"{out}/test"), stages.stages[1].feature_names(), stages
+    writers.write_table(clean.fill_missing_with_zero(derive_accounts(spark, sf_dir)), f"{out}/accounts")
+    marked = split.exact_split(spark.read.parquet(f"{out}/accounts"), [KEY])
+    stages = Pipeline(stages=[prep.RepaymentFeatures(), prep.AccountPrep()]).fit(marked.where("NOT is_test"))
+    ready = stages.transform(marked).select(KEY, "features", F.col(TARGET).cast("double").alias("label"), "is_test")
+    writers.write_table(ready, f"{out}/matrix")
+    train_m, test_m = split.train_and_test(spark.read.parquet(f"{out}/matrix"))
+    return split.with_fold(train_m, [KEY], label="label"), test_m, stages.stages[1].feature_names(), stages
 
 
 def _logistic(rows: int) -> LogisticRegression:

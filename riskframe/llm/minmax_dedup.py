@@ -5,24 +5,25 @@ evaluations of plain min-hashing are needed and the estimate stays unbiased with
 documents that share a band are candidates, and every link is confirmed on the full shingle sets.
 
 Copies first collapse to one node for each distinct set. In each band bucket all nodes are compared with the smallest one
-(a star, never all pairs). Buckets whose nodes are then still in different components are compared further: pairs across
-components whose set sizes and signatures allow the threshold are confirmed as well.
+(a star, never all pairs). Buckets whose nodes are then still in different components are compared further: first each
+node outside a bucket's largest component with its likeliest partners, then every pair across components that is left and
+whose set sizes and signatures allow the threshold.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from riskframe.llm.common import per_worker, staged
-from riskframe.llm.components import components
+from riskframe.llm.common import partitions, per_worker, staged
+from riskframe.llm.components import components, joined
 
 SHINGLE = 5
 #: Share of the union, in hundredths, from which documents are linked.
@@ -30,8 +31,12 @@ THRESHOLD = 75
 BANDS, ROWS = 40, 4
 #: A pair at the threshold shares no band with probability (1 - 0.75**4)**40 = 2.5e-7.
 PERMUTATIONS = BANDS * ROWS // 2
-#: Pairs whose signatures agree in a smaller share are not confirmed: 5.8 standard deviations below the threshold.
-ALIKE = 0.55
+#: Pairs whose signatures agree in a smaller share are not confirmed: 4.7 standard deviations below the threshold.
+ALIKE = 0.59
+#: The last pairs are judged by this many permutations more, six standard deviations below the threshold.
+FINE, FINE_ALIKE = 512, 0.66
+#: Likeliest partners in other components that each node is confirmed with before all that are left.
+FIRST = 3
 #: Nodes of one bucket compared with each other in one task; larger buckets become pairs of blocks.
 BLOCK = 2048
 BROADCAST_IDS = 500_000
@@ -69,29 +74,27 @@ def shingles(text: str | None, hashed) -> np.ndarray:
     return np.unique(out)
 
 
-def permutations() -> tuple[np.ndarray, np.ndarray]:
-    draw = np.random.default_rng(20260101)
-    return draw.integers(0, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1), draw.integers(0, 1 << 63, PERMUTATIONS, np.uint64)
+def permutations(count: int = PERMUTATIONS, seed: int = 20260101) -> tuple[np.ndarray, np.ndarray]:
+    factors, offsets = np.random.default_rng(seed).integers(0, 1 << 31, (2, count, 1), np.uint32)
+    return factors * np.uint32(2) + np.uint32(1), offsets
 
 
 def signature(found: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Minima of all permutations, then their maxima, 32 bits each."""
-    low, high = np.full(PERMUTATIONS, 2 ** 64 - 1, np.uint64), np.zeros(PERMUTATIONS, np.uint64)
-    for start in range(0, len(found), 2048):
-        image = found[start:start + 2048, None] * factors + offsets
-        image ^= image >> np.uint64(32)
-        image *= _MIX
-        low, high = np.minimum(low, image.min(0)), np.maximum(high, image.max(0))
-    return (np.concatenate([low, high]) >> np.uint64(32)).astype("<u4")
+    """Minima of all permutations of 32-bit hashes, then their maxima, 16 bits of each."""
+    low, high = np.full(len(factors), 2 ** 32 - 1, np.uint32), np.zeros(len(factors), np.uint32)
+    short = (found >> np.uint64(32)).astype(np.uint32)
+    for start in range(0, len(short), 1024):
+        image = short[start:start + 1024] * factors
+        image += offsets
+        image ^= image >> np.uint32(15)
+        image *= np.uint32(0x846CA68B)
+        low, high = np.minimum(low, image.min(1)), np.maximum(high, image.max(1))
+    return np.concatenate([low, high]).astype("<u2")  # the low bits tell values apart
 
 
 def band_keys(values: np.ndarray) -> np.ndarray:
-    rows = values.astype(np.uint64).reshape(BANDS, ROWS)
-    out = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for k in range(ROWS):
-        out = (out ^ rows[:, k]) * _MIX
-        out ^= out >> np.uint64(29)
-    return out.view(np.int64)
+    """One 64-bit key for each band: its four 16-bit values as they are, so equal keys are equal values."""
+    return np.ascontiguousarray(values).view("<i8")
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -119,11 +122,27 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def chosen_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The (id, text) rows of some ids. A short list is broadcast, which spares shuffling the texts; a longer one is joined by shuffle."""
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+
+
+def fine_values(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, fine): longer signatures of some documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed, (factors, offsets) = per_worker("words", None, Words), permutations(FINE, 20260102)
+        for batch in batches:
+            fine = [signature(shingles(text, hashed), factors, offsets).astype(np.uint8).tobytes() for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fine, pa.binary())], ["id", "fine"])
+
+    return chosen_texts(docs, ids).mapInArrow(run, "id bigint, fine binary").dropDuplicates(["id"])
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Those pairs (a, b) of nodes whose full shingle sets reach the threshold. Sets are made from the texts of candidates only."""
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    # a list of ids this short is broadcast, which spares shuffling the texts; a longer one is joined by shuffle
-    texts = docs.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "id", "left_semi")
+    texts = chosen_texts(docs, wanted)
     schema = StructType([StructField("id", LongType()), StructField("s", ArrayType(LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,31 +167,84 @@ def _blocks(open_: DataFrame) -> DataFrame:
         "low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
 
 
-def across(open_: DataFrame) -> DataFrame:
+def partners(band: int, ids: np.ndarray, components_: np.ndarray, n: np.ndarray, block: np.ndarray, values: np.ndarray,
+             fine: np.ndarray, split: bool, most: int | None) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Pairs to confirm in one bucket (or pair of blocks), whose nodes come by growing set size.
+
+    When all partners are wanted, a pair is named by the first band it shares only.
+    """
+    keys = band_keys(values)
+    _, code, size = np.unique(components_, return_inverse=True, return_counts=True)
+    main, a, b = code == size.argmax(), [], []
+    for i in np.flatnonzero(~main):
+        # sets too small or too large can't reach the threshold
+        near = np.arange(np.searchsorted(n, -(-n[i] * THRESHOLD // 100)), np.searchsorted(n, n[i] * 100 // THRESHOLD, "right"))
+        near = near[(code[near] != code[i]) & (main[near] | (near > i) | (most is not None))]
+        if split:
+            near = near[block[near] != block[i]]
+        if most is None:
+            near = near[~(keys[near, :band] == keys[i, :band]).any(1)]
+        if not len(near):
+            continue
+        alike = (values[near] == values[i]).mean(1)
+        near, alike = near[alike >= ALIKE], alike[alike >= ALIKE]
+        if fine.size and len(near):
+            near = near[(fine[near] == fine[i]).mean(1) >= FINE_ALIKE]
+        if most is not None and len(near) > most:
+            near = near[np.argsort(-alike, kind="stable")[:most]]
+        a.append(np.minimum(ids[near], ids[i]))
+        b.append(np.maximum(ids[near], ids[i]))
+    return a, b
+
+
+def across(open_: DataFrame, most: int | None) -> DataFrame:
     """Distinct pairs (a, b) that share an open bucket, lie in different components and may reach the threshold.
 
-    ``open_`` has (band, key, id, component, n, values).
+    ``open_`` has (band, key, id, component, n, values, fine); fine signatures may all be empty. Every such pair has a node outside the bucket's largest component,
+    so only those nodes are compared with the others; each names its ``most`` likeliest partners, or all of them. Buckets
+    follow each other in sorted partitions, and a task holds one batch and one bucket at a time.
     """
+    group = ["band", "key", "low", "high"]
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n", "id"])
-        ids, comps, n, block = (rows[c].to_numpy() for c in ("id", "component", "n", "block"))
-        low, high = rows["low"].iloc[0], rows["high"].iloc[0]
-        values = np.frombuffer(b"".join(rows["values"]), "<u4").reshape(len(rows), 2 * PERMUTATIONS)
-        a, b = [], []
-        for i in range(len(rows) - 1):
-            end = np.searchsorted(n, n[i] * 100 // THRESHOLD, "right")  # larger sets can't reach the threshold
-            near = np.arange(i + 1, end)
-            near = near[comps[near] != comps[i]]
-            if low != high:
-                near = near[block[near] != block[i]]
-            if len(near):
-                near = near[(values[near] == values[i]).mean(1) >= ALIKE]
-                a.append(np.minimum(ids[near], ids[i]))
-                b.append(np.maximum(ids[near], ids[i]))
-        return pd.DataFrame({"a": np.concatenate(a or [np.zeros(0, np.int64)]), "b": np.concatenate(b or [np.zeros(0, np.int64)])})
-
-    return _blocks(open_).groupBy("band", "key", "low", "high").applyInPandas(run, "a bigint, b bigint").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                held = pa.concat_batches([held, batch]) if held is not None else batch
+            if held is None or not held.num_rows:
+                continue
+            columns = [held.column(i).to_numpy() for i in range(8)]
+            new = np.any([c[1:] != c[:-1] for c in columns[:4]], axis=0)
+            begins = np.r_[0, np.flatnonzero(new) + 1, held.num_rows]
+            # the last bucket may go on in the next batch
+            whole = len(begins) - 1 if batch is None else len(begins) - 2
+            values, fine = (np.frombuffer(b"".join(held.column(c).to_pylist()), kind).reshape(held.num_rows, -1)
+                            for c, kind in ((8, "<u2"), (9, np.uint8)))
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for i, j in zip(begins[:whole], begins[1:whole + 1]):
+                ids, found, n, block = (c[i:j] for c in columns[4:])
+                some = partners(int(columns[0][i]), ids, found, n, block, values[i:j], fine[i:j], columns[2][i] != columns[3][i], most)
+                a += some[0]
+                b += some[1]
+            held = None if batch is None else held.slice(begins[whole])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    rows = _blocks(open_).select(*group, "id", "component", "n", "block", "values", "fine")
+    dealt = rows.repartition(partitions(rows.sparkSession), *group).sortWithinPartitions(*group, "n", "id")
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def still_open(members: DataFrame, found: DataFrame, nodes: DataFrame, docs: DataFrame, fine: bool) -> DataFrame:
+    """The members of buckets whose nodes are in several components; with two nodes, the star has compared them already."""
+    placed = staged(members.select("band", "key", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select(
+        "band", "key", "id", F.coalesce("component", "id").alias("component")), "placed")
+    ends = F.count("*").alias("m"), F.min("component").alias("x"), F.max("component").alias("y")
+    unsettled = placed.groupBy("band", "key").agg(*ends).where("x <> y AND m > 2").select("band", "key")
+    open_ = staged(placed.join(unsettled, ["band", "key"], "left_semi"), "open")
+    sketched = nodes.select("id", "n", "values")
+    if not fine:
+        return open_.join(sketched, "id").withColumn("fine", F.lit(b""))
+    return open_.join(sketched.join(fine_values(docs, open_.select("id").distinct()), "id"), "id")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -192,14 +264,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
     texts = docs.where("id is not null")
     stars = staged(members.where("id <> a").select("a", F.col("id").alias("b")).distinct(), "stars")
     links = staged(confirmed(stars, texts), "links")
-    first = components(links)
-    placed = members.select("band", "key", "id").join(first.withColumnRenamed("node", "id"), "id", "left").select(
-        "band", "key", "id", F.coalesce("component", "id").alias("component"))
-    placed = staged(placed, "placed")
-    unsettled = placed.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band", "key")
-    open_ = placed.join(unsettled, ["band", "key"], "left_semi").join(nodes.select("id", "n", "values"), "id")
-    further = staged(across(open_).join(stars, ["a", "b"], "left_anti"), "pairs")
-    found = first if further.isEmpty() else components(links.unionByName(confirmed(further, texts)))
+    found, tried = components(links), stars
+    for most in (FIRST, None):  # the likeliest partners settle most buckets; then everything that is left
+        pairs = staged(across(still_open(members, found, nodes, texts, most is None), most).join(tried, ["a", "b"], "left_anti"), "pairs")
+        new = staged(confirmed(pairs, texts), "links")
+        tried = tried.unionByName(pairs)
+        if not new.isEmpty():
+            found = staged(joined(found, new), "components")
     # ids of nodes stand for their sets; a component is named by its smallest node, which is its smallest document
     named = nodes.select("set_key", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "set_key", F.coalesce("component", "id").alias("component"))

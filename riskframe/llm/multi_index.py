@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import staged
+from riskframe.llm.common import partitions, staged
 
 #: Centroids of each half, and bound of the sample of vectors they are fitted to.
 CENTROIDS, SAMPLE, ROUNDS = 64, 20_000, 12
@@ -178,7 +178,9 @@ def search(vectors: DataFrame, queries: F.Column, k: int = 20, key: str = "vec_i
                      pa.array([b for b, _, _ in blocks], pa.int64()), pa.array([c for _, c, _ in blocks], pa.int64()),
                      pa.array([m for _, _, m in blocks], pa.list_(pa.int64()))], ["q", "v", "block", "cut", "met"])
 
-    probes = distinct.select("q", "v").mapInArrow(probe, "q bigint, v array<double>, block bigint, cut bigint, met array<bigint>").withColumn(
+    # walking costs far more than its input's size suggests, so the queries are spread over all tasks
+    spread = distinct.select("q", "v").repartition(partitions(spark), "q")
+    probes = spread.mapInArrow(probe, "q bigint, v array<double>, block bigint, cut bigint, met array<bigint>").withColumn(
         "chunk", F.pmod(F.xxhash64("q"), F.lit(chunks)))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

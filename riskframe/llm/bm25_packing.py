@@ -33,8 +33,8 @@ WINDOW = 2048
 END_ID = 1
 #: A shard is closed at so many documents or ids, whichever comes first.
 SHARD_DOCS, SHARD_IDS = 1024, 1 << 21
-#: Heaviest terms of a seed that are looked up.
-QUERY_TERMS = 24
+#: Terms of a seed that are looked up: all of them.
+QUERY_TERMS = float("inf")
 #: Ids in a row that one hash of the layout covers.
 RUN = 8
 K1, B = 1.2, 0.75
@@ -149,26 +149,28 @@ class Shard:
         length = np.array([len(ids) for ids in docs], np.float32)[owner]
         self.weight = idf[self.terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / np.float32(mean_length)))
         order = np.argsort(self.terms, kind="stable")
-        self.docs, self.weights = owner[order], self.weight[order]
+        self.docs, self.weights = owner[order], self.weight[order].astype(np.float64)
         self.vocabulary, first = np.unique(self.terms[order], return_index=True)
         self.first = np.append(first, len(order))
 
     def scores(self, doc: int) -> np.ndarray:
-        """BM25 of every document of the shard for the heaviest terms of one."""
-        own = slice(self.begin[doc], self.begin[doc + 1])
-        terms, weight = self.terms[own], self.weight[own]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-weight, QUERY_TERMS)[:QUERY_TERMS]]
-        at = np.searchsorted(self.vocabulary, terms)
-        spans = [slice(self.first[i], self.first[i + 1]) for i in at]
+        """BM25 of every document of the shard for all terms of one."""
+        at = np.searchsorted(self.vocabulary, self.terms[self.begin[doc]:self.begin[doc + 1]])
+        spans = list(map(slice, self.first[at].tolist(), self.first[at + 1].tolist()))
         return np.bincount(np.concatenate([self.docs[s] for s in spans]), np.concatenate([self.weights[s] for s in spans]), self.n)
 
+    def drop(self, unused: np.ndarray) -> None:
+        """Take the postings of used documents out; the scores of the others stay the same."""
+        kept = unused[self.docs]
+        self.first = np.r_[0, np.cumsum(kept)][self.first]
+        self.docs, self.weights = self.docs[kept], self.weights[kept]
+
 
 def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of each piece, sequences counted from 0."""
     index, unused, next_unused = Shard(docs, idf, mean_length), np.ones(len(docs), bool), 0
     sequence = offset = 0
-    seed, start = 0, 0
+    seed, start, indexed = 0, 0, len(docs)
     unused[0] = False
     while True:
         if offset == window:
@@ -183,6 +185,9 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, wind
         scores, doc = None, seed
         while offset < window:  # neighbours in falling order; then whatever comes next
             if scores is None:
+                if (left := np.count_nonzero(unused)) < 0.75 * indexed:
+                    index.drop(unused)
+                    indexed = left
                 scores = np.where(unused, index.scores(seed), -1.0)
             doc = int(np.argmax(scores))
             if scores[doc] <= 0:

@@ -2,9 +2,10 @@
 
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from riskframe.llm import shuffle_shards
+from riskframe.llm import bm25_packing, shuffle_shards
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -43,3 +44,42 @@ def test_no_bucket_outgrows_memory(spark):
     assert largest(copies, bucket_rows=300)["n"] <= 450
     long = [(i, "x" * 1000) for i in range(200)]
     assert largest(long, bucket_bytes=20_000)["b"] <= 45_000
+
+
+# --- packing ------------------------------------------------------------------------------------------------------------
+
+def bm25_case(n=60, vocabulary=400):
+    draw = np.random.default_rng(3)
+    ids = [draw.integers(0, vocabulary, draw.integers(60, 200)) for _ in range(n)]
+    df = np.bincount(np.concatenate([np.unique(x) for x in ids]), minlength=vocabulary)
+    return ids, np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32), float(np.mean([len(x) for x in ids]))
+
+
+def brute_bm25(ids, idf, mean, seed):
+    """BM25 of every document for every distinct id of the seed, none cut."""
+    return np.array([sum(idf[t] * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * len(x) / mean)) for t in np.unique(ids[seed]) if (c := (x == t).sum())) for x in ids])
+
+
+def test_every_term_of_a_seed_counts():
+    ids, idf, mean = bm25_case()
+    shard = bm25_packing.Shard(ids, idf, mean)
+    unused = np.arange(len(ids)) % 3 > 0
+    for seed in range(0, 60, 4):
+        assert len(np.unique(ids[seed])) > 24
+        assert np.allclose(shard.scores(seed), brute_bm25(ids, idf, mean, seed), rtol=1e-4)
+    shard.drop(unused)
+    for seed in (0, 1, 2):
+        assert np.allclose(shard.scores(seed)[unused], brute_bm25(ids, idf, mean, seed)[unused], rtol=1e-4)
+
+
+def test_a_window_takes_the_neighbours_by_all_terms():
+    ids, idf, mean = bm25_case()
+    unused, seed = set(range(1, len(ids))), 0
+    pieces = list(bm25_packing.pack_shard(ids, idf, mean, window=600))
+    for sequence in range(pieces[-1][3] - 1):
+        taken = [d for d, start, _, s, _ in pieces if s == sequence and d != seed and start == 0]
+        scores = brute_bm25(ids, idf, mean, seed)
+        assert taken == sorted(unused, key=lambda d: -scores[d])[:len(taken)]
+        unused -= set(taken)
+        seed = next(d for d, *_ , s, offset in pieces if s == sequence + 1 and offset == 0)
+        unused.discard(seed)

@@ -1,9 +1,9 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into lines: every block-level tag ends a line, and whatever is cut out (scripts, styles, forms,
-menus, headers, footers, sidebars, notices, adverts, comments) leaves blank lines behind. The text lengths of ``WINDOW``
+menus, headers, footers, notices, comments) leaves blank lines behind, adverts and asides none. The weights of ``WINDOW``
 consecutive lines are summed; the distribution surges where text starts and dives to zero where it ends. Text between
-a surge and its dive is kept if the run is long enough, or if the page marks it as its article.
+a surge and its dive is kept if the run is heavy enough; a line weighs its length, and more where the page marks an article.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 #: Lines summed for one point of the distribution.
 WINDOW = 3
-#: A run without an article mark surges if one of its windows holds this many characters.
+#: A run surges if one of its windows weighs so much; also what an article mark adds to a line of text.
 SURGE = 80
 
 # HTML element names and words that mark page furniture.
@@ -35,6 +35,8 @@ FURNITURE = re.compile(
     r"foot(?:er)?\w*|head(?:er)?|masthead|topbar|toolbar|comments?|commentlist|disqus|respond|replies|notices?|cookies?\w*|"
     r"consent|gdpr|popup|modal|overlay|newsletter|subscribe|share|sharing|social|related|recommended|widget\w*|"
     r"pagination|pager|copyright|legal|disclaimer|skip-link|login|search(?:-?form|-?box)?)(?:$|[\s_-])", re.I)
+ADVERT = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|newsletter|subscribe|share|sharing|social|related|recommended)(?:$|[\s_-])", re.I)
 FURNITURE_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu"))
 
 _TOKEN = re.compile(
@@ -66,37 +68,75 @@ def _is_furniture(name: str, attributes: str) -> bool:
     return False
 
 
-def strip_markup(page: str) -> list[tuple[str, bool]]:
-    """Lines of a page with a flag for those inside its article. Cut parts leave ``WINDOW`` blank lines.
+def _is_advert(name: str, attributes: str) -> bool:
+    """Cut parts that stand in the middle of a text."""
+    return name == "aside" or any(key.lower() in ("class", "id") and ADVERT.search(value.strip("\"'")) for key, value in _ATTRIBUTE.findall(attributes))
 
-    A header inside an article carries its headline and stays. A cut element that is never closed ends where an article
-    starts, else with the page.
+
+def _closers(tokens: list[re.Match]) -> dict[int, int]:
+    """Where each opened element is closed, by the positions of the tags; elements never closed are left out."""
+    opened: dict[str, list[int]] = {}
+    closed: dict[int, int] = {}
+    for i, m in enumerate(tokens):
+        name = (m[3] or "").lower()
+        if not name or name in VOID:
+            continue
+        if m[2]:
+            if opened.get(name):
+                closed[opened[name].pop()] = i
+        elif not m[4].endswith("/"):
+            opened.setdefault(name, []).append(i)
+    return closed
+
+
+def strip_markup(page: str) -> list[tuple[str, int]]:
+    """Lines of a page with their weight in the distribution.
+
+    A line weighs its length and ``SURGE`` more inside an article. A line that is mostly link text stays, with a weight of 1,
+    if some of its words are no link and text is near on both sides; else it is a menu and blank. Cut parts and the
+    ends of an article leave ``WINDOW`` blank lines; a cut advert leaves none, as text goes on behind it. A header inside an
+    article carries its headline and stays. A cut element that is never closed ends where an article starts, else with the
+    page; nothing inside a closed one is kept.
     """
-    lines: list[tuple[str, bool]] = []
+    lines: list[tuple[str, int]] = []
+    links: list[tuple[int, bool]] = []
     parts: list[str] = []
     linked = text_size = 0
+    words = False
     article = anchors = 0
-    cut, depth = "", 0
+    tokens = list(_TOKEN.finditer(page))
+    closed = _closers(tokens)
+    cut, until = False, -1
     at = 0
 
     def end_line() -> None:
-        nonlocal linked, text_size
+        nonlocal linked, text_size, words
         line = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if line and not article and 2 * linked > text_size:
-            line = ""  # a line of links is a menu
-        lines.append((line, article > 0))
+            links.append((len(lines), words))
+            lines.append((line, 0))
+        else:
+            lines.append((line, len(line) + (SURGE if line and article else 0)))
         parts.clear()
         linked = text_size = 0
+        words = False
+
+    def blank() -> None:
+        lines.extend([("", 0)] * WINDOW)
 
     def add(piece: str) -> None:
-        nonlocal linked, text_size
+        nonlocal linked, text_size, words
         if piece and not cut:
             parts.append(piece)
             size = len(piece) - piece.count(" ")
             text_size += size
             linked += size if anchors else 0
+            words = words or not anchors and any(map(str.isalpha, piece))
 
-    for m in _TOKEN.finditer(page):
+    for i, m in enumerate(tokens):
+        if i <= until:
+            at = m.end()
+            continue
         add(page[at:m.start()])
         at = m.end()
         name = (m[3] or "").lower()
@@ -106,15 +146,13 @@ def strip_markup(page: str) -> list[tuple[str, bool]]:
             continue
         closing = bool(m[2])
         if cut:
-            if name == cut and name not in VOID:
-                depth += -1 if closing else 0 if m[4].endswith("/") else 1
-                if depth == 0:
-                    cut = ""
-            elif name in MAIN and not closing and not article:
-                cut, depth = "", 0
+            if not closing and name in MAIN:
+                cut = False
                 article += 1
+            elif not closing and i in closed and _is_furniture(name, m[4]):
+                until = closed[i]
             continue
-        if name == "a":
+        if name == "a" and (closing or not (m[4] and _is_furniture(name, m[4]))):
             anchors = 0 if closing else 1
             continue
         if name in INLINE and not (m[4] and _is_furniture(name, m[4])):
@@ -124,16 +162,28 @@ def strip_markup(page: str) -> list[tuple[str, bool]]:
             if name in MAIN:
                 article = max(0, article - 1)
                 anchors = 0
+                blank()
             continue
         inner_header = name == "header" and article
         if name not in VOID and not m[4].endswith("/") and not inner_header and _is_furniture(name, m[4]):
-            cut, depth = name, 1
-            lines.extend([("", article > 0)] * WINDOW)
+            if not _is_advert(name, m[4]):
+                blank()
+            if i in closed:
+                until = closed[i]
+            else:
+                cut = True
         elif name in MAIN:
             article += 1
+            blank()
     if not cut:
         add(page[at:] if not page.startswith("<", at) else "")
     end_line()
+    menus = [i for i, some in links if not (some and all(
+        next((weight for text, weight in side if text), 0) for side in (lines[max(0, i - WINDOW):i][::-1], lines[i + 1:i + 1 + WINDOW])))]
+    for i, _ in links:
+        lines[i] = (lines[i][0], 1)
+    for i in menus:
+        lines[i] = ("", 0)
     return lines
 
 
@@ -157,18 +207,15 @@ def runs_of_text(lengths: list[int]) -> list[tuple[int, int, int]]:
 
 
 def main_text(page: str | None) -> str:
-    """The article of one page, its blocks joined by one space; empty for null, empty or textless pages.
+    """The main text of one page, its blocks joined by one space; empty for null, empty or textless pages.
 
-    With an article mark, exactly the text inside it is kept. Without one, each run whose peak reaches ``SURGE`` is kept,
-    and on a page without such a run the one with the highest peak.
+    Each run whose peak reaches ``SURGE`` is kept, and on a page without such a run the one with the highest peak. Lines of
+    links are kept between lines of text. An article mark only adds weight.
     """
     if not page:
         return ""
     lines = strip_markup(page)
-    if any(text and inside for text, inside in lines):
-        lines = [line for line in lines if line[1]]
-        return " ".join(text for start, dive, _ in runs_of_text([len(t) for t, _ in lines]) for text, _ in lines[start:dive] if text)
-    runs = runs_of_text([len(text) for text, _ in lines])
+    runs = runs_of_text([weight for _, weight in lines])
     least = min(SURGE, max((peak for _, _, peak in runs), default=0))
     return " ".join(text for start, dive, peak in runs if peak >= least for text, _ in lines[start:dive] if text)
 

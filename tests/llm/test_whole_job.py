@@ -3,9 +3,10 @@
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from riskframe.llm import bm25_packing, shuffle_shards
+from riskframe.llm import bm25_packing, line_blocks, shuffle_shards
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -83,3 +84,34 @@ def test_a_window_takes_the_neighbours_by_all_terms():
         unused -= set(taken)
         seed = next(d for d, *_ , s, offset in pieces if s == sequence + 1 and offset == 0)
         unused.discard(seed)
+
+
+# --- HTML ---------------------------------------------------------------------------------------------------------------
+
+LONG = "This paragraph is long enough to make the distribution surge, since it has well over eighty characters of text."
+AD = '<div class="ad"><p>Buy</p></div>'
+
+
+@pytest.mark.parametrize("body, text", [
+    # short paragraphs around and between adverts
+    (f"<p>{LONG}</p>{AD}<p>Short one.</p>{AD}<p>{LONG}</p>{AD}<p>The end.</p>", f"{LONG} Short one. {LONG} The end."),
+    # a paragraph that is mostly a link, inside text; a menu before it
+    (f'<div><a href="/">Home page of all</a></div><p>{LONG}</p><p>See <a href="/x">a very long link text</a></p><p>{LONG}</p>', f"{LONG} See a very long link text {LONG}"),
+    # an article mark somewhere does not discard the text outside
+    (f"<article><p>Card</p></article><div><p>{LONG}</p></div>", f"Card {LONG}"),
+    # articles inside closed asides and comment blocks stay cut
+    (f"<p>{LONG}</p><aside><article><p>Teaser</p></article></aside>", LONG),
+    (f'<article><p>{LONG}</p></article><div class="comments"><article><p>First! {LONG}</p></article></div>', LONG),
+])
+def test_the_distribution_chooses_the_text(body, text):
+    assert line_blocks.main_text(f"<html><body><nav><a href='/'>A</a></nav>{body}<footer>x</footer></body></html>") == text
+
+
+def test_unmarked_pages(spark):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
+    same = 0
+    for page in pages:
+        bare = page.replace("<article>", "<div>").replace("</article>", "</div>")
+        assert bare != page
+        same += line_blocks.main_text(bare) == line_blocks.main_text(page)
+    assert same >= 0.95 * len(pages)

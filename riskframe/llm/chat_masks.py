@@ -1,37 +1,39 @@
 """Chat formatting with loss masks aligned by token offsets.
 
-A conversation is rendered as one text in which control strings mark the turns, and encoded once with the character span of
-every token. The spans of the turns are known from rendering; both lists are sorted, so the tokens of a turn are found by
-binary search. The control strings are tokens of their own, therefore no token crosses the border of a turn.
+A conversation is rendered as one text in which control strings mark the turns, and encoded once; the byte span of every
+token follows from the lengths of the tokens before it. The spans of the turns are known from rendering; both lists are
+sorted, so the tokens of a turn are found by binary search. The control strings are tokens of their own, therefore no token crosses the border of a turn.
 
 Where a text holds a control string, or one that is escaped already, an escape character is put after its first character;
 taking one away gives the text back. Conversations are read as a sorted stream. One that is longer than ``SEGMENT``
-characters is handed on in segments that end with a turn; as control strings are tokens, its ids are those of the whole.
+bytes is handed on in segments that end with a turn; as control strings are tokens, its ids are those of the whole.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import accumulate
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
-from tokenizers import AddedToken, Tokenizer
 
+from riskframe.llm.bm25_packing import byte_ranks
 from riskframe.llm.common import per_worker
 
-#: Characters after which a conversation is handed on at the end of a turn.
+#: Bytes after which a conversation is handed on at the end of a turn.
 SEGMENT = 1 << 22
-#: Conversations encoded in one call.
-AT_ONCE = 64
+#: Characters after which rendered conversations are handed on, and rows of a batch read back.
+AT_ONCE, ROWS = 1 << 20, 1024
 
 
 @dataclass(frozen=True)
@@ -47,15 +49,25 @@ class Template:
     #: The role whose texts are learned.
     learned: str = "assistant"
 
-    def _pattern(self, least: str) -> re.Pattern:
+    @cached_property
+    def _patterns(self) -> tuple[re.Pattern, re.Pattern]:
+        """Control strings with any number of escapes, and with at least one."""
         mark = re.escape(self.escape)
-        return re.compile("|".join(re.escape(c[0]) + mark + least + re.escape(c[1:]) for c in self.controls))
+        return tuple(re.compile("|".join(re.escape(c[0]) + mark + least + re.escape(c[1:]) for c in self.controls)) for least in "*+")
+
+    @cached_property
+    def _firsts(self) -> frozenset[str]:
+        return frozenset(c[0] for c in self.controls)
 
     def escaped(self, text: str) -> str:
-        return self._pattern("*").sub(lambda m: m[0][0] + self.escape + m[0][1:], text)
+        if not any(c in text for c in self._firsts):
+            return text
+        return self._patterns[0].sub(lambda m: m[0][0] + self.escape + m[0][1:], text)
 
     def unescaped(self, text: str) -> str:
-        return self._pattern("+").sub(lambda m: m[0][0] + m[0][2:], text)
+        if self.escape not in text:
+            return text
+        return self._patterns[1].sub(lambda m: m[0][0] + m[0][2:], text)
 
     def turn(self, role: str, text: str) -> tuple[str, str, str]:
         """What stands before the text, the text, and what stands after it."""
@@ -72,28 +84,33 @@ TEMPLATE = Template()
 
 
 class Coder:
-    """Tokenizer that knows the control strings of a template as tokens."""
+    """A plain byte-level BPE, given as a file of the tokenizers library, with the control strings of a template as tokens.
+
+    Control strings that the file does not know get the ids after its last one.
+    """
 
     def __init__(self, path: str, template: Template):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.add_special_tokens([AddedToken(c, normalized=False, special=True) for c in template.controls])
+        ranks = byte_ranks(path)
+        if ranks is None:
+            raise ValueError("the tokenizer file holds no plain byte-level BPE")
         with open(path, encoding="utf-8") as file:
-            vocab = json.load(file)["model"]["vocab"]
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; the others follow 255
-        byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
-        self.bytes = {i: bytes(map(byte.__getitem__, token)) for token, i in vocab.items() if token not in template.controls}
-
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Ids of each text, and first and end character of each token."""
-        out = []
-        for one in self.tokenizer.encode_batch(texts, add_special_tokens=False):
-            spans = np.array(one.offsets, np.int64).reshape(-1, 2)
-            out.append((np.array(one.ids, np.int32), spans[:, 0], spans[:, 1]))
-        return out
+            made = json.load(file)
+        known = {t["content"]: t["id"] for t in made.get("added_tokens", [])}
+        free = max([*made["model"]["vocab"].values(), *known.values()]) + 1
+        new = [c for c in template.controls if c not in known]
+        self.controls = {c: known[c] for c in template.controls if c in known} | {c: free + i for i, c in enumerate(new)}
+        self.encoding = tiktoken.Encoding("chat", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.controls)
+        self.bytes = {i: token for token, i in ranks.items()} | {i: c.encode() for c, i in self.controls.items()}
+        self.length = np.zeros(free + len(new), np.int64)
+        self.length[list(self.bytes)] = [len(token) for token in self.bytes.values()]
+
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of a text, and the first and the end byte of each token."""
+        ids = np.array(self.encoding.encode(text, allowed_special="all"), np.int32)
+        ends = np.cumsum(self.length[ids])
+        return ids, ends - self.length[ids], ends
 
     def text(self, ids: np.ndarray) -> str:
-        """The text of ids that are no control tokens."""
         return b"".join([self.bytes[i] for i in ids.tolist()]).decode()
 
 
@@ -102,7 +119,7 @@ def _coder(path: str, template: Template) -> Coder:
 
 
 def inside(begins: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
-    """Which tokens share a character with one of the spans; both are sorted, and spans do not touch."""
+    """Which tokens share a byte with one of the spans; both are sorted, and spans do not touch."""
     if not spans:
         return np.zeros(len(begins), bool)
     first, last = np.array(spans, np.int64).T
@@ -131,10 +148,12 @@ def render(conversations: DataFrame, tokenizer_path: str, key: str = "conv_id",
                     number, pieces, spans, at = number + 1 if conv == now else 0, [], [], 0
                 now, begun = conv, True
                 before, body, after = template.turn(role or "", text or "")
+                first = at + len(before.encode())
+                end = first + len(body.encode())
                 if role == template.learned and body:
-                    spans.append((at + len(before), at + len(before) + len(body)))
+                    spans.append((first, end))
                 pieces += before, body, after
-                at += len(before) + len(body) + len(after)
+                at = end + len(after.encode())
         if begun:
             yield now, number, "".join(pieces), spans
 
@@ -143,7 +162,7 @@ def render(conversations: DataFrame, tokenizer_path: str, key: str = "conv_id",
         for one in segments(batches):
             held.append(one)
             size += len(one[2])
-            if len(held) == AT_ONCE or size >= SEGMENT:
+            if size >= AT_ONCE:
                 yield encoded(coder, held)
                 held, size = [], 0
         if held:
@@ -152,7 +171,8 @@ def render(conversations: DataFrame, tokenizer_path: str, key: str = "conv_id",
     def encoded(coder: Coder, held: list[tuple]) -> pa.RecordBatch:
         keys, numbers, texts, spans = zip(*held)
         ids, loss = [], []
-        for (one, begins, ends), turns in zip(coder.encode(list(texts)), spans):
+        for text, turns in zip(texts, spans):
+            one, begins, ends = coder.encode(text)
             ids.append(one)
             loss.append(inside(begins, ends, turns))
         first = pa.array([0, *accumulate(map(len, ids))], pa.int32())
@@ -184,7 +204,7 @@ def read_back(rendered: DataFrame, tokenizer_path: str, key: str = "conv_id", te
             ids, loss = batch.column(3).values.to_numpy(), batch.column(4).values.to_numpy(zero_copy_only=False)
             for i, (conv, segment, text) in enumerate(zip(*[batch.column(c).to_pylist() for c in range(3)])):
                 if segment == 0:
-                    if len(rows) > AT_ONCE:
+                    if len(rows) > ROWS:
                         yield done(rows[:-1])
                         del rows[:-1]
                     rows.append([conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0])

@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from riskframe.llm import chat_masks, grid_codes, merkle_manifest
 
@@ -146,7 +146,7 @@ def test_ids_are_those_of_one_encoding_of_the_whole(spark, monkeypatch):
     whole = {r.conv_id: r for r in chat(spark, rows)[0].collect()}
     assert len(whole) == 5 and all(r.segment == 0 for r in whole.values())
     coder = Tokenizer.from_file(GPT)
-    coder.add_special_tokens(list(chat_masks.TEMPLATE.controls))
+    coder.add_special_tokens([AddedToken(c, normalized=False) for c in chat_masks.TEMPLATE.controls])
     for r in whole.values():
         one = coder.encode(r.formatted, add_special_tokens=False)
         assert r.ids == one.ids and coder.decode(one.ids, skip_special_tokens=False) == r.formatted
@@ -158,6 +158,18 @@ def test_ids_are_those_of_one_encoding_of_the_whole(spark, monkeypatch):
     assert found == plain_chat(rows)
 
 
+def test_offsets_are_those_of_the_tokenizers_library():
+    coder, other = chat_masks.Coder(GPT, chat_masks.TEMPLATE), Tokenizer.from_file(GPT)
+    other.add_special_tokens([AddedToken(c, normalized=False) for c in chat_masks.TEMPLATE.controls])
+    text = "<s>[INST]user[/INST] plain  text,\n\tand 42 <\\s></s><s>[INST]assistant[/INST]  ok <|endoftext|></s>"
+    ids, begins, ends = coder.encode(text)
+    one = other.encode(text, add_special_tokens=False)
+    assert ids.tolist() == one.ids and list(zip(begins.tolist(), ends.tolist())) == one.offsets
+    assert coder.text(ids) == text
+    with pytest.raises(ValueError):
+        chat_masks.Coder(public_tokenizers.path("word_bpe_49k.json"), chat_masks.TEMPLATE)
+
+
 def test_spans_meet_tokens():
     begins, ends = np.array([0, 2, 2, 5, 9]), np.array([2, 5, 5, 9, 12])
     assert chat_masks.inside(begins, ends, [(2, 5), (9, 12)]).tolist() == [False, True, True, False, True]

@@ -37,6 +37,7 @@ SHARD_DOCS, SHARD_IDS = 1024, 1 << 21
 QUERY_TERMS = float("inf")
 #: Ids in a row that one hash of the layout covers.
 RUN = 8
+MIX = np.array([0x9E3779B1, 0x85EBCA77], np.uint32)
 K1, B = 1.2, 0.75
 
 
@@ -58,33 +59,47 @@ def byte_ranks(path: str) -> dict[bytes, int] | None:
 
 
 class Ids:
-    """Ids of a tokenizer file as the tokenizers library gives them, strings of special tokens being ordinary text.
+    """Ids of a tokenizer file as the tokenizers library gives them, strings of special tokens being those tokens.
 
     A plain byte-level BPE runs on tiktoken, which gives the same ids in half the time; any other file on tokenizers.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         ranks = byte_ranks(path)
-        self.fast = ranks and tiktoken.Encoding("ids", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.dtype = id_type(path)
+        if ranks is None:
+            self.special, self.encode = (), lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+            tokenizer = Tokenizer.from_file(path)
+        else:
+            with open(path, encoding="utf-8") as file:
+                special = {t["content"]: t["id"] for t in json.load(file).get("added_tokens", [])}
+            fast = tiktoken.Encoding("ids", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+            self.special, self.encode = tuple(special), fast.encode_ordinary
+            self.encode_special = lambda text: fast.encode(text, allowed_special="all")
 
     def __call__(self, text: str) -> np.ndarray:
-        ids = self.fast.encode_ordinary(text) if self.fast else self.tokenizer.encode(text, add_special_tokens=False).ids
+        ids = self.encode_special(text) if any(s in text for s in self.special) else self.encode(text)
         ids.append(END_ID)
         return np.array(ids, self.dtype)
 
 
+def id_type(path: str) -> np.dtype:
+    """The narrowest type for the ids of a tokenizer file."""
+    return np.dtype("<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4")
+
+
 def layout_key(ids: np.ndarray) -> int:
-    """Smallest hash of ``RUN`` ids in a row: likely equal for documents that share most of them."""
-    x = ids.astype(np.uint64)
-    h = np.zeros(max(1, len(x) - RUN + 1), np.uint64)
-    for k in range(min(RUN, len(x))):
-        h = (h ^ x[k:k + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-    return int(h.min() >> np.uint64(1))
+    """Smallest hash of ``RUN`` ids in a row: likely equal for documents that share most of them.
+
+    A run twice as long is the hash of two, so three rounds make runs of eight; a shorter document ends where it has one.
+    """
+    h, step = ids.astype(np.uint32), 1
+    while step < RUN and len(h) > step:
+        h = (h[:-step] * MIX[0] ^ h[step:]) * MIX[1]
+        h ^= h >> np.uint32(15)
+        step *= 2
+    return int(h.min())
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, key: str, text_col: str) -> DataFrame:
@@ -106,10 +121,6 @@ def tokenized(docs: DataFrame, tokenizer_path: str, key: str, text_col: str) ->
     return staged(docs.select(F.col(f"`{key}`"), F.col(f"`{text_col}`")).mapInArrow(run, schema), "ids")
 
 
-def _dtype(tokenizer_path: str) -> np.dtype:
-    return per_worker("dtype", tokenizer_path, lambda: Ids(tokenizer_path).dtype)
-
-
 def statistics(coded: DataFrame, dtype: np.dtype) -> tuple[np.ndarray, int, float]:
     """Document frequency of each id, number of documents and mean length, over all documents.
 
@@ -217,7 +228,7 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text_col: st
     null; repeated rows are packed as often as they occur; an empty table gives an empty table; further columns of
     ``docs`` are not read.
     """
-    spark, dtype = docs.sparkSession, _dtype(tokenizer_path)
+    spark, dtype = docs.sparkSession, id_type(tokenizer_path)
     coded = tokenized(docs, tokenizer_path, key, text_col)
     df, n, mean_length = statistics(coded, dtype)
     shared = spark.sparkContext.broadcast((np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32), mean_length))

@@ -3,9 +3,10 @@
 A sequence of tokens is what the merges make of its bytes exactly if every two neighbours hold: no merge across their
 border comes before the merges that made them. So a prefix of the input can be cut in one way only, and what is open
 after a prefix is where a token that has not ended may have begun. Tokens before the last place that all open readings
-share are emitted. The state is that last emitted token and the bytes after it; states and their transitions are worked
-out when first met and kept (the tables are emptied beyond ``MAX_STATES``). Tokens have a longest length, so the
-lookahead is bounded.
+share are emitted. A state has, for each open reading, its bytes and what the token before it lets follow: the pieces at
+that token's right edge that some merge could still take up. Tokens with equal edges are one and the same there, so
+words share most of their states. States and their transitions are worked out when first met and kept (the tables are
+emptied beyond ``MAX_STATES``). Tokens have a longest length, so the lookahead is bounded.
 
 Decoding is streamed: ids become bytes in pieces, and an incremental UTF-8 machine turns bytes into text while holding
 back the unfinished sequence at the end of a piece.
@@ -16,8 +17,9 @@ from __future__ import annotations
 import base64
 import codecs
 import hashlib
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import pyarrow as pa
 import public_tokenizers
@@ -53,8 +55,17 @@ class Transducer:
         self.open_prefixes = {token[:k] for token in ranks for k in range(1, len(token))}
         self._halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         self.proper = {token for token in ranks if len(token) == 1 or self.halves(token)}
-        self._holds: dict[tuple[bytes, bytes], bool] = {}
+        self._after: dict[bytes, list[tuple[bytes, int]]] = {}
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                if token[:k] in ranks and token[k:] in ranks:
+                    self._after.setdefault(token[:k], []).append((token[k:], rank))
+        for pairs in self._after.values():
+            pairs.sort()
+        self._narrow: dict[tuple[tuple, bytes], tuple] = {}
+        self._holds: dict[tuple[tuple, bytes], bool] = {}
         self._edges: dict[tuple[bytes, bool], list[tuple[bytes, int]]] = {}
+        self._closed: dict[bytes, tuple] = {}
         self._clear()
 
     def _clear(self) -> None:
@@ -62,7 +73,7 @@ class Transducer:
         self._states: list[tuple] = []
         self._next: list[dict[int, tuple[int, bytes | None]]] = []
         self._settled: list[int] = []
-        self.start = self._state(((b"", None),))
+        self.start = self._state(((b"", ()),))
 
     def _state(self, readings: tuple) -> int:
         if readings not in self._numbers:
@@ -97,17 +108,41 @@ class Transducer:
             self._edges[key] = pieces
         return self._edges[key]
 
-    def holds(self, left: bytes, right: bytes) -> bool:
-        """Whether the border between two neighbouring tokens stands: of equal merges the left one comes first."""
-        found = self._holds.get((left, right))
+    def right(self, token: bytes) -> tuple[tuple[bytes, int], ...]:
+        """What a border after a token depends on: the pieces at its right edge, each with the rank below which a merge
+        with what follows comes first."""
+        found = self._closed.get(token)
+        if found is None:
+            found = self._closed[token] = self.narrow(tuple(self._edge(token, True)), b"")
+        return found
+
+    def narrow(self, right: tuple[tuple[bytes, int], ...], begun: bytes) -> tuple[tuple[bytes, int], ...]:
+        """What is left of an edge when the next token begins like this: pieces that no merge can still take up in time are
+        left out, and the rank becomes the lowest that tells the merges still possible from the others."""
+        found = self._narrow.get((right, begun))
+        if found is None:
+            edge, last = [], begun + b"\xff" * LOOKBACK
+            for piece, below in right:
+                pairs = self._after.get(piece, ())
+                ranks = [self.ranks.get(piece + begun[:k], NEVER) for k in range(1, len(begun))]
+                ranks += [rank for _, rank in pairs[bisect_left(pairs, (begun, -1)):bisect_left(pairs, (last, -1))]]
+                early = [rank for rank in ranks if rank < below]
+                if early:
+                    edge.append((piece, max(early) + 1))
+            found = self._narrow[right, begun] = tuple(edge)
+        return found
+
+    def holds(self, right: tuple[tuple[bytes, int], ...], token: bytes) -> bool:
+        """Whether the border between an edge and the token after it stands: of equal merges the left one comes first."""
+        found = self._holds.get((right, token))
         if found is None:
             found, ranks = True, self.ranks
-            for p, p_taken in self._edge(left, True):
-                for q, q_taken in self._edge(right, False):
+            for p, below in right:
+                for q, q_taken in self._edge(token, False):
                     rank = ranks.get(p + q)
-                    if rank is not None and rank < p_taken and rank <= q_taken:
+                    if rank is not None and rank < below and rank <= q_taken:
                         found = False
-            self._holds[left, right] = found
+            self._holds[right, token] = found
         return found
 
     def step(self, state: int, byte: int) -> tuple[int, bytes | None]:
@@ -116,11 +151,11 @@ class Transducer:
         for begun, before in self._states[state]:
             piece = begun + BYTES[byte]
             if piece in self.open_prefixes:
-                going.append((piece, before))
-            if ended is None and piece in self.proper and (before is None or self.holds(before, piece)):
+                going.append((piece, self.narrow(before, piece) if before else before))
+            if ended is None and piece in self.proper and (not before or self.holds(before, piece)):
                 ended = piece
         if ended:
-            going.append((b"", ended))
+            going.append((b"", self.right(ended)))
         found = self._next[state][byte] = (self._state(tuple(going)), ended)
         return found
 
@@ -131,9 +166,15 @@ class Transducer:
         """
         if len(self._states) > MAX_STATES:
             self._clear()
-        if len(self._holds) > MAX_PAIRS:
+        if len(self._holds) + len(self._narrow) > MAX_PAIRS:
             self._holds.clear()
+            self._narrow.clear()
         state, out, ends, arcs, settled = self.start, [], [], self._next, self._settled
+        if len(data) <= LOOKBACK:
+            for byte in data:
+                state, ended = arcs[state].get(byte) or self.step(state, byte)
+                ends.append(ended)
+            return tuple(self._emit(ends, len(ends)))
         for byte in data:
             state, ended = arcs[state].get(byte) or self.step(state, byte)
             ends.append(ended)
@@ -155,19 +196,12 @@ class Transducer:
 
 def stream_decode(ids: Iterable[int], table: Callable[[int], bytes], digest=None) -> str:
     """Text of a stream of ids; bytes that are no UTF-8 become U+FFFD. ``digest`` is fed the bytes."""
-    machine, text, piece = codecs.getincrementaldecoder("utf-8")("replace"), [], []
-    for one in ids:
-        piece.append(table(one))
-        if len(piece) == PIECE:
-            data = b"".join(piece)
-            piece.clear()
-            if digest is not None:
-                digest.update(data)
-            text.append(machine.decode(data))
-    data = b"".join(piece)
-    if digest is not None:
-        digest.update(data)
-    text.append(machine.decode(data, final=True))
+    machine, text, ids = codecs.getincrementaldecoder("utf-8")("replace"), [], iter(ids)
+    while data := b"".join(map(table, islice(ids, PIECE))):
+        if digest is not None:
+            digest.update(data)
+        text.append(machine.decode(data))
+    text.append(machine.decode(b"", final=True))
     return "".join(text)
 
 
@@ -188,17 +222,20 @@ class Codec:
         known, older, words, encode = self.known, self.older, self.words, self.fst.encode
         if len(words) > MAX_WORDS:
             words.clear()
-        for part in set(parts).difference(known):
-            code = older.get(part)
-            if code is None:
-                code = ()
-                for word in self.split(part):
-                    ids = words.get(word)
-                    if ids is None:
-                        ids = words[word] = encode(word.encode("utf-8", "surrogatepass"))
-                    code += ids
-            known[part] = code
-        return list(chain.from_iterable(map(known.__getitem__, parts)))
+        codes = list(map(known.get, parts))
+        if None in codes:
+            for i, (part, code) in enumerate(zip(parts, codes)):
+                if code is None:
+                    code = known.get(part) or older.get(part)  # it may have come twice
+                    if code is None:
+                        code = ()
+                        for word in self.split(part):
+                            ids = words.get(word)
+                            if ids is None:
+                                ids = words[word] = encode(word.encode("utf-8", "surrogatepass"))
+                            code += ids
+                    codes[i] = known[part] = code
+        return list(chain.from_iterable(codes))
 
 
 def _codec(path: str, pattern: str) -> Codec:
@@ -246,7 +283,7 @@ def digests(docs: DataFrame, vocab_path: str, key: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocab_path, pattern)
-        tokens, digits = codec.fst.tokens, per_worker("digits", vocab_path, lambda: {i: str(i) for i in codec.fst.tokens})
+        tokens, digits = codec.fst.tokens, per_worker("bpe.digits", vocab_path, lambda: {i: str(i) for i in codec.fst.tokens})
         for batch in batches:
             counts, coded, decoded = [], [], []
             for text in batch.column(1).to_pylist():

@@ -24,9 +24,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def per_worker(kind: str, key, make):
-    """The worker's object of a kind, made when first asked for or when the key has changed, however many tasks it runs."""
+    """The worker's object of a kind, made when first asked for or when the key has changed, however many tasks it runs.
+
+    Workers outlive stages, so objects of another operator (the part of a kind before a dot) are let go first: a job holds
+    what one operator needs, not the caches of all stages before.
+    """
     kept = sys.modules.setdefault("riskframe_llm_kept", types.ModuleType("riskframe_llm_kept")).__dict__
     if kind not in kept or kept[kind][0] != key:
+        operator = kind.partition(".")[0]
+        for other in [k for k in kept if not k.startswith("__") and k.partition(".")[0] != operator]:
+            del kept[other]
         kept[kind] = (key, make())
     return kept[kind][1]
 

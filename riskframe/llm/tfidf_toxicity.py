@@ -204,7 +204,7 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: str
     shared_terms = spark.sparkContext.broadcast(terms)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counted = per_worker("terms", mark, lambda: Vocabulary(shared_terms.value))
+        counted = per_worker("toxicity.terms", mark, lambda: Vocabulary(shared_terms.value))
         for batch in batches:
             found = [counted(text) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([list(f) for f in found], pa.list_(pa.int32())),
@@ -227,7 +227,7 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: str
                       StructField("predicted", IntegerType()), StructField("evidence", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = per_worker("knn", mark, lambda: Model(*shared.value))
+        fitted = per_worker("toxicity.neighbours", mark, lambda: Model(*shared.value))
         known: dict[bytes, tuple[float, str]] = {}
         for batch in batches:
             scores, evidence = [], []

@@ -119,7 +119,6 @@ def test_shards_on_disk(spark, tmp_path):
 
 def check_packing(rows: pd.DataFrame, texts: dict, window=2048):
     tokenizer = Tokenizer.from_file(GPT)
-    tokenizer.encode_special_tokens = True
     for i, own in rows.groupby("doc_id"):
         ids = np.array([*tokenizer.encode(texts[i] or "", add_special_tokens=False).ids, 1], "<u4")
         own = own.sort_values("start")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from riskframe.llm.common import partitions, per_worker, staged
+from riskframe.llm.common import batches_of, partitions, per_worker, staged
 
 WINDOW = 2048
 #: Ends each document.
@@ -39,6 +39,8 @@ QUERY_TERMS = float("inf")
 RUN = 8
 MIX = np.array([0x9E3779B1, 0x85EBCA77], np.uint32)
 K1, B = 1.2, 0.75
+#: A term in one of so many documents of a shard has a row of weights.
+DENSE = 4
 
 
 def byte_ranks(path: str) -> dict[bytes, int] | None:
@@ -64,13 +66,13 @@ class Ids:
     A plain byte-level BPE runs on tiktoken, which gives the same ids in half the time; any other file on tokenizers.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, dtype: np.dtype):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
+        self.dtype = dtype
         ranks = byte_ranks(path)
-        self.dtype = id_type(path)
         if ranks is None:
-            self.special, self.encode = (), lambda text: tokenizer.encode(text, add_special_tokens=False).ids
             tokenizer = Tokenizer.from_file(path)
+            self.special, self.encode = (), lambda text: tokenizer.encode(text, add_special_tokens=False).ids
         else:
             with open(path, encoding="utf-8") as file:
                 special = {t["content"]: t["id"] for t in json.load(file).get("added_tokens", [])}
@@ -81,7 +83,7 @@ class Ids:
     def __call__(self, text: str) -> np.ndarray:
         ids = self.encode_special(text) if any(s in text for s in self.special) else self.encode(text)
         ids.append(END_ID)
-        return np.array(ids, self.dtype)
+        return np.fromiter(ids, self.dtype, len(ids))
 
 
 def id_type(path: str) -> np.dtype:
@@ -102,13 +104,13 @@ def layout_key(ids: np.ndarray) -> int:
     return int(h.min())
 
 
-def tokenized(docs: DataFrame, tokenizer_path: str, key: str, text_col: str) -> DataFrame:
+def tokenized(docs: DataFrame, tokenizer_path: str, dtype: np.dtype, key: str, text_col: str) -> DataFrame:
     """key, compressed ids, their count and the layout key; written once."""
     schema = StructType([StructField("doc", docs.schema[key].dataType), StructField("ids", BinaryType()),
                          StructField("layout", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = per_worker("ids", tokenizer_path, lambda: Ids(tokenizer_path))
+        coder = per_worker("ids", tokenizer_path, lambda: Ids(tokenizer_path, dtype))
         press = zstandard.ZstdCompressor(level=1, write_checksum=False)
         for batch in batches:
             blobs, layout = [], []
@@ -133,7 +135,7 @@ def statistics(coded: DataFrame, dtype: np.dtype) -> tuple[np.ndarray, int, floa
         for batch in batches:
             for blob in batch.column(0).to_pylist():
                 ids = np.frombuffer(open_.decompress(blob), dtype)
-                df[np.unique(ids)] += 1
+                df[counted(ids)[0]] += 1
                 docs, total = docs + 1, total + len(ids)
         met = np.flatnonzero(df)
         if docs:
@@ -147,34 +149,56 @@ def statistics(coded: DataFrame, dtype: np.dtype) -> tuple[np.ndarray, int, floa
     return df, n, total / max(n, 1)
 
 
+def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids, rising, and how often each occurs; short integers are sorted by radix."""
+    ids = np.sort(ids, kind="stable")
+    at = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+    return ids[at], np.diff(at, append=len(ids))
+
+
 class Shard:
-    """Inverted index with BM25 weights over the documents of one shard."""
+    """Inverted index with BM25 weights over the documents of one shard.
+
+    Terms in at least one of ``DENSE`` documents have a row of weights for all of them, the others a list of postings.
+    """
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float):
         self.n = len(docs)
-        found = [np.unique(ids, return_counts=True) for ids in docs]
+        found = [counted(ids) for ids in docs]
         self.begin = np.cumsum([0, *(len(terms) for terms, _ in found)])
         self.terms = np.concatenate([terms for terms, _ in found]).astype(np.int64)
         tf = np.concatenate([counts for _, counts in found]).astype(np.float32)
         owner = np.repeat(np.arange(self.n), np.diff(self.begin))
         length = np.array([len(ids) for ids in docs], np.float32)[owner]
         self.weight = idf[self.terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / np.float32(mean_length)))
-        order = np.argsort(self.terms, kind="stable")
+        self.vocabulary, where, counts = np.unique(self.terms, return_inverse=True, return_counts=True)
+        often = counts * DENSE >= self.n
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        self.alive, self.rows = np.arange(self.n), np.zeros((int(often.sum()), self.n))
+        many = often[where]
+        self.rows[self.row[where[many]], owner[many]] = self.weight[many]
+        order = np.flatnonzero(~many)[np.argsort(where[~many], kind="stable")]
         self.docs, self.weights = owner[order], self.weight[order].astype(np.float64)
-        self.vocabulary, first = np.unique(self.terms[order], return_index=True)
-        self.first = np.append(first, len(order))
+        self.first = np.r_[0, np.cumsum(np.where(often, 0, counts))]
 
     def scores(self, doc: int) -> np.ndarray:
-        """BM25 of every document of the shard for all terms of one."""
+        """BM25 of every document of the shard for all terms of one; used ones may lack a part."""
         at = np.searchsorted(self.vocabulary, self.terms[self.begin[doc]:self.begin[doc + 1]])
+        rows = self.row[at]
+        at = at[rows < 0]
         spans = list(map(slice, self.first[at].tolist(), self.first[at + 1].tolist()))
-        return np.bincount(np.concatenate([self.docs[s] for s in spans]), np.concatenate([self.weights[s] for s in spans]), self.n)
+        out = np.zeros(self.n)
+        if spans:
+            out += np.bincount(np.concatenate([self.docs[s] for s in spans]), np.concatenate([self.weights[s] for s in spans]), self.n)
+        out[self.alive] += self.rows[rows[rows >= 0]].sum(0)
+        return out
 
     def drop(self, unused: np.ndarray) -> None:
         """Take the postings of used documents out; the scores of the others stay the same."""
-        kept = unused[self.docs]
+        kept, left = unused[self.docs], unused[self.alive]
         self.first = np.r_[0, np.cumsum(kept)][self.first]
         self.docs, self.weights = self.docs[kept], self.weights[kept]
+        self.alive, self.rows = self.alive[left], self.rows[:, left]
 
 
 def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
@@ -229,7 +253,8 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text_col: st
     ``docs`` are not read.
     """
     spark, dtype = docs.sparkSession, id_type(tokenizer_path)
-    coded = tokenized(docs, tokenizer_path, key, text_col)
+    batches_of(spark)
+    coded = tokenized(docs, tokenizer_path, dtype, key, text_col)
     df, n, mean_length = statistics(coded, dtype)
     shared = spark.sparkContext.broadcast((np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32), mean_length))
     schema = StructType([StructField(key, docs.schema[key].dataType), *(StructField(c, LongType()) for c in (

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from riskframe.llm.common import per_worker
+from riskframe.llm.common import batches_of, per_worker
 
 #: Bound of the training sample: documents of each language, and distinct (language, word) pairs from them.
 SAMPLE_DOCS, SAMPLE_WORDS = 400, 40_000
@@ -195,6 +195,7 @@ def identify(docs: DataFrame, key: str = "doc_id", text_col: str = "text", lang_
     Ties go to the language first in the alphabet. Repeated rows stay; an empty table gives an empty table; further
     columns are not read unless kept, and columns named like the results are replaced.
     """
+    batches_of(docs.sparkSession)
     net = fit(sample_words(docs, key, text_col, lang_col))
     mark = uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast((net.languages, net.w) if net else None)

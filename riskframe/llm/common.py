@@ -23,6 +23,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def batches_of(spark: SparkSession, rows: int = 2000) -> None:
+    """Let Arrow batches have so many rows at most: whole texts and pages in them are held several times on their way."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def per_worker(kind: str, key, make):
     """The worker's object of a kind, made when first asked for or when the key has changed, however many tasks it runs.
 

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
+from riskframe.llm.common import batches_of
+
 #: Bounds of the samples: labelled rows of each class, and unlabelled documents.
 SAMPLE_LABELLED, SAMPLE_UNLABELLED = 3000, 6000
 ROUNDS = 5
@@ -196,6 +198,7 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: str
     known against a document. Repeated rows stay; an empty table gives an empty table; columns named like the results
     are replaced.
     """
+    batches_of(docs.sparkSession)
     fitted = fit(docs, labels, key, text_col, label_col)  # a few hundred numbers, sent with the task
     results = [StructField("held_out", BooleanType()), StructField("score", DoubleType()), StructField("predicted", IntegerType()),
                StructField("text_score", DoubleType()), StructField("meta_score", DoubleType())]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from riskframe.llm.common import partitions, per_worker, staged
+from riskframe.llm.common import batches_of, partitions, per_worker, staged
 from riskframe.llm.components import components, joined
 
 SHINGLE = 5
@@ -254,6 +254,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
     nothing: its component is null and it is kept. Repeated rows get the same component each; rows that share a key share
     the links of all their texts. An empty table gives an empty table; further columns are not read.
     """
+    batches_of(docs.sparkSession)
     docs = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     made = staged(sketches(docs), "sketches")
     linked = made.where("n > 0 and id is not null")

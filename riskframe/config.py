@@ -146,8 +146,8 @@ class AlgorithmConfig:
 
 
 # The published parameter grids, and the smaller ones used when none is configured.
-LOGISTIC_GRID = {"C": (0.01, 0.1, 1.0, 10.0), "penalty": ("l1", "l2")}
-FOREST_GRID = {"n_estimators": (100, 200, 300), "max_depth": (10, 20, 30), "min_samples_leaf": (1, 2, 4)}
+LOGISTIC_GRID = {"C": (0.01, 0.1, 1.0, 10.0), "penalty": ("l1", "l2"), "solver": ("liblinear", "saga")}
+FOREST_GRID = {"n_estimators": (100, 200, 300), "max_depth": (10, 20, 30), "min_samples_split": (2, 5, 10), "min_samples_leaf": (1, 2, 4)}
 BOOSTING_GRID = {"n_estimators": (100, 200), "learning_rate": (0.01, 0.1, 0.2), "max_depth": (3, 5, 7)}
 EXTREME_BOOSTING_GRID = {
     "n_estimators": (100, 200, 300),
@@ -163,7 +163,7 @@ FALLBACK_GRIDS = {
     "XGBClassifier": {"n_estimators": (100, 200), "max_depth": (3, 5), "learning_rate": (0.01, 0.1), "subsample": (0.8, 1.0)},
 }
 FAMILIES = {"Logistic Regression": "logistic", "Random Forest": "forest", "Gradient Boosting": "boosting",
-            "XGBClassifier": "boosting"}
+            "XGBClassifier": "extreme"}
 
 
 def algorithm(name: str, grid: dict[str, tuple] | None = None) -> AlgorithmConfig:
@@ -187,6 +187,7 @@ class TrainerConfig:
     parallelism: int = 8
     select_by: str = "cv"
     max_points: int | None = None
+    within: dict[str, tuple] = field(default_factory=dict)
     warn_below: float = 0.6
 
 
@@ -197,6 +198,11 @@ class ExplainConfig:
     top_features: int = 10
     permutations: int = 10
     seed: int = 42
+    #: Tree models: ``cover`` lets an unknown feature follow the training cover, ``background`` compares with background rows.
+    trees: str = "cover"
+    #: Other classifiers: ``permutations`` of the features, or ``kernel``-weighted coalitions, at most so many.
+    others: str = "permutations"
+    coalitions: int = 2048
 
 
 @dataclass(frozen=True)

@@ -82,6 +82,16 @@ FIXED_LEAVES = (
 )
 
 
+#: Two trees with the training cover of their leaves, (column, threshold, left, right) or (log-odds, cover); one column comes twice on a way.
+FIXED_COVER_TREES = (
+    ("PAY_0", 0.0, ("AGE", 40.0, (-0.8, 300.0), (-0.3, 200.0)), ("LIMIT_BAL", 300000.0, (0.9, 350.0), (0.4, 150.0))),
+    ("AGE", 30.0, (0.2, 180.0), ("LIMIT_BAL", 500000.0, ("PAY_0", 1.0, ("AGE", 50.0, (-0.15, 260.0), (-0.05, 140.0)), (0.7, 120.0)), (0.05, 300.0))),
+)
+#: A logistic model of four columns for checking kernel attribution: weights, then the intercept.
+FIXED_KERNEL_WEIGHTS = {"PAY_0": 0.6, "AGE": -0.02, "EDUCATION": 0.3, "MARRIAGE": -0.4}
+FIXED_KERNEL_INTERCEPT = -0.5
+
+
 def risk_band(probability: str, bands: RiskBands = DEFAULT_BANDS) -> str:
     """Band label; a missing or NaN probability lands in the last band."""
     op = "<" if bands.closed == "left" else "<="

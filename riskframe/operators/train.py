@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import itertools
 import logging
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from multiprocessing.pool import ThreadPool
 from statistics import fmean, pstdev
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
+from pyspark.ml.common import _py2java
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.config import AlgorithmConfig, TrainerConfig
+from riskframe.config import KEY, AlgorithmConfig, TrainerConfig
+from riskframe.operators import boosting, metrics, trees
 from riskframe.operators.score import Scorecard
 
 log = logging.getLogger(__name__)
@@ -44,7 +49,8 @@ def expand_grid(grid: dict[str, tuple]) -> list[dict]:
     return [dict(zip(names, values)) for values in itertools.product(*(grid[n] for n in names))]
 
 
-def base_estimator(algorithm: AlgorithmConfig, config: TrainerConfig) -> Estimator:
+def base_estimator(algorithm: AlgorithmConfig, config: TrainerConfig) -> Estimator | None:
+    """Spark's estimator of a family; None for second-order boosting, which ``boosting`` grows."""
     if algorithm.family == "logistic":
         return LogisticRegression(maxIter=config.max_iter, tol=config.tolerance, standardization=False)
     if algorithm.family == "forest":
@@ -52,45 +58,113 @@ def base_estimator(algorithm: AlgorithmConfig, config: TrainerConfig) -> Estimat
         return RandomForestClassifier(seed=config.seed, numTrees=100, maxDepth=30)
     if algorithm.family == "boosting":
         return GBTClassifier(seed=config.seed, maxIter=100, maxDepth=3)
+    if algorithm.family == "extreme":
+        return None
     raise ValueError(f"unknown family {algorithm.family}")
 
 
+#: Names of parameters by estimator: those that ``fitted`` handles itself have none.
+PARAMETERS = {
+    RandomForestClassifier: {"n_estimators": "numTrees", "max_depth": "maxDepth", "min_samples_leaf": "minInstancesPerNode",
+                             "subsample": "subsamplingRate", "colsample_bytree": "featureSubsetStrategy", "min_samples_split": None},
+    GBTClassifier: {"n_estimators": "maxIter", "max_depth": "maxDepth", "learning_rate": "stepSize",
+                    "min_samples_leaf": "minInstancesPerNode", "subsample": "subsamplingRate", "colsample_bytree": "featureSubsetStrategy"},
+}
+
+
 def param_map(estimator: Estimator, params: dict, rows: int) -> dict:
     """Translate published parameter names; ``rows`` turns C (1 unless given) into a mean-loss penalty (l2 unless given)."""
     if isinstance(estimator, LogisticRegression):
         return {estimator.elasticNetParam: 1.0 if params.get("penalty", "l2") == "l1" else 0.0,
                 estimator.regParam: 1.0 / (params.get("C", 1.0) * max(1, rows))}
-    forest = isinstance(estimator, RandomForestClassifier)
-    names = {
-        "n_estimators": estimator.numTrees if forest else estimator.maxIter,
-        "max_depth": estimator.maxDepth,
-        "learning_rate": None if forest else estimator.stepSize,
-        "min_samples_leaf": estimator.minInstancesPerNode,
-        "subsample": estimator.subsamplingRate,
-        "colsample_bytree": estimator.featureSubsetStrategy,
-    }
-    out = {}
-    for name, value in params.items():
-        if names.get(name) is None:
+    names = PARAMETERS[type(estimator)]
+    for name in params:
+        if name not in names:
             raise ValueError(f"parameter {name} has no counterpart in {type(estimator).__name__}")
-        out[names[name]] = str(value) if name == "colsample_bytree" else value
-    if out.get(estimator.featureSubsetStrategy) == "1.0":
-        out[estimator.featureSubsetStrategy] = "all"
+    named = {names[n]: v for n, v in params.items() if names[n]}
+    if "featureSubsetStrategy" in named:
+        named["featureSubsetStrategy"] = "all" if named["featureSubsetStrategy"] == 1 else str(named["featureSubsetStrategy"])
+    return {estimator.getParam(n): v for n, v in named.items()}
+
+
+def fitted(estimator: Estimator, data: DataFrame, params: dict, rows: int) -> Model:
+    """One model. The liblinear solver penalises the intercept like any weight; a forest with a minimum split size is the
+    grown forest with smaller nodes collapsed."""
+    at = param_map(estimator, params, rows)
+    if isinstance(estimator, LogisticRegression) and params.get("solver") == "liblinear":
+        return _penalised_intercept(estimator.copy(at), data, rows)
+    model = estimator.fit(data, at)
+    least = params.get("min_samples_split", 2)
+    return trees.collapse(model, least) if least > 2 else model
+
+
+def _penalised_intercept(estimator: LogisticRegression, data: DataFrame, rows: int) -> LogisticRegressionModel:
+    """Fit with a column of ones under the penalty, whose weight becomes the intercept.
+
+    Spark gives a constant column no weight, so one row of zeros is added: it has no gradient whatever the weights are, and
+    counts as much as all others only to spread the column. The penalty is scaled to the doubled count.
+    """
+    features, label = estimator.getFeaturesCol(), estimator.getLabelCol()
+    cells = vector_to_array(features)
+    ones = data.select(array_to_vector(F.array_append(cells, F.lit(1.0))).alias(features), F.col(label).cast("double").alias(label), F.lit(1.0).alias("weight"))
+    zeros = data.limit(1).select(array_to_vector(F.array_append(F.transform(cells, lambda x: F.lit(0.0)), F.lit(0.0))).alias(features),
+                                 F.lit(0.0).alias(label), F.lit(float(rows)).alias("weight"))
+    wide = estimator.copy({estimator.fitIntercept: False, estimator.weightCol: "weight", estimator.regParam: estimator.getRegParam() / 2})
+    weights = wide.fit(ones.unionByName(zeros)).coefficients.toArray()
+    return logistic_model(data.sparkSession, weights[:-1], weights[-1])
+
+
+def logistic_model(spark: SparkSession, weights: Sequence[float], intercept: float) -> LogisticRegressionModel:
+    """Spark's logistic model with given weights."""
+    context = spark.sparkContext
+    return LogisticRegressionModel(context._jvm.org.apache.spark.ml.classification.LogisticRegressionModel(
+        f"logistic_{uuid.uuid4().hex[:12]}", _py2java(context, Vectors.dense(weights)), float(intercept)))
+
+
+@dataclass(frozen=True)
+class Shared:
+    """One fit that serves several points of a grid: the positions of the points, and what part of the fit each one is."""
+
+    params: dict
+    points: tuple[int, ...]
+    variants: tuple[trees.Variant, ...]
+
+
+#: Parameters whose smaller values are contained in a fit with the largest.
+CONTAINED = {"forest": ("n_estimators", "max_depth", "min_samples_split"), "boosting": ("n_estimators",), "extreme": ("n_estimators",)}
+
+
+def shared_fits(points: Sequence[dict], family: str) -> list[Shared]:
+    """The fits that a grid of trees needs. Trees are grown greedily and one after another, so a model with fewer or
+    shallower trees, or with small nodes left whole, is part of a larger one; only other parameters need a fit of their own."""
+    contained, groups = CONTAINED[family], {}
+    for i, point in enumerate(points):
+        groups.setdefault(tuple(sorted((n, v) for n, v in point.items() if n not in contained)), []).append(i)
+    out = []
+    for own, members in groups.items():
+        largest = {n: max(points[i][n] for i in members) for n in ("n_estimators", "max_depth") if n in contained and n in points[members[0]]}
+        variants = tuple(trees.Variant(points[i].get("n_estimators", 100), points[i].get("max_depth") if "max_depth" in contained else None,
+                                       points[i].get("min_samples_split", 2)) for i in members)
+        out.append(Shared(dict(own) | largest, tuple(members), variants))
     return out
 
 
+def fold_sizes(train: DataFrame) -> dict[int, int]:
+    return {r["fold"]: r["count"] for r in train.groupBy("fold").count().collect()}
+
+
 def cross_validated(train: DataFrame, estimator: Estimator, points: Sequence[dict], config: TrainerConfig) -> list[list[float]]:
     """Fold scores of each point of a grid: one fit for each point and fold, ``config.parallelism`` at a time.
 
     The penalty follows the rows a fold is fitted on.
     """
-    sizes = {r["fold"]: r["count"] for r in train.groupBy("fold").count().collect()}
+    sizes = fold_sizes(train)
     rows, score = sum(sizes.values()), evaluator()
 
     def one(task: tuple[int, int]) -> float:
         i, k = task
         fit_on, rest = train.where(F.col("fold") != k), train.where(F.col("fold") == k)
-        return score.evaluate(estimator.fit(fit_on, param_map(estimator, points[i], rows - sizes.get(k, 0))).transform(rest))
+        return score.evaluate(fitted(estimator, fit_on, points[i], rows - sizes.get(k, 0)).transform(rest))
 
     tasks = [(i, k) for i in range(len(points)) for k in range(config.folds)]
     with ThreadPool(min(config.parallelism, len(tasks))) as pool:
@@ -98,28 +172,83 @@ def cross_validated(train: DataFrame, estimator: Estimator, points: Sequence[dic
     return [found[i * config.folds:(i + 1) * config.folds] for i in range(len(points))]
 
 
-def tune(train: DataFrame, test: DataFrame, algorithm: AlgorithmConfig,
-         config: TrainerConfig = TrainerConfig()) -> Candidate:
+def variant_scores(rows: DataFrame, model: trees.Ensemble, variants: Sequence[trees.Variant]) -> list[float]:
+    """Area under the ROC curve of each variant; one half where a class is absent."""
+    scored = trees.staged_probabilities(rows, model, variants, ["label"])
+    found = {r["variant"]: r["auc"] for r in metrics.roc_auc_by(scored, ["variant"]).collect()}
+    return [found[i] if found.get(i) is not None else 0.5 for i in range(len(variants))]
+
+
+def cross_validated_trees(train: DataFrame, estimator: Estimator, family: str, points: Sequence[dict], config: TrainerConfig) -> list[list[float]]:
+    """The same for trees, with one fit for each fold and group of points that share it."""
+    groups = shared_fits(points, family)
+    scores = [[0.0] * config.folds for _ in points]
+
+    def one(task: tuple[Shared, int]) -> None:
+        group, k = task
+        model = trees.ensemble(estimator.fit(train.where(F.col("fold") != k), param_map(estimator, group.params, 0)))
+        for i, auc in zip(group.points, variant_scores(train.where(F.col("fold") == k), model, group.variants)):
+            scores[i][k] = auc
+
+    tasks = [(group, k) for group in groups for k in range(config.folds)]
+    with ThreadPool(min(config.parallelism, len(tasks))) as pool:
+        pool.map(one, tasks)
+    return scores
+
+
+def tune_extreme(train: DataFrame, points: Sequence[dict], config: TrainerConfig, key: str) -> tuple[list[list[float]], list[tuple[Shared, trees.Ensemble]]]:
+    """Fold scores of each point, and the fits to all rows; folds and full fits grow side by side in the same passes."""
+    groups = shared_fits(points, "extreme")
+    every = [(group, k) for group in groups for k in (*(range(config.folds) if points != [{}] else ()), None)]
+    fits = [boosting.Boosting(**group.params, seed=config.seed, without_fold=k) for group, k in every]
+    grown = boosting.fit_side_by_side(train, fits, key)
+    scores = [[0.0] * config.folds for _ in points]
+
+    def one(i: int) -> None:
+        (group, k), model = every[i], grown[i]
+        if k is not None:
+            for point, auc in zip(group.points, variant_scores(train.where(F.col("fold") == k), model, group.variants)):
+                scores[point][k] = auc
+
+    with ThreadPool(min(config.parallelism, len(every))) as pool:
+        pool.map(one, range(len(every)))
+    return scores, [(group, model) for (group, k), model in zip(every, grown) if k is None]
+
+
+def tune(train: DataFrame, test: DataFrame, algorithm: AlgorithmConfig, config: TrainerConfig = TrainerConfig(), key: str = KEY) -> Candidate:
     """Cross-validated grid search over ``fold``, one refit on all training rows, test score.
 
-    ``train`` needs ``features``, ``label`` and ``fold``, ``test`` the first two. ``config.max_points`` bounds the points
-    searched, evenly spread over the grid; the candidate says how many of how many they were.
+    ``train`` needs ``features``, ``label`` and ``fold``, ``test`` the first two; second-order boosting draws its samples by
+    ``key``. ``config.max_points`` bounds the points searched, evenly spread over the grid, and ``config.within`` keeps those
+    with the values it names; the candidate says how many of how many they were.
     """
     estimator, score = base_estimator(algorithm, config), evaluator()
     grid = expand_grid(algorithm.grid) if algorithm.grid else []
-    most = min(len(grid), config.max_points or len(grid))
-    points = [grid[i * len(grid) // most] for i in range(most)]
-    best, cv_score, cv_std = {}, None, None
-    if points:
-        scores = cross_validated(train, estimator, points, config)
+    kept = [p for p in grid if all(p[n] in config.within[n] for n in p if n in config.within)]
+    most = min(len(kept), config.max_points or len(kept))
+    points = [kept[i * len(kept) // most] for i in range(most)]
+    best, cv_score, cv_std, scores, full = {}, None, None, None, []
+    if algorithm.family == "extreme":
+        found, full = tune_extreme(train, points or [{}], config, key)
+        scores = found if points else None
+    elif points:
+        scores = (cross_validated(train, estimator, points, config) if algorithm.family == "logistic"
+                  else cross_validated_trees(train, estimator, algorithm.family, points, config))
+    at = 0
+    if scores:
         at = max(range(len(points)), key=lambda i: (fmean(scores[i]), -i))
         best, cv_score, cv_std = points[at], fmean(scores[at]), pstdev(scores[at])
-    model = estimator.fit(train, param_map(estimator, best, train.count()))
+    if algorithm.family == "extreme":
+        grown = next(model for group, model in full if at in group.points)
+        part = replace(grown, trees=grown.trees[:best.get("n_estimators", len(grown.trees))])
+        model = boosting.as_spark_model(train.sparkSession, part, len(train.select("features").first()[0]))
+    else:
+        model = fitted(estimator, train, best, train.count())
     return Candidate(algorithm.name, best, model, cv_score, cv_std, score.evaluate(model.transform(test)), len(points), len(grid))
 
 
-def tune_all(train: DataFrame, test: DataFrame, config: TrainerConfig = TrainerConfig()) -> list[Candidate]:
-    return [tune(train, test, a, config) for a in config.algorithms]
+def tune_all(train: DataFrame, test: DataFrame, config: TrainerConfig = TrainerConfig(), key: str = KEY) -> list[Candidate]:
+    return [tune(train, test, a, config, key) for a in config.algorithms]
 
 
 def select_best(candidates: list[Candidate], config: TrainerConfig = TrainerConfig()) -> Candidate:
@@ -161,8 +290,6 @@ def feature_importances(model: Model, names: list[str]) -> DataFrame | None:
     values = getattr(model, "featureImportances", None)
     if values is None:
         return None
-    from pyspark.sql import SparkSession
-
     rows = [(n, float(v)) for n, v in zip(names, values.toArray())]
     return SparkSession.active().createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature")

@@ -21,7 +21,7 @@ from riskframe.config import KEY, SERVING_CONTRACT, TARGET, JobConfig
 from riskframe.functions.bounded import reused
 from riskframe.functions.columns import num, q
 from riskframe.functions.labels import readable_name
-from riskframe.operators import clean, contract, explain, metrics, prep, quality, score, split, train
+from riskframe.operators import clean, contract, explain, kernel, metrics, prep, quality, score, split, train, trees
 from riskframe.sources import readers, writers
 
 log = logging.getLogger(__name__)
@@ -106,7 +106,7 @@ def train_job(raw: DataFrame, out: str, config: JobConfig = JobConfig(), key: st
                               config.trainer.seed, "label")
     test_m = spark.read.parquet(f"{out}/test_matrix")
     with reused(train_m) as cached:
-        candidates = train.tune_all(cached, test_m, config.trainer)
+        candidates = train.tune_all(cached, test_m, config.trainer, key)
     best = train.select_best(candidates, config.trainer)
     model = PipelineModel(stages=[features, fitted, best.model])
     writers.save_model(model, f"{out}/model")
@@ -164,11 +164,16 @@ def explain_job(df: DataFrame, model: PipelineModel, reports: str, config: JobCo
         base = how.base_value
     else:
         vectors = fitted.transform(ready)
-        background = explain.background_matrix(vectors, [key], cfg.background_rows, cfg.seed)
         sample = split.sample_rows(vectors, [key], cfg.sample_rows, cfg.seed)
-        if method == "tree":
+        by_cover = method == "tree" and cfg.trees == "cover"
+        background = None if by_cover else explain.background_matrix(vectors, [key], cfg.background_rows, cfg.seed)
+        if by_cover:
+            long = trees.cover_attribution(sample, trees.ensemble(classifier), names, key)
+        elif method == "tree":
             boosted = isinstance(classifier, GBTClassificationModel)
             long = explain.tree_attribution(sample, explain.tree_leaves(classifier), names, key, background, boosted)
+        elif cfg.others == "kernel":
+            long = kernel.kernel_attribution(sample, classifier, names, key, background, cfg.coalitions, cfg.seed)
         else:
             long = explain.sampled_attribution(sample, classifier, names, key, background, cfg.permutations, cfg.seed)
         writers.append_report(long, reports, "sampled_contributions", run_id)

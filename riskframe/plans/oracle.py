@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import factorial
+
 from riskframe.config import (
     BILL_COLUMNS, CATEGORICAL_FEATURES, CONTRACTS, INPUT_COLUMNS, NUMERIC_FEATURES,
     PAY_COLUMNS, PAYMENT_COLUMNS, TARGET, Contract,
@@ -10,7 +12,9 @@ from riskframe.functions.labels import (
     EDUCATION_LABELS, GENDER_LABELS, MARRIAGE_LABELS, PAY_LABELS, READABLE_NAMES,
 )
 from riskframe.operators.features import BALANCE_FEATURES, PAYMENT_FEATURES, RATIO_FEATURES
-from riskframe.operators.score import FIXED_LEAVES, FIXED_SCORECARD, FIXED_TREE_COLUMNS
+from riskframe.operators.score import (
+    FIXED_COVER_TREES, FIXED_KERNEL_INTERCEPT, FIXED_KERNEL_WEIGHTS, FIXED_LEAVES, FIXED_SCORECARD, FIXED_TREE_COLUMNS,
+)
 
 ENGINEERED = RATIO_FEATURES + PAYMENT_FEATURES + BALANCE_FEATURES
 WEIGHTS = FIXED_SCORECARD.weights
@@ -457,3 +461,103 @@ SQL: dict[str, str] = {
         SELECT day, n, round(abs(mean_probability - m) / s, 6) AS score, abs(mean_probability - m) / s > 0.1 AS drifted FROM windows CROSS JOIN b""",
     "audit_trail": f"{ON_SCORED},{STREAMED} SELECT request_id, account_id, day, round(probability, 6) AS probability, risk_category, status, 'fixed-1' AS model_version FROM requests",
 }
+
+
+# ---------------------------------------------------------------- models, by other algorithms than the operators use
+
+def _shapley(columns: tuple[str, ...], value: str) -> list[str]:
+    """One Shapley value for each column from the values ``value0`` ... of all subsets of known columns, numbered by bits."""
+    n, out = len(columns), []
+    for i in range(n):
+        terms = []
+        for mask in range(2 ** n):
+            if not mask >> i & 1:
+                size = bin(mask).count("1")
+                terms.append(f"({factorial(size) * factorial(n - size - 1)} / {factorial(n)}.0) * ({value}{mask | 1 << i} - {value}{mask})")
+        out.append(" + ".join(terms))
+    return out
+
+
+def _known(node: tuple, columns: tuple[str, ...], mask: int) -> tuple[str, float]:
+    """What a tree is expected to give if the columns of a subset are known and the others follow the cover."""
+    if len(node) == 2:
+        return f"({node[0]!r})", node[1]
+    column, cut, low, high = node
+    (a, a_cover), (b, b_cover) = _known(low, columns, mask), _known(high, columns, mask)
+    cover = a_cover + b_cover
+    if mask >> columns.index(column) & 1:
+        return f"(CASE WHEN {column} <= {cut!r} THEN {a} ELSE {b} END)", cover
+    return f"(({a} * {a_cover!r} + {b} * {b_cover!r}) / {cover!r})", cover
+
+
+def _long(columns: tuple[str, ...], source: str, rest: str) -> str:
+    phis = _shapley(columns, "v")
+    return " UNION ALL ".join(f"SELECT account_id, '{c}' AS feature, round({phi}, 6) AS contribution, {rest} FROM {source}" for c, phi in zip(columns, phis))
+
+
+def cover_sql() -> str:
+    values = []
+    for mask in range(2 ** len(FIXED_TREE_COLUMNS)):
+        trees = " + ".join(_known(t, FIXED_TREE_COLUMNS, mask)[0] for t in FIXED_COVER_TREES)
+        values.append(f"cast({trees} AS double) AS v{mask}")
+    return f"""{ON_ACCOUNTS}, chosen AS (SELECT * FROM accounts ORDER BY {hash_sql()}, account_id LIMIT 1000),
+        valued AS (SELECT account_id, {_list(values)} FROM chosen)
+        {_long(FIXED_TREE_COLUMNS, "valued", "round(v0, 6) AS base_value, round(1 / (1 + exp(-v7)), 6) AS probability")}"""
+
+
+def kernel_sql() -> str:
+    columns = tuple(FIXED_KERNEL_WEIGHTS)
+    values = []
+    for mask in range(2 ** len(columns)):
+        logit = " + ".join(f"({FIXED_KERNEL_WEIGHTS[c]!r}) * {'s' if mask >> i & 1 else 'b'}.{c}" for i, c in enumerate(columns))
+        values.append(f"avg(1 / (1 + exp(-(({FIXED_KERNEL_INTERCEPT!r}) + {logit})))) AS v{mask}")
+    return f"""{ON_ACCOUNTS}, ranked AS (SELECT *, row_number() OVER (ORDER BY {hash_sql()}, account_id) AS place FROM accounts),
+        valued AS (SELECT s.account_id, {_list(values)} FROM ranked s, ranked b WHERE s.place <= 1000 AND b.place <= 100 GROUP BY 1)
+        {_long(columns, "valued", "round(v0, 6) AS base_value, round(v15, 6) AS probability")}"""
+
+
+# Columns and parameters of the boosting round.
+ROUND_COLUMNS = ("PAY_0", "EDUCATION", "MARRIAGE", "SEX")
+LAMBDA, LEAST_HESSIAN, LEAST_GAIN, RATE = 1.0, 1.0, 1e-6, 0.1
+
+
+def boosting_sql(depth: int = 2) -> str:
+    """Every cut of every node is tried by summing its rows anew."""
+    rows = _list(f"cast({c} AS double) AS {c}" for c in ROUND_COLUMNS)
+    ctes = [f"at0 AS (SELECT account_id, 'root' AS node, 0.5 - {TARGET} AS g, 0.25 AS h, {rows} FROM accounts)"]
+    for k in range(depth + 1):
+        ctes.append(f"sum{k} AS (SELECT node, sum(g) AS g, sum(h) AS h, count(*) AS n FROM at{k} GROUP BY node)")
+        if k == depth:
+            break
+        cuts = " UNION ALL ".join(f"SELECT DISTINCT node, {i} AS f, {c} AS cut FROM at{k}" for i, c in enumerate(ROUND_COLUMNS))
+        below = "CASE f " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(ROUND_COLUMNS)) + " END <= cut"
+        ctes.append(f"""tried{k} AS (SELECT node, f, cut, sum(g) FILTER ({below}) AS gl, sum(h) FILTER ({below}) AS hl, sum(g) AS g, sum(h) AS h
+            FROM at{k} JOIN ({cuts}) cuts USING (node) GROUP BY 1, 2, 3)""")
+        ctes.append(f"""judged{k} AS (SELECT *, gl * gl / (hl + {LAMBDA}) + (g - gl) * (g - gl) / (h - hl + {LAMBDA}) - g * g / (h + {LAMBDA}) AS gain
+            FROM tried{k} WHERE hl >= {LEAST_HESSIAN} AND h - hl >= {LEAST_HESSIAN})""")
+        ctes.append(f"""best{k} AS (SELECT * FROM judged{k} WHERE gain > {LEAST_GAIN}
+            QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, f, cut) = 1)""")
+        ctes.append(f"""at{k + 1} AS (SELECT account_id, node || CASE WHEN {below} THEN ' low' ELSE ' high' END AS node, g, h, {_list(ROUND_COLUMNS)}
+            FROM at{k} JOIN (SELECT node, f, cut FROM best{k}) b USING (node))""")
+    names = "CASE f " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(ROUND_COLUMNS)) + " END"
+    levels = [f"""SELECT s.node, {names if k < depth else 'NULL'} AS feature, {'cut' if k < depth else 'cast(NULL AS double)'} AS threshold,
+        {'CASE WHEN f IS NULL THEN' if k < depth else ''} round(-s.g / (s.h + {LAMBDA}) * {RATE}, 6) {'END' if k < depth else ''} AS leaf_value, s.n
+        FROM sum{k} s {f'LEFT JOIN (SELECT node, f, cut FROM best{k}) b USING (node)' if k < depth else ''}""" for k in range(depth + 1)]
+    made = " UNION ALL ".join(levels)
+    return f"{ON_ACCOUNTS}, {_list(ctes)} SELECT node, feature, cast(threshold AS double) AS threshold, cast(leaf_value AS double) AS leaf_value, n FROM ({made})"
+
+
+SQL |= {
+    "cover_tree_attribution": cover_sql(),
+    "kernel_attribution": kernel_sql(),
+    "boosting_round": boosting_sql(),
+    "small_nodes": f"""{ON_ACCOUNTS},{QUOTAS} SELECT 5 AS n_trees, 0 AS n_small, 5 AS n_whole, count(*) AS n_scored, count(*) AS n_equal
+        FROM split WHERE is_test""",
+    # with C = 1: the gradient of each weight is its penalty's slope; the intercept is negative, as rates are below one half
+    "penalised_intercept": f"""{ON_ACCOUNTS}, sides AS (SELECT SEX, count(*) AS n, avg({TARGET}) AS y FROM accounts GROUP BY SEX),
+        two AS (SELECT sum(n) FILTER (SEX = 2) AS n1, sum(n * y) FILTER (SEX = 2) / sum(n) FILTER (SEX = 2) AS y1,
+                       sum(n) FILTER (SEX <> 2) AS n0, sum(n * y) FILTER (SEX <> 2) / sum(n) FILTER (SEX <> 2) AS y0 FROM sides),
+        solved AS (SELECT *, (n0 * y0 + n1 * y1 + 1) / (n0 + n1) AS alike, abs(n1 * (alike - y1)) <= 1 AS flat, sign(y1 - y0) AS s FROM two)
+        SELECT SEX, n, round(cast(CASE WHEN flat THEN alike WHEN SEX = 2 THEN y1 - s / n1 ELSE y0 + (1 + s) / n0 END AS double), 4) AS probability
+        FROM sides CROSS JOIN solved""",
+}

@@ -25,9 +25,11 @@ from riskframe.config import (
 from riskframe.functions.bounded import reused
 from riskframe.functions.columns import array, double, num, q, text, with_expressions
 from riskframe.functions.labels import readable_name
-from riskframe.operators import clean, contract, explain, metrics, prep, quality, score, split, train
+from riskframe.operators import boosting, clean, contract, explain, kernel, metrics, prep, quality, score, split, train, trees
 from riskframe.operators.features import engineered_names, with_engineered_features
-from riskframe.operators.score import FIXED_LEAVES, FIXED_SCORECARD, FIXED_TREE_COLUMNS
+from riskframe.operators.score import (
+    FIXED_COVER_TREES, FIXED_KERNEL_INTERCEPT, FIXED_KERNEL_WEIGHTS, FIXED_LEAVES, FIXED_SCORECARD, FIXED_TREE_COLUMNS,
+)
 from riskframe.plans import jobs
 from riskframe.sources import readers, writers
 from riskframe.sources.accounts import derive_accounts, table
@@ -38,6 +40,8 @@ QUERIES: dict[str, Query] = {}
 PROFILED = (*NUMERIC_FEATURES, *CATEGORICAL_FEATURES, TARGET)
 COPY_OFFSET = 1_000_000_000_000
 CLOSED = 10
+#: Minimum split size of the collapsed forest.
+SPLIT_LEAST = 40
 
 
 def query(fn: Query) -> Query:
@@ -531,6 +535,10 @@ def searched(spark: SparkSession, sf_dir: str, config: TrainerConfig) -> DataFra
     return train.leaderboard(spark, candidates)
 
 
+#: Points of the extreme boosting grid that the queries search: a round of a tree is a job for each level, whatever the data.
+FEW_ROUNDS = {"n_estimators": (100,), "max_depth": (3,), "subsample": (0.8,), "colsample_bytree": (0.8,)}
+
+
 @query
 def leaderboard(spark, sf_dir):
     """All four algorithms with one point of their grids each."""
@@ -545,7 +553,8 @@ def search_logistic(spark, sf_dir):
 
 @query
 def search_forest(spark, sf_dir):
-    return searched(spark, sf_dir, TrainerConfig(algorithms=(RANDOM_FOREST,), max_points=2))
+    """The whole published grid: 81 points from three fits a fold."""
+    return searched(spark, sf_dir, TrainerConfig(algorithms=(RANDOM_FOREST,)))
 
 
 @query
@@ -555,7 +564,55 @@ def search_boosting(spark, sf_dir):
 
 @query
 def search_extreme_boosting(spark, sf_dir):
-    return searched(spark, sf_dir, TrainerConfig(algorithms=(EXTREME_BOOSTING,), max_points=2))
+    """Second-order boosting at three learning rates; folds and refits grow side by side."""
+    return searched(spark, sf_dir, TrainerConfig(algorithms=(EXTREME_BOOSTING,), within=FEW_ROUNDS))
+
+
+#: Columns and parameters of the boosting round that SQL follows.
+ROUND_COLUMNS = ("PAY_0", "EDUCATION", "MARRIAGE", "SEX")
+ROUND = boosting.Boosting(n_estimators=1, max_depth=2, learning_rate=0.1, max_bins=256)
+
+
+@query
+def boosting_round(spark, sf_dir):
+    """The first tree of second-order boosting on coded columns: nodes with their split, weight and rows."""
+    rows = _vectors(spark, sf_dir, ROUND_COLUMNS).withColumn("label", F.col(TARGET).cast("double"))
+    tree = boosting.fit_side_by_side(rows, [ROUND], KEY)[0].trees[0]
+    names, out, open_ = [*ROUND_COLUMNS, None], [], [(0, "root")]
+    while open_:
+        at, where = open_.pop()
+        inner = tree.left[at] != trees.NONE
+        out.append((where, names[tree.feature[at]] if inner else None, float(tree.threshold[at]) if inner else None,
+                    None if inner else float(tree.value[at]), int(tree.rows[at])))
+        if inner:
+            open_ += [(tree.left[at], f"{where} low"), (tree.right[at], f"{where} high")]
+    return rounded(spark.createDataFrame(out, "node string, feature string, threshold double, leaf_value double, n bigint"))
+
+
+@query
+def small_nodes(spark, sf_dir):
+    """What a minimum split size leaves of a forest: no inner node below it, no row lost, and the scores that a walk with early stops gives."""
+    train_m, test_m, _, _ = prepared_matrices(spark, sf_dir)
+    grown = RandomForestClassifier(numTrees=5, maxDepth=10, seed=42).fit(train_m)
+    cut = trees.collapse(grown, SPLIT_LEAST)
+    nodes = trees.ensemble(cut).trees
+    walked = trees.staged_probabilities(test_m, trees.ensemble(grown), [trees.Variant(5, None, SPLIT_LEAST)], [KEY])
+    scored = cut.transform(test_m).select(KEY, vector_to_array("probability")[1].alias("p"))
+    gaps = scored.join(walked, KEY).agg(F.count("*").alias("n_scored"), F.count_if(F.abs(F.col("p") - F.col("probability")) < 1e-9).alias("n_equal"))
+    return gaps.select(
+        F.lit(len(nodes)).alias("n_trees"), F.lit(sum(int((~t.leaf & (t.rows < SPLIT_LEAST)).sum()) for t in nodes)).alias("n_small"),
+        F.lit(sum(bool(t.rows[0] == t.rows[t.leaf].sum()) for t in nodes)).alias("n_whole"), "n_scored", "n_equal")
+
+
+@query
+def penalised_intercept(spark, sf_dir):
+    """The liblinear solver on one coded column with an l1 penalty: the optimum has a closed form."""
+    rows = derive_accounts(spark, sf_dir).select(
+        F.col("SEX"), F.col(TARGET).cast("double").alias("label"), array_to_vector(F.array((F.col("SEX") == 2).cast("double"))).alias("features"))
+    estimator = LogisticRegression(maxIter=1000, tol=1e-12, standardization=False)
+    model = train.fitted(estimator, rows, {"C": 1.0, "penalty": "l1", "solver": "liblinear"}, rows.count())
+    scored = model.transform(rows).select("SEX", vector_to_array("probability")[1].alias("p"))
+    return scored.groupBy("SEX").agg(F.count("*").alias("n"), F.round(F.avg("p"), 4).alias("probability"))
 
 
 @query
@@ -641,11 +698,40 @@ def sampled_tree_attribution(spark, sf_dir):
     return explain.tree_attribution(sample, explain.tree_leaves(model), names, KEY, background, True)
 
 
+def _vectors(spark: SparkSession, sf_dir: str, columns: tuple[str, ...]) -> DataFrame:
+    """Accounts with some columns as a feature vector."""
+    cells = F.array(*[F.col(c).cast("double") for c in columns])
+    return derive_accounts(spark, sf_dir).select(KEY, TARGET, array_to_vector(cells).alias("features"))
+
+
+@query
+def cover_tree_attribution(spark, sf_dir):
+    """Two fixed trees explained by the training cover of their nodes; SQL enumerates the subsets of known columns."""
+    columns = list(FIXED_TREE_COLUMNS)
+    model = trees.Ensemble(tuple(trees.from_nested(t, columns) for t in FIXED_COVER_TREES), True)
+    sample = split.sample_rows(_vectors(spark, sf_dir, FIXED_TREE_COLUMNS), [KEY], ExplainConfig().sample_rows)
+    long = trees.cover_attribution(sample, model, columns, KEY)
+    return rounded(long.select(KEY, "feature", "contribution", "base_value", "probability"))
+
+
+@query
+def kernel_attribution(spark, sf_dir):
+    """Kernel-weighted coalitions of a fixed logistic model of four columns: all of them, so SQL's enumeration gives the same."""
+    columns = tuple(FIXED_KERNEL_WEIGHTS)
+    rows = _vectors(spark, sf_dir, columns)
+    config = ExplainConfig()
+    model = train.logistic_model(spark, list(FIXED_KERNEL_WEIGHTS.values()), FIXED_KERNEL_INTERCEPT)
+    background = explain.background_matrix(rows, [KEY], config.background_rows)
+    sample = split.sample_rows(rows, [KEY], config.sample_rows)
+    long = kernel.kernel_attribution(sample, model, columns, KEY, background, config.coalitions)
+    return rounded(long.select(KEY, "feature", "contribution", "base_value", "probability"))
+
+
 @query
 def fixed_tree_attribution(spark, sf_dir):
     """The same with three fixed trees, which SQL can follow."""
     columns = list(FIXED_TREE_COLUMNS)
-    vectors = derive_accounts(spark, sf_dir).select(KEY, array_to_vector(F.array(*[F.col(c).cast("double") for c in columns])).alias("features"))
+    vectors = _vectors(spark, sf_dir, FIXED_TREE_COLUMNS).drop(TARGET)
     leaves = [explain.Leaf(value, tuple((columns.index(c), lo, hi) for c, lo, hi in conditions)) for value, conditions in FIXED_LEAVES]
     config = ExplainConfig()
     background = explain.background_matrix(vectors, [KEY], config.background_rows)

@@ -32,7 +32,7 @@ def matrices(accounts):
 # ---------------------------------------------------------------- training
 
 def test_grid_expansion_and_penalty_scale(spark):
-    assert len(train.expand_grid(LOGISTIC_GRID)) == 8
+    assert len(train.expand_grid(LOGISTIC_GRID)) == 16
     lr = LogisticRegression()
     params = train.param_map(lr, {"C": 0.1, "penalty": "l1"}, 1000)
     assert params[lr.regParam] == pytest.approx(0.01) and params[lr.elasticNetParam] == 1.0

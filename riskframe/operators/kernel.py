@@ -53,6 +53,22 @@ def drawn_masks(width: int, count: int, seed: int) -> tuple[np.ndarray, np.ndarr
     return masks, times.astype(float)
 
 
+def eliminated(a: np.ndarray, b: np.ndarray) -> np.ndarray | None:
+    """x with a x = b by elimination with pivots; None if ``a`` is singular. Plain array operations: threads of a linear
+    algebra library were seen to hang in a driver beside the JVM."""
+    n, wide = len(a), np.concatenate([a, b], 1).astype(float)
+    least = 1e-10 * np.abs(a).max()
+    for i in range(n):
+        pivot = i + int(np.abs(wide[i:, i]).argmax())
+        if abs(wide[pivot, i]) <= least:
+            return None
+        wide[[i, pivot]] = wide[[pivot, i]]
+        wide[i] /= wide[i, i]
+        others = np.arange(n) != i
+        wide[others] -= wide[others, i][:, None] * wide[i]
+    return wide[:, n:]
+
+
 def coalitions(width: int, count: int = 2048, seed: int = 42) -> Coalitions:
     """Coalitions and the matrix that solves the constrained least squares for any values. One feature gets the difference.
 
@@ -66,10 +82,11 @@ def coalitions(width: int, count: int = 2048, seed: int = 42) -> Coalitions:
     solve = np.zeros((width, n + 2))
     if n:
         x = (masks[:, :-1] - masks[:, [-1]]).astype(float)
-        normal = (x * weights[:, None]).T @ x
-        if np.linalg.matrix_rank(normal) < width - 1:
-            normal += 1e-9 * np.trace(normal) * np.eye(width - 1)
-        part = np.linalg.solve(normal, (x * weights[:, None]).T)  # (features - 1, coalitions)
+        weighted = x * weights[:, None]
+        normal = np.einsum("ci,cj->ij", weighted, x)
+        part = eliminated(normal, weighted.T)  # (features - 1, coalitions)
+        if part is None:
+            part = eliminated(normal + 1e-9 * np.trace(normal) * np.eye(width - 1), weighted.T)
         last = masks[:, -1]
         solve[:-1, 1:-1] = part
         solve[:-1, 0] = -(part * (1 - last)).sum(1)

@@ -548,6 +548,11 @@ def boosting_sql(depth: int = 2) -> str:
 
 
 SQL |= {
+    # unpenalised models of one coded column give the default rate of each code
+    "versioned_stream": f"""{ON_ACCOUNTS}, rates AS (SELECT account_id, avg({TARGET}) OVER (PARTITION BY EDUCATION) AS first_rate,
+            avg({TARGET}) OVER (PARTITION BY MARRIAGE) AS second_rate FROM accounts)
+        SELECT account_id, round(CASE WHEN account_id % 2 = 0 THEN first_rate ELSE second_rate END, 4) AS probability,
+               cast(account_id % 2 + 1 AS bigint) AS model_version FROM rates""",
     "cover_tree_attribution": cover_sql(),
     "kernel_attribution": kernel_sql(),
     "boosting_round": boosting_sql(),

@@ -33,6 +33,7 @@ from riskframe.operators.score import (
 from riskframe.plans import jobs
 from riskframe.sources import readers, writers
 from riskframe.sources.accounts import derive_accounts, table
+from riskframe.streaming import registry
 from riskframe.streaming import scoring as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -808,6 +809,29 @@ def stream_quarantine(spark, sf_dir):
     return spark.read.parquet(f"{out}/quarantine").select(KEY, "first_violation")
 
 
+#: The coded column that each model version of the stream is fitted on.
+VERSION_COLUMNS = ("EDUCATION", "MARRIAGE")
+
+
+@query
+def versioned_stream(spark, sf_dir):
+    """Fitted models in a registry: version 2 lands between two batches, and every record carries the version that scored it."""
+    accounts = derive_accounts(spark, sf_dir)
+    out = run_dir(spark, "stream-versions")
+    writers.write_table(accounts, f"{out}/accounts")
+    accounts = spark.read.parquet(f"{out}/accounts")
+    labelled = accounts.withColumn("label", F.col(TARGET).cast("double"))
+    for version, column in enumerate(VERSION_COLUMNS, 1):
+        prepared = Pipeline(stages=[prep.RepaymentFeatures(), prep.AccountPrep(numericCols=[], categoricalCols=[column])]).fit(labelled)
+        classifier = LogisticRegression(maxIter=1000, tol=1e-10, standardization=False, regParam=0.0).fit(prepared.transform(labelled))
+        registry.publish(PipelineModel(stages=[*prepared.stages, classifier]), f"{out}/models", version)
+        accounts.where(F.col(KEY) % 2 == version - 1).write.mode("append").parquet(f"{out}/landing")
+        records = streams.read_stream(spark, f"{out}/landing", accounts.schema)
+        streams.finish(registry.run_versioned_scoring(records, f"{out}/models", f"{out}/audit", f"{out}/checkpoint"))
+    audit = spark.read.parquet(f"{out}/audit/scored")
+    return audit.select(KEY, F.round("probability", 4).alias("probability"), "model_version")
+
+
 def _request_stream(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, DataFrame]:
     """Events as scoring requests, looked up in the written account scores, read back as a stream.
 

@@ -112,10 +112,10 @@ def _judge_drift(paired: DataFrame, threshold: float) -> DataFrame:
         "*", f"coalesce(score > {num(float(threshold))}, false) AS drifted")
 
 
-def drift(baseline: DataFrame, current: DataFrame, threshold: float = 0.1) -> DataFrame:
-    """Compare two profiles by column. Profiles have one row per column on both sides."""
+def drift(baseline: DataFrame, current: DataFrame, threshold: float = 0.1, keep: Sequence[str] = ()) -> DataFrame:
+    """Compare two profiles by column: one row per column in the baseline, one per column and values of ``keep`` in the other."""
     b = baseline.selectExpr("column", "mean AS baseline_mean", "std AS baseline_std")
-    c = current.selectExpr("column", "mean AS current_mean")
+    c = current.selectExpr("column", "mean AS current_mean", *names_of(keep))
     return _judge_drift(b.join(c, "column"), threshold)
 
 

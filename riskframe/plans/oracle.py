@@ -459,6 +459,18 @@ SQL: dict[str, str] = {
     "window_monitor": f"{ON_SCORED},{STREAMED} SELECT day, n, round(mean_probability, 6) AS mean_probability, default_predictions, high_risk_count, medium_risk_count, low_risk_count, unknown_accounts FROM windows",
     "window_drift": f"""{ON_SCORED},{STREAMED}, b AS (SELECT avg(probability) AS m, stddev_samp(probability) AS s FROM open_accounts)
         SELECT day, n, round(abs(mean_probability - m) / s, 6) AS score, abs(mean_probability - m) / s > 0.1 AS drifted FROM windows CROSS JOIN b""",
+    "stream_column_drift": f"""{ON_SCORED},{STREAMED},
+        base AS ({" UNION ALL ".join(f"SELECT '{c}' AS column_name, avg(cast({c} AS double)) AS m, stddev_samp(cast({c} AS double)) AS s FROM open_accounts" for c in (*NUMERIC_FEATURES, *CATEGORICAL_FEATURES))}),
+        daily AS ({" UNION ALL ".join(f"SELECT day, '{c}' AS column_name, count({c}) AS n, avg(cast({c} AS double)) AS x FROM requests GROUP BY 1" for c in (*NUMERIC_FEATURES, *CATEGORICAL_FEATURES))})
+        SELECT day, column_name, n, round(abs(x - m) / s, 6) AS score, coalesce(abs(x - m) / s > 0.1, false) AS drifted FROM daily JOIN base USING (column_name)""",
+    "late_requests": f"""{ON_SCORED}, open_accounts AS (SELECT account_id, probability FROM scored WHERE account_id % 10 <> 0),
+        requests AS (SELECT event_id, ts, probability, date_trunc('day', ts) + INTERVAL 1 DAY AS ends FROM events LEFT JOIN open_accounts ON user_id = account_id),
+        first_mark AS (SELECT max(ts) - INTERVAL 3 DAY AS mark FROM requests WHERE event_id % 2 = 0),
+        last_mark AS (SELECT max(ts) - INTERVAL 3 DAY AS mark FROM requests),
+        parted AS (SELECT strftime(ts, '%Y-%m-%d') AS day, probability,
+                   CASE WHEN event_id % 2 = 1 AND ends <= f.mark THEN 'late' WHEN ends <= l.mark THEN 'closed' ELSE 'open' END AS part
+                   FROM requests, first_mark f, last_mark l)
+        SELECT day, part, count(*) AS n, round(avg(probability), 6) AS mean_probability FROM parted GROUP BY 1, 2""",
     "audit_trail": f"{ON_SCORED},{STREAMED} SELECT request_id, account_id, day, round(probability, 6) AS probability, risk_category, status, 'fixed-1' AS model_version FROM requests",
 }
 

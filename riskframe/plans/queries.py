@@ -832,12 +832,16 @@ def versioned_stream(spark, sf_dir):
     return audit.select(KEY, F.round("probability", 4).alias("probability"), "model_version")
 
 
-def _request_stream(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, DataFrame]:
+#: Columns watched for drift in the request stream.
+DRIFT_COLUMNS = (*NUMERIC_FEATURES, *CATEGORICAL_FEATURES)
+
+
+def _request_stream(spark: SparkSession, sf_dir: str, inputs: tuple[str, ...] = ()) -> tuple[str, DataFrame, DataFrame]:
     """Events as scoring requests, looked up in the written account scores, read back as a stream.
 
     One account in ten is closed and not in the table, so some requests have no account.
     """
-    scored = scored_accounts(spark, sf_dir).select(KEY, *score.SCORE_COLUMNS)
+    scored = scored_accounts(spark, sf_dir).select(KEY, *score.SCORE_COLUMNS, *inputs)
     out, landing = _landed(spark, scored.where(F.col(KEY) % CLOSED != 0), "stream-requests")
     static = spark.read.parquet(landing)
     schema = table(spark, sf_dir, "events").schema
@@ -870,6 +874,47 @@ def window_drift(spark, sf_dir):
     return rounded(drifted.select("day", "n", "score", "drifted"))
 
 
+@query
+def stream_column_drift(spark, sf_dir):
+    """Every input column of the requests of a day against the stored profile of the accounts."""
+    out, static, requests = _request_stream(spark, sf_dir, DRIFT_COLUMNS)
+    writers.write_table(quality.moment_profile(static, DRIFT_COLUMNS), f"{out}/profile")
+    streams.finish(streams.run_profile(requests, DRIFT_COLUMNS, f"{out}/profiles", f"{out}/checkpoint"))
+    newest = streams.latest_windows(spark.read.parquet(f"{out}/profiles"), ["column"])
+    found = streams.column_drift(newest, spark.read.parquet(f"{out}/profile"))
+    day = streams.utc_day(F.col("window.start")).cast("string").alias("day")
+    return rounded(found.select(day, F.col("column").alias("column_name"), "n", "score", "drifted"))
+
+
+#: How long the closing monitor waits for late requests.
+LATENESS = "3 days"
+
+
+@query
+def late_requests(spark, sf_dir):
+    """Requests with even numbers come first, so many of the others are late: windows closed once, windows still open, late rows by day."""
+    scored = scored_accounts(spark, sf_dir).select(KEY, *score.SCORE_COLUMNS)
+    out = run_dir(spark, "stream-late")
+    writers.write_table(scored.where(F.col(KEY) % CLOSED != 0), f"{out}/accounts")
+    events = table(spark, sf_dir, "events")
+    requests = events.select(F.col("event_id").alias("request_id"), F.col("user_id").alias(KEY),
+                             streams.as_instant("ts", events.schema["ts"].dataType).alias("ts"))
+    requests = streams.with_accounts(requests, spark.read.parquet(f"{out}/accounts"), KEY)
+    for half in (0, 1):
+        requests.where(F.col("request_id") % 2 == half).write.mode("append").parquet(f"{out}/landing")
+        arriving = streams.read_stream(spark, f"{out}/landing", requests.schema)
+        streams.finish(streams.run_late_split(arriving, out, f"{out}/checkpoint-split", lateness=LATENESS))
+        marked = streams.read_stream(spark, f"{out}/marked", T.StructType([*requests.schema.fields, T.StructField("late", T.BooleanType())]))
+        streams.finish(streams.run_closed_windows(marked.where("NOT late"), f"{out}/closed", f"{out}/checkpoint-closed", lateness=LATENESS))
+    day = lambda instant: streams.utc_day(instant).cast("string").alias("day")
+    closed = spark.read.parquet(f"{out}/closed").select(day(F.col("window.start")), F.lit("closed").alias("part"), "n", "mean_probability")
+    part = F.when(F.col("late"), "late").otherwise("open").alias("part")
+    rest = spark.read.parquet(f"{out}/marked").groupBy(day(F.col("ts")), part).agg(
+        F.count("*").alias("n"), F.avg("probability").alias("mean_probability"))
+    gone = closed.select("day", F.lit("open").alias("part"))
+    return rounded(closed.unionByName(rest.join(gone, ["day", "part"], "left_anti")))
+
+
 @query
 def audit_trail(spark, sf_dir):
     out, _, requests = _request_stream(spark, sf_dir)

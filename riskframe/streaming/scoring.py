@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +12,7 @@ from pyspark.sql import types as T
 from riskframe.config import SERVING_CONTRACT, Contract
 from riskframe.functions.bounded import join_lookup
 from riskframe.operators.contract import with_violations
+from riskframe.operators.quality import drift, moment_profile
 from riskframe.operators.score import Scorecard, score
 
 
@@ -122,11 +126,12 @@ def run_monitor(scored: DataFrame, out_path: str, checkpoint: str, time_col: str
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def latest_windows(updates: DataFrame) -> DataFrame:
-    """The newest version of each window out of the update batches."""
-    values = [c for c in updates.columns if c not in ("window", "batch_id")]
+def latest_windows(updates: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """The newest version of each window, or of each window and the columns ``within`` it, out of the update batches."""
+    groups = ["window", *within]
+    values = [c for c in updates.columns if c not in (*groups, "batch_id")]
     newest = F.max_by(F.struct(*values), F.col("batch_id")).alias("v")
-    return updates.groupBy("window").agg(newest).select("window", "v.*")
+    return updates.groupBy(*groups).agg(newest).select(*groups, "v.*")
 
 
 def window_drift(windows: DataFrame, baseline_mean: float, baseline_std: float,
@@ -137,6 +142,82 @@ def window_drift(windows: DataFrame, baseline_mean: float, baseline_std: float,
     return windows.withColumn("score", value).withColumn("drifted", F.col("score") > threshold)
 
 
+def windowed_profile(records: DataFrame, columns: Sequence[str], time_col: str = "ts", every: str = "1 day",
+                     lateness: str = "1 day") -> DataFrame:
+    """Rows, mean, deviation and extremes of every column per time window: one aggregate, one state row for each window."""
+    watched = records.withWatermark(time_col, lateness) if records.isStreaming else records
+    return moment_profile(watched.withColumn("window", F.window(time_col, every)), columns, by="window")
+
+
+def run_profile(records: DataFrame, columns: Sequence[str], out_path: str, checkpoint: str, time_col: str = "ts", every: str = "1 day",
+                lateness: str = "1 day", trigger: dict | None = None):
+    """Keep the profile of each window up to date: every micro-batch writes the windows it changed."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+    return (windowed_profile(records, columns, time_col, every, lateness).writeStream.outputMode("update")
+            .foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def column_drift(profiles: DataFrame, baseline: DataFrame, threshold: float = 0.1) -> DataFrame:
+    """Shift of every column in every window against the stored profile of that column, in baseline deviations.
+
+    ``profiles`` has one row for each window and column, ``baseline`` one for each column. A window without a present value of a
+    column has a null score and no drift there.
+    """
+    return drift(baseline, profiles, threshold, keep=["window", "n"])
+
+
+MARK = "mark_us bigint"
+
+
+def noted_mark(spark, root: str, batch_id: int) -> int | None:
+    """The watermark (microseconds) that held when a batch began: the furthest one noted before it, None at the begin."""
+    try:
+        noted = spark.read.schema(f"{MARK}, batch_id bigint").parquet(f"{root}/marks")
+    except AnalysisException:
+        return None
+    return noted.where(F.col("batch_id") < batch_id).agg(F.max("mark_us")).first()[0]
+
+
+def with_lateness(rows: DataFrame, mark_us: int | None, time_col: str, every: str) -> DataFrame:
+    """Rows with ``late``: their window ends at or before the watermark, or they have no time and so no window."""
+    if mark_us is None:
+        return rows.withColumn("late", F.col(time_col).isNull())
+    timed = rows.where(F.col(time_col).isNotNull()).withColumn("late", F.window(time_col, every))
+    marked = timed.withColumn("late", F.unix_micros(F.col("late")["end"]) <= mark_us)
+    return marked.unionByName(rows.where(F.col(time_col).isNull()).withColumn("late", F.lit(True)))
+
+
+def run_late_split(requests: DataFrame, out_path: str, checkpoint: str, time_col: str = "ts", every: str = "1 day",
+                   lateness: str = "1 day", trigger: dict | None = None):
+    """Mark the requests that come when their window is closed and lose none: read = on time + late, in ``out_path/marked``.
+
+    The watermark of a batch is the latest time of all batches before it less ``lateness``: an append aggregation over the rows
+    on time closes its windows by the same watermark, so it drops no row that is not counted as late here. Marks are noted by
+    batch; a batch replayed after a failure decides as before and replaces its folders. One row a batch reaches the driver.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        marked = f"{out_path}/marked/batch_id={batch_id}"
+        with_lateness(batch, noted_mark(spark, out_path, batch_id), time_col, every).write.mode("overwrite").parquet(marked)
+        reached = F.unix_micros(F.max(time_col) - F.expr(f"INTERVAL {lateness}")).alias("mark_us")
+        (spark.read.schema(batch.schema).parquet(marked).agg(reached).coalesce(1)
+         .write.mode("overwrite").parquet(f"{out_path}/marks/batch_id={batch_id}"))
+
+    return (requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def run_closed_windows(on_time: DataFrame, out_path: str, checkpoint: str, time_col: str = "ts", every: str = "1 day",
+                       lateness: str = "1 day", trigger: dict | None = None):
+    """Append each window of the monitor once, when the watermark has passed its end; the file sink makes it exactly-once."""
+    return (windowed_monitor(on_time, time_col, every, lateness).writeStream.outputMode("append").format("parquet")
+            .option("path", out_path).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
 def baseline_of(scored: DataFrame) -> tuple[float, float]:
     row = scored.agg(F.avg("probability"), F.stddev_samp("probability")).first()
     return row[0], row[1]

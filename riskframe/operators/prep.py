@@ -7,8 +7,9 @@ applying is a projection. Both stages take part in ``Pipeline`` and save with it
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.functions import array_to_vector
@@ -18,14 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.config import CATEGORICAL_FEATURES, NUMERIC_FEATURES, FeatureConfig
-from riskframe.functions.bounded import reused
+from riskframe.functions.bounded import SMALL_ROWS, reused
 from riskframe.functions.columns import add_all, array, double, names_of, num, q, struct, to_long_form, with_expressions
 from riskframe.functions.quantiles import exact_quantiles
 from riskframe.operators.clean import fill_missing_with_zero
+from riskframe.operators.codes import indicator_vector
 from riskframe.operators.features import engineered_names, with_engineered_features
 
 
-#: Categories beyond which scoring looks a weight up instead of branching.
+#: Codes of a column beyond which they are joined as a table instead of written into the plan; results are the same.
 WIDE = 200
 
 
@@ -160,13 +162,13 @@ class AccountPrepModel(Model, DefaultParamsReadable, DefaultParamsWritable):
             for c, s in self.fitted()["numeric"].items()}
 
     def logit(self, intercept: float, coefficients: Sequence[float], complete: bool = False,
-              integral: Sequence[str] = ()) -> str:
+              integral: Sequence[str] = (), looked_up: Mapping[str, str] | None = None) -> str:
         """Linear predictor of a model on the encoded features, straight from the input columns.
 
         Scaling folds into the weights and each coded column is one CASE over its categories,
         so scoring needs no feature vector; features without weight disappear. ``complete``
         promises inputs without gaps, ``integral`` names whole-number columns, whose categories
-        compare faster.
+        compare faster, ``looked_up`` gives the weights of columns that ``with_weights`` joined.
         """
         filled = (lambda c, fill: double(c)) if complete else self._filled
         weights = dict(zip(self.feature_names(), map(float, coefficients)))
@@ -177,6 +179,9 @@ class AccountPrepModel(Model, DefaultParamsReadable, DefaultParamsWritable):
                 constant -= slope * float(s["center"])
                 terms.append(f"{filled(c, s['fill'])} * {num(slope)}")
         for c, e in self.fitted()["coded"].items():
+            if looked_up and c in looked_up:
+                terms.append(looked_up[c])
+                continue
             whole = c in integral and all(isinstance(v, int) for v in (e["fill"], *e["categories"]))
             if len(e["categories"]) > WIDE:  # a lookup in place of a branch for each category
                 keys = array([num(float(v)) for v in e["categories"][1:]])
@@ -192,22 +197,52 @@ class AccountPrepModel(Model, DefaultParamsReadable, DefaultParamsWritable):
                 terms.append(f"CASE {code} {' '.join(cases)} ELSE 0D END")
         return add_all([num(constant), *terms])
 
+    def wide(self) -> list[str]:
+        """Coded columns with more codes than a branch or a list of literals should have."""
+        return [c for c, e in self.fitted()["coded"].items() if len(e["categories"]) > WIDE]
+
+    def _looked_up(self, df: DataFrame, column: str, values: Sequence[float], name: str) -> DataFrame:
+        """A value for each code of a column but the smallest, joined by the code: no literals, and broadcast if the codes are few."""
+        e = self.fitted()["coded"][column]
+        known = f"{name}_code"
+        table = pa.table({known: pa.array(map(float, e["categories"][1:]), pa.float64()), name: pa.array(values)})
+        lookup = df.sparkSession.createDataFrame(table)
+        lookup = F.broadcast(lookup) if table.num_rows <= SMALL_ROWS else lookup
+        return df.join(lookup, F.expr(self._filled(column, e["fill"])) == F.col(q(known)), "left").drop(known)
+
+    def with_weights(self, df: DataFrame, coefficients: Sequence[float]) -> tuple[DataFrame, dict[str, str]]:
+        """The rows with the weight of each wide column's code, and the expressions of these weights for ``logit``."""
+        weights, found = dict(zip(self.feature_names(), map(float, coefficients))), {}
+        for i, c in enumerate(self.wide()):
+            df = self._looked_up(df, c, [weights[f"{c}_{v}"] for v in self.fitted()["coded"][c]["categories"][1:]], f"__weight_{i}")
+            found[c] = f"coalesce(__weight_{i}, 0D)"
+        return df, found
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        """All input columns plus the vector; its metadata carry the feature names.
+        """All input columns plus the vector, sparse where that is smaller; its metadata carry the feature names.
 
-        Codes are imputed in a projection of their own and expanded by a small lambda: spelled
-        out, the indicators would exceed the method size the JVM is willing to compile.
+        A code becomes its position, by a short list of literals or, for a wide column, by a join; positions become indicators.
         """
-        output = self.getOrDefault("outputCol")
-        codes = [f"{self._filled(c, e['fill'])} AS coded_{i}" for i, (c, e) in enumerate(self.fitted()["coded"].items())]
-        hot = [f"transform({array([num(float(v)) for v in e['categories'][1:]])}, v -> CAST(coded_{i} = v AS DOUBLE))"
-               for i, e in enumerate(self.fitted()["coded"].values()) if len(e["categories"]) > 1]
-        cells = f"concat({', '.join([array(list(self._scaled().values())), *hot])})"
+        output, coded = self.getOrDefault("outputCol"), self.fitted()["coded"]
+        placed = dataset
+        for i, c in enumerate(self.wide()):
+            placed = self._looked_up(placed, c, range(1, len(coded[c]["categories"])), f"__place_{c}")
+        positions = []
+        for c, e in coded.items():
+            if len(e["categories"]) < 2:
+                continue
+            listed = array([num(float(v)) for v in e["categories"][1:]])
+            place = q(f"__place_{c}") if c in self.wide() else f"array_position({listed}, {self._filled(c, e['fill'])})"
+            positions.append(f"{place} AS {q(f'__position_{c}')}")
+        scaled = list(self._scaled().values())
+        ready = placed.select(*names_of(dataset.columns), *map(F.expr, positions),
+                              *([array_to_vector(F.expr(array(scaled))).alias("__scaled")] if scaled else []))
+        sizes = {f"__position_{c}": len(e["categories"]) for c, e in coded.items() if len(e["categories"]) > 1}
         names = self.feature_names()
         metadata = {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": n} for i, n in enumerate(names)]},
                                 "num_attrs": len(names)}}
-        vector = array_to_vector(F.expr(cells)).alias(output, metadata=metadata)
-        return dataset.selectExpr("*", *codes).select(*names_of(dataset.columns), vector)
+        made = indicator_vector(ready, sizes, "__features", ("__scaled", len(scaled)) if scaled else None)
+        return made.select(*names_of(dataset.columns), F.col("__features").alias(output, metadata=metadata))
 
 
 def standard_scaled(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -142,8 +142,9 @@ def score_with_pipeline(df: DataFrame, model: PipelineModel, threshold: float =
     ready = prepare_for_scoring(df, features.config(), missing)
     if isinstance(classifier, LogisticRegressionModel):
         integral = [f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)]
-        p = sigmoid(fitted.logit(classifier.intercept, classifier.coefficients.toArray(),
-                                 missing == "zero", integral))
+        weights = classifier.coefficients.toArray()
+        ready, looked_up = fitted.with_weights(ready, weights)
+        p = sigmoid(fitted.logit(classifier.intercept, weights, missing == "zero", integral, looked_up))
         scored = with_score_columns(ready, p, threshold, bands)
     else:
         out = classifier.transform(fitted.transform(ready))

@@ -578,3 +578,60 @@ SQL |= {
         SELECT SEX, n, round(cast(CASE WHEN flat THEN alike WHEN SEX = 2 THEN y1 - s / n1 ELSE y0 + (1 + s) / n0 END AS double), 4) AS probability
         FROM sides CROSS JOIN solved""",
 }
+
+# What the queries plant, number and weigh.
+PLANTED = {"AGE": "CASE WHEN account_id % 41 = 0 THEN 17 ELSE AGE END", "SEX": "CASE WHEN account_id % 43 = 0 THEN 9 ELSE SEX END"}
+INDEXED = ("AGE", "LIMIT_BAL", "account_id")
+
+CODES = f"""
+marked AS (SELECT account_id, AGE, LIMIT_BAL, {hash_sql()} < {TEST_CUT} AS is_test FROM accounts),
+codes AS ({" UNION ALL ".join(f"SELECT '{c}' AS column_name, cast({c} AS double) AS value, count(*) AS n FROM marked WHERE NOT is_test GROUP BY 2" for c in INDEXED)}),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY value) - 1 AS position, count(*) OVER (PARTITION BY column_name) AS size FROM codes)"""
+_WIDTHS = [f"(SELECT max(size) - 1 FROM numbered WHERE column_name = '{c}')" for c in INDEXED]
+
+FOLDS = f"""
+ranges AS (SELECT {TARGET} AS cls, {hash_sql(43)} >> 16 AS bucket, count(*) AS n FROM accounts GROUP BY 1, 2),
+upto AS (SELECT *, sum(n) OVER (PARTITION BY cls ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY cls) AS n_cls FROM ranges),
+ends AS (SELECT cls, k, min(bucket) AS last FROM upto, range(1, 5) AS t(k) WHERE upto * 5 >= n_cls * k GROUP BY 1, 2),
+folded AS (SELECT EDUCATION AS code, {TARGET} AS y, (SELECT count(*) FROM ends e WHERE e.cls = a.{TARGET} AND e.last < ({hash_sql(43)} >> 16)) AS fold FROM accounts a)"""
+
+
+def _gain(column: str) -> str:
+    """Gini gain of every cut of a column."""
+    return f"""SELECT '{column}' AS feature, v, nl, nr, n, yl, yr, y,
+        2 * (y / n) * (1 - y / n) - (nl * 2 * (yl / nl) * (1 - yl / nl) + nr * 2 * (yr / nr) * (1 - yr / nr)) / n AS gain
+        FROM (SELECT v, count(*) FILTER ({column} <= v) AS nl, count(*) FILTER ({column} > v) AS nr, count(*) AS n,
+                     sum({TARGET}) FILTER ({column} <= v) AS yl, sum({TARGET}) FILTER ({column} > v) AS yr, sum({TARGET}) AS y
+              FROM accounts, (SELECT DISTINCT {column} AS v FROM accounts) GROUP BY v) WHERE nr > 0"""
+
+
+SQL |= {
+    "format_round_trip": f"{ON_ACCOUNTS} SELECT format, account_id, {_list(ALL_COLUMNS)} FROM accounts CROSS JOIN (VALUES ('json'), ('orc'), ('parquet')) f(format)",
+    "preview_rows": f"{ON_ACCOUNTS} SELECT account_id, {_list(ALL_COLUMNS)} FROM accounts ORDER BY account_id LIMIT 5",
+    "code_index": f"{ON_ACCOUNTS},{CODES} SELECT column_name, value, n, position FROM numbered",
+    "sparse_codes": f"""{ON_ACCOUNTS},{CODES}, placed AS ({" UNION ALL ".join(
+        f"SELECT m.account_id, position - 1 + {' + '.join(['0', *_WIDTHS[:i]])} AS place FROM marked m JOIN numbered k ON column_name = '{c}' AND m.{c} = value AND position > 0"
+        for i, c in enumerate(INDEXED))})
+        SELECT account_id, cast({' + '.join(_WIDTHS)} AS bigint) AS width, cast(place AS bigint) AS place FROM placed""",
+    "gate_stop": f"""{ON_FILLED}, planted AS (SELECT DISTINCT {_list(f"{PLANTED.get(c, c)} AS {c}" for c in ALL_COLUMNS)} FROM filled),
+        judged AS ({_range_rows(TRAINING, "planted")})
+        SELECT check_name, column_name, violations, 'Validation Failed' AS status FROM judged WHERE NOT passed""",
+    "score_job_tables": f"""{ON_ACCOUNTS}, c AS (SELECT count(CASE WHEN {SERVING_OK} THEN 1 END) AS good, count(*) AS n FROM accounts)
+        SELECT unnest(['scored', 'summary', 'distribution', 'quarantine']) AS part, unnest([good, good, good, n - good]) AS n FROM c""",
+    "explain_job_tables": f"""{ON_ACCOUNTS}, codes AS (SELECT EDUCATION AS code, row_number() OVER (ORDER BY EDUCATION) - 1 AS place FROM (SELECT DISTINCT EDUCATION FROM accounts)),
+        behind AS (SELECT EDUCATION AS code FROM accounts ORDER BY {hash_sql()}, account_id LIMIT 100),
+        means AS (SELECT c.code, place * 0.25 AS w, (SELECT avg(CASE WHEN b.code = c.code THEN 1.0 ELSE 0.0 END) FROM behind b) AS m FROM codes c WHERE place > 0),
+        parts AS (SELECT m.code, w * (CASE WHEN EDUCATION = m.code THEN 1 ELSE 0 END - m.m) AS phi FROM accounts CROSS JOIN means m)
+        SELECT 'EDUCATION_' || code AS feature, round(cast(avg(phi) AS double), 6) AS mean_contribution, round(cast(avg(abs(phi)) AS double), 6) AS mean_abs_contribution,
+               count(*) AS n_rows, 'linear' AS method, 'LogisticRegressionModel' AS model_type,
+               round(cast((SELECT sum(w * m) - 1 FROM means) AS double), 6) AS base_value, count(*) AS n_local FROM parts GROUP BY code""",
+    "coded_cv_scores": f"""{ON_ACCOUNTS},{FOLDS},
+        rated AS (SELECT f.k AS fold, code, avg(y) AS rate FROM folded, range(0, 5) AS f(k) WHERE fold <> f.k GROUP BY 1, 2),
+        held AS (SELECT d.fold, rate, sum(y) AS pos, count(*) - sum(y) AS neg FROM folded d JOIN rated r ON r.fold = d.fold AND r.code = d.code GROUP BY 1, 2),
+        areas AS (SELECT a.fold, sum(a.pos * b.neg * CASE WHEN a.rate > b.rate THEN 1 WHEN a.rate = b.rate THEN 0.5 ELSE 0 END) / (any_value(t.p) * any_value(t.q)) AS auc
+                  FROM held a JOIN held b ON a.fold = b.fold JOIN (SELECT fold, sum(pos) AS p, sum(neg) AS q FROM held GROUP BY 1) t ON t.fold = a.fold GROUP BY 1)
+        SELECT round(avg(auc) OVER (), 5) AS mean_cv_score, round(stddev_pop(auc) OVER (), 5) AS std_cv_score, cast(fold AS integer) AS fold, round(auc, 5) AS auc FROM areas""",
+    "stump_importance": f"""{ON_ACCOUNTS}, tried AS ({" UNION ALL ".join(map(_gain, ROUND_COLUMNS))}),
+        best AS (SELECT feature FROM tried ORDER BY gain DESC LIMIT 1)
+        SELECT c AS feature, CASE WHEN c = (SELECT feature FROM best) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS importance FROM (SELECT unnest({list(ROUND_COLUMNS)!r}) AS c)""",
+}

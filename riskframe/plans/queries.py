@@ -25,7 +25,7 @@ from riskframe.config import (
 from riskframe.functions.bounded import reused
 from riskframe.functions.columns import array, double, num, q, text, with_expressions
 from riskframe.functions.labels import readable_name
-from riskframe.operators import boosting, clean, contract, explain, kernel, metrics, prep, quality, score, split, train, trees
+from riskframe.operators import boosting, clean, codes, contract, explain, kernel, metrics, prep, quality, score, split, train, trees
 from riskframe.operators.features import engineered_names, with_engineered_features
 from riskframe.operators.score import (
     FIXED_COVER_TREES, FIXED_KERNEL_INTERCEPT, FIXED_KERNEL_WEIGHTS, FIXED_LEAVES, FIXED_SCORECARD, FIXED_TREE_COLUMNS,
@@ -113,6 +113,21 @@ def text_round_trip(spark, sf_dir):
     return readers.read_accounts(spark, path, "csv").drop(readers.CORRUPT)
 
 
+@query
+def format_round_trip(spark, sf_dir):
+    """The same table through every other format; lines of text are read by the explicit schema."""
+    accounts, path, parts = derive_accounts(spark, sf_dir), run_dir(spark, "formats"), []
+    for fmt in ("json", "orc", "parquet"):
+        writers.write_table(accounts, f"{path}/{fmt}", fmt)
+        parts.append(readers.read_accounts(spark, f"{path}/{fmt}", fmt).drop(readers.CORRUPT).select(F.lit(fmt).alias("format"), *accounts.columns))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def preview_rows(spark, sf_dir):
+    return readers.preview(derive_accounts(spark, sf_dir).orderBy(KEY))
+
+
 # ---------------------------------------------------------------- contract and quality
 
 def _text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +199,62 @@ def train_job_tables(spark, sf_dir):
     return out_rows.select("part", F.col("n").cast("bigint").alias("n"))
 
 
+#: Values planted in some rows to break the contract: column, every so many keys, value.
+PLANTED = (("AGE", 41, 17), ("SEX", 43, 9))
+
+
+@query
+def gate_stop(spark, sf_dir):
+    """The train job on a table that breaks the contract: the gate stops it, and its reports say why."""
+    out = run_dir(spark, "gated")
+    rows = clean.fill_missing_with_zero(derive_accounts(spark, sf_dir))
+    for column, every, value in PLANTED:
+        rows = rows.withColumn(column, F.when(F.col(KEY) % every == 0, value).otherwise(F.col(column)).cast("bigint"))
+    try:
+        jobs.train_job(rows, out, JobConfig(gate=True), run_id="q")
+        status = "not stopped"
+    except contract.ContractViolation as error:
+        status = str(error)
+    failed = spark.read.parquet(f"{out}/reports/checks").where("NOT passed AND severity = 'error'")
+    return failed.select("check_name", "column_name", "violations", F.lit(status).alias("status"))
+
+
+@query
+def score_job_tables(spark, sf_dir):
+    """The score job with a fitted, stored and loaded pipeline: what its tables and reports count."""
+    out = run_dir(spark, "score-job")
+    _, _, _, stages = prepared_matrices(spark, sf_dir)
+    weights = [0.05 * (i % 5 - 2) for i in range(len(stages.stages[1].feature_names()))]
+    writers.save_model(PipelineModel(stages=[*stages.stages, train.logistic_model(spark, weights, -0.5)]), f"{out}/model")
+    jobs.score_job(derive_accounts(spark, sf_dir), readers.load_model(f"{out}/model"), out, run_id="q")
+    read = lambda name: spark.read.parquet(f"{out}/{name}")
+    parts = [read(name).agg(F.count("*").alias("n")).select(F.lit(name).alias("part"), "n") for name in ("scored", "quarantine")]
+    parts.append(read("reports/summary").selectExpr("'summary' AS part", "high_risk_count + medium_risk_count + low_risk_count AS n"))
+    parts.append(read("reports/distribution").agg(F.sum("n").alias("n")).selectExpr("'distribution' AS part", "n"))
+    out_rows = parts[0]
+    for part in parts[1:]:
+        out_rows = out_rows.unionByName(part)
+    return out_rows
+
+
+#: Weight of the first indicator of the explained model; the others are multiples.
+EXPLAINED_WEIGHT = 0.25
+
+
+@query
+def explain_job_tables(spark, sf_dir):
+    """The explain job for a logistic model of one coded column with known weights: the attribution bundle it reports."""
+    out = run_dir(spark, "explain-job")
+    writers.write_table(derive_accounts(spark, sf_dir), f"{out}/accounts")
+    accounts = spark.read.parquet(f"{out}/accounts")
+    stages = Pipeline(stages=[prep.RepaymentFeatures(), prep.AccountPrep(numericCols=[], categoricalCols=["EDUCATION"])]).fit(accounts)
+    weights = [EXPLAINED_WEIGHT * (i + 1) for i in range(len(stages.stages[1].feature_names()))]
+    jobs.explain_job(accounts, PipelineModel(stages=[*stages.stages, train.logistic_model(spark, weights, -1.0)]), f"{out}/reports", run_id="q")
+    bundle = spark.read.parquet(f"{out}/reports/attribution")
+    local = spark.read.parquet(f"{out}/reports/local_contributions").agg(F.count("*").alias("n_local"))
+    return rounded(bundle.select("feature", "mean_contribution", "mean_abs_contribution", "n_rows", "method", "model_type", "base_value").crossJoin(local))
+
+
 @query
 def dataset_checks(spark, sf_dir):
     return contract.dataset_checks(derive_accounts(spark, sf_dir), TRAINING_CONTRACT, KEY)
@@ -317,6 +388,34 @@ def one_hot(spark, sf_dir):
     return accounts.selectExpr(KEY, f"explode(array_compact({on})) AS feature")
 
 
+#: Columns that the code queries number; keys have as many codes as there are training rows.
+INDEXED = ("AGE", "LIMIT_BAL", KEY)
+
+
+def _code_index(spark: SparkSession, sf_dir: str, path: str) -> tuple[DataFrame, DataFrame]:
+    marked = split.hash_split(derive_accounts(spark, sf_dir), [KEY]).select(*INDEXED, "is_test")
+    return marked, codes.index_codes(marked.where("NOT is_test"), INDEXED, path)
+
+
+@query
+def code_index(spark, sf_dir):
+    """The codes of the training part with their counts and positions."""
+    _, index = _code_index(spark, sf_dir, run_dir(spark, "codes"))
+    return index.withColumnRenamed("column", "column_name").select("column_name", "value", "n", "position")
+
+
+@query
+def sparse_codes(spark, sf_dir):
+    """The indicators that are set in the stored sparse vectors of all accounts, by an index of the training part."""
+    path = run_dir(spark, "codes")
+    marked, index = _code_index(spark, sf_dir, path)
+    # the key is a coded column too, so rows are named by a copy of it
+    vectors = codes.encode(marked.withColumn("row_key", F.col(KEY)), index, INDEXED).select("row_key", "features")
+    writers.write_table(vectors, f"{path}/vectors")
+    stored = spark.read.schema("row_key bigint, features struct<type: tinyint, size: int, indices: array<int>, values: array<double>>").parquet(f"{path}/vectors")
+    return stored.select(F.col("row_key").alias(KEY), F.col("features.size").cast("bigint").alias("width"), F.explode(F.col("features.indices").cast("array<bigint>")).alias("place"))
+
+
 @query
 def standard_scale(spark, sf_dir):
     filled = clean.fill_missing_with_zero(derive_accounts(spark, sf_dir))
@@ -624,6 +723,27 @@ def cv_report(spark, sf_dir):
     return train.cv_report(scores)
 
 
+@query
+def coded_cv_scores(spark, sf_dir):
+    """Cross-validation of a logistic model of one coded column, practically without penalty: it ranks by the default rates of the
+    other folds, so SQL can work out the area of each fold."""
+    path = run_dir(spark, "coded-folds")
+    accounts = derive_accounts(spark, sf_dir).withColumn("label", F.col(TARGET).cast("double"))
+    ready = prep.AccountPrep(numericCols=[], categoricalCols=["EDUCATION"]).fit(accounts).transform(accounts)
+    writers.write_table(split.with_fold(ready, [KEY]).select("features", "label", "fold"), path)
+    scores = train.fold_scores(spark.read.parquet(path), LogisticRegression(maxIter=1000, tol=1e-12, standardization=False), {"C": 1e12})
+    report = train.cv_report(scores)
+    return rounded(report.select("mean_cv_score", "std_cv_score", F.posexplode("cv_scores").alias("fold", "auc")), 5)
+
+
+@query
+def stump_importance(spark, sf_dir):
+    """A tree of one split gives all importance to the column of that split."""
+    rows = _vectors(spark, sf_dir, ROUND_COLUMNS).withColumn("label", F.col(TARGET).cast("double"))
+    model = RandomForestClassifier(numTrees=1, maxDepth=1, featureSubsetStrategy="all", bootstrap=False, seed=42).fit(rows)
+    return train.feature_importances(model, list(ROUND_COLUMNS))
+
+
 @query
 def coded_logistic(spark, sf_dir):
     """An unpenalised logistic model on one coded column: its probabilities are the default rates of the codes."""

@@ -116,6 +116,51 @@ def test_a_column_of_thousands_of_codes_fits(spark):
     assert vector.numNonzeros() <= 2 and vector[999] == 1.0
 
 
+def test_wide_codes_are_joined_not_written_into_the_plan(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import SparseVector
+
+    df = spark.range(5000).selectExpr("id * 3 AS code", "id % 3 AS few", "CAST(id AS DOUBLE) AS x", "id AS __known", "CAST(id % 2 AS DOUBLE) AS label")
+    model = prep.AccountPrep(numericCols=["x"], categoricalCols=["code", "few"]).fit(df)
+    out = model.transform(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "8991" not in plan and len(plan) < 20_000
+    rows = {r["__known"]: r["features"] for r in out.select("__known", "features").collect()}
+    assert len(rows) == 5000 and all(isinstance(v, SparseVector) and len(v) == 1 + 4999 + 2 for v in rows.values())
+    assert {int(i): rows[2997][int(i)] for i in rows[2997].indices if i} == {2997: 1.0}  # 2997 % 3 == 0: the smallest code
+    assert [int(i) for i in rows[0].indices if i] == [] and [int(i) for i in rows[4].indices if i] == [4, 5000]
+    odd = spark.createDataFrame([(1, None, 0.0), (None, 2, 1.0), (6, 1, None)], "code bigint, few bigint, x double")
+    got = [[int(i) for i in r.features.indices if i] for r in model.transform(odd).collect()]
+    assert got == [[], [5001], [2, 5000]]  # unknown and filled: no indicator
+    weights = [0.0, *(float(i) for i in range(1, 5000)), 0.5, 0.25]
+    joined, looked_up = model.with_weights(df, weights)
+    expression = model.logit(0.5, weights, looked_up=looked_up)
+    assert len(expression) < 1000 and list(looked_up) == ["code"]
+    assert joined.where("code = 2997").selectExpr(f"{expression} AS z").first().z == 0.5 + 999
+    assert joined.where("code = 12").selectExpr(f"{expression} AS z").first().z == 0.5 + 4 + 0.5
+    assert LogisticRegression(maxIter=1).fit(out).numFeatures == 5002
+
+
+def test_index_of_codes(spark, tmp_path):
+    from riskframe.operators import codes
+
+    df = spark.range(1000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS a", "CAST(NULL AS BIGINT) AS b", "id % 2 AS c").repartition(7)
+    index = codes.index_codes(df, ["a", "b", "c"], str(tmp_path / "index"))
+    rows = sorted((r["column"], r["position"], r["value"], r["n"]) for r in index.collect())
+    values = sorted({7 if i % 3 == 0 else i for i in range(1000)})
+    assert [r[1:3] for r in rows if r[0] == "a"] == list(enumerate(map(float, values)))
+    assert [r[1:] for r in rows if r[0] == "c"] == [(0, 0.0, 500), (1, 1.0, 500)] and not [r for r in rows if r[0] == "b"]
+    for limit in (10_000, 10):  # broadcast and shuffled
+        placed = codes.with_positions(df, index, ["a", "b", "c"], max_rows=limit)
+        got = {r["id"]: (r["position_a"], r["position_b"], r["position_c"]) for r in placed.collect()}
+        assert got == {i: (values.index(7 if i % 3 == 0 else i), None, i % 2) for i in range(1000)}
+    vectors = {r["id"]: r["v"] for r in codes.encode(df, index, ["a", "b", "c"], "v").collect()}
+    assert len(vectors[1]) == len(values) - 1 + 1
+    assert list(vectors[1].indices) == [len(values) - 1] and list(vectors[8].indices) == [values.index(8) - 1]
+    empty = codes.index_codes(df.limit(0), ["a"], str(tmp_path / "none"))
+    assert empty.count() == 0 and codes.with_positions(df, empty, ["a"]).where("position_a IS NULL").count() == 1000
+
+
 def test_stages_save_and_load(spark, accounts, tmp_path):
     from pyspark.ml import Pipeline, PipelineModel
 

@@ -593,7 +593,7 @@ FOLDS = f"""
 ranges AS (SELECT {TARGET} AS cls, {hash_sql(43)} >> 16 AS bucket, count(*) AS n FROM accounts GROUP BY 1, 2),
 upto AS (SELECT *, sum(n) OVER (PARTITION BY cls ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY cls) AS n_cls FROM ranges),
 ends AS (SELECT cls, k, min(bucket) AS last FROM upto, range(1, 5) AS t(k) WHERE upto * 5 >= n_cls * k GROUP BY 1, 2),
-folded AS (SELECT EDUCATION AS code, {TARGET} AS y, (SELECT count(*) FROM ends e WHERE e.cls = a.{TARGET} AND e.last < ({hash_sql(43)} >> 16)) AS fold FROM accounts a)"""
+folded AS (SELECT SEX AS code, {TARGET} AS y, (SELECT count(*) FROM ends e WHERE e.cls = a.{TARGET} AND e.last < ({hash_sql(43)} >> 16)) AS fold FROM accounts a)"""
 
 
 def _gain(column: str) -> str:

@@ -246,6 +246,51 @@ def test_boosting_without_rows_or_with_one_class(spark, rows):
     assert all(len(t.left) == 1 for t in same.trees) and (score(same, x) < 0).all()
 
 
+def test_sums_of_a_block_by_node_feature_and_bin():
+    """Each fit's sums equal plain ones, cell by cell, for features of one, two and many bins, sampled rows and features left out."""
+    draw = np.random.default_rng(1)
+    sizes, n = np.array([7, 2, 1, 2, 3]), 500
+    layout = boosting.Layout(np.concatenate([[0], np.cumsum(sizes)]))
+    bins = np.stack([draw.integers(0, k, n) for k in sizes]).astype(np.uint8)
+    tree = boosting.Growing()
+    tree.open = tree.split(0, 0, 3, (0, 0, 0), (0, 0, 0))
+    fits = [boosting.Boosting(subsample=0.7, without_fold=1), boosting.Boosting()]
+    block = draw.integers(-2**62, 2**62, n), draw.integers(0, 2, n).astype(float), draw.integers(0, 3, n).astype(np.int32), bins, draw.normal(size=(2, n))
+    growing = {i: (tree.arrays(), np.array(tree.open), np.array([0, 1, 2, 4])) for i in range(2)}
+    for i, sums in boosting.block_sums(block, fits, growing, 4, layout):
+        use = boosting.drawn(fits[i], 4, block[0], block[2])
+        p = 1 / (1 + np.exp(-block[4][i]))
+        for node, below in enumerate((bins[0] <= 3, bins[0] > 3)):
+            for f in range(5):
+                cells = sums[:, node, layout.offsets[f]:layout.offsets[f + 1]]
+                for b in range(sizes[f]):
+                    at = use & below & (bins[f] == b) if f != 3 else np.zeros(n, bool)
+                    assert cells[:, b] == pytest.approx([(p - block[1])[at].sum(), (p * (1 - p))[at].sum(), at.sum()], abs=1e-9)
+
+
+def test_large_trees_apply_like_small_ones(monkeypatch):
+    draw = np.random.default_rng(2)
+    tree, bins = boosting.Growing(), draw.integers(0, 9, (4, 300)).astype(np.uint8)
+    for node in range(20):
+        tree.split(node, int(draw.integers(4)), int(draw.integers(8)), (0, 0, 0), (0, 0, 0))
+    small = boosting.node_of(tree.arrays(), bins)
+    monkeypatch.setattr(boosting, "SMALL_TREE", 3)
+    assert len(set(small)) > 5 and (boosting.node_of(tree.arrays(), bins) == small).all()
+
+
+def test_tasks_of_a_pass_are_bounded(rows, monkeypatch):
+    """Every task sends its sums, so tiny tasks would make the exchange grow faster than the rows."""
+    df, x, _ = rows
+    monkeypatch.setattr(boosting, "TASK_ROWS", 4)
+    seen, best = [], boosting.best_splits
+    monkeypatch.setattr(boosting, "best_splits", lambda blocks, *a: seen.append(blocks.getNumPartitions()) or best(blocks, *a))
+    fit = boosting.Boosting(n_estimators=2, max_depth=1)
+    found = boosting.fit_side_by_side(df, [fit], "id")[0]
+    assert max(seen) <= boosting.TASKS_A_CORE * df.sparkSession.sparkContext.defaultParallelism
+    monkeypatch.setattr(boosting, "TASK_ROWS", 20_000)
+    assert score(found, x)[:, 0] == pytest.approx(score(boosting.fit_side_by_side(df, [fit], "id")[0], x)[:, 0], abs=1e-9)
+
+
 def test_cuts_of_many_values_are_quantiles(spark):
     df = spark.range(5000).select(array_to_vector(F.array(F.col("id").cast("double"), (F.col("id") % 4).cast("double"), F.lit(1.0))).alias("features"))
     many, few, one = boosting.cut_points(df, "features", 3, 16)

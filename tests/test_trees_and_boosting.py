@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import threading
 
 import numpy as np
 import pytest
@@ -343,3 +344,14 @@ def test_solvers_differ_in_the_penalty_of_the_intercept(rows):
         gap = 1 / (1 + np.exp(-(x @ w + b))) - y
         assert x.T @ gap + w / 0.02 == pytest.approx(np.zeros(WIDTH), abs=1e-3)
         assert gap.sum() + (b / 0.02 if all_ else 0.0) == pytest.approx(0.0, abs=1e-3)
+
+
+def test_algorithms_are_tuned_side_by_side_in_their_order(rows, monkeypatch):
+    """Each waits for the others: one after another they would never meet."""
+    df, _, _ = rows
+    meet, tune = threading.Barrier(3, timeout=30), train.tune
+    monkeypatch.setattr(train, "tune", lambda a, b, algorithm, *rest: (meet.wait(), algorithm.name)[1])
+    algorithms = tuple(AlgorithmConfig(name, "logistic") for name in "bca")
+    assert train.tune_all(df, df, TrainerConfig(algorithms=algorithms)) == ["b", "c", "a"]
+    monkeypatch.setattr(train, "tune", tune)
+    assert train.tune_all(df, df, TrainerConfig(algorithms=())) == []
